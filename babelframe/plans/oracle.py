@@ -44,3 +44,84 @@ SELECT w.doc_id,
 FROM w LEFT JOIN mx ON w.doc_id = mx.doc_id
 """,
 )
+
+
+# ----------------------------------------------------------- conversations
+TURNS = r"""
+turns AS (
+  SELECT lpad(CAST(conv_id AS VARCHAR), 9, '0') AS id, conv_id, turn,
+         CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS "from",
+         CASE WHEN role = 'user' THEN
+              CASE WHEN (conv_id + turn) % 2 = 0 THEN '<image>' || chr(10) || text
+                   ELSE text || chr(10) || '<image>' END
+              ELSE text END AS value
+  FROM conversations
+)"""
+
+
+def strip_ws(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def reverse_words(x: str) -> str:
+    return f"array_to_string(list_reverse(string_split({x}, ' ')), ' ')"
+
+
+sql(
+    "extract_role_values",
+    f"""
+WITH {TURNS}
+SELECT id,
+       coalesce(arg_max(value, turn) FILTER (WHERE "from" = 'human'), '') AS human_value,
+       coalesce(arg_max(value, turn) FILTER (WHERE "from" = 'gpt'), '') AS gpt_value
+FROM turns GROUP BY id
+""",
+)
+
+sql(
+    "first_caption_turn",
+    f"""
+WITH {TURNS}
+SELECT id,
+       arg_min(value, turn) FILTER (WHERE "from" = 'gpt') AS caption,
+       count(*) FILTER (WHERE "from" = 'gpt') AS n_caption_turns,
+       CASE WHEN count(*) FILTER (WHERE "from" = 'gpt') = 0 THEN 'no ''gpt'' turn' END AS error
+FROM turns GROUP BY id
+""",
+)
+
+sql(
+    "last_turn_flatten",
+    f"""
+WITH {TURNS}
+SELECT id, arg_max(value, turn) AS conversations FROM turns GROUP BY id
+""",
+)
+
+CAPTION_TR = f"""
+first AS (
+  SELECT id, arg_min(value, turn) FILTER (WHERE "from" = 'gpt') AS caption FROM turns GROUP BY id
+), tr AS (
+  SELECT id, caption, {strip_ws(reverse_words('caption'))} AS translation FROM first WHERE caption IS NOT NULL
+)"""
+
+sql(
+    "replace_caption_turns",
+    f"""
+WITH {TURNS}, {CAPTION_TR}
+SELECT t.id, t.turn, t."from",
+       CASE WHEN t."from" = 'gpt' AND tr.translation <> '' THEN tr.translation ELSE t.value END AS value
+FROM turns t LEFT JOIN tr ON t.id = tr.id
+""",
+)
+
+sql(
+    "strip_image_markup",
+    f"""
+WITH {TURNS}
+SELECT id, turn,
+       replace(value, '<image>', '') AS without_tag,
+       replace(replace(value, chr(10) || '<image>', ''), '<image>' || chr(10), '') AS without_affix
+FROM turns WHERE "from" = 'human'
+""",
+)

@@ -37,3 +37,59 @@ def q_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         max_count.alias("max_count"),
         flag.alias("has_repeated_words"),
     )
+
+
+# ----------------------------------------------------------- conversations
+from babelframe import constants as C  # noqa: E402
+from babelframe.functions import text as X  # noqa: E402
+from babelframe.operators import translate as TR  # noqa: E402
+from babelframe.operators import turns as TU  # noqa: E402
+from babelframe.sources.tables import conversation_turns  # noqa: E402
+
+
+@register("extract_role_values")
+def q_extract_role_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last human / last caption value per conversation ('' if none)."""
+    return TU.role_values(conversation_turns(spark, sf_dir))
+
+
+@register("first_caption_turn")
+def q_first_caption_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First caption turn per conversation; none -> NULL + error."""
+    return TU.first_role_value(conversation_turns(spark, sf_dir), C.GPT).select(
+        "id", "caption", F.col("n_gpt_turns").alias("n_caption_turns"), "error"
+    )
+
+
+@register("last_turn_flatten")
+def q_last_turn_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation flattened to its last turn's value."""
+    return TU.last_turn(conversation_turns(spark, sf_dir))
+
+
+def _caption_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_turns(spark, sf_dir)
+    first = TU.first_role_value(turns, C.GPT).filter(F.col("caption").isNotNull())
+    return TR.translate_column(first, "caption", TR.ReverseWords(), keep=["id"])
+
+
+@register("replace_caption_turns")
+def q_replace_caption_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 -> U1 -> P15 -> P4 over flat turns (P5 layout): every caption turn
+    of a conversation takes the translation of its first caption turn;
+    failed conversations keep their text."""
+    turns = conversation_turns(spark, sf_dir)
+    ok = _caption_translations(spark, sf_dir).filter(F.col("error").isNull())
+    return TU.replace_role_turns(turns, ok, C.GPT).select("id", "turn", "from", "value")
+
+
+@register("strip_image_markup")
+def q_strip_image_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 and P7 on every human turn."""
+    turns = conversation_turns(spark, sf_dir).filter(F.col("from") == C.HUMAN)
+    return turns.select(
+        "id",
+        "turn",
+        X.strip_image_tag("value").alias("without_tag"),
+        X.strip_image_affix("value").alias("without_affix"),
+    )
