@@ -84,8 +84,10 @@ def _call_partition(
         for pdf in batches:
             responses: list = [None] * len(pdf)
             failures: list = [None] * len(pdf)
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start : start + batch_size]
+            todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m] if "__call" in pdf else list(range(len(pdf)))
+            for start in range(0, len(todo), batch_size):
+                rows = todo[start : start + batch_size]
+                chunk = pdf.iloc[rows]
                 pacer.wait(len(chunk))
                 try:
                     out = client(
@@ -93,14 +95,18 @@ def _call_partition(
                         chunk[preamble_col].reset_index(drop=True) if preamble_col else None,
                         chunk[target_col].reset_index(drop=True) if target_col else None,
                     )
-                    for i, r in enumerate(list(out)):
-                        responses[start + i] = r
+                    for i, r in zip(rows, list(out)):
+                        responses[i] = r
                         if r is None:
-                            failures[start + i] = "No response"
+                            failures[i] = "No response"
                 except Exception as e:  # noqa: BLE001 - a failed call fails its items
-                    for i in range(len(chunk)):
-                        failures[start + i] = f"call failed: {type(e).__name__}: {e}"
-            yield pdf.assign(__response=pd.Series(responses, dtype=object), __call_error=pd.Series(failures, dtype=object))
+                    for i in rows:
+                        failures[i] = f"call failed: {type(e).__name__}: {e}"
+            out_pdf = pdf.drop(columns=["__call"]) if "__call" in pdf else pdf
+            yield out_pdf.assign(
+                __response=pd.Series(responses, dtype=object, index=pdf.index),
+                __call_error=pd.Series(failures, dtype=object, index=pdf.index),
+            )
 
     return run
 
@@ -121,6 +127,7 @@ def translate_column(
     partition_key: str | None = None,
     order_col: str | None = None,
     clean: bool = True,
+    only_when: F.Column | None = None,
 ) -> DataFrame:
     """Translate ``text_col`` -> ``out_col`` plus ``error_col``.
 
@@ -132,17 +139,21 @@ def translate_column(
     * ``order_col``: calls inside a task go in ascending order of it (W1).
     * ``clean``: apply P15 (strip Unicode whitespace; empty -> error) and
       route failures to ``error_col`` (F8). Failed rows get NULL ``out_col``.
+    * ``only_when``: rows where it is false pass through uncalled with NULL
+      ``out_col`` and ``error_col`` (one pass, no join back).
     """
     keep = list(keep or [])
     cols = list(dict.fromkeys(keep + [text_col] + [c for c in (preamble_col, target_col, order_col) if c]))
-    src = df.select(*cols).withColumn(text_col, as_message(text_col)) if cols else df
+    src = df.select(*cols).withColumn(text_col, as_message(text_col))
+    if only_when is not None:
+        src = src.withColumn("__call", F.coalesce(only_when, F.lit(False)))
     if num_partitions:
         src = src.repartition(num_partitions, partition_key) if partition_key else src.repartition(num_partitions)
     if order_col:
         src = src.sortWithinPartitions(order_col)
     per_task = (calls_per_minute / (num_partitions or 1)) if calls_per_minute else None
     schema = T.StructType(
-        list(src.schema.fields)
+        [f for f in src.schema.fields if f.name != "__call"]
         + [T.StructField("__response", T.StringType()), T.StructField("__call_error", T.StringType())]
     )
     called = src.mapInPandas(
@@ -151,6 +162,8 @@ def translate_column(
     if not clean:
         return called.withColumnRenamed("__response", out_col).withColumnRenamed("__call_error", error_col)
     text, err = clean_response("__response")
+    if only_when is not None:
+        err = F.when(F.col("__response").isNotNull(), err)
     return (
         called.withColumn(error_col, F.coalesce(F.col("__call_error"), err))
         .withColumn(out_col, F.when(F.col(error_col).isNull(), text))
@@ -209,3 +222,83 @@ def order_within_batches(df: DataFrame, batch_col: str, length_col: str, row_idx
 
     w = Window.partitionBy(batch_col).orderBy(length_col, row_idx)
     return df.withColumn("position_in_batch", F.row_number().over(w).cast("bigint"))
+
+
+# ------------------------------------------------------ U2 back-translation
+def back_translate(
+    df: DataFrame,
+    factory: TranslatorFactory,
+    *,
+    keep: list[str],
+    text_col: str = "conversations",
+    lang_col: str = "language",
+    languages: list[str] | None = None,
+    catalogue: DataFrame | None = None,
+    out_col: str = "back_translations",
+    batch_size: int = C.BACK_TRANSLATE_CHUNK,
+    calls_per_minute: float | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """U2 + J5 + J3: back-translate every row whose language is listed, all
+    languages in one job, each row with its language's ``lang_to_en``
+    prompt. The result stays on its own row (no positional attach, D4):
+    rows of other languages (English) get NULL; failed calls get ''.
+    """
+    from babelframe.operators.prompts import TO_ENGLISH, choose_prompt, prompt_catalogue
+
+    langs = languages or C.BACK_TRANSLATE_LANGUAGES
+    wanted = F.col(lang_col).isin(langs)
+    cat = catalogue if catalogue is not None else prompt_catalogue(df.sparkSession, langs)
+    with_prompt = choose_prompt(df, cat, lang_col, TO_ENGLISH, required=wanted)
+    called = translate_column(
+        with_prompt,
+        text_col,
+        factory,
+        keep=list(dict.fromkeys([*keep, lang_col])),
+        preamble_col="preamble",
+        batch_size=batch_size,
+        calls_per_minute=calls_per_minute,
+        num_partitions=num_partitions,
+        clean=False,
+        only_when=wanted,
+        out_col="__bt",
+        error_col="__bt_error",
+    )
+    return called.withColumn(out_col, F.when(wanted, F.coalesce(F.col("__bt"), F.lit("")))).drop(
+        "__bt", "__bt_error", "preamble"
+    )
+
+
+# -------------------------------------------------- U5 translation memory
+def memory_translate(
+    df: DataFrame,
+    memory: DataFrame,
+    text_col: str,
+    target_lang: str | F.Column,
+    out_col: str = "translation",
+) -> DataFrame:
+    """Look sentences up in a translation memory
+    ``(sentence, lang, translation)`` with the ``<image>`` affix taken off
+    (P7) and put back on the same side afterwards. Unmatched -> NULL.
+
+    An equi-join on (sentence, lang); memory tables are small in practice
+    and the planner broadcasts them when their measured size allows.
+    """
+    from babelframe.functions.text import strip_image_affix
+
+    txt = F.col(text_col)
+    tag = C.IMAGE_TAG
+    prefix = txt.startswith(tag + "\n")
+    suffix = txt.endswith("\n" + tag)
+    lang = F.lit(target_lang) if isinstance(target_lang, str) else target_lang
+    keyed = df.withColumn("__sentence", strip_image_affix(txt)).withColumn("__lang", lang)
+    mem = memory.select(
+        F.col("sentence").alias("__sentence"), F.col("lang").alias("__lang"), F.col("translation").alias("__tr")
+    )
+    joined = keyed.join(mem, on=["__sentence", "__lang"], how="left")
+    restored = (
+        F.when(prefix, F.concat(F.lit(tag + "\n"), F.col("__tr")))
+        .when(suffix, F.concat(F.col("__tr"), F.lit("\n" + tag)))
+        .otherwise(F.col("__tr"))
+    )
+    return joined.withColumn(out_col, restored).drop("__sentence", "__lang", "__tr")

@@ -125,3 +125,102 @@ SELECT id, turn,
 FROM turns WHERE "from" = 'human'
 """,
 )
+
+
+# ------------------------------------------------------ document blocks
+LAB = """
+lab AS (
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.doc_id AS row_idx, d.text AS conversations,
+         lpad(CAST(d.doc_id % (c.n // 8) AS VARCHAR), 9, '0') AS id,
+         ['ar','zh','en','fr','hi','jp','ru','es'][CAST(least(d.doc_id // (c.n // 8), 7) AS INTEGER) + 1] AS language
+  FROM documents d CROSS JOIN (SELECT count(*) AS n FROM documents) c
+)"""
+
+
+def lang_name(x: str) -> str:
+    pairs = [
+        ("ar", "Arabic"), ("de", "German"), ("en", "English"), ("es", "Spanish"), ("fr", "French"),
+        ("hi", "Hindi"), ("it", "Italian"), ("ja", "Japanese"), ("nl", "Dutch"), ("pt", "Portuguese"),
+        ("ru", "Russian"), ("zh", "Chinese"),
+    ]
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
+    return f"(CASE CASE WHEN lower({x}) = 'jp' THEN 'ja' ELSE lower({x}) END {whens} END)"
+
+
+def capitalize(x: str) -> str:
+    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+
+
+sql("label_language_blocks", f"WITH {LAB} SELECT doc_id, id, language FROM lab")
+
+sql(
+    "normalise_language",
+    f"""
+WITH {LAB}
+SELECT doc_id, lang, {lang_name('lang')} AS lang_name, language AS block_language,
+       {lang_name('language')} AS block_language_name,
+       {capitalize("concat_ws(' ', language, " + lang_name('language') + ")")} AS language_label
+FROM lab
+""",
+)
+
+sql(
+    "unpivot_parallel",
+    f"""
+WITH {LAB}
+SELECT e.id, e.text AS sentence, {lang_name('o.language')} AS lang, o.text AS translation
+FROM lab e JOIN lab o ON e.id = o.id
+WHERE e.language = 'en' AND o.language <> 'en'
+""",
+)
+
+sql(
+    "attach_reference_text",
+    f"""
+WITH {LAB}, ref AS (
+  SELECT id, arg_max(conversations, row_idx) AS en_text FROM lab
+  WHERE language = 'en' AND conversations <> '' GROUP BY id
+)
+SELECT l.doc_id, l.id, l.language,
+       CASE WHEN l.language = 'en' THEN '' ELSE coalesce(r.en_text, 'id_not_found') END AS reference_text
+FROM lab l LEFT JOIN ref r ON l.id = r.id
+WHERE NOT (l.language IS NOT DISTINCT FROM 'en')
+""",
+)
+
+sql(
+    "attach_back_translations",
+    f"""
+WITH {LAB}
+SELECT doc_id, id, language,
+       CASE WHEN language IN ('ar','zh','fr','hi','jp','ru','es') THEN {reverse_words('conversations')} END
+         AS back_translations
+FROM lab
+""",
+)
+
+sql(
+    "caption_mismatch",
+    """
+SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') AS id, CAST(length(text) AS BIGINT) AS caption_len
+FROM documents WHERE text <> replace(text, chr(10), ' ')
+""",
+)
+
+sql(
+    "equal_splits",
+    """
+SELECT doc_id, CAST(doc_id // (c.n // 3) AS BIGINT) AS split_no
+FROM documents CROSS JOIN (SELECT count(*) AS n FROM documents) c
+WHERE c.n // 3 > 0 AND doc_id // (c.n // 3) < 3
+""",
+)
+
+sql(
+    "union_datasets",
+    """
+SELECT doc_id, text, lang FROM documents
+UNION ALL
+SELECT item_id AS doc_id, text, CAST(NULL AS VARCHAR) AS lang FROM benchmark
+""",
+)

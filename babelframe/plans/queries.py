@@ -93,3 +93,88 @@ def q_strip_image_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.strip_image_tag("value").alias("without_tag"),
         X.strip_image_affix("value").alias("without_affix"),
     )
+
+
+# ------------------------------------------------------ document blocks
+from babelframe.operators import assemble as AS  # noqa: E402
+from babelframe.sources.tables import load_table  # noqa: E402
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as a stacked 8-language set: row_idx = doc_id (the natural
+    key, 0..n-1), ``id`` links the parallel rows, ``conversations`` is the
+    flattened text (P3 output layout)."""
+    docs = documents(spark, sf_dir).withColumn("row_idx", F.col("doc_id"))
+    return AS.label_language_blocks(docs, "row_idx").withColumn("conversations", F.col("text"))
+
+
+@register("label_language_blocks")
+def q_label_language_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 + W2: language by position block, id inside the block."""
+    return labelled_documents(spark, sf_dir).select("doc_id", "id", "language")
+
+
+@register("normalise_language")
+def q_normalise_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 code -> name (jp alias, D6) and P10 capitalisation."""
+    lab = labelled_documents(spark, sf_dir)
+    block_name = X.language_name("language")
+    return lab.select(
+        "doc_id",
+        "lang",
+        X.language_name("lang").alias("lang_name"),
+        F.col("language").alias("block_language"),
+        block_name.alias("block_language_name"),
+        X.capitalize_first(F.concat_ws(" ", F.col("language"), block_name)).alias("language_label"),
+    )
+
+
+@register("unpivot_parallel")
+def q_unpivot_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide parallel table built from the blocks, then P11 + F3 back to long."""
+    wide = AS.parallel_wide(labelled_documents(spark, sf_dir), "id", "language", "text")
+    return AS.unpivot_parallel(wide, ids=["id"])
+
+
+@register("attach_reference_text")
+def q_attach_reference_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + J1 + F2: English reference per id, English rows dropped."""
+    lab = labelled_documents(spark, sf_dir)
+    joined = AS.attach_reference_text(lab, "id", "language", "conversations", "row_idx")
+    return AS.drop_language(joined, "en").select("doc_id", "id", "language", "reference_text")
+
+
+@register("attach_back_translations")
+def q_attach_back_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 + J5 + J3 + F1: all seven languages back-translated in one job."""
+    lab = labelled_documents(spark, sf_dir)
+    bt = TR.back_translate(lab, TR.ReverseWords(), keep=["doc_id", "id"], text_col="conversations")
+    return bt.select("doc_id", "id", "language", "back_translations")
+
+
+@register("caption_mismatch")
+def q_caption_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + F7: captions vs a metadata file whose caption has newlines
+    folded to spaces; rows that differ."""
+    docs = documents(spark, sf_dir)
+    captions = docs.select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"), F.col("text").alias("value"))
+    meta = docs.select(
+        F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"),
+        F.replace(F.col("text"), F.lit("\n"), F.lit(" ")).alias("blip_caption"),
+    )
+    return AS.caption_mismatches(captions, meta).select("id", F.length("value").cast("bigint").alias("caption_len"))
+
+
+@register("equal_splits")
+def q_equal_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: three contiguous equal splits by row index, remainder dropped."""
+    docs = documents(spark, sf_dir)
+    return AS.equal_splits(docs, "doc_id", 3).select("doc_id", "split_no")
+
+
+@register("union_datasets")
+def q_union_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: documents UNION ALL benchmark, first schema leads."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    bench = load_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return AS.concat_datasets([docs, bench])
