@@ -224,3 +224,253 @@ UNION ALL
 SELECT item_id AS doc_id, text, CAST(NULL AS VARCHAR) AS lang FROM benchmark
 """,
 )
+
+
+# ----------------------------------------------------------------- metrics
+PUNCT_CLASS = r"[!-/:-@\[-`{-~]"
+
+
+def readability_cte(src: str, key: str, text: str) -> str:
+    """CTE ``rd(key, fk_grade, f_ease, length)`` over table/CTE ``src``."""
+    words = f"regexp_extract_all(regexp_replace(@X@, '{PUNCT_CLASS}', '', 'g'), '{NOT_WS_RUN}')"
+    w_text = words.replace("@X@", text)
+    w_piece = words.replace("@X@", "p")
+    syl = (
+        "greatest(1, len(regexp_extract_all(lower(w), '[aeiouy]+')) - "
+        "CASE WHEN regexp_matches(lower(w), '[^aeiouy]e$') THEN 1 ELSE 0 END)"
+    )
+    return f"""
+rc AS (
+  SELECT {key} AS k, {text} AS t,
+         len({w_text}) AS nw,
+         greatest(1, len(list_filter(regexp_extract_all({text}, '[^.!?]+[.!?]*'), lambda p: len({w_piece}) > 2))) AS ns,
+         coalesce(list_sum(list_transform({w_text}, lambda w: {syl})), 0) AS ny
+  FROM {src}
+), rd AS (
+  SELECT k,
+         CASE WHEN t IS NULL THEN 0.0 ELSE
+           0.39 * (CASE WHEN nw > 0 THEN nw / ns ELSE 0.0 END)
+           + 11.8 * (CASE WHEN nw > 0 THEN ny / nw ELSE 0.0 END) - 15.59 END AS fk_grade,
+         CASE WHEN t IS NULL THEN 0.0 ELSE
+           206.835 - 1.015 * (CASE WHEN nw > 0 THEN nw / ns ELSE 0.0 END)
+           - 84.6 * (CASE WHEN nw > 0 THEN ny / nw ELSE 0.0 END) END AS f_ease,
+         CAST(length(t) AS BIGINT) AS length
+  FROM rc
+)"""
+
+
+COMPLEXITY = """
+mm AS (SELECT min(fk_grade) AS gmin, max(fk_grade) AS gmax, min(f_ease) AS emin, max(f_ease) AS emax FROM rd),
+cx AS (
+  SELECT rd.*,
+         CASE WHEN gmax > gmin THEN (fk_grade - gmin) / (gmax - gmin) ELSE 0.0 END AS fk_grade_norm,
+         CASE WHEN emax > emin THEN (f_ease - emin) / (emax - emin) ELSE 0.0 END AS f_ease_norm
+  FROM rd CROSS JOIN mm
+), cy AS (
+  SELECT cx.*, (fk_grade_norm + (1.0 - f_ease_norm)) / 2 AS complexity FROM cx
+)"""
+
+sql(
+    "readability",
+    f"""
+WITH {readability_cte('documents', 'doc_id', 'text')}
+SELECT k AS doc_id, round(fk_grade, 6) AS fk_grade, round(f_ease, 6) AS f_ease, length FROM rd
+""",
+)
+
+sql(
+    "complexity_score",
+    f"""
+WITH {readability_cte('documents', 'doc_id', 'text')}, {COMPLEXITY}
+SELECT k AS doc_id, round(fk_grade_norm, 6) AS fk_grade_norm, round(f_ease_norm, 6) AS f_ease_norm,
+       round(complexity, 6) AS complexity
+FROM cy
+""",
+)
+
+PAIRS = """
+pairs AS (
+  SELECT lpad(CAST(a.conv_id AS VARCHAR), 9, '0') AS id, a.turn, a.text AS hypothesis, b.text AS reference,
+         array_to_string(list_filter(string_split(b.text, ' '), lambda x, i: (i - 1) % 5 <> 4), ' ') AS rewrite
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
+)"""
+
+TOKEN_RE = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{WS_CHARS}]"
+
+sql(
+    "repeated_tokens",
+    f"""
+WITH {PAIRS}, tk AS (
+  SELECT id, turn, regexp_extract_all(hypothesis, '{TOKEN_RE}') AS t, regexp_extract_all(reference, '{TOKEN_RE}') AS r
+  FROM pairs
+)
+SELECT id, turn,
+       coalesce(len(list_filter(generate_series(1, len(t) - 1),
+                lambda i: t[i] = t[i + 1] AND NOT list_contains(r, t[i]))) > 0, false) AS repeated_tokens
+FROM tk
+""",
+)
+
+
+def bleu_ctes(p: str) -> str:
+    """From CTE ``p(k, v, hyp, ref)`` build ``bleu_out(k, v, bleu)``."""
+    tok = f"regexp_extract_all(@X@, '{NOT_WS_RUN}')"
+    terms = []
+    for n in range(1, 5):
+        terms.append(
+            f"0.25 * ln(CASE WHEN m{n} > 0 THEN m{n} / greatest(1, c - {n} + 1) ELSE 2.2250738585072014e-308 END)"
+        )
+    logsum = "0.0"
+    for t in terms:
+        logsum = f"({logsum} + {t})"
+    return f"""
+bt AS (
+  SELECT k, v, 1 AS hs, 0 AS rs, {tok.replace('@X@', 'hyp')} AS toks FROM {p}
+  UNION ALL SELECT k, v, 0 AS hs, 1 AS rs, {tok.replace('@X@', 'ref')} AS toks FROM {p}
+), bg AS (
+  SELECT k, v, hs, rs, n, array_to_string(toks[i:i + n - 1], ' ') AS g
+  FROM bt, range(1, 5) r(n), generate_series(1, len(toks) - n + 1) s(i)
+), bc AS (
+  SELECT k, v, n, g, sum(hs) AS hc, sum(rs) AS rc FROM bg GROUP BY k, v, n, g
+), bm AS (
+  SELECT k, v, n, sum(least(hc, rc)) AS m FROM bc GROUP BY k, v, n
+), bs AS (
+  SELECT q.k, q.v, len({tok.replace('@X@', 'q.hyp')}) AS c, len({tok.replace('@X@', 'q.ref')}) AS r,
+         coalesce(max(m) FILTER (WHERE n = 1), 0) AS m1, coalesce(max(m) FILTER (WHERE n = 2), 0) AS m2,
+         coalesce(max(m) FILTER (WHERE n = 3), 0) AS m3, coalesce(max(m) FILTER (WHERE n = 4), 0) AS m4
+  FROM {p} q LEFT JOIN bm ON q.k = bm.k AND q.v = bm.v
+  GROUP BY q.k, q.v, q.hyp, q.ref
+), bleu_out AS (
+  SELECT k, v,
+         CASE WHEN c = 0 OR m1 = 0 THEN 0.0
+              ELSE (CASE WHEN c > r THEN 1.0 ELSE exp(1.0 - r / c) END) * exp({logsum}) END AS bleu
+  FROM bs
+)"""
+
+
+def chrf_ctes(p: str, lowercase: bool = False) -> str:
+    """From CTE ``p(k, v, hyp, ref)`` build ``chrf_st(k, v, n, h, r, m)`` and
+    ``chrf_out(k, v, chrf)``."""
+    lo = (lambda x: f"lower({x})") if lowercase else (lambda x: x)
+    split = (
+        "flatten(list_transform(regexp_extract_all(s, '" + NOT_WS_RUN + "'), lambda w: "
+        "CASE WHEN length(w) = 1 THEN [w] "
+        "WHEN regexp_matches(right(w, 1), '[[:punct:]]') THEN [left(w, length(w) - 1), right(w, 1)] "
+        "WHEN regexp_matches(left(w, 1), '[[:punct:]]') THEN [left(w, 1), substr(w, 2)] "
+        "ELSE [w] END))"
+    )
+    return f"""
+cs AS (
+  SELECT k, v, 1 AS hs, 0 AS rs, {lo('hyp')} AS s FROM {p}
+  UNION ALL SELECT k, v, 0 AS hs, 1 AS rs, {lo('ref')} AS s FROM {p}
+), cc AS (
+  SELECT k, v, hs, rs, regexp_replace(s, '{WS}', '', 'g') AS c, {split} AS toks FROM cs
+), cg AS (
+  SELECT k, v, hs, rs, n, substr(c, i, n) AS g
+  FROM cc, range(1, 7) r(n), generate_series(1, length(c) - n + 1) s(i)
+  UNION ALL
+  SELECT k, v, hs, rs, 6 + n AS n, array_to_string(toks[i:i + n - 1], ' ') AS g
+  FROM cc, range(1, 3) r(n), generate_series(1, len(toks) - n + 1) s(i)
+), ct AS (
+  SELECT k, v, n, g, sum(hs) AS hc, sum(rs) AS rc FROM cg GROUP BY k, v, n, g
+), chrf_st AS (
+  SELECT k, v, n, CASE WHEN sum(rc) > 0 THEN sum(hc) ELSE 0 END AS h, sum(rc) AS r, sum(least(hc, rc)) AS m
+  FROM ct GROUP BY k, v, n
+), cf AS (
+  SELECT q.k, q.v,
+         coalesce(sum(CASE WHEN h > 0 AND r > 0 THEN m / h ELSE 0.0 END), 0.0) AS ps,
+         coalesce(sum(CASE WHEN h > 0 AND r > 0 THEN m / r ELSE 0.0 END), 0.0) AS rs,
+         count(*) FILTER (WHERE h > 0 AND r > 0) AS eff
+  FROM {p} q LEFT JOIN chrf_st st ON q.k = st.k AND q.v = st.v
+  GROUP BY q.k, q.v
+), chrf_out AS (
+  SELECT k, v,
+         CASE WHEN eff = 0 OR (ps / eff) + (rs / eff) = 0 THEN 0.0
+              ELSE 100.0 * ((5.0 * (ps / eff)) * (rs / eff) / ((4.0 * (ps / eff)) + (rs / eff))) END AS chrf
+  FROM cf
+)"""
+
+
+CHRF_CORPUS = """
+corpus AS (
+  SELECT n, sum(h) AS h, sum(r) AS r, sum(m) AS m FROM chrf_st GROUP BY n
+), corpus_f AS (
+  SELECT sum(CASE WHEN h > 0 AND r > 0 THEN m / h ELSE 0.0 END) AS ps,
+         sum(CASE WHEN h > 0 AND r > 0 THEN m / r ELSE 0.0 END) AS rs,
+         count(*) FILTER (WHERE h > 0 AND r > 0) AS eff
+  FROM corpus
+)"""
+
+BLEU_PAIRS = f"""{PAIRS}, bp AS (
+  SELECT id || ':' || CAST(turn AS VARCHAR) AS k, 'plain' AS v, hypothesis AS hyp, reference AS ref FROM pairs
+  UNION ALL
+  SELECT id || ':' || CAST(turn AS VARCHAR) AS k, 'rewrite' AS v, rewrite AS hyp, reference AS ref FROM pairs
+)"""
+
+sql(
+    "sentence_bleu",
+    f"""
+WITH {BLEU_PAIRS}, {bleu_ctes('bp')}
+SELECT p.id, p.turn,
+       round(max(b.bleu) FILTER (WHERE b.v = 'plain'), 6) AS bleu,
+       round(max(b.bleu) FILTER (WHERE b.v = 'rewrite'), 6) AS bleu_rewrite
+FROM pairs p JOIN bleu_out b ON b.k = p.id || ':' || CAST(p.turn AS VARCHAR)
+GROUP BY p.id, p.turn
+""",
+)
+
+sql(
+    "sentence_chrf",
+    f"""
+WITH {BLEU_PAIRS}, {chrf_ctes('bp')},
+lp AS (SELECT k, 'lower' AS v, hyp, ref FROM bp WHERE v = 'rewrite'),
+{chrf_ctes('lp', lowercase=True).replace('cs AS', 'lcs AS').replace('FROM cs', 'FROM lcs').replace('cc AS', 'lcc AS').replace('FROM cc', 'FROM lcc').replace('cg AS', 'lcg AS').replace('FROM cg', 'FROM lcg').replace('ct AS', 'lct AS').replace('FROM ct', 'FROM lct').replace('chrf_st', 'lchrf_st').replace('cf AS', 'lcf AS').replace('FROM cf', 'FROM lcf').replace('chrf_out', 'lchrf_out')}
+SELECT p.id, p.turn,
+       round(max(c.chrf) FILTER (WHERE c.v = 'plain'), 6) AS chrf,
+       round(max(c.chrf) FILTER (WHERE c.v = 'rewrite'), 6) AS chrf_rewrite,
+       round(max(l.chrf), 6) AS chrf_rewrite_lower
+FROM pairs p
+JOIN chrf_out c ON c.k = p.id || ':' || CAST(p.turn AS VARCHAR)
+JOIN lchrf_out l ON l.k = p.id || ':' || CAST(p.turn AS VARCHAR)
+GROUP BY p.id, p.turn
+""",
+)
+
+
+def _corpus_score(cte: str) -> str:
+    return f"""(SELECT CASE WHEN eff = 0 OR (ps / eff) + (rs / eff) = 0 THEN 0.0
+       ELSE 100.0 * ((5.0 * (ps / eff)) * (rs / eff) / ((4.0 * (ps / eff)) + (rs / eff))) END FROM {cte})"""
+
+
+sql(
+    "corpus_chrf",
+    f"""
+WITH {BLEU_PAIRS}, {chrf_ctes('bp')},
+corpus AS (SELECT v, n, sum(h) AS h, sum(r) AS r, sum(m) AS m FROM chrf_st GROUP BY v, n),
+corpus_f AS (
+  SELECT v, sum(CASE WHEN h > 0 AND r > 0 THEN m / h ELSE 0.0 END) AS ps,
+         sum(CASE WHEN h > 0 AND r > 0 THEN m / r ELSE 0.0 END) AS rs,
+         count(*) FILTER (WHERE h > 0 AND r > 0) AS eff
+  FROM corpus GROUP BY v
+), sc AS (
+  SELECT v, CASE WHEN eff = 0 OR (ps / eff) + (rs / eff) = 0 THEN 0.0
+       ELSE 100.0 * ((5.0 * (ps / eff)) * (rs / eff) / ((4.0 * (ps / eff)) + (rs / eff))) END AS s FROM corpus_f
+)
+SELECT (SELECT count(*) FROM pairs) AS n_pairs,
+       round((SELECT s FROM sc WHERE v = 'plain'), 6) AS chrf,
+       round((SELECT s FROM sc WHERE v = 'rewrite'), 6) AS chrf_rewrite
+""",
+)
+
+sql(
+    "chrf_flag",
+    f"""
+WITH {PAIRS}, rp AS (
+  SELECT id || ':' || CAST(turn AS VARCHAR) AS k, 'rewrite' AS v, rewrite AS hyp, reference AS ref FROM pairs
+), {chrf_ctes('rp')}
+SELECT p.id, p.turn, round(c.chrf, 6) AS back_translate_chrf,
+       CASE WHEN c.chrf >= 0.5 THEN 0 ELSE 1 END AS back_translate_chrf_int,
+       CASE WHEN c.chrf >= 50.0 THEN 0 ELSE 1 END AS chrf_below_50
+FROM pairs p JOIN chrf_out c ON c.k = p.id || ':' || CAST(p.turn AS VARCHAR)
+""",
+)

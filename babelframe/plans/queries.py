@@ -178,3 +178,103 @@ def q_union_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     bench = load_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return AS.concat_datasets([docs, bench])
+
+
+# ----------------------------------------------------------------- metrics
+from babelframe.operators import metrics as ME  # noqa: E402
+
+
+def _r6(c) -> F.Column:
+    return F.round(c, 6)
+
+
+@register("readability")
+def q_readability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M2 per document."""
+    docs = ME.add_readability(documents(spark, sf_dir), "text")
+    return docs.select("doc_id", _r6("fk_grade").alias("fk_grade"), _r6("f_ease").alias("f_ease"), "length")
+
+
+@register("complexity_score")
+def q_complexity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + A6: min-max normalised readability, complexity."""
+    docs = ME.add_complexity(documents(spark, sf_dir), "text")
+    return docs.select(
+        "doc_id",
+        _r6("fk_grade_norm").alias("fk_grade_norm"),
+        _r6("f_ease_norm").alias("f_ease_norm"),
+        _r6("complexity").alias("complexity"),
+    )
+
+
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(prediction, reference) pairs: each turn with the previous turn of the
+    same conversation. A join on the unique (conv_id, turn) key - a long
+    conversation spreads over many hash partitions, unlike a window per
+    conversation."""
+    t = conversation_turns(spark, sf_dir, with_image_tag=False).select("id", "conv_id", "turn", "value")
+    prev = t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("value").alias("reference"))
+    return t.join(prev, ["conv_id", "turn"]).select("id", "turn", F.col("value").alias("hypothesis"), "reference")
+
+
+def drop_every_fifth_word(col: str) -> F.Column:
+    """A deterministic rewrite of a text (space tokens, every 5th dropped)."""
+    return F.array_join(F.filter(F.split(F.col(col), " "), lambda x, i: i % 5 != 4), " ")
+
+
+@register("repeated_tokens")
+def q_repeated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + W5 on neighbouring-turn pairs."""
+    p = turn_pairs(spark, sf_dir)
+    return p.select("id", "turn", ME.repeated_tokens("hypothesis", "reference").alias("repeated_tokens"))
+
+
+@register("sentence_bleu")
+def q_sentence_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + J6: BLEU of each turn against the previous one, and of a
+    rewritten copy of the previous turn against itself."""
+    p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
+    p = ME.sentence_bleu(p, "hypothesis", "reference", "bleu")
+    p = ME.sentence_bleu(p, "rewrite", "reference", "bleu_rewrite")
+    return p.select("id", "turn", _r6("bleu").alias("bleu"), _r6("bleu_rewrite").alias("bleu_rewrite"))
+
+
+@register("sentence_chrf")
+def q_sentence_chrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 (chrF, word order 2) per pair; rewrite scored cased and lower-cased."""
+    p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
+    p = ME.sentence_chrf(p, "hypothesis", "reference", "chrf")
+    p = ME.sentence_chrf(p, "rewrite", "reference", "chrf_rewrite")
+    p = ME.sentence_chrf(p, "rewrite", "reference", "chrf_rewrite_lower", lowercase=True)
+    return p.select(
+        "id",
+        "turn",
+        _r6("chrf").alias("chrf"),
+        _r6("chrf_rewrite").alias("chrf_rewrite"),
+        _r6("chrf_rewrite_lower").alias("chrf_rewrite_lower"),
+    )
+
+
+@register("corpus_chrf")
+def q_corpus_chrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: corpus chrF over all pairs (statistics summed before the score)."""
+    p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
+    a = ME.corpus_chrf(p, "hypothesis", "reference", out_col="chrf")
+    b = ME.corpus_chrf(p, "rewrite", "reference", out_col="chrf_rewrite").drop("n_rows")
+    return a.crossJoin(b).select(
+        F.col("n_rows").cast("bigint").alias("n_pairs"), _r6("chrf").alias("chrf"), _r6("chrf_rewrite").alias("chrf_rewrite")
+    )
+
+
+@register("chrf_flag")
+def q_chrf_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chrF flag at the parity threshold 0.5 and at 50."""
+    p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
+    p = ME.sentence_chrf(p, "rewrite", "reference", "back_translate_chrf")
+    return p.select(
+        "id",
+        "turn",
+        _r6("back_translate_chrf").alias("back_translate_chrf"),
+        ME.chrf_flag("back_translate_chrf").alias("back_translate_chrf_int"),
+        ME.chrf_flag("back_translate_chrf", 50.0).alias("chrf_below_50"),
+    )

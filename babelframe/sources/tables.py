@@ -14,8 +14,26 @@ from pyspark.sql import functions as F
 from babelframe import constants as C
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table. ``spread``: see ``spread_rows``."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_rows(df) if spread else df
+
+
+def spread_rows(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Rebalance an under-partitioned scan before CPU-heavy per-row work.
+
+    A small table stored as one parquet row group is read by a single task;
+    per-row text work would then run on one core. When the scan yields fewer
+    splits than the cluster's parallelism, rows are spread round-robin (a
+    narrow, deterministic repartition). At scale the scan already has
+    thousands of splits and this adds nothing.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def padded_id(col) -> F.Column:
@@ -35,7 +53,7 @@ def conversation_turns(spark: SparkSession, sf_dir: str, with_image_tag: bool =
     ``<image>\\n`` prefix when ``conv_id + turn`` is even, else as a
     ``\\n<image>`` suffix.
     """
-    conv = load_table(spark, sf_dir, "conversations")
+    conv = load_table(spark, sf_dir, "conversations", spread=True)
     cid = padded_id(F.col("conv_id"))
     frm = role_to_from(F.col("role"))
     value = F.col("text")
@@ -59,5 +77,5 @@ def conversation_turns(spark: SparkSession, sf_dir: str, with_image_tag: bool =
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "documents")
+def documents(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    return load_table(spark, sf_dir, "documents", spread=spread)
