@@ -474,3 +474,95 @@ SELECT p.id, p.turn, round(c.chrf, 6) AS back_translate_chrf,
 FROM pairs p JOIN chrf_out c ON c.k = p.id || ':' || CAST(p.turn AS VARCHAR)
 """,
 )
+
+
+# ---------------------------------------------------------------- sampling
+def qbins(src: str, col: str, n: int, out: str) -> str:
+    probs = ", ".join(repr(i / n) for i in range(n + 1))
+    return f"""(
+  SELECT len(list_filter(e[2:len(e) - 1], lambda x: x < round(CAST({col} AS DOUBLE), 9)))
+  FROM (SELECT list_sort(list_distinct(list_transform(quantile_cont(CAST({col} AS DOUBLE), [{probs}]),
+                                                      lambda x: round(x, 9)))) AS e FROM {src})
+) AS {out}"""
+
+
+sql(
+    "quantile_bins",
+    f"""
+WITH edges AS (
+  SELECT list_sort(list_distinct(list_transform(quantile_cont(CAST(n_chars AS DOUBLE), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]),
+                                                lambda x: round(x, 9)))) AS e FROM documents
+)
+SELECT doc_id, CAST(len(list_filter(e[2:len(e) - 1], lambda x: x < round(CAST(n_chars AS DOUBLE), 9))) AS INTEGER) AS length_bin
+FROM documents CROSS JOIN edges
+""",
+)
+
+sql(
+    "width_bins",
+    """
+WITH b AS (SELECT CAST(min(n_chars) AS DOUBLE) AS lo, CAST(max(n_chars) AS DOUBLE) AS hi FROM documents)
+SELECT doc_id,
+       CAST(CASE WHEN hi > lo THEN least(4, greatest(0, ceil(round((n_chars - lo) / ((hi - lo) / 5), 9)) - 1)) ELSE 0 END
+            AS INTEGER) AS length_bin
+FROM documents CROSS JOIN b
+""",
+)
+
+REPEAT_FLAG = f"""
+rw AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '{WORD_RUN}') AS words FROM documents
+), rwc AS (
+  SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(words) AS x FROM rw) GROUP BY doc_id, x
+), rwm AS (
+  SELECT doc_id, max(c) AS mx FROM rwc GROUP BY doc_id
+), rflag AS (
+  SELECT rw.doc_id,
+         CASE WHEN len(rw.words) = 0 THEN false
+              WHEN len(rw.words) = 2 THEN rw.words[1] = rw.words[2]
+              ELSE (coalesce(rwm.mx, 0) / len(rw.words))
+                   > least(greatest(0.8 * exp(-0.05 * len(rw.words)) + 0.3, 0.3), 0.8)
+         END AS flagged
+  FROM rw LEFT JOIN rwm ON rw.doc_id = rwm.doc_id
+)"""
+
+
+def sample_sql(n_samples: int, n_bins: int) -> str:
+    probs = ", ".join(repr(i / n_bins) for i in range(n_bins + 1))
+
+    def lab(col: str, edges: str) -> str:
+        return f"len(list_filter({edges}[2:len({edges}) - 1], lambda x: x < round(CAST({col} AS DOUBLE), 9)))"
+
+    return f"""
+WITH {readability_cte('documents', 'doc_id', 'text')}, {COMPLEXITY}, {REPEAT_FLAG},
+kept AS (SELECT cy.* FROM cy JOIN rflag ON cy.k = rflag.doc_id WHERE NOT rflag.flagged),
+ed AS (
+  SELECT list_sort(list_distinct(list_transform(quantile_cont(complexity, [{probs}]), lambda x: round(x, 9)))) AS ce,
+         list_sort(list_distinct(list_transform(quantile_cont(CAST(length AS DOUBLE), [{probs}]), lambda x: round(x, 9)))) AS le
+  FROM kept
+), binned AS (
+  SELECT kept.*, CAST({lab('complexity', 'ce')} AS VARCHAR) || '_' || CAST({lab('length', 'le')} AS VARCHAR) AS strata
+  FROM kept CROSS JOIN ed
+), sc AS (
+  SELECT strata, count(*) AS c FROM binned GROUP BY strata
+), tot AS (SELECT sum(c) AS total FROM sc),
+q0 AS (
+  SELECT strata, c, ({n_samples} * c) // total AS q, ({n_samples} * c) % total AS rem, total FROM sc CROSS JOIN tot
+), rk AS (
+  SELECT *, row_number() OVER (ORDER BY rem DESC, strata) AS r FROM q0
+), lft AS (SELECT {n_samples} - sum(q) AS l FROM q0),
+quota AS (
+  SELECT strata, CASE WHEN {n_samples} >= total THEN c ELSE least(c, q + CASE WHEN r <= l THEN 1 ELSE 0 END) END AS quota
+  FROM rk CROSS JOIN lft
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.strata ORDER BY md5('42|' || CAST(b.k AS VARCHAR)), b.k) AS rn
+  FROM binned b
+)
+SELECT r.k AS doc_id, round(r.complexity, 6) AS complexity, r.length, round(r.fk_grade, 6) AS fk_grade,
+       round(r.f_ease, 6) AS f_ease
+FROM ranked r JOIN quota q ON r.strata = q.strata
+WHERE r.rn <= q.quota
+"""
+
+
+sql("stratified_sample", sample_sql(30, 5))

@@ -278,3 +278,42 @@ def q_chrf_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         ME.chrf_flag("back_translate_chrf").alias("back_translate_chrf_int"),
         ME.chrf_flag("back_translate_chrf", 50.0).alias("chrf_below_50"),
     )
+
+
+# ---------------------------------------------------------------- sampling
+from babelframe.operators import sampling as SA  # noqa: E402
+
+
+@register("quantile_bins")
+def q_quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 equal-frequency bins of document length (exact quantiles)."""
+    docs = documents(spark, sf_dir).select("doc_id", "n_chars")
+    return SA.quantile_bins(docs, "n_chars", 5, "length_bin").select("doc_id", "length_bin")
+
+
+@register("width_bins")
+def q_width_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 equal-width bins of document length."""
+    docs = documents(spark, sf_dir).select("doc_id", "n_chars")
+    return SA.width_bins(docs, "n_chars", 5, "length_bin").select("doc_id", "length_bin")
+
+
+def curated_sample(spark: SparkSession, sf_dir: str, n_samples: int = 30, n_bins: int = 5) -> DataFrame:
+    """J-D: readability + complexity over all documents (A6 before F4),
+    degenerate texts dropped (F4), then the exact stratified sample."""
+    scored = ME.add_complexity(documents(spark, sf_dir), "text")
+    kept = degenerate.drop_repeated_words(scored, "text")
+    return SA.sample_texts(kept, "text", "doc_id", n_samples=n_samples, n_bins=n_bins)
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + A8 + L1 + L2: 30 documents over 5 x 5 strata."""
+    s = curated_sample(spark, sf_dir)
+    return s.select(
+        "doc_id",
+        _r6("complexity").alias("complexity"),
+        "length",
+        _r6("fk_grade").alias("fk_grade"),
+        _r6("f_ease").alias("f_ease"),
+    )
