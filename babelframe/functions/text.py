@@ -138,7 +138,7 @@ def json_escaped_length(col: Column | str) -> Column:
     return (
         F.length(c)
         + count_matches(c, r"[\"\\\x{08}\x{0c}\n\r\t]")
-        + 5 * count_matches(c, r"[\x{00}-\x{07}\x{0b}\x{0e}-\x{1f}]")
+        + 5 * count_matches(c, r"[\x{00}-\x{07}\x{0b}\x{0e}-\x{1f}\x{7f}]")
         + 5 * count_matches(c, r"[\x{80}-\x{ffff}]")
         + 11 * count_matches(c, r"[\x{10000}-\x{10ffff}]")
     )

@@ -305,13 +305,19 @@ WITH {PAIRS}, tk AS (
   FROM pairs
 )
 SELECT id, turn,
-       coalesce(len(list_filter(generate_series(1, len(t) - 1),
-                lambda i: t[i] = t[i + 1] AND NOT list_contains(r, t[i]))) > 0, false) AS repeated_tokens
+       coalesce(len(list_filter(
+                    list_transform(list_filter(generate_series(1, len(t) - 1), lambda i: t[i] = t[i + 1]), lambda i: t[i]),
+                    lambda x: NOT list_contains(r, x))) > 0, false) AS repeated_tokens
 FROM tk
 """,
 )
 
 
+def _lead_grams(val: str, n: int, sep: str) -> str:
+    parts = [val] + [f"lead({val}, {j}) OVER w" for j in range(1, n)]
+    return f" || {sep} || ".join(parts) if sep != "''" else " || ".join(parts)
+
+
 def bleu_ctes(p: str) -> str:
     """From CTE ``p(k, v, hyp, ref)`` build ``bleu_out(k, v, bleu)``."""
     tok = f"regexp_extract_all(@X@, '{NOT_WS_RUN}')"
@@ -323,13 +329,21 @@ def bleu_ctes(p: str) -> str:
     logsum = "0.0"
     for t in terms:
         logsum = f"({logsum} + {t})"
+    bgrams = ", ".join(f"{_lead_grams('t', n, chr(39) + ' ' + chr(39))} AS g{n}" for n in range(1, 5))
+    bunion = "\n  UNION ALL ".join(
+        f"SELECT k, v, hs, rs, {n} AS n, g{n} AS g FROM bw WHERE g{n} IS NOT NULL" for n in range(1, 5)
+    )
     return f"""
 bt AS (
   SELECT k, v, 1 AS hs, 0 AS rs, {tok.replace('@X@', 'hyp')} AS toks FROM {p}
   UNION ALL SELECT k, v, 0 AS hs, 1 AS rs, {tok.replace('@X@', 'ref')} AS toks FROM {p}
+), bu AS (
+  SELECT k, v, hs, rs, unnest(toks) AS t, unnest(range(1, len(toks) + 1)) AS pos FROM bt
+), bw AS (
+  SELECT k, v, hs, rs, {bgrams}
+  FROM bu WINDOW w AS (PARTITION BY k, v, hs ORDER BY pos)
 ), bg AS (
-  SELECT k, v, hs, rs, n, array_to_string(toks[i:i + n - 1], ' ') AS g
-  FROM bt, range(1, 5) r(n), generate_series(1, len(toks) - n + 1) s(i)
+  {bunion}
 ), bc AS (
   SELECT k, v, n, g, sum(hs) AS hc, sum(rs) AS rc FROM bg GROUP BY k, v, n, g
 ), bm AS (
@@ -348,9 +362,11 @@ bt AS (
 )"""
 
 
-def chrf_ctes(p: str, lowercase: bool = False) -> str:
+def chrf_ctes(p: str, lowercase: bool = False, prefix: str = "") -> str:
     """From CTE ``p(k, v, hyp, ref)`` build ``chrf_st(k, v, n, h, r, m)`` and
-    ``chrf_out(k, v, chrf)``."""
+    ``chrf_out(k, v, chrf)`` (names prefixed by ``prefix``). Characters and
+    tokens are unnested once with their positions; n-grams come from
+    ``lead`` windows (NULL past the end)."""
     lo = (lambda x: f"lower({x})") if lowercase else (lambda x: x)
     split = (
         "flatten(list_transform(regexp_extract_all(s, '" + NOT_WS_RUN + "'), lambda w: "
@@ -359,18 +375,31 @@ def chrf_ctes(p: str, lowercase: bool = False) -> str:
         "WHEN regexp_matches(left(w, 1), '[[:punct:]]') THEN [left(w, 1), substr(w, 2)] "
         "ELSE [w] END))"
     )
-    return f"""
+    cgrams = ",\n         ".join(f"{_lead_grams('c', n, chr(39) * 2)} AS g{n}" for n in range(1, 7))
+    char_union = "\n  UNION ALL ".join(
+        f"SELECT k, v, hs, rs, {n} AS n, g{n} AS g FROM cw WHERE g{n} IS NOT NULL" for n in range(1, 7)
+    )
+    body = f"""
 cs AS (
   SELECT k, v, 1 AS hs, 0 AS rs, {lo('hyp')} AS s FROM {p}
   UNION ALL SELECT k, v, 0 AS hs, 1 AS rs, {lo('ref')} AS s FROM {p}
 ), cc AS (
-  SELECT k, v, hs, rs, regexp_replace(s, '{WS}', '', 'g') AS c, {split} AS toks FROM cs
+  SELECT k, v, hs, rs, regexp_extract_all(regexp_replace(s, '{WS}', '', 'g'), '(?s).') AS ch, {split} AS toks FROM cs
+), cu AS (
+  SELECT k, v, hs, rs, unnest(ch) AS c, unnest(range(1, len(ch) + 1)) AS pos FROM cc
+), cw AS (
+  SELECT k, v, hs, rs,
+         {cgrams}
+  FROM cu WINDOW w AS (PARTITION BY k, v, hs ORDER BY pos)
+), wu AS (
+  SELECT k, v, hs, rs, unnest(toks) AS t, unnest(range(1, len(toks) + 1)) AS pos FROM cc
+), ww AS (
+  SELECT k, v, hs, rs, t AS g1, t || ' ' || lead(t, 1) OVER w AS g2
+  FROM wu WINDOW w AS (PARTITION BY k, v, hs ORDER BY pos)
 ), cg AS (
-  SELECT k, v, hs, rs, n, substr(c, i, n) AS g
-  FROM cc, range(1, 7) r(n), generate_series(1, length(c) - n + 1) s(i)
-  UNION ALL
-  SELECT k, v, hs, rs, 6 + n AS n, array_to_string(toks[i:i + n - 1], ' ') AS g
-  FROM cc, range(1, 3) r(n), generate_series(1, len(toks) - n + 1) s(i)
+  {char_union}
+  UNION ALL SELECT k, v, hs, rs, 7 AS n, g1 AS g FROM ww
+  UNION ALL SELECT k, v, hs, rs, 8 AS n, g2 AS g FROM ww WHERE g2 IS NOT NULL
 ), ct AS (
   SELECT k, v, n, g, sum(hs) AS hc, sum(rs) AS rc FROM cg GROUP BY k, v, n, g
 ), chrf_st AS (
@@ -389,6 +418,12 @@ cs AS (
               ELSE 100.0 * ((5.0 * (ps / eff)) * (rs / eff) / ((4.0 * (ps / eff)) + (rs / eff))) END AS chrf
   FROM cf
 )"""
+    if not prefix:
+        return body
+    import re
+
+    names = ["chrf_st", "chrf_out", "cs", "cc", "cu", "cw", "wu", "ww", "cg", "ct", "cf"]
+    return re.sub(r"\b(" + "|".join(names) + r")\b(?= AS \(|\s|$|,)", lambda m: prefix + m.group(1), body)
 
 
 CHRF_CORPUS = """
@@ -424,7 +459,7 @@ sql(
     f"""
 WITH {BLEU_PAIRS}, {chrf_ctes('bp')},
 lp AS (SELECT k, 'lower' AS v, hyp, ref FROM bp WHERE v = 'rewrite'),
-{chrf_ctes('lp', lowercase=True).replace('cs AS', 'lcs AS').replace('FROM cs', 'FROM lcs').replace('cc AS', 'lcc AS').replace('FROM cc', 'FROM lcc').replace('cg AS', 'lcg AS').replace('FROM cg', 'FROM lcg').replace('ct AS', 'lct AS').replace('FROM ct', 'FROM lct').replace('chrf_st', 'lchrf_st').replace('cf AS', 'lcf AS').replace('FROM cf', 'FROM lcf').replace('chrf_out', 'lchrf_out')}
+{chrf_ctes('lp', lowercase=True, prefix='l')}
 SELECT p.id, p.turn,
        round(max(c.chrf) FILTER (WHERE c.v = 'plain'), 6) AS chrf,
        round(max(c.chrf) FILTER (WHERE c.v = 'rewrite'), 6) AS chrf_rewrite,
@@ -566,3 +601,219 @@ WHERE r.rn <= q.quota
 
 
 sql("stratified_sample", sample_sql(30, 5))
+
+
+# --------------------------------------------------------------- profiling
+sql(
+    "profile_conversations",
+    f"""
+WITH {TURNS},
+pc AS (SELECT id, count(*) AS n FROM turns GROUP BY id),
+meta AS (
+  SELECT id, replace(arg_max(value, turn) FILTER (WHERE "from" = 'gpt'), chr(10), ' ') AS blip_caption
+  FROM turns GROUP BY id
+)
+SELECT (SELECT count(*) FROM pc) AS n_conversations,
+       (SELECT CAST(sum(n) AS BIGINT) FROM pc) AS n_turns,
+       (SELECT count(*) FROM pc WHERE n > 2) AS n_multi_turn,
+       (SELECT count(DISTINCT value) FROM turns WHERE "from" = 'human') AS n_instructions_tagged,
+       (SELECT count(DISTINCT replace(replace(value, chr(10) || '<image>', ''), '<image>' || chr(10), ''))
+          FROM turns WHERE "from" = 'human') AS n_instructions_untagged,
+       (SELECT count(*) FROM turns t JOIN meta m ON t.id = m.id
+          WHERE t."from" = 'gpt' AND t.value <> m.blip_caption) AS n_caption_mismatch
+""",
+)
+
+sql(
+    "distinct_instructions",
+    f"""
+WITH {TURNS}
+SELECT DISTINCT replace(replace(value, chr(10) || '<image>', ''), '<image>' || chr(10), '') AS instruction
+FROM turns WHERE "from" = 'human'
+""",
+)
+
+
+def json_len(x: str) -> str:
+    def cnt(cls: str) -> str:
+        return f"(length({x}) - length(regexp_replace({x}, '{cls}', '', 'g')))"
+
+    return (
+        f"(length({x}) + {cnt(r'[\"\\\x{08}\x{0c}\n\r\t]')} + 5 * {cnt(r'[\x{00}-\x{07}\x{0b}\x{0e}-\x{1f}\x{7f}]')}"
+        f" + 5 * {cnt(r'[\x{80}-\x{ffff}]')} + 11 * {cnt(r'[\x{10000}-\x{10ffff}]')})"
+    )
+
+
+sql(
+    "length_ordered_batches",
+    f"""
+WITH {TURNS},
+lens AS (
+  SELECT id, CAST(2 + sum(25 + {json_len('"from"')} + {json_len('value')}) + 2 * (count(*) - 1) AS BIGINT) AS json_len
+  FROM turns GROUP BY id
+), b AS (
+  SELECT id, CAST(id AS BIGINT) AS row_idx, CAST(floor(CAST(id AS BIGINT) / 10) AS BIGINT) AS batch_id, json_len FROM lens
+)
+SELECT id, batch_id, json_len,
+       row_number() OVER (PARTITION BY batch_id ORDER BY json_len, row_idx) AS position_in_batch
+FROM b
+""",
+)
+
+RAW = r"""
+raw AS (
+  SELECT doc_id, n_chars,
+         ([chr(12288), ' ', chr(9), chr(160), chr(10)][n_chars % 5 + 1]) AS pad,
+         CASE WHEN n_chars % 7 = 0 THEN '' ELSE text END AS body
+  FROM documents
+), resp AS (
+  SELECT doc_id, n_chars, pad || body || pad || pad AS response FROM raw
+)"""
+
+sql(
+    "clean_response",
+    f"""
+WITH {RAW}
+SELECT doc_id, CAST(n_chars AS VARCHAR) AS message,
+       CASE WHEN {strip_ws('response')} <> '' THEN {strip_ws('response')} END AS translation,
+       CASE WHEN {strip_ws('response')} = '' THEN 'Failed to extract translation. Response: ' || response END AS error
+FROM resp
+""",
+)
+
+sql(
+    "failure_summary",
+    f"""
+WITH {RAW}
+SELECT CASE WHEN {strip_ws('response')} = '' THEN 'Failed to extract translation' END AS error_kind,
+       count(*) AS n
+FROM resp GROUP BY 1
+""",
+)
+
+
+# ------------------------------------------------------------------ prompts
+PAIRS_LONG = f"""{LAB},
+long AS (
+  SELECT e.id, e.text AS sentence, {lang_name('o.language')} AS lang, o.text AS translation
+  FROM lab e JOIN lab o ON e.id = o.id WHERE e.language = 'en' AND o.language <> 'en'
+), prompts AS (
+  SELECT * FROM (VALUES
+    (0, 'hindi', 'You translate English captions into Hindi. Answer with the translation only.', '{{message}}'),
+    (1, 'FRENCH', 'You translate English captions into French. Answer with the translation only.', 'Translate: {{message}}'),
+    (2, 'spanish', '', '{{message}}')
+  ) t(prompt_idx, translate_to, preamble, message)
+), pl AS (
+  SELECT CAST(prompt_idx AS BIGINT) AS prompt_idx, translate_to, preamble, message,
+         {capitalize('translate_to')} AS lang,
+         CASE WHEN trim(translate_to) = '' THEN '''translate_to'' should not be empty. Please provide valid content.'
+              WHEN trim(preamble) = '' OR trim(message) = ''
+                THEN 'Both ''preamble'' and ''message'' should not be empty. Please provide valid content.'
+         END AS validation_error
+  FROM prompts
+)"""
+
+sql(
+    "render_prompts",
+    f"""
+WITH {PAIRS_LONG}
+SELECT pl.prompt_idx, l.lang, l.id, 'Input: ' || l.sentence AS message,
+       replace(pl.message, '{{message}}', l.sentence) AS rendered, pl.validation_error
+FROM long l JOIN pl ON l.lang = pl.lang
+""",
+)
+
+sql(
+    "prompt_evaluation",
+    f"""
+WITH {PAIRS_LONG},
+ev AS (
+  SELECT pl.prompt_idx, l.lang, l.id, l.sentence AS English, l.translation AS Ground_truth,
+         {reverse_words("'Input: ' || l.sentence")} AS Aya_output
+  FROM long l JOIN pl ON l.lang = pl.lang
+), bp AS (
+  SELECT CAST(prompt_idx AS VARCHAR) || ':' || id AS k, 'plain' AS v, Aya_output AS hyp, Ground_truth AS ref FROM ev
+), {bleu_ctes('bp')}
+SELECT ev.prompt_idx, ev.lang, ev.English, ev.Ground_truth, ev.Aya_output, round(b.bleu, 6) AS Bleu_score
+FROM ev JOIN bleu_out b ON b.k = CAST(ev.prompt_idx AS VARCHAR) || ':' || ev.id
+""",
+)
+
+sql(
+    "translation_memory",
+    f"""
+WITH {LAB},
+mem AS (
+  SELECT e.text AS sentence, min(o.text) AS translation
+  FROM lab e JOIN lab o ON e.id = o.id WHERE e.language = 'en' AND o.language = 'hi' GROUP BY e.text
+), inp AS (
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '<image>' || chr(10) || text ELSE text || chr(10) || '<image>' END AS t
+  FROM lab WHERE language = 'en'
+)
+SELECT i.doc_id,
+       CASE WHEN starts_with(i.t, '<image>' || chr(10)) THEN '<image>' || chr(10) || m.translation
+            WHEN ends_with(i.t, chr(10) || '<image>') THEN m.translation || chr(10) || '<image>'
+            ELSE m.translation END AS translation
+FROM inp i LEFT JOIN mem m
+  ON replace(replace(i.t, chr(10) || '<image>', ''), '<image>' || chr(10), '') = m.sentence
+""",
+)
+
+# ------------------------------------------------------ resume / streaming
+AUDIT = f"""
+WITH {TURNS}, {CAPTION_TR}
+SELECT id AS "ID", caption AS "GPT Value Original", translation AS "GPT Value Modified"
+FROM tr WHERE translation <> ''
+"""
+sql("translate_pipeline", AUDIT)
+sql("resume_translation", AUDIT)
+
+sql(
+    "stream_translate",
+    f"""
+SELECT lpad(CAST(conv_id AS VARCHAR), 9, '0') AS id, turn, text AS original,
+       CASE WHEN {strip_ws(reverse_words('text'))} <> '' THEN {strip_ws(reverse_words('text'))} END AS translation,
+       CASE WHEN {strip_ws(reverse_words('text'))} = ''
+            THEN 'Failed to extract translation. Response: ' || {reverse_words('text')} END AS error
+FROM conversations WHERE role = 'assistant'
+""",
+)
+
+# ---------------------------------------------------------------- pipelines
+sql(
+    "validation_pipeline",
+    f"""
+WITH {LAB},
+ref AS (
+  SELECT id, arg_max(conversations, row_idx) AS en_text FROM lab
+  WHERE language = 'en' AND conversations <> '' GROUP BY id
+), v AS (
+  SELECT l.doc_id, l.id, l.language, l.conversations,
+         {reverse_words('l.conversations')} AS back_translations,
+         coalesce(r.en_text, 'id_not_found') AS reference_text
+  FROM lab l LEFT JOIN ref r ON l.id = r.id
+  WHERE l.language <> 'en'
+), tk AS (
+  SELECT doc_id, regexp_extract_all(conversations, '{TOKEN_RE}') AS t, regexp_extract_all(reference_text, '{TOKEN_RE}') AS r
+  FROM v
+), rt AS (
+  SELECT doc_id,
+         coalesce(len(list_filter(
+                    list_transform(list_filter(generate_series(1, len(t) - 1), lambda i: t[i] = t[i + 1]), lambda i: t[i]),
+                    lambda x: NOT list_contains(r, x))) > 0, false) AS repeated_tokens
+  FROM tk
+), vp AS (
+  SELECT CAST(doc_id AS VARCHAR) AS k, 'plain' AS v, back_translations AS hyp, reference_text AS ref FROM v
+), {chrf_ctes('vp')}
+SELECT v.doc_id, v.id, v.language, rt.repeated_tokens, round(c.chrf, 6) AS back_translate_chrf,
+       CASE WHEN c.chrf >= 0.5 THEN 0 ELSE 1 END AS back_translate_chrf_int
+FROM v JOIN rt ON v.doc_id = rt.doc_id JOIN chrf_out c ON c.k = CAST(v.doc_id AS VARCHAR)
+""",
+)
+
+_sample_text = sample_sql(30, 5).replace(
+    """SELECT r.k AS doc_id, round(r.complexity, 6) AS complexity, r.length, round(r.fk_grade, 6) AS fk_grade,
+       round(r.f_ease, 6) AS f_ease""",
+    "SELECT d.text",
+).replace("FROM ranked r JOIN quota q ON r.strata = q.strata", "FROM ranked r JOIN quota q ON r.strata = q.strata JOIN documents d ON d.doc_id = r.k")
+sql("curation_pipeline", _sample_text)

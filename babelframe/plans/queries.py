@@ -317,3 +317,185 @@ def q_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
         _r6("fk_grade").alias("fk_grade"),
         _r6("f_ease").alias("f_ease"),
     )
+
+
+# --------------------------------------------------------------- profiling
+from babelframe.operators import profile as PR  # noqa: E402
+
+
+@register("profile_conversations")
+def q_profile_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + A3 + F6 + J2/F7 (X5): one row of profiling counters."""
+    return PR.profile(conversation_turns(spark, sf_dir))
+
+
+@register("distinct_instructions")
+def q_distinct_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + O2: distinct human instructions with the image affix removed."""
+    return PR.distinct_instructions(conversation_turns(spark, sf_dir))
+
+
+@register("length_ordered_batches")
+def q_length_ordered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + W2 + W1: JSON length per conversation, batches of 10 by row
+    order, position inside the batch by (length, row order)."""
+    turns = conversation_turns(spark, sf_dir)
+    lens = TR.turns_json_length(turns.select("id", "conv_id", "turn", "from", "value"), "id")
+    rows = lens.withColumn("row_idx", F.col("id").cast("bigint")).withColumn("batch_id", TR.batch_ids("row_idx", C.TRANSLATE_BATCH_SIZE))
+    return TR.order_within_batches(rows, "batch_id", "json_len", "row_idx").select(
+        "id", "batch_id", "json_len", "position_in_batch"
+    )
+
+
+# ------------------------------------------------------- response cleaning
+# --- fixed values: padding characters used to build raw responses ---------
+PADS = ["\u3000", " ", "\t", "\u00a0", "\n"]
+
+
+def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model-style raw responses derived from documents: the text wrapped in
+    Unicode whitespace chosen by its length; every 7th length gives a
+    whitespace-only (failed) response."""
+    docs = documents(spark, sf_dir)
+    pads = F.array(*[F.lit(p) for p in PADS])
+    pad = F.element_at(pads, (F.col("n_chars") % len(PADS) + 1).cast("int"))
+    body = F.when(F.col("n_chars") % 7 == 0, F.lit("")).otherwise(F.col("text"))
+    return docs.select("doc_id", "n_chars", F.concat(pad, body, pad, pad).alias("response"))
+
+
+@register("clean_response")
+def q_clean_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 + P14 + F8: stripped translation or error per response."""
+    r = raw_responses(spark, sf_dir)
+    text, err = X.clean_response("response")
+    return r.select("doc_id", X.as_message("n_chars").alias("message"), F.when(err.isNull(), text).alias("translation"), err.alias("error"))
+
+
+@register("failure_summary")
+def q_failure_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: failures counted by kind (NULL kind = success)."""
+    r = raw_responses(spark, sf_dir)
+    _, err = X.clean_response("response")
+    kind = F.when(err.isNotNull(), F.regexp_extract(err, r"^[^.]*", 0))
+    return r.select(kind.alias("error_kind")).groupBy("error_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ prompts
+from babelframe.operators import prompts as PM  # noqa: E402
+from babelframe.plans import pipelines as PL  # noqa: E402
+from babelframe.session import work_path  # noqa: E402
+
+# --- fixed values: the prompt list used by the prompt queries (S5 rows) ---
+PROMPT_LIST = [
+    ["hindi", "You translate English captions into Hindi. Answer with the translation only.", "{message}"],
+    ["FRENCH", "You translate English captions into French. Answer with the translation only.", "Translate: {message}"],
+    ["spanish", "", "{message}"],
+]
+
+
+def parallel_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, sentence, lang, translation) from the 8-language blocks."""
+    wide = AS.parallel_wide(labelled_documents(spark, sf_dir), "id", "language", "text")
+    return AS.unpivot_parallel(wide, ids=["id"])
+
+
+@register("render_prompts")
+def q_render_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 + C2 + P10 + J4 + P13: every prompt with each pair of its
+    language; the evaluation message and the template rendering."""
+    prompts = PM.prompts_from_rows(spark, PROMPT_LIST)
+    j = PM.prompts_for_pairs(prompts, parallel_pairs(spark, sf_dir), "lang")
+    return j.select(
+        "prompt_idx",
+        "lang",
+        "id",
+        X.input_message("sentence").alias("message"),
+        X.render_template(F.col("message"), F.col("sentence")).alias("rendered"),
+        "validation_error",
+    )
+
+
+@register("prompt_evaluation")
+def q_prompt_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 + U3 + M6 + S10: reports written per (prompt, language), read back."""
+    prompts = PM.prompts_from_rows(spark, PROMPT_LIST)
+    rep = PL.prompt_eval_pipeline(prompts, parallel_pairs(spark, sf_dir), TR.ReverseWords(), work_path(spark, "reports"))
+    return rep.select("prompt_idx", "lang", "English", "Ground_truth", "Aya_output", _r6("Bleu_score").alias("Bleu_score"))
+
+
+@register("translation_memory")
+def q_translation_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English sentences carrying the image affix, translated to Hindi
+    by lookup in a memory built from the parallel pairs; the affix is taken
+    off for the lookup and put back on its side."""
+    pairs = parallel_pairs(spark, sf_dir)
+    memory = pairs.groupBy("sentence", "lang").agg(F.min("translation").alias("translation"))
+    en = labelled_documents(spark, sf_dir).filter(F.col("language") == "en")
+    tagged = en.select(
+        "doc_id",
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(C.IMAGE_TAG + "\n"), F.col("text")))
+        .otherwise(F.concat(F.col("text"), F.lit("\n" + C.IMAGE_TAG)))
+        .alias("text"),
+    )
+    return TR.memory_translate(tagged, memory, "text", "Hindi").select("doc_id", "translation")
+
+
+# ------------------------------------------------------ resume / streaming
+def _flat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_turns(spark, sf_dir).select("id", "turn", "from", "value")
+
+
+@register("translate_pipeline")
+def q_translate_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 on flat turns: S6 + S7 + F8; returns the audit log read back."""
+    res = PL.translate_pipeline(spark, _flat_turns(spark, sf_dir), TR.ReverseWords(), work_path(spark, "x1"), nested=False)
+    return res.audit_log
+
+
+@register("resume_translation")
+def q_resume_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 (batch form): a first run covers the conversations whose caption
+    has even length; the second run over all conversations skips the ids
+    already logged. The log then holds every conversation exactly once."""
+    out = work_path(spark, "resume")
+    turns = _flat_turns(spark, sf_dir)
+    first = TU.first_role_value(turns, C.GPT).filter(F.length("caption") % 2 == 0).select("id")
+    PL.translate_pipeline(spark, turns.join(first, "id", "left_semi"), TR.ReverseWords(), out, nested=False)
+    res = PL.translate_pipeline(spark, turns, TR.ReverseWords(), out, nested=False)
+    return res.audit_log
+
+
+@register("stream_translate")
+def q_stream_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 streaming: caption turns of the conversations file translated by a
+    file-source stream with a checkpointed parquet sink (availableNow)."""
+    from babelframe.streaming.incremental import stream_translate
+
+    base = work_path(spark, "stream")
+    src = f"{sf_dir.rstrip('/')}/conversations*.parquet"
+    return stream_translate(spark, src, TR.ReverseWords(), f"{base}/sink", f"{base}/checkpoint")
+
+
+# ---------------------------------------------------------------- pipelines
+@register("validation_pipeline")
+def q_validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back-translation, English reference, repeated tokens, chrF + flag."""
+    out = PL.validation_pipeline(labelled_documents(spark, sf_dir), TR.ReverseWords(), keys=["doc_id", "id", "language"])
+    return out.select(
+        "doc_id",
+        "id",
+        "language",
+        "repeated_tokens",
+        _r6("back_translate_chrf").alias("back_translate_chrf"),
+        "back_translate_chrf_int",
+    )
+
+
+@register("curation_pipeline")
+def q_curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated sample's text written as one CSV file, read back."""
+    path = work_path(spark, "sample-csv")
+    PL.curation_pipeline(documents(spark, sf_dir), "text", "doc_id", path)
+    from babelframe.sources import io
+
+    return io.read_sample_csv(spark, "text", path)
