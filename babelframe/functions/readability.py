@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from babelframe import constants as C
-from babelframe.functions.text import ASCII_PUNCT_CLASS, NOT_WS_RUN, WS_CHARS
+from babelframe.functions.text import ASCII_PUNCT_CLASS, NOT_WS_RUN, spaces
 
 SENTENCE_PIECE = r"[^.!?]+[.!?]*"
 VOWEL_GROUP = "[aeiouy]+"
@@ -45,37 +45,38 @@ def word_syllables(w: Column) -> Column:
 # is the final silent e (g = s = 1). Summed over words:
 #   Y = #vowel groups - #silent-e words + #vowel-less words + #lone-e words
 # which four regex counts over the whole text give without a per-word loop.
-_END = f"(?![^{WS_CHARS}])"
-_START = f"(?<![^{WS_CHARS}])"
-_CONS = f"[^aeiouy{WS_CHARS}]"
-SILENT_E_WORD_END = f"{_CONS}e{_END}"
-NO_VOWEL_WORD = f"{_START}{_CONS}+{_END}"
-LONE_E_WORD = f"{_START}{_CONS}+e{_END}"
+# Whitespace is first mapped to plain spaces (a character map), so every
+# pattern below uses small classes; the text is padded with one space on
+# each side so word boundaries are literal spaces.
+WORD_START = " [^ ]"
+SILENT_E_WORD_END = "[^aeiouy ]e(?= )"
+NO_VOWEL_WORD = " [^aeiouy ]+(?= )"
+LONE_E_WORD = " [^aeiouy ]+e(?= )"
 
 
-def syllables(stripped_lower: Column) -> Column:
-    """Y for a punctuation-stripped, lower-cased text (see above)."""
+def syllables(padded_lower: Column) -> Column:
+    """Y for a punctuation-stripped, lower-cased, space-padded text."""
     def n(p: str) -> Column:
-        return F.regexp_count(stripped_lower, F.lit(p))
+        return F.regexp_count(padded_lower, F.lit(p))
 
     return n(VOWEL_GROUP) - n(SILENT_E_WORD_END) + n(NO_VOWEL_WORD) + n(LONE_E_WORD)
 
 
+def _strip_punct(c: Column) -> Column:
+    return F.regexp_replace(c, F.lit(ASCII_PUNCT_CLASS), "")
+
+
 def counts(col: Column | str) -> tuple[Column, Column, Column]:
     """(W words, S sentences, Y syllables) as bigint columns."""
-    stripped = F.regexp_replace(_c(col), F.lit(ASCII_PUNCT_CLASS), "")
-    n_words = F.regexp_count(stripped, F.lit(NOT_WS_RUN)).cast("bigint")
-    pieces = F.regexp_extract_all(_c(col), F.lit(SENTENCE_PIECE), 0)
+    sp = spaces(_c(col))
+    padded = F.concat(F.lit(" "), _strip_punct(sp), F.lit(" "))
+    n_words = F.regexp_count(padded, F.lit(WORD_START)).cast("bigint")
+    pieces = F.regexp_extract_all(sp, F.lit(SENTENCE_PIECE), 0)
     n_sent = F.greatest(
         F.lit(1),
-        F.size(
-            F.filter(
-                pieces,
-                lambda p: F.regexp_count(F.regexp_replace(p, F.lit(ASCII_PUNCT_CLASS), ""), F.lit(NOT_WS_RUN)) > 2,
-            )
-        ),
+        F.size(F.filter(pieces, lambda p: F.regexp_count(F.concat(F.lit(" "), _strip_punct(p)), F.lit(WORD_START)) > 2)),
     ).cast("bigint")
-    n_syll = syllables(F.lower(stripped)).cast("bigint")
+    n_syll = syllables(F.lower(padded)).cast("bigint")
     return n_words, n_sent, n_syll
 
 

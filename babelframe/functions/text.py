@@ -18,6 +18,12 @@ WS_CHARS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WS = f"[{WS_CHARS}]"
+# the same characters as a plain list, for ``translate`` (a character map)
+WS_LIST = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 NOT_WS_RUN = f"[^{WS_CHARS}]+"
 # word characters as Python's re \w sees them in our data: letters, digits, _
 WORD_RUN = r"[\p{L}\p{N}_]+"
@@ -31,6 +37,11 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def spaces(col: Column | str) -> Column:
+    """Every whitespace character mapped to a plain space (no regex)."""
+    return F.translate(_c(col), WS_LIST, " " * len(WS_LIST))
+
+
 def split_ws(col: Column | str) -> Column:
     """Whitespace tokens, as Python ``str.split()`` (M6 tokens)."""
     return F.regexp_extract_all(_c(col), F.lit(NOT_WS_RUN), 0)

@@ -12,6 +12,7 @@ from babelframe.functions import ngrams as NG
 from babelframe.functions.readability import counts as readability_counts
 from babelframe.functions.readability import formulas as readability_formulas
 from babelframe.functions.text import TOKEN, char_length
+from babelframe.session import stage
 
 
 def _c(col: Column | str) -> Column:
@@ -52,10 +53,23 @@ def min_max_scale(df: DataFrame, cols: list[str], suffix: str = "_norm") -> Data
     return out.drop(*[f"__{b}_{c}" for c in cols for b in ("min", "max")])
 
 
-def add_complexity(df: DataFrame, text_col: str) -> DataFrame:
-    """M3: readability, min-max normalised, ``complexity = (g + (1 - e)) / 2``."""
-    scored = min_max_scale(add_readability(df, text_col), ["fk_grade", "f_ease"])
-    return scored.withColumn("complexity", (F.col("fk_grade_norm") + (F.lit(1.0) - F.col("f_ease_norm"))) / 2)
+def add_complexity(
+    df: DataFrame, text_col: str | None = None, keep: list[str] | None = None, staged: bool = True
+) -> DataFrame:
+    """M3: readability (added when ``text_col`` is given), min-max
+    normalised over all rows (A6), ``complexity = (g + (1 - e)) / 2``.
+
+    The global min/max needs a pass of its own; ``staged`` writes the scored
+    rows once (only ``keep`` + the metrics when ``keep`` is given) so the
+    per-row readability is not computed twice.
+    """
+    scored = add_readability(df, text_col) if text_col else df
+    if keep is not None:
+        scored = scored.select(*keep, "fk_grade", "f_ease", "length")
+    if staged:
+        scored = stage(scored, "readability")
+    normed = min_max_scale(scored, ["fk_grade", "f_ease"])
+    return normed.withColumn("complexity", (F.col("fk_grade_norm") + (F.lit(1.0) - F.col("f_ease_norm"))) / 2)
 
 
 # ------------------------------------------------------------- M5 / W5

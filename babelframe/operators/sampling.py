@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from babelframe import constants as C
 from babelframe.operators.assemble import add_row_index
-from babelframe.session import work_path
+from babelframe.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -178,29 +178,28 @@ def pick_per_stratum(
     )
 
 
-def sample_texts(
+def sample_rows(
     df: DataFrame,
-    text_col: str,
     id_col: str,
     n_samples: int = 20,
     n_bins: int = 5,
     use_qcut: bool = True,
     seed: int = C.SAMPLE_SEED,
     keep: list[str] | None = None,
+    staged: bool = False,
 ) -> DataFrame:
-    """L2 + L1: exactly ``n_samples`` rows allocated to complexity x length
-    strata proportionally, sorted by complexity.
+    """L2: exactly ``n_samples`` rows allocated to complexity x length
+    strata proportionally (no text needed).
 
-    ``df`` must carry ``complexity``, ``length``, ``fk_grade``, ``f_ease``
-    (see ``metrics.add_complexity``). It is staged once as a table in the
-    shared work folder: the bins, counts and pick all read it.
+    ``df`` carries ``id_col``, ``complexity``, ``length``, ``fk_grade`` and
+    ``f_ease`` (see ``metrics.add_complexity``). The bins, the strata counts
+    and the pick all read one staged copy of these narrow columns.
     """
-    spark = df.sparkSession
-    path = work_path(spark, "sample-input")
-    cols = list(dict.fromkeys([id_col, text_col, *C.SAMPLE_COLUMNS, *(keep or [])]))
-    df.select(*cols).write.mode("overwrite").parquet(path)
-    staged = spark.read.parquet(path)
-    binned = create_bins(staged, "complexity", n_bins, "complexity_bin", use_qcut)
+    cols = list(dict.fromkeys([id_col, *C.SAMPLE_COLUMNS, *(keep or [])]))
+    base = df.select(*cols)
+    if not staged:
+        base = stage(base, "sample-input")
+    binned = create_bins(base, "complexity", n_bins, "complexity_bin", use_qcut)
     binned = create_bins(binned, "length", n_bins, "length_bin", use_qcut)
     # the separator always stays (trap D11)
     binned = binned.withColumn(
@@ -210,5 +209,26 @@ def sample_texts(
     for msg in strata_warnings(counts, n_samples, n_bins):
         log.warning(msg)
     quotas = allocate(counts, n_samples)
-    picked = pick_per_stratum(binned, quotas, counts, id_col, "strata", seed)
-    return picked.orderBy("complexity", id_col)
+    return pick_per_stratum(binned, quotas, counts, id_col, "strata", seed)
+
+
+def attach_text(sample: DataFrame, source: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The sampled rows' text: the sample has at most ``n_samples`` rows (a
+    proven bound), so it is broadcast and the source is only scanned."""
+    return source.select(id_col, text_col).join(F.broadcast(sample), id_col)
+
+
+def sample_texts(
+    df: DataFrame,
+    text_col: str,
+    id_col: str,
+    n_samples: int = 20,
+    n_bins: int = 5,
+    use_qcut: bool = True,
+    seed: int = C.SAMPLE_SEED,
+) -> DataFrame:
+    """L2 + L1 with the text: ``(text, complexity, length, fk_grade,
+    f_ease)`` plus the id, sorted by complexity."""
+    sample = sample_rows(df, id_col, n_samples, n_bins, use_qcut, seed)
+    out = attach_text(sample, df, id_col, text_col)
+    return out.select(id_col, text_col, *C.SAMPLE_COLUMNS).orderBy("complexity", id_col)

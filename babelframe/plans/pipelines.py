@@ -185,15 +185,23 @@ def prompt_eval_pipeline(
 def curation_pipeline(
     data: DataFrame, text_col: str, id_col: str, out_path: str | None = None, n_samples: int = 30, n_bins: int = 5
 ) -> DataFrame:
-    """X4 (J-D): readability and complexity (A6 over all rows), degenerate
-    texts dropped (F4), exact stratified sample sorted by complexity, text
-    column written as a one-file CSV (S11)."""
-    scored = ME.add_complexity(data, text_col)
-    kept = DG.drop_repeated_words(scored, text_col)
-    sample = SA.sample_texts(kept, text_col, id_col, n_samples=n_samples, n_bins=n_bins)
+    """X4 (J-D): readability, length and the degenerate flag are computed in
+    one pass into a narrow staged table; complexity is min-max normalised
+    over all rows (A6) before degenerate texts are dropped (F4); the exact
+    stratified sample is drawn from the narrow table, its text fetched by a
+    broadcast of the sampled ids, sorted by complexity (L1) and written as
+    a one-file CSV (S11)."""
+    _, _, degenerate = DG.repeat_stats(text_col)
+    scored = ME.add_readability(data.select(id_col, text_col), text_col).withColumn("__degenerate", degenerate)
+    cx = ME.add_complexity(scored.drop(text_col), keep=None, staged=True)
+    kept = cx.filter(~F.col("__degenerate"))
+    sample = SA.sample_rows(kept, id_col, n_samples=n_samples, n_bins=n_bins)
+    out = SA.attach_text(sample, data, id_col, text_col).select(id_col, text_col, *C.SAMPLE_COLUMNS).orderBy(
+        "complexity", id_col
+    )
     if out_path:
-        io.write_sample_csv(sample, text_col, out_path)
-    return sample
+        io.write_sample_csv(out, text_col, out_path)
+    return out
 
 
 # ---------------------------------------------------------------------- X5

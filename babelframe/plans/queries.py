@@ -198,7 +198,7 @@ def q_readability(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("complexity_score")
 def q_complexity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + A6: min-max normalised readability, complexity."""
-    docs = ME.add_complexity(documents(spark, sf_dir), "text")
+    docs = ME.add_complexity(documents(spark, sf_dir), "text", keep=["doc_id"])
     return docs.select(
         "doc_id",
         _r6("fk_grade_norm").alias("fk_grade_norm"),
@@ -299,11 +299,15 @@ def q_width_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_sample(spark: SparkSession, sf_dir: str, n_samples: int = 30, n_bins: int = 5) -> DataFrame:
-    """J-D: readability + complexity over all documents (A6 before F4),
-    degenerate texts dropped (F4), then the exact stratified sample."""
-    scored = ME.add_complexity(documents(spark, sf_dir), "text")
-    kept = degenerate.drop_repeated_words(scored, "text")
-    return SA.sample_texts(kept, "text", "doc_id", n_samples=n_samples, n_bins=n_bins)
+    """J-D without the text: readability + degenerate flag in one pass over
+    the documents into a narrow staged table, complexity over all documents
+    (A6 before F4), degenerate texts dropped (F4), exact stratified sample."""
+    _, _, flag = degenerate.repeat_stats("text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = ME.add_readability(docs, "text").withColumn("__degenerate", flag).drop("text")
+    cx = ME.add_complexity(scored, keep=None, staged=True)
+    kept = cx.filter(~F.col("__degenerate"))
+    return SA.sample_rows(kept, "doc_id", n_samples=n_samples, n_bins=n_bins)
 
 
 @register("stratified_sample")

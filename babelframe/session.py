@@ -57,3 +57,13 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared work folder."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` once as parquet under the shared work folder and read it
+    back: cuts the lineage (a lost executor never recomputes the upstream
+    work) and lets several downstream passes share one computation."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
