@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +51,46 @@ def _match_stats(h: Counter, r: Counter) -> list[int]:
     return [sum(h.values()) if r else 0, sum(r.values()), match]
 
 
+# Long texts count character n-grams with numpy: characters are re-coded
+# to dense ids over the pair's alphabet and each n-gram packed into one
+# uint64 (n fixed-width fields), so sorting integers replaces hashing
+# strings. Exact while n * bits <= 63; otherwise (huge alphabets) and for
+# short texts, Counter is used. Both give equal counts.
+NUMPY_MIN_CHARS = 64
+
+
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _packed_char_stats(hc: str, rc: str, char_order: int) -> list[int] | None:
+    h, r = _codes(hc), _codes(rc)
+    _, inv = np.unique(np.concatenate([h, r]), return_inverse=True)
+    ids = inv.astype(np.uint64) + np.uint64(1)
+    bits = int(ids.max()).bit_length() if len(ids) else 1
+    if bits * char_order > 63:
+        return None
+    shift = np.uint64(bits)
+    hk, rk = ids[: len(h)], ids[len(h) :]
+    out: list[int] = []
+    for n in range(1, char_order + 1):
+        if n > 1:
+            hk = (hk[:-1] << shift) | ids[n - 1 : len(h)] if len(hk) > 1 else hk[:0]
+            rk = (rk[:-1] << shift) | ids[len(h) + n - 1 :] if len(rk) > 1 else rk[:0]
+        nh, nr = len(hk), len(rk)
+        if nr == 0:
+            out += [0, 0, 0]
+            continue
+        if nh == 0:
+            out += [0, nr, 0]
+            continue
+        hu, hcnt = np.unique(hk, return_counts=True)
+        ru, rcnt = np.unique(rk, return_counts=True)
+        _, hi, ri = np.intersect1d(hu, ru, assume_unique=True, return_indices=True)
+        out += [nh, nr, int(np.minimum(hcnt[hi], rcnt[ri]).sum())]
+    return out
+
+
 def chrf_stats(
     hyp: str | None,
     ref: str | None,
@@ -64,10 +105,14 @@ def chrf_stats(
         hyp, ref = hyp.lower(), ref.lower()
     out: list[int] = []
     hc, rc = "".join(hyp.split()), "".join(ref.split())
-    for n in range(1, char_order + 1):
-        h = Counter(hc[i : i + n] for i in range(len(hc) - n + 1))
-        r = Counter(rc[i : i + n] for i in range(len(rc) - n + 1))
-        out += _match_stats(h, r)
+    packed = _packed_char_stats(hc, rc, char_order) if max(len(hc), len(rc)) >= NUMPY_MIN_CHARS else None
+    if packed is not None:
+        out += packed
+    else:
+        for n in range(1, char_order + 1):
+            h = Counter(hc[i : i + n] for i in range(len(hc) - n + 1))
+            r = Counter(rc[i : i + n] for i in range(len(rc) - n + 1))
+            out += _match_stats(h, r)
     hw, rw = split_punctuation(hyp.split()), split_punctuation(ref.split())
     for n in range(1, word_order + 1):
         h = Counter(" ".join(hw[i : i + n]) for i in range(len(hw) - n + 1))
