@@ -144,9 +144,10 @@ def translate_column(
     """
     keep = list(keep or [])
     cols = list(dict.fromkeys(keep + [text_col] + [c for c in (preamble_col, target_col, order_col) if c]))
-    src = df.select(*cols).withColumn(text_col, as_message(text_col))
     if only_when is not None:
-        src = src.withColumn("__call", F.coalesce(only_when, F.lit(False)))
+        df = df.withColumn("__call", F.coalesce(only_when, F.lit(False)))
+        cols.append("__call")
+    src = df.select(*cols).withColumn(text_col, as_message(text_col))
     if num_partitions:
         src = src.repartition(num_partitions, partition_key) if partition_key else src.repartition(num_partitions)
     if order_col:
