@@ -174,8 +174,10 @@ def translate_column(
 
 def persist_translations(df: DataFrame, path: str) -> DataFrame:
     """Write the paid-for result once and read it back (S8 checkpoint)."""
+    from babelframe.sources.tables import spread_rows
+
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spread_rows(df.sparkSession.read.parquet(path))
 
 
 def failures(translated: DataFrame, key: str = "id", error_col: str = "error") -> DataFrame:

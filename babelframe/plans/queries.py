@@ -29,7 +29,7 @@ def register(name: str):
 @register("repeated_words")
 def q_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9 -> A5 -> M4 per document (map-only: no shuffle)."""
-    docs = documents(spark, sf_dir)
+    docs = documents(spark, sf_dir, spread=True)
     n, max_count, flag = degenerate.repeat_stats("text")
     return docs.select(
         "doc_id",
@@ -100,11 +100,11 @@ from babelframe.operators import assemble as AS  # noqa: E402
 from babelframe.sources.tables import load_table  # noqa: E402
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """documents as a stacked 8-language set: row_idx = doc_id (the natural
     key, 0..n-1), ``id`` links the parallel rows, ``conversations`` is the
     flattened text (P3 output layout)."""
-    docs = documents(spark, sf_dir).withColumn("row_idx", F.col("doc_id"))
+    docs = documents(spark, sf_dir, spread=spread).withColumn("row_idx", F.col("doc_id"))
     return AS.label_language_blocks(docs, "row_idx").withColumn("conversations", F.col("text"))
 
 
@@ -147,7 +147,7 @@ def q_attach_reference_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("attach_back_translations")
 def q_attach_back_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U2 + J5 + J3 + F1: all seven languages back-translated in one job."""
-    lab = labelled_documents(spark, sf_dir)
+    lab = labelled_documents(spark, sf_dir, spread=True)
     bt = TR.back_translate(lab, TR.ReverseWords(), keep=["doc_id", "id"], text_col="conversations")
     return bt.select("doc_id", "id", "language", "back_translations")
 
@@ -191,14 +191,14 @@ def _r6(c) -> F.Column:
 @register("readability")
 def q_readability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M2 per document."""
-    docs = ME.add_readability(documents(spark, sf_dir), "text")
+    docs = ME.add_readability(documents(spark, sf_dir, spread=True), "text")
     return docs.select("doc_id", _r6("fk_grade").alias("fk_grade"), _r6("f_ease").alias("f_ease"), "length")
 
 
 @register("complexity_score")
 def q_complexity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + A6: min-max normalised readability, complexity."""
-    docs = ME.add_complexity(documents(spark, sf_dir), "text", keep=["doc_id"])
+    docs = ME.add_complexity(documents(spark, sf_dir, spread=True), "text", keep=["doc_id"])
     return docs.select(
         "doc_id",
         _r6("fk_grade_norm").alias("fk_grade_norm"),
@@ -212,7 +212,7 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     same conversation. A join on the unique (conv_id, turn) key - a long
     conversation spreads over many hash partitions, unlike a window per
     conversation."""
-    t = conversation_turns(spark, sf_dir, with_image_tag=False).select("id", "conv_id", "turn", "value")
+    t = conversation_turns(spark, sf_dir, with_image_tag=False, spread=True).select("id", "conv_id", "turn", "value")
     prev = t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("value").alias("reference"))
     return t.join(prev, ["conv_id", "turn"]).select("id", "turn", F.col("value").alias("hypothesis"), "reference")
 
@@ -303,7 +303,7 @@ def curated_sample(spark: SparkSession, sf_dir: str, n_samples: int = 30, n_bins
     the documents into a narrow staged table, complexity over all documents
     (A6 before F4), degenerate texts dropped (F4), exact stratified sample."""
     _, _, flag = degenerate.repeat_stats("text")
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = documents(spark, sf_dir, spread=True).select("doc_id", "text")
     scored = ME.add_readability(docs, "text").withColumn("__degenerate", flag).drop("text")
     cx = ME.add_complexity(scored, keep=None, staged=True)
     kept = cx.filter(~F.col("__degenerate"))
@@ -360,7 +360,7 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model-style raw responses derived from documents: the text wrapped in
     Unicode whitespace chosen by its length; every 7th length gives a
     whitespace-only (failed) response."""
-    docs = documents(spark, sf_dir)
+    docs = documents(spark, sf_dir, spread=True)
     pads = F.array(*[F.lit(p) for p in PADS])
     pad = F.element_at(pads, (F.col("n_chars") % len(PADS) + 1).cast("int"))
     body = F.when(F.col("n_chars") % 7 == 0, F.lit("")).otherwise(F.col("text"))
@@ -484,7 +484,7 @@ def q_stream_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("validation_pipeline")
 def q_validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back-translation, English reference, repeated tokens, chrF + flag."""
-    out = PL.validation_pipeline(labelled_documents(spark, sf_dir), TR.ReverseWords(), keys=["doc_id", "id", "language"])
+    out = PL.validation_pipeline(labelled_documents(spark, sf_dir, spread=True), TR.ReverseWords(), keys=["doc_id", "id", "language"])
     return out.select(
         "doc_id",
         "id",
@@ -499,7 +499,7 @@ def q_validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated sample's text written as one CSV file, read back."""
     path = work_path(spark, "sample-csv")
-    PL.curation_pipeline(documents(spark, sf_dir), "text", "doc_id", path)
+    PL.curation_pipeline(documents(spark, sf_dir, spread=True), "text", "doc_id", path)
     from babelframe.sources import io
 
     return io.read_sample_csv(spark, "text", path)

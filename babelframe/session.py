@@ -63,7 +63,9 @@ def stage(df, name: str):
     """Write ``df`` once as parquet under the shared work folder and read it
     back: cuts the lineage (a lost executor never recomputes the upstream
     work) and lets several downstream passes share one computation."""
+    from babelframe.sources.tables import spread_rows
+
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spread_rows(spark.read.parquet(path))

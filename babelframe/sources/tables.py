@@ -46,14 +46,16 @@ def role_to_from(role) -> F.Column:
     return F.when(role == "user", F.lit(C.HUMAN)).when(role == "assistant", F.lit(C.GPT)).otherwise(role)
 
 
-def conversation_turns(spark: SparkSession, sf_dir: str, with_image_tag: bool = True) -> DataFrame:
+def conversation_turns(
+    spark: SparkSession, sf_dir: str, with_image_tag: bool = True, spread: bool = False
+) -> DataFrame:
     """Flat turns ``(id, image, turn, from, value)`` from ``conversations``.
 
     Human turns carry the ``<image>`` tag as the reference data does: as a
     ``<image>\\n`` prefix when ``conv_id + turn`` is even, else as a
     ``\\n<image>`` suffix.
     """
-    conv = load_table(spark, sf_dir, "conversations", spread=True)
+    conv = load_table(spark, sf_dir, "conversations", spread=spread)
     cid = padded_id(F.col("conv_id"))
     frm = role_to_from(F.col("role"))
     value = F.col("text")
@@ -77,5 +79,7 @@ def conversation_turns(spark: SparkSession, sf_dir: str, with_image_tag: bool =
     )
 
 
-def documents(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread=True`` for queries doing heavy per-row work right after the
+    scan (see ``spread_rows``)."""
     return load_table(spark, sf_dir, "documents", spread=spread)
