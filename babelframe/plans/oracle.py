@@ -729,12 +729,12 @@ sql(
 WITH {PAIRS_LONG},
 ev AS (
   SELECT pl.prompt_idx, l.lang, l.id, l.sentence AS English, l.translation AS Ground_truth,
-         {reverse_words("'Input: ' || l.sentence")} AS Aya_output
+         {reverse_words("'Input: ' || l.sentence")} AS Model_output
   FROM long l JOIN pl ON l.lang = pl.lang
 ), bp AS (
-  SELECT CAST(prompt_idx AS VARCHAR) || ':' || id AS k, 'plain' AS v, Aya_output AS hyp, Ground_truth AS ref FROM ev
+  SELECT CAST(prompt_idx AS VARCHAR) || ':' || id AS k, 'plain' AS v, Model_output AS hyp, Ground_truth AS ref FROM ev
 ), {bleu_ctes('bp')}
-SELECT ev.prompt_idx, ev.lang, ev.English, ev.Ground_truth, ev.Aya_output, round(b.bleu, 6) AS Bleu_score
+SELECT ev.prompt_idx, ev.lang, ev.English, ev.Ground_truth, ev.Model_output, round(b.bleu, 6) AS Bleu_score
 FROM ev JOIN bleu_out b ON b.k = CAST(ev.prompt_idx AS VARCHAR) || ':' || ev.id
 """,
 )

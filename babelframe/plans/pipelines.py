@@ -166,7 +166,7 @@ def prompt_eval_pipeline(
         keep=["prompt_idx", "lang", "sentence", "translation"],
         preamble_col="preamble",
         clean=False,
-        out_col="Aya_output",
+        out_col="Model_output",
         error_col="__err",
     )
     report = called.select(
@@ -174,9 +174,9 @@ def prompt_eval_pipeline(
         "lang",
         F.col("sentence").alias("English"),
         F.col("translation").alias("Ground_truth"),
-        F.coalesce(F.col("Aya_output"), F.lit("")).alias("Aya_output"),
+        F.coalesce(F.col("Model_output"), F.lit("")).alias("Model_output"),
     )
-    report = ME.sentence_bleu(report, "Aya_output", "Ground_truth", "Bleu_score")
+    report = ME.sentence_bleu(report, "Model_output", "Ground_truth", "Bleu_score")
     io.write_reports(report, out_path)
     return io.read_reports(spark, out_path)
 

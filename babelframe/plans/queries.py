@@ -424,7 +424,7 @@ def q_prompt_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3 + U3 + M6 + S10: reports written per (prompt, language), read back."""
     prompts = PM.prompts_from_rows(spark, PROMPT_LIST)
     rep = PL.prompt_eval_pipeline(prompts, parallel_pairs(spark, sf_dir), TR.ReverseWords(), work_path(spark, "reports"))
-    return rep.select("prompt_idx", "lang", "English", "Ground_truth", "Aya_output", _r6("Bleu_score").alias("Bleu_score"))
+    return rep.select("prompt_idx", "lang", "English", "Ground_truth", "Model_output", _r6("Bleu_score").alias("Bleu_score"))
 
 
 @register("translation_memory")

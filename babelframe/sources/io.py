@@ -26,7 +26,7 @@ REPORT_SCHEMA = T.StructType(
     [
         T.StructField("English", T.StringType()),
         T.StructField("Ground_truth", T.StringType()),
-        T.StructField("Aya_output", T.StringType()),
+        T.StructField("Model_output", T.StringType()),
         T.StructField("Bleu_score", T.DoubleType()),
     ]
 )
@@ -101,7 +101,7 @@ def publish_dataset(df: DataFrame, root: str, owner: str, name: str, private: bo
 
 def write_reports(df: DataFrame, path: str) -> None:
     """One report per (prompt_idx, lang) - one partitioned write."""
-    df.select("prompt_idx", "lang", "English", "Ground_truth", "Aya_output", "Bleu_score").write.mode(
+    df.select("prompt_idx", "lang", "English", "Ground_truth", "Model_output", "Bleu_score").write.mode(
         "overwrite"
     ).partitionBy("prompt_idx", "lang").options(**CSV_OPTIONS).csv(path)
 

@@ -86,7 +86,7 @@ def test_prompt_eval_reports(spark, tmp_dir):
     prompts = PM.prompts_from_rows(spark, [["hindi", "pre", "{message}"]])
     rep = PL.prompt_eval_pipeline(prompts, pairs, TR.ReverseWords(), os.path.join(tmp_dir, "rep"))
     r = rep.collect()
-    assert len(r) == 1 and r[0]["Aya_output"] == "d c b a Input:" and r[0]["lang"] == "Hindi"
+    assert len(r) == 1 and r[0]["Model_output"] == "d c b a Input:" and r[0]["lang"] == "Hindi"
     assert os.path.isdir(os.path.join(tmp_dir, "rep", "prompt_idx=0", "lang=Hindi"))
 
 
