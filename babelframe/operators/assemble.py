@@ -23,11 +23,16 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _with_count(df: DataFrame, name: str = "__n") -> DataFrame:
+def _with_count(df: DataFrame, name: str = "__n", by: list[str] | None = None) -> DataFrame:
     """Attach the row count as a column: a 1-row aggregate joined by
-    broadcast (its size is one row by construction)."""
-    n = df.agg(F.count(F.lit(1)).alias(name))
-    return df.crossJoin(F.broadcast(n))
+    broadcast (its size is one row by construction). With ``by`` (e.g. the
+    split column) the count is per group: one row per group, a handful of
+    splits, joined by broadcast."""
+    if not by:
+        n = df.agg(F.count(F.lit(1)).alias(name))
+        return df.crossJoin(F.broadcast(n))
+    n = df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+    return df.join(F.broadcast(n), on=by, how="inner")
 
 
 # ------------------------------------------------------------- row index
@@ -71,14 +76,17 @@ def label_language_blocks(
     languages: list[str] | None = None,
     lang_col: str = "language",
     id_col: str | None = "id",
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Stacked language blocks. ``block = n // len(languages)``; row ``i``
     is in block ``i // block``; a remainder goes to the last language (D5);
     fewer rows than languages raises. ``id_col`` gets the position inside
-    the block as a 9-digit string, which links parallel rows."""
+    the block as a 9-digit string, which links parallel rows. With ``by``
+    (the split column) every split is sized by its own count and
+    ``row_idx`` counts within the split (D5, D13)."""
     langs = languages or C.BLOCK_LANGUAGES
     k = len(langs)
-    counted = _with_count(df)
+    counted = _with_count(df, by=by)
     block = F.floor(F.col("__n") / k).cast("bigint")
     checked_block = F.when(block > 0, block).otherwise(
         F.raise_error(F.lit(f"need at least {k} rows to label {k} language blocks"))
@@ -128,7 +136,7 @@ def unpivot_parallel(
     keep = list(ids or [])
     long = wide.unpivot([*keep, english_col], value_cols, "__col", "translation")
     return (
-        long.filter((F.col(english_col) != F.lit(english_col)) & (F.col("translation") != F.col("__col")))
+        long.filter(~F.col(english_col).eqNullSafe(F.lit(english_col)) & ~F.col("translation").eqNullSafe(F.col("__col")))
         .withColumn("lang", F.regexp_replace("__col", F.lit(C.PARALLEL_SUFFIX + "$"), ""))
         .select(*keep, F.col(english_col).alias("sentence"), "lang", "translation")
     )

@@ -28,6 +28,13 @@ def test_read_conversations_ids_stay_strings(spark, tmp_dir):
     assert dict(df.dtypes)["id"] == "string"
 
 
+def test_read_metadata(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "meta.json")
+    with open(path, "w") as f:
+        json.dump([{"id": "000000007", "blip_caption": "a kite", "extra": 1}], f)
+    assert [tuple(r) for r in io.read_metadata(spark, path).collect()] == [("000000007", "a kite")]
+
+
 def test_parallel_csv_doubled_quotes(spark, tmp_dir):
     path = os.path.join(tmp_dir, "p.csv")
     header = ",".join([C.PARALLEL_ENGLISH_COLUMN] + [n + C.PARALLEL_SUFFIX for n in C.PARALLEL_LANGUAGES])
