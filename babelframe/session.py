@@ -41,16 +41,19 @@ def work_root(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Sets a
     fresh local folder only when neither is configured (tests, bench).
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="babelframe-")
-        spark.conf.set("spark.checkpoint.dir", root)
     try:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
+        sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a connect session has no context
-        pass
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="babelframe-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - some deployments lock core confs
+            pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -29,11 +29,12 @@ def spread_rows(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     narrow, deterministic repartition). At scale the scan already has
     thousands of splits and this adds nothing.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a connect session)
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def padded_id(col) -> F.Column:
