@@ -160,17 +160,34 @@ def bleu_counts(hyp: Column | str, ref: Column | str) -> Column:
 def chrf_from_counts(stats: Column, n_orders: int = C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER, beta: float = C.CHRF_BETA) -> Column:
     """chrF (0-100) from the 3-per-order counts: precision and recall
     averaged over the orders where both hypothesis and reference have
-    n-grams, then the F-beta score."""
+    n-grams, then the F-beta score. The per-order sums are a left fold over
+    the orders (same summation order as a loop), which keeps the generated
+    code small when several scores share one projection."""
     factor = float(beta) ** 2
-    psum, rsum, eff = F.lit(0.0), F.lit(0.0), F.lit(0)
-    for i in range(n_orders):
-        h, r, m = stats[3 * i], stats[3 * i + 1], stats[3 * i + 2]
+
+    def term(i: Column, pick: int) -> Column:
+        h = F.element_at(stats, i * 3 + 1)
+        r = F.element_at(stats, i * 3 + 2)
+        m = F.element_at(stats, i * 3 + 3)
         ok = (h > 0) & (r > 0)
-        psum = psum + F.when(ok, m / h).otherwise(F.lit(0.0))
-        rsum = rsum + F.when(ok, m / r).otherwise(F.lit(0.0))
-        eff = eff + F.when(ok, F.lit(1)).otherwise(F.lit(0))
-    p = F.when(eff > 0, psum / eff).otherwise(F.lit(0.0))
-    r = F.when(eff > 0, rsum / eff).otherwise(F.lit(0.0))
+        if pick == 0:
+            return F.when(ok, m / h).otherwise(F.lit(0.0))
+        if pick == 1:
+            return F.when(ok, m / r).otherwise(F.lit(0.0))
+        return F.when(ok, F.lit(1)).otherwise(F.lit(0))
+
+    orders = F.sequence(F.lit(0), F.lit(n_orders - 1))
+    acc0 = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("r"), F.lit(0).alias("e"))
+    folded = F.aggregate(
+        orders,
+        acc0,
+        lambda acc, i: F.struct(
+            (acc["p"] + term(i, 0)).alias("p"), (acc["r"] + term(i, 1)).alias("r"), (acc["e"] + term(i, 2)).alias("e")
+        ),
+    )
+    eff = folded["e"]
+    p = F.when(eff > 0, folded["p"] / eff).otherwise(F.lit(0.0))
+    r = F.when(eff > 0, folded["r"] / eff).otherwise(F.lit(0.0))
     score = F.lit(1.0 + factor) * p * r / (F.lit(factor) * p + r)
     return F.when(p + r > 0, F.lit(100.0) * score).otherwise(F.lit(0.0))
 

@@ -95,23 +95,43 @@ def repeated_tokens(prediction: Column | str, reference: Column | str, pattern:
 # ------------------------------------------------------------- M6 / M7 / A1
 def sentence_bleu(df: DataFrame, hyp: str, ref: str, out_col: str = "bleu") -> DataFrame:
     """M6 per row."""
-    return df.withColumn(out_col, NG.bleu_from_counts(NG.bleu_counts(hyp, ref)))
+    return (
+        df.withColumn("__bleu_st", NG.bleu_counts(hyp, ref))
+        .withColumn(out_col, NG.bleu_from_counts(F.col("__bleu_st")))
+        .drop("__bleu_st")
+    )
 
 
 def sentence_chrf(df: DataFrame, hyp: str, ref: str, out_col: str = "chrf", lowercase: bool = False) -> DataFrame:
     """M7 per row (0-100)."""
-    return df.withColumn(out_col, NG.chrf_from_counts(NG.chrf_counts(hyp, ref, lowercase)))
+    # the counts are a column first: the score formula folds over them
+    return (
+        df.withColumn("__chrf_st", NG.chrf_counts(hyp, ref, lowercase))
+        .withColumn(out_col, NG.chrf_from_counts(F.col("__chrf_st")))
+        .drop("__chrf_st")
+    )
 
 
 def corpus_chrf(df: DataFrame, hyp: str, ref: str, lowercase: bool = False, out_col: str = "chrf") -> DataFrame:
     """A1: corpus chrF - the 24 sufficient statistics are summed over all
     rows (a partial aggregate per task, merged once) before the F-score."""
+    return corpus_chrf_many(df, [(hyp, ref, out_col, lowercase)])
+
+
+def corpus_chrf_many(df: DataFrame, specs: list[tuple[str, str, str, bool]]) -> DataFrame:
+    """A1 for several (hyp, ref, out_col, lowercase) pairs in one pass: one
+    aggregate sums every count array, then each score is a formula."""
     n = 3 * (C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER)
-    sums = df.select(NG.chrf_counts(hyp, ref, lowercase).alias("__st")).agg(
-        F.count(F.lit(1)).alias("n_rows"), *NG.sum_counts(F.col("__st"), n)
-    )
-    stats = F.array(*[F.col(f"__s{i}") for i in range(n)])
-    return sums.select("n_rows", NG.chrf_from_counts(stats).alias(out_col))
+    stats = df.select(*[NG.chrf_counts(h, r, lc).alias(f"__st{j}") for j, (h, r, _, lc) in enumerate(specs)])
+    sums = [F.count(F.lit(1)).alias("n_rows")]
+    for j in range(len(specs)):
+        sums += [F.sum(F.col(f"__st{j}")[i]).alias(f"__s{j}_{i}") for i in range(n)]
+    agg = stats.agg(*sums)
+    scores = [
+        NG.chrf_from_counts(F.array(*[F.col(f"__s{j}_{i}") for i in range(n)])).alias(out)
+        for j, (_, _, out, _) in enumerate(specs)
+    ]
+    return agg.select("n_rows", *scores)
 
 
 def chrf_flag(score: Column | str, threshold: float = C.CHRF_FLAG_THRESHOLD) -> Column:

@@ -259,9 +259,8 @@ def q_sentence_chrf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_corpus_chrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: corpus chrF over all pairs (statistics summed before the score)."""
     p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
-    a = ME.corpus_chrf(p, "hypothesis", "reference", out_col="chrf")
-    b = ME.corpus_chrf(p, "rewrite", "reference", out_col="chrf_rewrite").drop("n_rows")
-    return a.crossJoin(b).select(
+    a = ME.corpus_chrf_many(p, [("hypothesis", "reference", "chrf", False), ("rewrite", "reference", "chrf_rewrite", False)])
+    return a.select(
         F.col("n_rows").cast("bigint").alias("n_pairs"), _r6("chrf").alias("chrf"), _r6("chrf_rewrite").alias("chrf_rewrite")
     )
 
@@ -307,7 +306,7 @@ def curated_sample(spark: SparkSession, sf_dir: str, n_samples: int = 30, n_bins
     scored = ME.add_readability(docs, "text").withColumn("__degenerate", flag).drop("text")
     cx = ME.add_complexity(scored, keep=None, staged=True)
     kept = cx.filter(~F.col("__degenerate"))
-    return SA.sample_rows(kept, "doc_id", n_samples=n_samples, n_bins=n_bins)
+    return SA.sample_rows(kept, "doc_id", n_samples=n_samples, n_bins=n_bins, staged=True)
 
 
 @register("stratified_sample")
