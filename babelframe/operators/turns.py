@@ -94,20 +94,3 @@ def replace_role_turns(
 def turn_counts(turns: DataFrame, key: str = "id") -> DataFrame:
     """Turns per conversation and the multi-turn flag."""
     return turns.groupBy(key).agg(F.count(F.lit(1)).alias("n_turns")).withColumn("multi_turn", F.col("n_turns") > 2)
-
-
-def nest_turns(turns: DataFrame, key: str = "id", order: str = "turn", extra: tuple[str, ...] = ()) -> DataFrame:
-    """Flat turns -> nested rows, for writing the conversation JSON.
-
-    This groups a whole conversation into one array, which is the output
-    format itself; it is used only for writing, never inside a registered
-    query.
-    """
-    aggs = [F.first(c).alias(c) for c in extra]
-    return turns.groupBy(key).agg(
-        *aggs,
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("from"), F.col("value")))),
-            lambda s: F.struct(s["from"].alias("from"), s["value"].alias("value")),
-        ).alias("conversations"),
-    )

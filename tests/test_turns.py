@@ -91,15 +91,28 @@ def test_replace_role_turns_flat(spark):
     assert out[("d", 0)] == "g first"
 
 
-def test_nest_turns_round_trip(spark):
-    nested = conv_basic(spark)
-    back = TU.nest_turns(TU.explode_turns(nested))
-    assert rows(back, "id") == rows(nested, "id")
-    got = {r["id"]: [tuple(t) for t in r["conversations"]] for r in back.collect()}
-    assert got["000000001"] == [("human", "Say it.\n<image>"), ("gpt", "a red kite")]
-
-
 def test_turn_counts(spark):
     flat = TU.explode_turns(conv_odd(spark))
     got = {r["id"]: r["multi_turn"] for r in TU.turn_counts(flat).collect()}
     assert got == {"b": False, "c": True, "d": False, "e": True, "f": False}
+
+
+def test_hot_conversation(spark):
+    """One conversation holds most turns: aggregates and the pair join stay
+    exact (no operator gathers the conversation)."""
+    from babelframe.plans.queries import drop_every_fifth_word  # noqa: F401
+
+    n = 3000
+    rows = [("hot", i, "human" if i % 2 == 0 else "gpt", f"t{i}") for i in range(n)]
+    rows += [(f"c{j}", i, "human" if i % 2 == 0 else "gpt", f"c{j}-{i}") for j in range(20) for i in range(2)]
+    flat = spark.createDataFrame(rows, "id string, turn long, `from` string, value string").repartition(8)
+    vals = {r["id"]: (r["human_value"], r["gpt_value"]) for r in TU.role_values(flat).collect()}
+    assert vals["hot"] == (f"t{n - 2}", f"t{n - 1}")
+    first = {r["id"]: r["caption"] for r in TU.first_role_value(flat).collect()}
+    assert first["hot"] == "t1"
+    rep = TU.first_role_value(flat).select("id", F.upper("caption").alias("translation"))
+    out = TU.replace_role_turns(flat, rep)
+    assert out.filter((F.col("id") == "hot") & (F.col("value") == "T1")).count() == n // 2
+    prev = flat.select("id", (F.col("turn") + 1).alias("turn"), F.col("value").alias("reference"))
+    pairs = flat.join(prev, ["id", "turn"])
+    assert pairs.filter(F.col("id") == "hot").count() == n - 1
