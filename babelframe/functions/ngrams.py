@@ -144,6 +144,25 @@ def bleu_counts_udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
     return pd.Series([bleu_stats(h, r) for h, r in zip(hyp, ref)])
 
 
+def chrf_counts_many(specs: list[tuple[Column | str, Column | str, bool]]) -> Column:
+    """Counts for several (hyp, ref, lowercase) pairs of one row in a single
+    Arrow pass: ``array<array<bigint>>``, one count array per pair."""
+    flags = [bool(lc) for _, _, lc in specs]
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+    def counts(pairs: pd.DataFrame) -> pd.Series:
+        k = len(flags)
+        return pd.Series(
+            [[chrf_stats(row[2 * j], row[2 * j + 1], flags[j]) for j in range(k)] for row in pairs.itertuples(index=False)]
+        )
+
+    cols = []
+    for j, (h, r, _) in enumerate(specs):
+        cols.append((F.col(h) if isinstance(h, str) else h).alias(f"h{j}"))
+        cols.append((F.col(r) if isinstance(r, str) else r).alias(f"r{j}"))
+    return counts(F.struct(*cols))
+
+
 def chrf_counts(hyp: Column | str, ref: Column | str, lowercase: bool = False) -> Column:
     h = F.col(hyp) if isinstance(hyp, str) else hyp
     r = F.col(ref) if isinstance(ref, str) else ref

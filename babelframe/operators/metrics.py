@@ -112,6 +112,15 @@ def sentence_chrf(df: DataFrame, hyp: str, ref: str, out_col: str = "chrf", lowe
     )
 
 
+def sentence_chrf_many(df: DataFrame, specs: list[tuple[str, str, str, bool]]) -> DataFrame:
+    """M7 for several (hyp, ref, out_col, lowercase) pairs per row, counted in
+    one Arrow pass."""
+    out = df.withColumn("__chrf_many", NG.chrf_counts_many([(h, r, lc) for h, r, _, lc in specs]))
+    for j, (_, _, name, _) in enumerate(specs):
+        out = out.withColumn(name, NG.chrf_from_counts(F.col("__chrf_many")[j]))
+    return out.drop("__chrf_many")
+
+
 def corpus_chrf(df: DataFrame, hyp: str, ref: str, lowercase: bool = False, out_col: str = "chrf") -> DataFrame:
     """A1: corpus chrF - the 24 sufficient statistics are summed over all
     rows (a partial aggregate per task, merged once) before the F-score."""
@@ -122,7 +131,8 @@ def corpus_chrf_many(df: DataFrame, specs: list[tuple[str, str, str, bool]]) ->
     """A1 for several (hyp, ref, out_col, lowercase) pairs in one pass: one
     aggregate sums every count array, then each score is a formula."""
     n = 3 * (C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER)
-    stats = df.select(*[NG.chrf_counts(h, r, lc).alias(f"__st{j}") for j, (h, r, _, lc) in enumerate(specs)])
+    many = df.select(NG.chrf_counts_many([(h, r, lc) for h, r, _, lc in specs]).alias("__many"))
+    stats = many.select(*[F.col("__many")[j].alias(f"__st{j}") for j in range(len(specs))])
     sums = [F.count(F.lit(1)).alias("n_rows")]
     for j in range(len(specs)):
         sums += [F.sum(F.col(f"__st{j}")[i]).alias(f"__s{j}_{i}") for i in range(n)]

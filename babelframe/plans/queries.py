@@ -243,9 +243,14 @@ def q_sentence_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sentence_chrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 (chrF, word order 2) per pair; rewrite scored cased and lower-cased."""
     p = turn_pairs(spark, sf_dir).withColumn("rewrite", drop_every_fifth_word("reference"))
-    p = ME.sentence_chrf(p, "hypothesis", "reference", "chrf")
-    p = ME.sentence_chrf(p, "rewrite", "reference", "chrf_rewrite")
-    p = ME.sentence_chrf(p, "rewrite", "reference", "chrf_rewrite_lower", lowercase=True)
+    p = ME.sentence_chrf_many(
+        p,
+        [
+            ("hypothesis", "reference", "chrf", False),
+            ("rewrite", "reference", "chrf_rewrite", False),
+            ("rewrite", "reference", "chrf_rewrite_lower", True),
+        ],
+    )
     return p.select(
         "id",
         "turn",
