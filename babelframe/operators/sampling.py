@@ -4,9 +4,10 @@ Everything that is global - quantile edges, min/max, strata counts - is a
 small result (a few numbers, at most ``n_bins**2`` strata rows) computed by
 distributed jobs and brought to the driver; nothing per row is.
 
-* W3 exact quantiles: a global sort (range partitioned) gives every value a
-  dense rank (``add_row_index``, two passes, no global window); only the
-  ranks the interpolation needs are fetched.
+* W3 exact quantiles: a global sort (range partitioned) is staged once with
+  each row's position inside its partition; per-partition counts give the
+  offsets, so every value has a dense rank without a global window; only
+  the ranks the interpolation needs are fetched.
 * L2 exact sample: per stratum the ``quota`` rows with the smallest hash key
   are taken. A stratum can hold a third of the data, so the rows are never
   sorted per stratum: a hash-threshold filter keeps a small candidate set per
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from babelframe import constants as C
-from babelframe.operators.assemble import add_row_index
 from babelframe.session import stage
 
 log = logging.getLogger(__name__)
@@ -33,15 +33,40 @@ EDGE_DECIMALS = 9
 
 # --------------------------------------------------------------- quantiles
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    """Linear-interpolated quantiles (``quantile_cont``) computed exactly."""
+    """Linear-interpolated quantiles (``quantile_cont``) computed exactly.
+
+    The values are sorted once (range partitioned) and staged with their
+    position inside their partition; one small job counts rows per
+    partition (one number per partition to the driver), which gives each
+    partition's global offset; one more job fetches just the ranks the
+    interpolation needs. No global window, no per-row data on the driver.
+    """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    ranked = add_row_index(vals, ["v"], "r")
-    n = ranked.agg(F.count(F.lit(1))).first()[0]
+    staged = stage(vals.orderBy("v").withColumn("__mid", F.monotonically_increasing_id()), "quantile-sort", spread=False)
+    pid = F.shiftrightunsigned("__mid", 33)
+    counts = dict(staged.groupBy(pid.alias("p")).agg(F.count(F.lit(1))).collect())
+    n = sum(counts.values())
     if n == 0:
         return [None for _ in probs]
+    offsets, acc = {}, 0
+    for p_ in sorted(counts):
+        offsets[p_] = acc
+        acc += counts[p_]
     pos = [(n - 1) * p for p in probs]
     need = sorted({int(math.floor(x)) for x in pos} | {int(math.ceil(x)) for x in pos})
-    got = dict(ranked.filter(F.col("r").isin(need)).select("r", "v").collect())
+
+    def locate(rank: int) -> tuple[int, int]:
+        for p_ in sorted(counts, reverse=True):
+            if offsets[p_] <= rank:
+                return p_, rank - offsets[p_]
+        raise AssertionError(rank)
+
+    wanted = F.lit(False)
+    for r in need:
+        p_, local = locate(r)
+        wanted = wanted | (F.col("__mid") == F.lit((p_ << 33) + local))
+    got_mid = dict(staged.filter(wanted).select("__mid", "v").collect())
+    got = {r: got_mid[(locate(r)[0] << 33) + locate(r)[1]] for r in need}
     out = []
     for x in pos:
         lo, hi = got[int(math.floor(x))], got[int(math.ceil(x))]

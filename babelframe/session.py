@@ -62,7 +62,7 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df, name: str):
+def stage(df, name: str, spread: bool = True):
     """Write ``df`` once as parquet under the shared work folder and read it
     back: cuts the lineage (a lost executor never recomputes the upstream
     work) and lets several downstream passes share one computation."""
@@ -71,4 +71,5 @@ def stage(df, name: str):
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spread_rows(spark.read.parquet(path))
+    back = spark.read.parquet(path)
+    return spread_rows(back) if spread else back
