@@ -148,6 +148,9 @@ def translate_column(
         df = df.withColumn("__call", F.coalesce(only_when, F.lit(False)))
         cols.append("__call")
     src = df.select(*cols).withColumn(text_col, as_message(text_col))
+    if calls_per_minute and not num_partitions:
+        # a global budget needs a known number of calling tasks
+        num_partitions = df.sparkSession.sparkContext.defaultParallelism
     if num_partitions:
         src = src.repartition(num_partitions, partition_key) if partition_key else src.repartition(num_partitions)
     if order_col:

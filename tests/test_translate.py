@@ -70,6 +70,15 @@ def test_pacer_spacing():
     TR.Pacer(None).wait(5)
 
 
+def test_paced_translation_respects_global_budget(spark):
+    df = spark.createDataFrame([(str(i), f"w{i} x") for i in range(8)], "id string, t string")
+    t0 = time.monotonic()
+    out = TR.translate_column(df, "t", TR.ReverseWords(), keep=["id"], calls_per_minute=240, num_partitions=2, batch_size=1)
+    assert out.filter(F.col("error").isNull()).count() == 8
+    # 8 calls at 4 calls/s overall (2 tasks x 2/s): at least ~1.5 s
+    assert time.monotonic() - t0 >= 1.4
+
+
 def test_batch_ids_and_order(spark):
     df = spark.createDataFrame([(i, 100 - i) for i in range(25)], "row_idx long, len long")
     df = df.withColumn("b", TR.batch_ids("row_idx", 10))
