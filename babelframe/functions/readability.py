@@ -17,28 +17,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from babelframe import constants as C
-from babelframe.functions.text import ASCII_PUNCT_CLASS, NOT_WS_RUN, spaces
+from babelframe.functions.text import ASCII_PUNCT_CLASS, spaces
 
 SENTENCE_PIECE = r"[^.!?]+[.!?]*"
 VOWEL_GROUP = "[aeiouy]+"
-SILENT_E = "[^aeiouy]e$"
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def words(col: Column | str) -> Column:
-    return F.regexp_extract_all(F.regexp_replace(_c(col), F.lit(ASCII_PUNCT_CLASS), ""), F.lit(NOT_WS_RUN), 0)
-
-
-def word_syllables(w: Column) -> Column:
-    lw = F.lower(w)
-    groups = F.size(F.regexp_extract_all(lw, F.lit(VOWEL_GROUP), 0))
-    silent = F.when(lw.rlike(SILENT_E), F.lit(1)).otherwise(F.lit(0))
-    return F.greatest(F.lit(1), groups - silent)
-
-
 # Whole-text forms of the per-word syllable rule. For a word with g vowel
 # groups and s = 1 if it ends in consonant + e, max(1, g - s) equals
 # g - s, plus 1 when the word has no vowel (g = 0) or its only vowel group
