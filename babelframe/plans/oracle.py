@@ -817,3 +817,13 @@ _sample_text = sample_sql(30, 5).replace(
     "SELECT d.text",
 ).replace("FROM ranked r JOIN quota q ON r.strata = q.strata", "FROM ranked r JOIN quota q ON r.strata = q.strata JOIN documents d ON d.doc_id = r.k")
 sql("curation_pipeline", _sample_text)
+
+sql(
+    "parallel_csv_roundtrip",
+    f"""
+WITH {LAB}
+SELECT e.text AS sentence, {lang_name('o.language')} AS lang, o.text AS translation
+FROM lab e JOIN lab o ON e.id = o.id
+WHERE e.language = 'en' AND o.language <> 'en'
+""",
+)

@@ -507,3 +507,16 @@ def q_curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from babelframe.sources import io
 
     return io.read_sample_csv(spark, "text", path)
+
+
+@register("parallel_csv_roundtrip")
+def q_parallel_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 (+ D2): the wide parallel table built from the blocks is written as
+    RFC-4180 CSV (texts carry newlines, quotes and commas), read back with
+    the parallel-CSV reader, and unpivoted (P11, F3)."""
+    from babelframe.sources import io
+
+    wide = AS.parallel_wide(labelled_documents(spark, sf_dir), "id", "language", "text").drop("id")
+    path = work_path(spark, "parallel-csv")
+    wide.write.mode("overwrite").options(**io.CSV_OPTIONS).csv(path)
+    return AS.unpivot_parallel(io.read_parallel_csv(spark, path))
