@@ -105,3 +105,9 @@ def test_profile_pipeline_counts(spark):
     assert c["n_instructions_tagged"] >= c["n_instructions_untagged"]
     assert out["instructions"].count() == c["n_instructions_untagged"]
     assert rows(out["instructions"].filter(F.col("instruction").contains("<image>"))) == []
+
+
+def test_publish_private_dataset(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "train")], "x int, split string")
+    base = io.publish_dataset(df, tmp_dir, "owner", "name", private=True)
+    assert "/.private/owner/name" in base and io.read_dataset(spark, base).count() == 1
