@@ -32,56 +32,89 @@ EDGE_DECIMALS = 9
 
 
 # --------------------------------------------------------------- quantiles
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    """Linear-interpolated quantiles (``quantile_cont``) computed exactly.
-
-    The values are sorted once (range partitioned) and staged with their
-    position inside their partition; one small job counts rows per
-    partition (one number per partition to the driver), which gives each
-    partition's global offset; one more job fetches just the ranks the
-    interpolation needs. No global window, no per-row data on the driver.
+def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles (``quantile_cont``) of several columns,
+    computed exactly from one sort.
+
+    The values of all columns are tagged with their column number and sorted
+    once by (tag, value) (range partitioned), then staged with each row's
+    position inside its partition. One small job counts rows per
+    (partition, tag) - a handful of numbers to the driver - which gives every
+    value a dense rank within its column (inside a partition the tags come
+    in order). One more job fetches only the ranks the interpolation needs.
+    No global window, no per-row data on the driver.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    staged = stage(vals.orderBy("v").withColumn("__mid", F.monotonically_increasing_id()), "quantile-sort", spread=False)
+    parts = [
+        df.select(F.lit(j).alias("t"), F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+        for j, c in enumerate(cols)
+    ]
+    vals = parts[0]
+    for p_ in parts[1:]:
+        vals = vals.unionByName(p_)
+    staged = stage(vals.orderBy("t", "v").withColumn("__mid", F.monotonically_increasing_id()), "quantile-sort", spread=False)
     pid = F.shiftrightunsigned("__mid", 33)
-    counts = dict(staged.groupBy(pid.alias("p")).agg(F.count(F.lit(1))).collect())
-    n = sum(counts.values())
-    if n == 0:
-        return [None for _ in probs]
-    offsets, acc = {}, 0
-    for p_ in sorted(counts):
-        offsets[p_] = acc
-        acc += counts[p_]
-    pos = [(n - 1) * p for p in probs]
-    need = sorted({int(math.floor(x)) for x in pos} | {int(math.ceil(x)) for x in pos})
-
-    def locate(rank: int) -> tuple[int, int]:
-        for p_ in sorted(counts, reverse=True):
-            if offsets[p_] <= rank:
-                return p_, rank - offsets[p_]
-        raise AssertionError(rank)
-
-    wanted = F.lit(False)
-    for r in need:
-        p_, local = locate(r)
-        wanted = wanted | (F.col("__mid") == F.lit((p_ << 33) + local))
-    got_mid = dict(staged.filter(wanted).select("__mid", "v").collect())
-    got = {r: got_mid[(locate(r)[0] << 33) + locate(r)[1]] for r in need}
-    out = []
-    for x in pos:
-        lo, hi = got[int(math.floor(x))], got[int(math.ceil(x))]
-        out.append(lo + (hi - lo) * (x - math.floor(x)))
+    counts: dict[tuple[int, int], int] = {
+        (r[0], r[1]): r[2] for r in staged.groupBy(pid.alias("p"), "t").agg(F.count(F.lit(1))).collect()
+    }
+    pids = sorted({p_ for p_, _ in counts})
+
+    def mid_of(tag: int, rank: int) -> int:
+        seen = 0
+        for p_ in pids:
+            c = counts.get((p_, tag), 0)
+            if rank < seen + c:
+                before = sum(counts.get((p_, t), 0) for t in range(tag))
+                return (p_ << 33) + before + (rank - seen)
+            seen += c
+        raise AssertionError((tag, rank))
+
+    plan: dict[int, tuple[int, list[float], list[int]]] = {}
+    wanted_mids: set[int] = set()
+    for j in range(len(cols)):
+        n = sum(c for (_, t), c in counts.items() if t == j)
+        if n == 0:
+            continue
+        pos = [(n - 1) * p for p in probs]
+        need = sorted({int(math.floor(x)) for x in pos} | {int(math.ceil(x)) for x in pos})
+        plan[j] = (n, pos, need)
+        wanted_mids.update(mid_of(j, r) for r in need)
+    got_mid: dict[int, float] = {}
+    if wanted_mids:
+        got_mid = dict(staged.filter(F.col("__mid").isin(sorted(wanted_mids))).select("__mid", "v").collect())
+    out: dict[str, list[float | None]] = {}
+    for j, c in enumerate(cols):
+        if j not in plan:
+            out[c] = [None for _ in probs]
+            continue
+        _, pos, _ = plan[j]
+        vals_at = {}
+        res = []
+        for x in pos:
+            lo_r, hi_r = int(math.floor(x)), int(math.ceil(x))
+            for r in (lo_r, hi_r):
+                if r not in vals_at:
+                    vals_at[r] = got_mid[mid_of(j, r)]
+            lo, hi = vals_at[lo_r], vals_at[hi_r]
+            res.append(lo + (hi - lo) * (x - math.floor(x)))
+        out[c] = res
     return out
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
+    """Exact linear-interpolated quantiles of one column."""
+    return exact_quantiles_many(df, [col], probs)[col]
+
+
+def _edges(qs: list[float | None]) -> list[float]:
+    if not qs or qs[0] is None:
+        return []
+    return sorted({round(q, EDGE_DECIMALS) for q in qs})
+
+
 def quantile_edges(df: DataFrame, col: str, n_bins: int) -> list[float]:
     """W3 edges: ``n_bins`` equal-frequency intervals, rounded to 9 decimals
     (trap D10), duplicates dropped."""
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    qs = exact_quantiles(df, col, probs)
-    if qs[0] is None:
-        return []
-    return sorted({round(q, EDGE_DECIMALS) for q in qs})
+    return _edges(exact_quantiles(df, col, [i / n_bins for i in range(n_bins + 1)]))
 
 
 def bin_by_edges(value: Column, edges: list[float]) -> Column:
@@ -224,8 +257,14 @@ def sample_rows(
     base = df.select(*cols)
     if not staged:
         base = stage(base, "sample-input")
-    binned = create_bins(base, "complexity", n_bins, "complexity_bin", use_qcut)
-    binned = create_bins(binned, "length", n_bins, "length_bin", use_qcut)
+    if use_qcut:
+        # both columns' edges from one staged sort
+        qs = exact_quantiles_many(base, ["complexity", "length"], [i / n_bins for i in range(n_bins + 1)])
+        binned = base.withColumn("complexity_bin", bin_by_edges(F.col("complexity"), _edges(qs["complexity"])))
+        binned = binned.withColumn("length_bin", bin_by_edges(F.col("length"), _edges(qs["length"])))
+    else:
+        binned = width_bins(base, "complexity", n_bins, "complexity_bin")
+        binned = width_bins(binned, "length", n_bins, "length_bin")
     # the separator always stays (trap D11)
     binned = binned.withColumn(
         "strata", F.concat(F.col("complexity_bin").cast("string"), F.lit("_"), F.col("length_bin").cast("string"))
