@@ -35,14 +35,17 @@ def profile(turns: DataFrame, metadata: DataFrame | None = None, key: str = "id"
         F.count(F.when(F.col("n_turns") > 2, F.lit(1))).alias("n_multi_turn"),
     )
     human = turns.filter(F.col("from") == C.HUMAN)
-    tagged = human.agg(F.count_distinct("value").alias("n_instructions_tagged"))
-    untagged = human.select(strip_image_affix("value").alias("v")).agg(F.count_distinct("v").alias("n_instructions_untagged"))
+    # both distinct counts in one pass over the human turns
+    instructions = human.select("value", strip_image_affix("value").alias("v")).agg(
+        F.count_distinct("value").alias("n_instructions_tagged"),
+        F.count_distinct("v").alias("n_instructions_untagged"),
+    )
     meta = metadata if metadata is not None else caption_metadata(turns, key)
     captions = turns.filter(F.col("from") == C.GPT).select(key, "value")
     mism = caption_mismatches(captions, meta, key, "value", "blip_caption").agg(
         F.count(F.lit(1)).alias("n_caption_mismatch")
     )
-    return conv_stats.crossJoin(tagged).crossJoin(untagged).crossJoin(mism)
+    return conv_stats.crossJoin(instructions).crossJoin(mism)
 
 
 def distinct_instructions(turns: DataFrame) -> DataFrame:
