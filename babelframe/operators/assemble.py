@@ -24,15 +24,19 @@ def _c(col: Column | str) -> Column:
 
 
 def _with_count(df: DataFrame, name: str = "__n", by: list[str] | None = None) -> DataFrame:
-    """Attach the row count as a column: a 1-row aggregate joined by
-    broadcast (its size is one row by construction). With ``by`` (e.g. the
-    split column) the count is per group: one row per group, a handful of
-    splits, joined by broadcast."""
+    """Attach the row count as a column. The count is a 1-row aggregate
+    brought to the driver and attached as a literal; with ``by`` (e.g. the
+    split column) it is one number per group - a handful of splits - looked
+    up in a literal map."""
     if not by:
-        n = df.agg(F.count(F.lit(1)).alias(name))
-        return df.crossJoin(F.broadcast(n))
-    n = df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
-    return df.join(F.broadcast(n), on=by, how="inner")
+        n = df.agg(F.count(F.lit(1))).first()[0]
+        return df.withColumn(name, F.lit(n).cast("bigint"))
+    if len(by) != 1:
+        raise ValueError("counts per group take one grouping column")
+    counts = df.groupBy(*by).agg(F.count(F.lit(1))).collect()
+    lookup = F.create_map(*[F.lit(x) for r in counts for x in (r[0], r[1])]) if counts else None
+    value = F.element_at(lookup, F.col(by[0])) if lookup is not None else F.lit(None)
+    return df.withColumn(name, value.cast("bigint"))
 
 
 # ------------------------------------------------------------- row index

@@ -40,17 +40,21 @@ def min_max_scale(df: DataFrame, cols: list[str], suffix: str = "_norm") -> Data
     """Global min-max scaling; a constant column scales to 0.
 
     The global min/max is a 1-row aggregate (partial per task, then one
-    tiny merge) joined back by broadcast - no un-partitioned window.
+    tiny merge) brought to the driver and applied as literals - no
+    un-partitioned window, no join.
     """
     aggs = []
     for c in cols:
-        aggs += [F.min(c).alias(f"__min_{c}"), F.max(c).alias(f"__max_{c}")]
-    bounds = df.agg(*aggs)
-    out = df.crossJoin(F.broadcast(bounds))
+        aggs += [F.min(c).cast("double").alias(f"__min_{c}"), F.max(c).cast("double").alias(f"__max_{c}")]
+    bounds = df.agg(*aggs).first()
+    out = df
     for c in cols:
-        lo, hi = F.col(f"__min_{c}"), F.col(f"__max_{c}")
-        out = out.withColumn(c + suffix, F.when(hi > lo, (F.col(c) - lo) / (hi - lo)).otherwise(F.lit(0.0)))
-    return out.drop(*[f"__{b}_{c}" for c in cols for b in ("min", "max")])
+        lo, hi = bounds[f"__min_{c}"], bounds[f"__max_{c}"]
+        if lo is None or hi is None or not hi > lo:
+            out = out.withColumn(c + suffix, F.lit(0.0))
+        else:
+            out = out.withColumn(c + suffix, (F.col(c) - F.lit(lo)) / (F.lit(hi) - F.lit(lo)))
+    return out
 
 
 def add_complexity(

@@ -45,7 +45,15 @@ def profile(turns: DataFrame, metadata: DataFrame | None = None, key: str = "id"
     mism = caption_mismatches(captions, meta, key, "value", "blip_caption").agg(
         F.count(F.lit(1)).alias("n_caption_mismatch")
     )
-    return conv_stats.crossJoin(instructions).crossJoin(mism)
+    # three 1-row aggregates, fetched and returned as one row
+    row = {**conv_stats.first().asDict(), **instructions.first().asDict(), **mism.first().asDict()}
+    spark = turns.sparkSession
+    schema = (
+        "n_conversations bigint, n_turns bigint, n_multi_turn bigint, n_instructions_tagged bigint, "
+        "n_instructions_untagged bigint, n_caption_mismatch bigint"
+    )
+    order = [f.split()[0] for f in schema.split(", ")]
+    return spark.createDataFrame([tuple(row[k] for k in order)], schema)
 
 
 def distinct_instructions(turns: DataFrame) -> DataFrame:

@@ -135,18 +135,17 @@ def quantile_bins(df: DataFrame, col: str, n_bins: int, out_col: str) -> DataFra
 
 def width_bins(df: DataFrame, col: str, n_bins: int, out_col: str) -> DataFrame:
     """``n_bins`` equal-width right-closed bins between min and max
-    (minimum included). Bounds come from a 1-row aggregate joined by
-    broadcast."""
-    b = df.agg(F.min(col).cast("double").alias("__lo"), F.max(col).cast("double").alias("__hi"))
-    out = df.crossJoin(F.broadcast(b))
-    w = (F.col("__hi") - F.col("__lo")) / n_bins
-    raw = F.ceil(F.round((F.col(col) - F.col("__lo")) / w, EDGE_DECIMALS)) - 1
-    label = F.when(F.col("__hi") > F.col("__lo"), F.least(F.lit(n_bins - 1), F.greatest(F.lit(0), raw))).otherwise(
-        F.lit(0)
-    )
-    return out.withColumn(out_col, F.when(F.col(col).isNull(), F.lit(None)).otherwise(label).cast("int")).drop(
-        "__lo", "__hi"
-    )
+    (minimum included). Bounds come from a 1-row aggregate applied as
+    literals."""
+    b = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).first()
+    lo, hi = b["lo"], b["hi"]
+    if lo is None or hi is None or not hi > lo:
+        label = F.lit(0)
+    else:
+        w = (F.lit(hi) - F.lit(lo)) / n_bins
+        raw = F.ceil(F.round((F.col(col) - F.lit(lo)) / w, EDGE_DECIMALS)) - 1
+        label = F.least(F.lit(n_bins - 1), F.greatest(F.lit(0), raw))
+    return df.withColumn(out_col, F.when(F.col(col).isNull(), F.lit(None)).otherwise(label).cast("int"))
 
 
 def create_bins(df: DataFrame, col: str, n_bins: int, out_col: str, use_qcut: bool = True) -> DataFrame:

@@ -29,10 +29,16 @@ def test_text_work_is_map_only(spark):
         assert "Window" not in p and "SortMergeJoin" not in p, name
 
 
-def test_block_labels_prune_text_and_broadcast_count(spark):
+def test_block_labels_prune_text_and_need_no_join(spark):
     p = plan(E.queries()["label_language_blocks"](spark, SMOKE))
     assert "ReadSchema: struct<doc_id:bigint>" in p
-    assert "BroadcastExchange" in p and "Window" not in p
+    assert "Join" not in p and "Window" not in p and not hash_exchanges(p)
+
+
+def test_no_cross_joins_anywhere(spark):
+    for name in E.queries():
+        p = plan(E.queries()[name](spark, SMOKE))
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
 
 
 def test_reference_join_pushes_filter_and_has_no_window(spark):
