@@ -7,6 +7,7 @@ never calls the translator again for rows already done.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,15 @@ from babelframe.session import work_path
 from babelframe.sources import io
 
 
+def _staged_successes(spark: SparkSession, root: str) -> DataFrame | None:
+    """Successful translations staged by earlier runs under ``root``."""
+    try:
+        staged = spark.read.parquet(f"{root}/*")
+        return staged.filter(F.col("error").isNull()).select("id", "caption", "translation")
+    except Exception:  # noqa: BLE001 - nothing staged yet
+        return None
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.options(**io.CSV_OPTIONS).schema(io.AUDIT_SCHEMA).csv(path).limit(1).collect()
@@ -63,18 +73,25 @@ def translate_pipeline(
     ``nested``: ``data`` has ``(id, image, conversations)`` rows (per-row
     expressions, no shuffle); else flat turns ``(id, turn, from, value)``
     (first caption by aggregate, replacement by a join on the id).
-    ``resume``: ids already in the audit log are not called again (K1,
-    left anti join); their logged translation is reused.
+    ``resume``: ids already in the audit log, or staged as successes by an
+    earlier run under ``out_dir/translations``, are not called again (K1,
+    left anti joins); staged successes missing from the log are appended.
     """
     log_path = f"{out_dir}/audit_log"
+    staged_root = f"{out_dir}/translations"
     if nested:
         captions = data.select("id", FT.first_value_of_role("conversations", C.GPT).alias("caption"))
     else:
         captions = TU.first_role_value(data, C.GPT).select("id", "caption")
     done = io.read_audit_log(spark, log_path) if (resume and _exists(spark, log_path)) else None
+    # successes staged by earlier runs (logged or not: a run may have stopped
+    # between staging and appending to the log)
+    earlier = _staged_successes(spark, staged_root) if resume else None
     todo = captions.filter(F.col("caption").isNotNull())
     if done is not None:
         todo = todo.join(done.select(F.col("ID").alias("id")).distinct(), "id", "left_anti")
+    if earlier is not None:
+        todo = todo.join(earlier.select("id").distinct(), "id", "left_anti")
     todo = todo.withColumn("message", X.render_template(template, F.col("caption")))
     called = TR.translate_column(
         todo,
@@ -86,8 +103,13 @@ def translate_pipeline(
         num_partitions=num_partitions,
         order_col=None,
     ).drop("message")
-    translations = TR.persist_translations(called, work_path(spark, "translations"))
-    ok = translations.filter(F.col("error").isNull())
+    translations = TR.persist_translations(called, f"{staged_root}/run-{uuid.uuid4().hex[:12]}")
+    ok = translations.filter(F.col("error").isNull()).select("id", "caption", "translation")
+    if earlier is not None:
+        ok = ok.unionByName(earlier)
+    if done is not None:
+        ok = ok.join(done.select(F.col("ID").alias("id")).distinct(), "id", "left_anti")
+    ok = ok.dropDuplicates(["id"])
     io.write_audit_log(
         ok.select(
             F.col("id").alias("ID"),

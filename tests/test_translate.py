@@ -182,3 +182,21 @@ def test_calls_go_in_length_order_within_a_task(spark, tmp_dir):
         with open(os.path.join(tmp_dir, name)) as f:
             order += json.load(f)
     assert order == sorted(texts, key=len)
+
+
+def test_resume_trusts_staged_translations(spark, tmp_dir):
+    """A run that staged its translations but stopped before the log append:
+    the next run calls nothing for those ids and logs them."""
+    conv = spark.createDataFrame(
+        [(f"{i:09d}", "img", [("human", "q"), ("gpt", f"cap {i}")]) for i in range(3)], io.CONVERSATION_SCHEMA
+    )
+    out_dir = os.path.join(tmp_dir, "out")
+    staged = spark.createDataFrame(
+        [("000000000", "cap 0", "0 cap", None)], "id string, caption string, translation string, error string"
+    )
+    staged.write.parquet(os.path.join(out_dir, "translations", "run-crashed"))
+    calls = os.path.join(tmp_dir, "calls")
+    os.makedirs(calls)
+    res = PL.translate_pipeline(spark, conv, CountingTranslator(calls), out_dir)
+    assert called_messages(calls) == ["cap 1", "cap 2"]
+    assert sorted(r[0] for r in res.audit_log.collect()) == ["000000000", "000000001", "000000002"]
