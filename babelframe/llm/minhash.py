@@ -11,12 +11,12 @@ minimum of every bin. An empty bin takes the value of the first non-empty bin
 in its own fixed random order of all bins. A band is a hash of ``ROWS`` bins.
 
 Rows with equal sets are one node. In a bucket every member is compared with
-the smallest one (a star, not all pairs). Links that a star misses are found
-in further rounds: the centre leaves its bucket, buckets whose members are
-all connected are dropped, and the rest get new centres, four times as many
-in each round, until no bucket is left. So no candidate of the bands is lost
-and copies are never paired with each other. Candidate pairs are confirmed on
-their full sets.
+one centre (a star, not all pairs): the member that shares most buckets with
+others, which in a group of near copies is the text they were made from.
+Members that are not connected with their centre then could have links among
+each other and with the rest of the star; an exact bound on what they must
+share finds those (``_rest_links``), so no candidate of the bands is lost to
+the stars. Candidate pairs are confirmed on their full sets.
 
 Edge cases: a NULL, empty or blank text has no shingles and no links; fewer
 words than a shingle has are one shingle. Repeated rows get equal results; rows that
@@ -153,11 +153,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    both = pairs.join(b, "b").join(a, "a").filter(F.least(F.size("sa"), F.size("sb")) * 100 >= F.greatest(F.size("sa"), F.size("sb")) * similarity)
+    both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
     union = F.size("sa") + F.size("sb") - F.col("common")
     return both.filter(F.col("common") * 100 >= union * similarity).select("a", "b")
 
 
+def _rest_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame | None:
+    """Links among the members of a star that its centre did not connect.
+
+    Let D(y) be the shingles in which y differs from the centre c. Two members
+    x, y are similar enough if |D(x) - D(y)| + |D(y) - D(x)| <= k (|x| + |y|)
+    with k = (1 - s) / (1 + s). If x is apart from the centre, then |D(x)| >
+    k (|x| + |c|), so D(x) and D(y) share more than v = (|D(y)| + k (|c| -
+    |y|)) / 2 shingles. With the shingles of D(y) in one order for the whole
+    star, rarest first, one of the shared ones is among the first |D(y)| -
+    floor(v). So x is compared with y only if D(x) holds one of those; chance
+    edits are rare and meet nowhere.
+    """
+    la = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    member = pairs.join(la, "a", "left").join(lb, "b", "left").select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("label"))
+    member = member.select("a", "b", "label", (F.col("la") != F.col("label")).alias("apart"))
+    stars = member.groupBy("a").agg(F.max("apart").alias("some"), F.count("*").alias("size")).filter("some AND size > 1").select("a")
+    member = C.staged(member.join(stars, "a", "left_semi"), "members")
+    if member.isEmpty():
+        return None
+    sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    sb = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    differ = F.concat(F.array_except("sb", "sa"), F.transform(F.array_except("sa", "sb"), lambda h: F.bitwise_not(h)))
+    k = (100 - similarity) / (100 + similarity)
+    edits = member.join(sb, "b").join(sa, "a").select("a", "b", "label", "apart", differ.alias("d"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+    # 1e-6: rounding may only lengthen what is compared
+    first = F.size("d") - F.floor((F.size("d") + k * (F.col("na") - F.col("nb"))) / 2 - 1e-6)
+    edits = C.staged(edits.select("a", "b", "label", "apart", "d", F.size("d").alias("nd"), first.cast("int").alias("first")), "edits")
+    each = edits.select("a", "b", "label", "apart", "nd", "first", F.explode("d").alias("t"))
+    shared = each.groupBy("a", "t").agg(F.count("*").alias("n")).filter("n > 1")
+    each = C.staged(each.join(shared, ["a", "t"]), "shared")
+    # shingles that one member alone has come first in its order and meet nobody
+    seen = each.groupBy("a", "b", "label", "nd", "first").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("d"))  # one text
+    left = F.greatest(F.col("first") - (F.col("nd") - F.size("d")), F.lit(0))
+    y = seen.select("a", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(F.slice("d", F.lit(1), left)).alias("x"))
+    y = y.select("a", "y", "ly", F.col("x.t").alias("t"))
+    x = each.filter("apart").select("a", "t", F.col("b").alias("x"), F.col("label").alias("lx"))
+    found = x.join(y, ["a", "t"]).filter("lx <> ly").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return C.staged(_confirmed(found, sets, similarity), "found")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY, shingle: int = SHINGLE
 ) -> DataFrame:
@@ -180,29 +222,17 @@ def near_duplicates(
     sets = C.staged(
         docs.join(wanted, "id", "left_semi").mapInArrow(partial(_sets, k=shingle), "id long, shingles array<long>"), "sets"
     )
-    links, labels, centres = None, None, 1
-    while True:
-        star = bucket.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(centres)).alias("part")).agg(F.min("node").alias("a"))
-        sizes = bucket.select("node", "n").distinct()
-        tried = star.join(bucket, "key").filter("a <> node").select("key", "a", F.col("node").alias("b"), F.col("n").alias("nb"))
-        if labels is not None:
-            la, lb = labels.select(F.col("id").alias("a"), F.col("label").alias("la")), labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
-            tried = tried.join(la, "a", "left").join(lb, "b", "left").filter("coalesce(la, a) <> coalesce(lb, b)")
-        pairs = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        na = sizes.select(F.col("node").alias("a"), F.col("n").alias("na"))
-        nb = sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-        pairs = pairs.join(na, "a").join(nb, "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity).select("a", "b").distinct()
-        found = C.staged(_confirmed(pairs, sets, similarity).distinct(), "found")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        rest = bucket.join(star.select("key", F.col("a").alias("node")).distinct(), ["key", "node"], "left_anti").join(
-            labels.select(F.col("id").alias("node"), "label"), "node", "left"
-        ).withColumn("label", F.coalesce("label", "node"))
-        mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        bucket = C.staged(rest.join(mixed, "key", "left_semi").select("node", "n", "key"), "buckets")
-        if bucket.isEmpty():
-            break
-        centres *= 4
+    # a star for each bucket; its centre is the member with the most company, the same one in most buckets of a group
+    sizes = bucket.groupBy("key").agg(F.count("*").alias("size"))
+    company = bucket.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("company"))
+    star = bucket.join(company, "node").groupBy("key").agg(F.max(F.struct("company", F.negative("node").alias("a"))).alias("x"))
+    star = star.select("key", F.negative("x.a").alias("a"))
+    pairs = star.join(bucket, "key").filter("a <> node").select(F.col("a"), F.col("node").alias("b")).distinct()
+    pairs = C.staged(pairs, "pairs")
+    links = C.staged(_confirmed(pairs, sets, similarity), "found")
+    labels = components(links)
+    more = _rest_links(pairs, labels, sets, similarity)
+    labels = components(links.union(more)) if more is not None else labels
     out = (
         sketch.select("id", "n", "m1", "m2")
         .join(nodes.select(*marks, "node"), marks, "left")
