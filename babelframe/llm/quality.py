@@ -97,7 +97,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Net:
         "offset": np.zeros(1, np.float32),
     }
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         net["weights"][:] = 0
         net["offset"][:] = np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -20, 20)
         return net

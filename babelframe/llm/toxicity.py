@@ -176,7 +176,7 @@ class Reader:
                     known.clear()
                 found = known[t] = self.token(t)
             out.update(found)
-        single = [i for i, t in enumerate(tokens) if len(t) == 1]
+        single = [i for i, t in enumerate(tokens) if len(t) == 1 or (len(t) == 2 and not t[1].isalnum())]
         at = 0
         while at < len(single):  # runs of single characters
             to = at
