@@ -123,7 +123,7 @@ def clean_response(col: Column | str) -> tuple[Column, Column]:
     text = strip_ws(raw)
     error = (
         F.when(raw.isNull(), F.lit("No response"))
-        .when(text == "", F.concat(F.lit("Failed to extract translation. Response: "), raw))
+        .when(text == "", F.concat(F.lit("empty_response: "), raw))
     )
     return text, error
 

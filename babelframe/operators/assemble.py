@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from babelframe import constants as C
 from babelframe.functions.text import language_code
 from babelframe.session import work_path
+from babelframe.sources.tables import padded_id
 
 
 def _c(col: Column | str) -> Column:
@@ -85,7 +86,8 @@ def label_language_blocks(
     """Stacked language blocks. ``block = n // len(languages)``; row ``i``
     is in block ``i // block``; a remainder goes to the last language (D5);
     fewer rows than languages raises. ``id_col`` gets the position inside
-    the block as a 9-digit string, which links parallel rows. With ``by``
+    the block as a string of 9 digits or more, which links parallel rows; a
+    remainder row has an id of its own. With ``by``
     (the split column) every split is sized by its own count and
     ``row_idx`` counts within the split (D5, D13)."""
     langs = languages or C.BLOCK_LANGUAGES
@@ -99,7 +101,8 @@ def label_language_blocks(
     pos = F.least(F.floor(_c(row_idx) / checked_block), F.lit(k - 1)).cast("int")
     out = counted.withColumn("__block", checked_block).withColumn(lang_col, F.element_at(arr, pos + 1))
     if id_col:
-        out = out.withColumn(id_col, F.lpad(F.pmod(_c(row_idx), F.col("__block")).cast("string"), 9, "0"))
+        place = _c(row_idx) - pos * F.col("__block")  # past the block's size in the remainder of the last one
+        out = out.withColumn(id_col, padded_id(place.cast("bigint")))
     return out.drop("__n", "__block")
 
 
@@ -109,15 +112,16 @@ def parallel_wide(
 ) -> DataFrame:
     """Long labelled rows -> the wide parallel table (``English Sentence``,
     ``<Language> Translation`` ...), one row per id. A conditional aggregate
-    with map-side combine; state per id is one string per language."""
-    cols = [F.max(F.when(language_code(F.col(lang_col)) == "en", F.col(text_col))).alias(C.PARALLEL_ENGLISH_COLUMN)]
+    with map-side combine; state per id is two strings per language. Two
+    different texts of one id and language are an error."""
+    def only(code: str) -> Column:
+        text = F.when(language_code(F.col(lang_col)) == code, F.col(text_col))
+        clash = F.raise_error(F.concat(F.lit(f"two {code} texts for id "), F.first(F.col(id_col)).cast("string"))).cast("string")
+        return F.when(F.min(text) < F.max(text), clash).otherwise(F.max(text))
+
     code_of = {v: k for k, v in C.LANGUAGE_NAMES.items()}
-    for name in C.PARALLEL_LANGUAGES:
-        cols.append(
-            F.max(F.when(language_code(F.col(lang_col)) == code_of[name], F.col(text_col))).alias(
-                name + C.PARALLEL_SUFFIX
-            )
-        )
+    cols = [only("en").alias(C.PARALLEL_ENGLISH_COLUMN)]
+    cols += [only(code_of[name]).alias(name + C.PARALLEL_SUFFIX) for name in C.PARALLEL_LANGUAGES]
     return labelled.groupBy(id_col).agg(*cols)
 
 
@@ -210,17 +214,17 @@ def head(df: DataFrame, row_idx: str, n: int = 5) -> DataFrame:
 
 # -------------------------------------------------------------------- O1
 def concat_datasets(dfs: list[DataFrame]) -> DataFrame:
-    """O1: UNION ALL by column name; the first schema leads (later frames
-    are projected onto it, missing columns become NULL, extra ones drop)."""
-    first = dfs[0]
-    fields = first.schema.fields
+    """O1: UNION ALL by column name; the first schema leads (its types hold
+    for columns that both have), missing columns become NULL, columns that
+    only later frames have follow."""
 
-    def project(df: DataFrame) -> DataFrame:
-        return df.select(
-            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-        )
+    def union(a: DataFrame, b: DataFrame) -> DataFrame:
+        for f in a.schema.fields:
+            if f.name in b.columns:
+                b = b.withColumn(f.name, F.col(f.name).cast(f.dataType))
+        return a.unionByName(b, allowMissingColumns=True)
 
-    return reduce(lambda a, b: a.unionByName(project(b)), dfs[1:], first)
+    return reduce(union, dfs)
 
 
 # ------------------------------------------------------------ J2 / F7
@@ -234,4 +238,4 @@ def caption_mismatches(
     """J2 + F7: caption rows whose text differs from the metadata caption of
     the same id (an inner equi-join on id, then the comparison per row)."""
     meta = metadata.select(F.col(id_col), F.col(meta_col))
-    return captions.join(meta, on=id_col, how="inner").filter(F.col(caption_col) != F.col(meta_col))
+    return captions.join(meta, on=id_col, how="inner").filter(~F.col(caption_col).eqNullSafe(F.col(meta_col)))

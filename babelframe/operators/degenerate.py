@@ -45,7 +45,7 @@ def repeat_stats(text: Column | str) -> tuple[Column, Column, Column]:
     """(n_words, max_count, has_repeated_words) column expressions (M9, A5, M4)."""
     words = words_lower(text)
     n = F.size(words).cast("bigint")
-    max_count = longest_equal_run(F.array_sort(words)).cast("bigint")
+    max_count = longest_equal_run(F.sort_array(words)).cast("bigint")
     flag = (
         F.when(n == 0, F.lit(False))
         .when(n == 2, F.element_at(words, 1) == F.element_at(words, 2))

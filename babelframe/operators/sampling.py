@@ -162,10 +162,10 @@ def strata_warnings(counts: dict[str, int], n_samples: int, n_bins: int) -> list
     """A7 + A8 checks (warn only)."""
     out = []
     if len(counts) < n_bins**2:
-        out.append(f"Some strata are empty: {len(counts)} of {n_bins ** 2} present.")
+        out.append(f"{n_bins**2 - len(counts)} of {n_bins**2} strata have no rows")
     few = sorted(s for s, c in counts.items() if c < n_samples / n_bins**2)
     if few:
-        out.append(f"Some strata have very few samples: {few}. Consider reducing n_bins.")
+        out.append(f"strata with fewer rows than their even share: {few}")
     return out
 
 
@@ -266,7 +266,7 @@ def sample_rows(
         binned = width_bins(binned, "length", n_bins, "length_bin")
     # the separator always stays (trap D11)
     binned = binned.withColumn(
-        "strata", F.concat(F.col("complexity_bin").cast("string"), F.lit("_"), F.col("length_bin").cast("string"))
+        "strata", F.concat(F.coalesce(F.col("complexity_bin").cast("string"), F.lit("none")), F.lit("_"), F.coalesce(F.col("length_bin").cast("string"), F.lit("none")))
     )
     counts = strata_counts(binned)
     for msg in strata_warnings(counts, n_samples, n_bins):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from babelframe import constants as C
-from babelframe.functions.text import as_message, clean_response, json_turn_length
+from babelframe.functions.text import as_message, clean_response, json_turn_length, language_code
 
 TranslatorFactory = Callable[[], Callable[..., pd.Series]]
 
@@ -84,7 +84,7 @@ def _call_partition(
         for pdf in batches:
             responses: list = [None] * len(pdf)
             failures: list = [None] * len(pdf)
-            todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m] if "__call" in pdf else list(range(len(pdf)))
+            todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m]
             for start in range(0, len(todo), batch_size):
                 rows = todo[start : start + batch_size]
                 chunk = pdf.iloc[rows]
@@ -102,8 +102,7 @@ def _call_partition(
                 except Exception as e:  # noqa: BLE001 - a failed call fails its items
                     for i in rows:
                         failures[i] = f"call failed: {type(e).__name__}: {e}"
-            out_pdf = pdf.drop(columns=["__call"]) if "__call" in pdf else pdf
-            yield out_pdf.assign(
+            yield pdf.drop(columns=["__call", "__message"]).assign(
                 __response=pd.Series(responses, dtype=object, index=pdf.index),
                 __call_error=pd.Series(failures, dtype=object, index=pdf.index),
             )
@@ -139,15 +138,16 @@ def translate_column(
     * ``order_col``: calls inside a task go in ascending order of it (W1).
     * ``clean``: apply P15 (strip Unicode whitespace; empty -> error) and
       route failures to ``error_col`` (F8). Failed rows get NULL ``out_col``.
+    * A NULL text is never sent; its row gets the error ``No text``.
     * ``only_when``: rows where it is false pass through uncalled with NULL
       ``out_col`` and ``error_col`` (one pass, no join back).
     """
     keep = list(keep or [])
     cols = list(dict.fromkeys(keep + [text_col] + [c for c in (preamble_col, target_col, order_col) if c]))
-    if only_when is not None:
-        df = df.withColumn("__call", F.coalesce(only_when, F.lit(False)))
-        cols.append("__call")
-    src = df.select(*cols).withColumn(text_col, as_message(text_col))
+    wanted = F.lit(True) if only_when is None else F.coalesce(only_when, F.lit(False))
+    has_text = F.col(text_col).isNotNull()
+    df = df.withColumn("__call", wanted & has_text).withColumn("__none", wanted & ~has_text)
+    src = df.select(*cols, "__call", "__none").withColumn("__message", as_message(text_col))
     if calls_per_minute and not num_partitions:
         # a global budget needs a known number of calling tasks
         num_partitions = df.sparkSession.sparkContext.defaultParallelism
@@ -157,17 +157,17 @@ def translate_column(
         src = src.sortWithinPartitions(order_col)
     per_task = (calls_per_minute / (num_partitions or 1)) if calls_per_minute else None
     schema = T.StructType(
-        [f for f in src.schema.fields if f.name != "__call"]
+        [f for f in src.schema.fields if f.name not in ("__call", "__message")]
         + [T.StructField("__response", T.StringType()), T.StructField("__call_error", T.StringType())]
     )
     called = src.mapInPandas(
-        _call_partition(factory, text_col, preamble_col, target_col, batch_size, per_task), schema
+        _call_partition(factory, "__message", preamble_col, target_col, batch_size, per_task), schema
     )
+    called = called.withColumn("__call_error", F.when(F.col("__none"), F.lit("No text")).otherwise(F.col("__call_error"))).drop("__none")
     if not clean:
         return called.withColumnRenamed("__response", out_col).withColumnRenamed("__call_error", error_col)
     text, err = clean_response("__response")
-    if only_when is not None:
-        err = F.when(F.col("__response").isNotNull(), err)
+    err = F.when(F.col("__response").isNotNull(), err)
     return (
         called.withColumn(error_col, F.coalesce(F.col("__call_error"), err))
         .withColumn(out_col, F.when(F.col(error_col).isNull(), text))
@@ -253,7 +253,7 @@ def back_translate(
     from babelframe.operators.prompts import TO_ENGLISH, choose_prompt, prompt_catalogue
 
     langs = languages or C.BACK_TRANSLATE_LANGUAGES
-    wanted = F.col(lang_col).isin(langs)
+    wanted = language_code(lang_col).isin([C.LANGUAGE_ALIASES.get(x, x) for x in langs])
     cat = catalogue if catalogue is not None else prompt_catalogue(df.sparkSession, langs)
     with_prompt = choose_prompt(df, cat, lang_col, TO_ENGLISH, required=wanted)
     called = translate_column(
@@ -301,6 +301,7 @@ def memory_translate(
     mem = memory.select(
         F.col("sentence").alias("__sentence"), F.col("lang").alias("__lang"), F.col("translation").alias("__tr")
     )
+    mem = mem.groupBy("__sentence", "__lang").agg(F.min("__tr").alias("__tr"))  # of several translations the smallest
     joined = keyed.join(mem, on=["__sentence", "__lang"], how="left")
     restored = (
         F.when(prefix, F.concat(F.lit(tag + "\n"), F.col("__tr")))

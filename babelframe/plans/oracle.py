@@ -49,7 +49,7 @@ FROM w LEFT JOIN mx ON w.doc_id = mx.doc_id
 # ----------------------------------------------------------- conversations
 TURNS = r"""
 turns AS (
-  SELECT lpad(CAST(conv_id AS VARCHAR), 9, '0') AS id, conv_id, turn,
+  SELECT lpad(CAST(conv_id AS VARCHAR), greatest(9, length(CAST(conv_id AS VARCHAR)))::INTEGER, '0') AS id, conv_id, turn,
          CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS "from",
          CASE WHEN role = 'user' THEN
               CASE WHEN (conv_id + turn) % 2 = 0 THEN '<image>' || chr(10) || text
@@ -131,7 +131,7 @@ FROM turns WHERE "from" = 'human'
 LAB = """
 lab AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.doc_id AS row_idx, d.text AS conversations,
-         lpad(CAST(d.doc_id % (c.n // 8) AS VARCHAR), 9, '0') AS id,
+         lpad(CAST(d.doc_id - least(d.doc_id // (c.n // 8), 7) * (c.n // 8) AS VARCHAR), greatest(9, length(CAST(d.doc_id AS VARCHAR)))::INTEGER, '0') AS id,
          ['ar','zh','en','fr','hi','jp','ru','es'][CAST(least(d.doc_id // (c.n // 8), 7) AS INTEGER) + 1] AS language
   FROM documents d CROSS JOIN (SELECT count(*) AS n FROM documents) c
 )"""
@@ -202,7 +202,7 @@ FROM lab
 sql(
     "caption_mismatch",
     """
-SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') AS id, CAST(length(text) AS BIGINT) AS caption_len
+SELECT lpad(CAST(doc_id AS VARCHAR), greatest(9, length(CAST(doc_id AS VARCHAR)))::INTEGER, '0') AS id, CAST(length(text) AS BIGINT) AS caption_len
 FROM documents WHERE text <> replace(text, chr(10), ' ')
 """,
 )
@@ -290,7 +290,7 @@ FROM cy
 
 PAIRS = """
 pairs AS (
-  SELECT lpad(CAST(a.conv_id AS VARCHAR), 9, '0') AS id, a.turn, a.text AS hypothesis, b.text AS reference,
+  SELECT lpad(CAST(a.conv_id AS VARCHAR), greatest(9, length(CAST(a.conv_id AS VARCHAR)))::INTEGER, '0') AS id, a.turn, a.text AS hypothesis, b.text AS reference,
          array_to_string(list_filter(string_split(b.text, ' '), lambda x, i: (i - 1) % 5 <> 4), ' ') AS rewrite
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
 )"""
@@ -620,7 +620,7 @@ SELECT (SELECT count(*) FROM pc) AS n_conversations,
        (SELECT count(DISTINCT replace(replace(value, chr(10) || '<image>', ''), '<image>' || chr(10), ''))
           FROM turns WHERE "from" = 'human') AS n_instructions_untagged,
        (SELECT count(*) FROM turns t JOIN meta m ON t.id = m.id
-          WHERE t."from" = 'gpt' AND t.value <> m.blip_caption) AS n_caption_mismatch
+          WHERE t."from" = 'gpt' AND t.value IS DISTINCT FROM m.blip_caption) AS n_caption_mismatch
 """,
 )
 
@@ -676,7 +676,7 @@ sql(
 WITH {RAW}
 SELECT doc_id, CAST(n_chars AS VARCHAR) AS message,
        CASE WHEN {strip_ws('response')} <> '' THEN {strip_ws('response')} END AS translation,
-       CASE WHEN {strip_ws('response')} = '' THEN 'Failed to extract translation. Response: ' || response END AS error
+       CASE WHEN {strip_ws('response')} = '' THEN 'empty_response: ' || response END AS error
 FROM resp
 """,
 )
@@ -685,7 +685,7 @@ sql(
     "failure_summary",
     f"""
 WITH {RAW}
-SELECT CASE WHEN {strip_ws('response')} = '' THEN 'Failed to extract translation' END AS error_kind,
+SELECT CASE WHEN {strip_ws('response')} = '' THEN 'empty_response' END AS error_kind,
        count(*) AS n
 FROM resp GROUP BY 1
 """,
@@ -706,9 +706,9 @@ long AS (
 ), pl AS (
   SELECT CAST(prompt_idx AS BIGINT) AS prompt_idx, translate_to, preamble, message,
          {capitalize('translate_to')} AS lang,
-         CASE WHEN trim(translate_to) = '' THEN '''translate_to'' should not be empty. Please provide valid content.'
+         CASE WHEN trim(translate_to) = '' THEN 'target_blank'
               WHEN trim(preamble) = '' OR trim(message) = ''
-                THEN 'Both ''preamble'' and ''message'' should not be empty. Please provide valid content.'
+                THEN 'prompt_blank'
          END AS validation_error
   FROM prompts
 )"""
@@ -771,10 +771,10 @@ sql("resume_translation", AUDIT)
 sql(
     "stream_translate",
     f"""
-SELECT lpad(CAST(conv_id AS VARCHAR), 9, '0') AS id, turn, text AS original,
+SELECT lpad(CAST(conv_id AS VARCHAR), greatest(9, length(CAST(conv_id AS VARCHAR)))::INTEGER, '0') AS id, turn, text AS original,
        CASE WHEN {strip_ws(reverse_words('text'))} <> '' THEN {strip_ws(reverse_words('text'))} END AS translation,
        CASE WHEN {strip_ws(reverse_words('text'))} = ''
-            THEN 'Failed to extract translation. Response: ' || {reverse_words('text')} END AS error
+            THEN 'empty_response: ' || {reverse_words('text')} END AS error
 FROM conversations WHERE role = 'assistant'
 """,
 )

@@ -11,6 +11,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from babelframe import constants as C
@@ -32,17 +33,21 @@ def _staged_successes(spark: SparkSession, root: str) -> DataFrame | None:
     """Successful translations staged by earlier runs under ``root``."""
     try:
         staged = spark.read.parquet(f"{root}/*")
-        return staged.filter(F.col("error").isNull()).select("id", "caption", "translation")
-    except Exception:  # noqa: BLE001 - nothing staged yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None  # nothing staged yet
+        raise
+    return staged.filter(F.col("error").isNull()).select("id", "caption", "translation")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.options(**io.CSV_OPTIONS).schema(io.AUDIT_SCHEMA).csv(path).limit(1).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+        spark.read.options(**io.CSV_OPTIONS).schema(io.AUDIT_SCHEMA).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 @dataclass

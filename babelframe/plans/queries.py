@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from babelframe.operators import degenerate
-from babelframe.sources.tables import documents
+from babelframe.sources.tables import documents, padded_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -157,9 +157,9 @@ def q_caption_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + F7: captions vs a metadata file whose caption has newlines
     folded to spaces; rows that differ."""
     docs = documents(spark, sf_dir)
-    captions = docs.select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"), F.col("text").alias("value"))
+    captions = docs.select(padded_id(F.col("doc_id")).alias("id"), F.col("text").alias("value"))
     meta = docs.select(
-        F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"),
+        padded_id(F.col("doc_id")).alias("id"),
         F.replace(F.col("text"), F.lit("\n"), F.lit(" ")).alias("blip_caption"),
     )
     return AS.caption_mismatches(captions, meta).select("id", F.length("value").cast("bigint").alias("caption_len"))
@@ -384,7 +384,7 @@ def q_failure_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: failures counted by kind (NULL kind = success)."""
     r = raw_responses(spark, sf_dir)
     _, err = X.clean_response("response")
-    kind = F.when(err.isNotNull(), F.regexp_extract(err, r"^[^.]*", 0))
+    kind = F.when(err.isNotNull(), F.regexp_extract(err, r"^[^:]*", 0))
     return r.select(kind.alias("error_kind")).groupBy("error_kind").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -38,8 +38,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8) -> Spa
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, streaming state and written tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Sets a
-    fresh local folder only when neither is configured (tests, bench).
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). If
+    neither is configured, a local session (tests, bench) gets a fresh local
+    folder; a cluster session raises, as its executors share no local disk.
     """
     try:
         sc = spark.sparkContext
@@ -47,11 +48,10 @@ def work_root(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="babelframe-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # noqa: BLE001 - some deployments lock core confs
-            pass
+        spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

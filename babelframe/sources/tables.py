@@ -38,8 +38,10 @@ def spread_rows(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def padded_id(col) -> F.Column:
-    """Ids are digit strings with leading zeros, 9 wide."""
-    return F.lpad(col.cast("string"), 9, "0")
+    """Ids are digit strings with leading zeros, 9 wide at least (D1); longer
+    ones stay whole."""
+    text = col.cast("string")
+    return F.when(F.length(text) < 9, F.lpad(text, 9, "0")).otherwise(text)
 
 
 def role_to_from(role) -> F.Column:

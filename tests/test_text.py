@@ -56,7 +56,7 @@ def test_clean_response_unicode_whitespace(spark):
     text, err = X.clean_response("s")
     got = [tuple(r) for r in df.select(text, err).collect()]
     assert got[0] == ("x", None)
-    assert got[1][0] == "" and got[1][1].startswith("Failed to extract translation")
+    assert got[1][0] == "" and got[1][1].startswith("empty_response")
     assert got[2] == (None, "No response")
     assert got[3] == ("y", None)
 

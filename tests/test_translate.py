@@ -46,11 +46,11 @@ def test_translate_column_success_and_failure(spark):
     df = spark.createDataFrame([("1", "a b c"), ("2", "   "), ("3", None)], "id string, t string")
     ok = {r["id"]: (r["translation"], r["error"]) for r in TR.translate_column(df, "t", TR.ReverseWords(), keep=["id"]).collect()}
     assert ok["1"] == ("c b a", None)
-    assert ok["2"][0] is None and ok["2"][1].startswith("Failed to extract translation")
-    assert ok["3"] == ("None", None)  # non-strings are sent as their string form (P14)
+    assert ok["2"][0] is None and ok["2"][1].startswith("empty_response")
+    assert ok["3"] == (None, "No text")  # a NULL is never sent
     bad = TR.translate_column(df, "t", TR.FailingTranslator(), keep=["id"])
-    assert all(r["error"].startswith("call failed") and r["translation"] is None for r in bad.collect())
-    assert TR.failure_counts(bad).count() == 1
+    assert all(r["error"].startswith("call failed" if r["t"] else "No text") and r["translation"] is None for r in bad.collect())
+    assert TR.failure_counts(bad).count() == 2
 
 
 def test_only_when_skips_rows(spark, tmp_dir):
@@ -130,8 +130,8 @@ def test_prompts_checks_and_arity(spark):
         PM.prompts_from_rows(spark, [["Hindi", "p"]])
     p = PM.prompts_from_rows(spark, [["hINDI", "", "{message}"], [" ", "pre", "m"], ["French", "pre", "m"]])
     got = [r["validation_error"] for r in PM.check_prompts(p).orderBy("prompt_idx").collect()]
-    assert got[0].startswith("Both 'preamble' and 'message' should not be empty")
-    assert got[1].startswith("'translate_to' should not be empty")
+    assert got[0] == "prompt_blank"
+    assert got[1] == "target_blank"
     assert got[2] is None
     assert [r["lang"] for r in PM.normalise_target(p).orderBy("prompt_idx").collect()][0] == "Hindi"
 
@@ -200,3 +200,27 @@ def test_resume_trusts_staged_translations(spark, tmp_dir):
     res = PL.translate_pipeline(spark, conv, CountingTranslator(calls), out_dir)
     assert called_messages(calls) == ["cap 1", "cap 2"]
     assert sorted(r[0] for r in res.audit_log.collect()) == ["000000000", "000000001", "000000002"]
+
+
+def test_null_text_is_never_sent(spark):
+    df = spark.createDataFrame([("1", None), ("2", "a b")], "id string, t string")
+    got = {r["id"]: r for r in TR.translate_column(df, "t", TR.ReverseWords(), keep=["id"]).collect()}
+    assert (got["1"]["t"], got["1"]["translation"], got["1"]["error"]) == (None, None, "No text")
+    assert (got["2"]["translation"], got["2"]["error"]) == ("b a", None)
+
+
+def test_back_translation_takes_both_codes_of_japanese(spark):
+    df = spark.createDataFrame([(0, "ja", "a b"), (1, "JP", "c d"), (2, "jp", "e f")], "row_idx long, language string, conversations string")
+    got = {r["row_idx"]: r["back_translations"] for r in TR.back_translate(df, TR.ReverseWords(), keep=["row_idx"]).collect()}
+    assert got == {0: "b a", 1: "d c", 2: "f e"}
+
+
+def test_blank_prompts_of_any_white_space(spark):
+    p = PM.prompts_from_rows(spark, [["\n", "p", "m"], ["French", "\n\t", "m"]])
+    assert [r["validation_error"] for r in PM.check_prompts(p).orderBy("prompt_idx").collect()] == ["target_blank", "prompt_blank"]
+
+
+def test_repeated_memory_entries_keep_rows(spark):
+    df = spark.createDataFrame([("a",)], "t string")
+    memory = spark.createDataFrame([("a", "French", "x"), ("a", "French", "y")], "sentence string, lang string, translation string")
+    assert [r["translation"] for r in TR.memory_translate(df, memory, "t", "French").collect()] == ["x"]
