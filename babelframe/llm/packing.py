@@ -46,13 +46,19 @@ CACHED_LENGTH = 64
 # Cuts only where the vocabulary's own normaliser makes a single space, which
 # its word pattern never crosses.
 _WORD = re.compile(r"[^ \t\n\r]+")
+# The word pattern also always parts a letter from a sign that is no
+# apostrophe; here for the letters and signs of Latin-1.
+_PART = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 class Encoder:
     """Token ids of texts as little-endian uint32 bytes.
 
     The vocabulary works word by word, so the ids of a text are those of its
-    space-separated words in order; frequent words are looked up.
+    space-separated words in order, and those of a word are those of its
+    parts. Words and parts seen before are looked up; new parts of letters
+    are encoded in one go, as each of them is one word of the vocabulary.
     """
 
     def __init__(self, vocabulary: bytes):
@@ -60,24 +66,37 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        # special tokens would be cut apart by the finer pattern
+        split = [[w] if "<|" in w else _PART.split(w) for w in words]
+        new = {p for ps in split for p in ps if p not in self.parts}
+        letters = [p for p in new if _LETTERS.fullmatch(p)]
+        for i in range(0, len(letters), 5000):
+            some = letters[i : i + 5000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(found.word_ids, np.arange(len(some) + 1))).tolist()
+            self.parts.update((p, ids[a:b]) for p, a, b in zip(some, ends, ends[1:], strict=False))
+        others = [p for p in new if p not in self.parts]
+        for i in range(0, len(others), 1000):
+            found = self.tokenizer.encode_batch(others[i : i + 1000], add_special_tokens=False)
+            self.parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(others[i : i + 1000], found, strict=True))
+        self.words.update((w, b"".join([self.parts[p] for p in ps])) for w, ps in zip(words, split, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        for cache in (self.words, self.parts):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+        words = self.words
         split = [_WORD.findall(t) for t in texts]
-        new = list({w for ws in split for w in ws if w not in known})
-        found = {
-            w: np.array(e.ids, "<u4").tobytes()
-            for i in range(0, len(new), 1000)
-            for w, e in zip(new[i : i + 1000], self.tokenizer.encode_batch(new[i : i + 1000], add_special_tokens=False), strict=True)
-        }
-        known.update(found)
-        out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-        for w in found:
-            if len(w) > CACHED_LENGTH:
-                del known[w]
+        self.learn(list({w for ws in split for w in ws if w not in words}))
+        out = [b"".join([words[w] for w in ws]) for ws in split]
+        for cache in (self.words, self.parts):
+            for w in [w for w in cache if len(w) > CACHED_LENGTH]:
+                del cache[w]
         return out
 
 
