@@ -31,7 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from babelframe.llm import common as C
@@ -186,17 +186,24 @@ def _rest_links(pairs: DataFrame, labels: DataFrame, sets: DataFrame, similarity
     edits = member.join(sb, "b").join(sa, "a").select("a", "b", "label", "apart", differ.alias("d"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
     # 1e-6: rounding may only lengthen what is compared
     first = F.size("d") - F.floor((F.size("d") + k * (F.col("na") - F.col("nb"))) / 2 - 1e-6)
-    edits = C.staged(edits.select("a", "b", "label", "apart", "d", F.size("d").alias("nd"), first.cast("int").alias("first")), "edits")
-    each = edits.select("a", "b", "label", "apart", "nd", "first", F.explode("d").alias("t"))
+    own = ["a", "b", "label", "apart", "nb", "nd", "first"]
+    edits = C.staged(edits.select("a", "b", "label", "apart", "nb", "d", F.size("d").alias("nd"), first.cast("int").alias("first")), "edits")
+    each = edits.select(*own, F.explode("d").alias("t"))
     shared = each.groupBy("a", "t").agg(F.count("*").alias("n")).filter("n > 1")
-    each = C.staged(each.join(shared, ["a", "t"]), "shared")
     # shingles that one member alone has come first in its order and meet nobody
-    seen = each.groupBy("a", "b", "label", "nd", "first").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("d"))  # one text
-    left = F.greatest(F.col("first") - (F.col("nd") - F.size("d")), F.lit(0))
-    y = seen.select("a", F.col("b").alias("y"), F.col("label").alias("ly"), F.explode(F.slice("d", F.lit(1), left)).alias("x"))
-    y = y.select("a", "y", "ly", F.col("x.t").alias("t"))
-    x = each.filter("apart").select("a", "t", F.col("b").alias("x"), F.col("label").alias("lx"))
-    found = x.join(y, ["a", "t"]).filter("lx <> ly").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    seen = each.join(shared, ["a", "t"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("d"))  # one text
+    seen = C.staged(seen.withColumn("size", F.size("d")), "shared")
+    left = F.greatest(F.col("first") - (F.col("nd") - F.col("size")), F.lit(0))
+
+    def side(rows: DataFrame, name: str, tokens: Column) -> DataFrame:
+        out = rows.select("a", F.col("b").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("label", "nb", "nd", "size")], F.explode(tokens).alias("e"))
+        return out.withColumn("t", F.col("e.t")).drop("e")
+
+    x = side(seen.filter("apart"), "x", F.col("d"))
+    y = side(seen, "y", F.slice("d", F.lit(1), left))
+    # they can share no more than the fewer of their shared shingles
+    enough = 2 * F.least("size_x", "size_y") >= F.col("nd_x") + F.col("nd_y") - k * (F.col("nb_x") + F.col("nb_y")) - 1e-6
+    found = x.join(y, ["a", "t"]).filter((F.col("label_x") != F.col("label_y")) & enough).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return C.staged(_confirmed(found, sets, similarity), "found")
 
 
