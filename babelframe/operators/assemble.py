@@ -9,6 +9,7 @@ column (``row_idx``), made once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -152,12 +153,18 @@ def unpivot_parallel(
 
 # ------------------------------------------------ J1 / A9 English reference
 def english_reference(
-    df: DataFrame, id_col: str = "id", lang_col: str = "language", text_col: str = "conversations", order_col: str = "row_idx"
+    df: DataFrame,
+    id_col: str = "id",
+    lang_col: str = "language",
+    text_col: str = "conversations",
+    order_col: str = "row_idx",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Last non-empty English text per id (``max_by`` on the row order).
+    """Last non-empty English text per id (``max_by`` on the row order),
+    separately for each value of the columns ``within``.
     Partial aggregation: one row per id and task crosses the shuffle."""
     en = df.filter((F.col(lang_col) == "en") & (F.col(text_col) != ""))
-    return en.groupBy(id_col).agg(F.max_by(text_col, order_col).alias("__en_text"))
+    return en.groupBy(*within, id_col).agg(F.max_by(text_col, order_col).alias("__en_text"))
 
 
 def attach_reference_text(
@@ -167,16 +174,18 @@ def attach_reference_text(
     text_col: str = "conversations",
     order_col: str = "row_idx",
     out_col: str = "reference_text",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """``reference_text`` = '' on English rows, the id's English text
-    elsewhere, ``'id_not_found'`` when the id has none.
+    elsewhere, ``'id_not_found'`` when the id has none. ``within``: columns
+    (such as the split) that both rows must share.
 
     A left equi-join on the id; the English side is one row per id, so a
     hot id is skewed on the left side only and AQE splits it. The planner
     broadcasts the English side only when its measured size is small.
     """
-    ref = english_reference(df, id_col, lang_col, text_col, order_col)
-    joined = df.join(ref, on=id_col, how="left")
+    ref = english_reference(df, id_col, lang_col, text_col, order_col, within)
+    joined = df.join(ref, on=[*within, id_col], how="left")
     return joined.withColumn(
         out_col,
         F.when(F.col(lang_col) == "en", F.lit("")).otherwise(F.coalesce(F.col("__en_text"), F.lit("id_not_found"))),

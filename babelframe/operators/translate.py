@@ -183,9 +183,10 @@ def persist_translations(df: DataFrame, path: str) -> DataFrame:
     return spread_rows(df.sparkSession.read.parquet(path))
 
 
-def failures(translated: DataFrame, key: str = "id", error_col: str = "error") -> DataFrame:
+def failures(translated: DataFrame, key: str | list[str] = "id", error_col: str = "error") -> DataFrame:
     """F8/A10: failed ids with their error."""
-    return translated.filter(F.col(error_col).isNotNull()).select(key, error_col)
+    keys = [key] if isinstance(key, str) else key
+    return translated.filter(F.col(error_col).isNotNull()).select(*keys, error_col)
 
 
 def failure_counts(translated: DataFrame, error_col: str = "error") -> DataFrame:

@@ -50,6 +50,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _logged(spark: SparkSession, path: str) -> DataFrame:
+    """The audit log as (id, caption, translation)."""
+    return io.read_audit_log(spark, path).toDF("id", "caption", "translation")
+
+
 @dataclass
 class TranslateResult:
     translations: DataFrame  # (id, caption, translation, error), persisted
@@ -75,28 +80,33 @@ def translate_pipeline(
     """P2 -> P13 -> U1 -> P15 -> P4, written as S6 (all rows), S7 (audit
     log of successes, appended) and an error table (F8).
 
-    ``nested``: ``data`` has ``(id, image, conversations)`` rows (per-row
-    expressions, no shuffle); else flat turns ``(id, turn, from, value)``
-    (first caption by aggregate, replacement by a join on the id).
-    ``resume``: ids already in the audit log, or staged as successes by an
-    earlier run under ``out_dir/translations``, are not called again (K1,
+    ``nested``: ``data`` has ``(id, image, conversations)`` rows, whose ids
+    may repeat; else flat turns ``(id, turn, from, value)``, one conversation
+    per id. A translation belongs to (id, caption), so rows that share an id
+    keep their own. Conversations without a caption go to the error table.
+    ``resume``: captions already in the audit log, or staged as successes by
+    an earlier run under ``out_dir/translations``, are not called again (K1,
     left anti joins); staged successes missing from the log are appended.
+    ``num_partitions``: calling tasks (default: the cluster's parallelism).
     """
     log_path = f"{out_dir}/audit_log"
     staged_root = f"{out_dir}/translations"
+    key = ["id", "caption"]
     if nested:
         captions = data.select("id", FT.first_value_of_role("conversations", C.GPT).alias("caption"))
     else:
         captions = TU.first_role_value(data, C.GPT).select("id", "caption")
-    done = io.read_audit_log(spark, log_path) if (resume and _exists(spark, log_path)) else None
+    done = _logged(spark, log_path) if (resume and _exists(spark, log_path)) else None
     # successes staged by earlier runs (logged or not: a run may have stopped
     # between staging and appending to the log)
     earlier = _staged_successes(spark, staged_root) if resume else None
     todo = captions.filter(F.col("caption").isNotNull())
+    if nested:
+        todo = todo.dropDuplicates(key)
     if done is not None:
-        todo = todo.join(done.select(F.col("ID").alias("id")).distinct(), "id", "left_anti")
+        todo = todo.join(done, key, "left_anti")
     if earlier is not None:
-        todo = todo.join(earlier.select("id").distinct(), "id", "left_anti")
+        todo = todo.join(earlier, key, "left_anti")
     todo = todo.withColumn("message", X.render_template(template, F.col("caption")))
     called = TR.translate_column(
         todo,
@@ -105,16 +115,15 @@ def translate_pipeline(
         keep=["id", "caption"],
         batch_size=batch_size,
         calls_per_minute=calls_per_minute,
-        num_partitions=num_partitions,
+        num_partitions=num_partitions or spark.sparkContext.defaultParallelism,
         order_col=None,
     ).drop("message")
     translations = TR.persist_translations(called, f"{staged_root}/run-{uuid.uuid4().hex[:12]}")
-    ok = translations.filter(F.col("error").isNull()).select("id", "caption", "translation")
+    made = translations.filter(F.col("error").isNull()).select("id", "caption", "translation")
     if earlier is not None:
-        ok = ok.unionByName(earlier)
-    if done is not None:
-        ok = ok.join(done.select(F.col("ID").alias("id")).distinct(), "id", "left_anti")
-    ok = ok.dropDuplicates(["id"])
+        made = made.unionByName(earlier)
+    ok = made.join(done, key, "left_anti") if done is not None else made
+    ok = ok.dropDuplicates(key)
     io.write_audit_log(
         ok.select(
             F.col("id").alias("ID"),
@@ -126,21 +135,31 @@ def translate_pipeline(
     )
     audit = io.read_audit_log(spark, log_path)
     # every translation known now: logged earlier or made in this run
-    known = audit.select(F.col("ID").alias("id"), F.col("GPT Value Modified").alias("translation")).dropDuplicates(["id"])
+    known = made.unionByName(_logged(spark, log_path)).dropDuplicates(key)
     if nested:
-        out = data.join(known, "id", "left").withColumn(
-            "conversations",
-            F.when(
-                F.col("translation").isNotNull(),
-                FT.replace_role_values("conversations", C.GPT, F.col("translation")),
-            ).otherwise(F.col("conversations")),
-        ).drop("translation")
+        mine = known.select("id", F.col("caption").alias("__caption"), F.col("translation").alias("__new"))
+        out = (
+            data.withColumn("__caption", FT.first_value_of_role("conversations", C.GPT))
+            .join(mine, ["id", "__caption"], "left")
+            .withColumn(
+                "conversations",
+                F.when(
+                    F.col("__new").isNotNull(), FT.replace_role_values("conversations", C.GPT, F.col("__new"))
+                ).otherwise(F.col("conversations")),
+            )
+            .select(*data.columns)
+        )
     else:
-        out = TU.replace_role_turns(data, known, C.GPT)
+        out = TU.replace_role_turns(data, captions.join(known, key), C.GPT)
     io.write_conversations(out, f"{out_dir}/conversations")
-    errors = TR.failures(translations, "id", "error")
-    errors.write.mode("overwrite").parquet(f"{out_dir}/errors")
-    return TranslateResult(translations, spark.read.json(f"{out_dir}/conversations"), audit, spark.read.parquet(f"{out_dir}/errors"))
+    uncalled = captions.filter(F.col("caption").isNull()).select("id", F.lit("no caption").alias("error"))
+    TR.failures(translations, "id", "error").unionByName(uncalled).write.mode("overwrite").parquet(f"{out_dir}/errors")
+    return TranslateResult(
+        translations,
+        spark.read.schema(out.schema).json(f"{out_dir}/conversations"),
+        audit,
+        spark.read.parquet(f"{out_dir}/errors"),
+    )
 
 
 # ---------------------------------------------------------------------- X2
@@ -148,22 +167,36 @@ def validation_pipeline(
     ds: DataFrame,
     factory: TR.TranslatorFactory,
     *,
-    keys: list[str],
+    keys: list[str] | None = None,
     do_repeated_tokens: bool = True,
     do_back_translate_chrf: bool = True,
     chrf_threshold: float = C.CHRF_FLAG_THRESHOLD,
     languages: list[str] | None = None,
+    batch_size: int = C.BACK_TRANSLATE_CHUNK,
+    calls_per_minute: float | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """X2 (J-B): ``ds`` has ``id``, ``language``, ``row_idx`` and
     ``conversations`` (flattened text, P3). Back-translation (U2) runs when
     the column is absent (F9) and is staged as a table (S8); then the English
     reference (J1), English rows dropped (F2), metrics as columns on each row
-    (M5, M7, F5) - per split when a ``split`` column is present (D13)."""
+    (M5, M7, F5) - per split when a ``split`` column is present (D13).
+    ``keys``: columns to carry besides those named here (default: all)."""
     spark = ds.sparkSession
+    splits = [c for c in ("split",) if TR.has_column(ds, c)]
     if not TR.has_column(ds, "back_translations"):
-        bt = TR.back_translate(ds, factory, keep=list(dict.fromkeys([*keys, "id", "row_idx", "conversations"])), languages=languages)
+        keep = ds.columns if keys is None else [*keys, "id", "row_idx", "conversations", *splits]
+        bt = TR.back_translate(
+            ds,
+            factory,
+            keep=list(dict.fromkeys(keep)),
+            languages=languages,
+            batch_size=batch_size,
+            calls_per_minute=calls_per_minute,
+            num_partitions=num_partitions,
+        )
         ds = TR.persist_translations(bt, work_path(spark, "back-translations"))
-    ref = AS.attach_reference_text(ds, "id", "language", "conversations", "row_idx")
+    ref = AS.attach_reference_text(ds, "id", "language", "conversations", "row_idx", within=splits)
     out = AS.drop_language(ref, "en")
     if do_repeated_tokens:
         out = out.withColumn("repeated_tokens", ME.repeated_tokens("conversations", "reference_text"))
@@ -179,11 +212,18 @@ def prompt_eval_pipeline(
     pairs: DataFrame,
     factory: TR.TranslatorFactory,
     out_path: str,
+    *,
+    error_path: str | None = None,
+    batch_size: int = C.TRANSLATE_BATCH_SIZE,
+    calls_per_minute: float | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """X3 (J-C): prompts x pairs of their language (J4), each English
     sentence sent as ``Input: <text>`` with the prompt's preamble (U3; the
     prompt's own message is not used), BLEU of the output against the
-    ground truth (M6), all reports in one partitioned write (S10)."""
+    ground truth (M6), all reports in one partitioned write (S10). Failed
+    calls are reported with an empty output; ``error_path`` takes their
+    (prompt_idx, lang, sentence, error) rows (F8)."""
     spark = prompts.sparkSession
     joined = PM.prompts_for_pairs(prompts, pairs, "lang").withColumn("__msg", X.input_message("sentence"))
     called = TR.translate_column(
@@ -194,8 +234,14 @@ def prompt_eval_pipeline(
         preamble_col="preamble",
         clean=False,
         out_col="Model_output",
-        error_col="__err",
+        error_col="error",
+        batch_size=batch_size,
+        calls_per_minute=calls_per_minute,
+        num_partitions=num_partitions,
     )
+    if error_path:
+        called = TR.persist_translations(called, work_path(spark, "prompt-outputs"))
+        TR.failures(called, ["prompt_idx", "lang", "sentence"]).write.mode("overwrite").parquet(error_path)
     report = called.select(
         "prompt_idx",
         "lang",

@@ -41,6 +41,9 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# a missing value is written as nothing, an empty text as ""; reading tells
+# them apart by a mark for missing values that texts do not hold
+CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\0"}
 
 
 def read_conversations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -61,7 +64,7 @@ def read_parallel_csv(spark: SparkSession, path: str, languages: list[str] | Non
         [T.StructField(C.PARALLEL_ENGLISH_COLUMN, T.StringType())]
         + [T.StructField(n + C.PARALLEL_SUFFIX, T.StringType()) for n in langs]
     )
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
 
 
 def read_dataset(spark: SparkSession, root: str) -> DataFrame:
@@ -80,7 +83,7 @@ def write_audit_log(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(AUDIT_SCHEMA).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(AUDIT_SCHEMA).csv(path)
 
 
 def save_dataset(df: DataFrame, path: str, split_col: str | None = "split") -> None:
@@ -108,7 +111,7 @@ def write_reports(df: DataFrame, path: str) -> None:
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(list(REPORT_SCHEMA.fields) + [T.StructField("prompt_idx", T.LongType()), T.StructField("lang", T.StringType())])
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
 
 
 def write_sample_csv(df: DataFrame, text_col: str, path: str) -> None:
@@ -118,4 +121,4 @@ def write_sample_csv(df: DataFrame, text_col: str, path: str) -> None:
 
 
 def read_sample_csv(spark: SparkSession, text_col: str, path: str) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(T.StructType([T.StructField(text_col, T.StringType())])).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(T.StructType([T.StructField(text_col, T.StringType())])).csv(path)

@@ -27,14 +27,13 @@ CONVERSATION_ROWS = T.StructType(
 )
 
 
-def caption_turn_stream(spark: SparkSession, source: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Caption turns of flat conversation rows arriving as parquet files."""
-    rows = (
-        spark.readStream.schema(CONVERSATION_ROWS)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source)
-    )
-    return rows.select(
+def caption_turn_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Caption turns of flat conversation rows arriving as parquet files, all
+    new files in one batch unless the caller sets a limit."""
+    reader = spark.readStream.schema(CONVERSATION_ROWS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(source).select(
         padded_id(F.col("conv_id")).alias("id"),
         F.col("turn"),
         role_to_from(F.col("role")).alias("from"),
@@ -49,7 +48,7 @@ def stream_translate(
     sink: str,
     checkpoint: str,
     *,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     batch_size: int = C.TRANSLATE_BATCH_SIZE,
     calls_per_minute: float | None = None,
 ) -> DataFrame:

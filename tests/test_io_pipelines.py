@@ -111,3 +111,10 @@ def test_publish_private_dataset(spark, tmp_dir):
     df = spark.createDataFrame([(1, "train")], "x int, split string")
     base = io.publish_dataset(df, tmp_dir, "owner", "name", private=True)
     assert "/.private/owner/name" in base and io.read_dataset(spark, base).count() == 1
+
+
+def test_csv_tells_empty_from_missing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "log")
+    log = spark.createDataFrame([("1", "", None), ("2", None, ""), ("3", " x ", 'a "b", c')], io.AUDIT_SCHEMA)
+    io.write_audit_log(log, path)
+    assert sorted(tuple(r) for r in io.read_audit_log(spark, path).collect()) == sorted(tuple(r) for r in log.collect())

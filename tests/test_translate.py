@@ -224,3 +224,51 @@ def test_repeated_memory_entries_keep_rows(spark):
     df = spark.createDataFrame([("a",)], "t string")
     memory = spark.createDataFrame([("a", "French", "x"), ("a", "French", "y")], "sentence string, lang string, translation string")
     assert [r["translation"] for r in TR.memory_translate(df, memory, "t", "French").collect()] == ["x"]
+
+
+def _nested(spark, *captions):
+    return spark.createDataFrame(
+        [(i, "img", [("human", "q")] + ([("gpt", c)] if c is not None else [])) for i, c in captions], io.CONVERSATION_SCHEMA
+    )
+
+
+def test_rows_sharing_an_id_keep_their_own_translation(spark, tmp_dir):
+    calls = os.path.join(tmp_dir, "calls")
+    os.makedirs(calls)
+    data = _nested(spark, ("1", "a b"), ("1", "c d"), ("1", "c d"), ("2", None), ("3", "e f"))
+    for _ in range(2):  # the second run calls nothing
+        res = PL.translate_pipeline(spark, data, CountingTranslator(calls), os.path.join(tmp_dir, "out"))
+        assert called_messages(calls) == ["a b", "c d", "e f"]
+        got = sorted((r["id"], [t["value"] for t in r["conversations"]]) for r in res.output.collect())
+        assert got == [("1", ["q", "b a"]), ("1", ["q", "d c"]), ("1", ["q", "d c"]), ("2", ["q"]), ("3", ["q", "f e"])]
+        assert rows(res.audit_log) == [("1", "a b", "b a"), ("1", "c d", "d c"), ("3", "e f", "f e")]
+        assert rows(res.errors) == [("2", "no caption")]
+    assert res.output.columns == data.columns
+
+
+def test_calls_after_an_aggregate_are_spread(spark, tmp_dir):
+    calls = os.path.join(tmp_dir, "calls")
+    os.makedirs(calls)
+    turns = spark.createDataFrame([(str(i), 1, "gpt", f"w {i}") for i in range(40)], "id string, turn long, `from` string, value string")
+    PL.translate_pipeline(spark, turns, CountingTranslator(calls), os.path.join(tmp_dir, "out"), nested=False, num_partitions=4, batch_size=100)
+    assert len(called_messages(calls)) == 40 and len(os.listdir(calls)) == 4  # one call a task
+
+
+def test_validation_stays_within_a_split(spark):
+    ds = spark.createDataFrame(
+        [("1", "en", 0, "one two", "train", 7), ("1", "fr", 1, "un deux", "train", 8), ("1", "fr", 2, "un", "test", 9), (None, "fr", 3, None, None, 10)],
+        "id string, language string, row_idx long, conversations string, split string, extra int",
+    )
+    out = PL.validation_pipeline(ds, TR.ReverseWords(), do_repeated_tokens=False, do_back_translate_chrf=False)
+    got = {r["extra"]: (r["split"], r["back_translations"], r["reference_text"]) for r in out.collect()}
+    assert got == {8: ("train", "deux un", "one two"), 9: ("test", "un", "id_not_found"), 10: (None, "", "id_not_found")}
+
+
+def test_failed_prompt_calls_are_reported(spark, tmp_dir):
+    prompts = PM.prompts_from_rows(spark, [["French", "pre", "m"]])
+    pairs = spark.createDataFrame([("one", "French", "un")], "sentence string, lang string, translation string")
+    path = os.path.join(tmp_dir, "errors")
+    rep = PL.prompt_eval_pipeline(prompts, pairs, TR.FailingTranslator(), os.path.join(tmp_dir, "reports"), error_path=path)
+    assert rep.count() == 1
+    found = spark.read.parquet(path).collect()
+    assert [r["sentence"] for r in found] == ["one"] and found[0]["error"].startswith("call failed")
