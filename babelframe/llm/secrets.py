@@ -59,8 +59,8 @@ BASE = (
     Rule("hex", 1, r"[0-9a-f]+", 0, 32),
 )
 EXTRA = (
-    Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]+", 0, 40, "gh"),
-    Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]+", 0, 15, "xox"),
+    Rule("github", 2, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, "gh"),
+    Rule("slack", 2, r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, "xox"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30, "eyJ"),
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----", 0, 60, "PRIVATE KEY"),
 )
@@ -77,11 +77,12 @@ def find(text: str, rule: Rule, pattern: re.Pattern) -> list[tuple[str, int, int
 
 
 def _compiled(rule: Rule) -> re.Pattern:
-    # A whole match of one repeated class is a maximal run, so the least
-    # length can be part of the pattern; it then skips short runs faster.
-    if rule.group == 0 and rule.pattern.endswith("]+") and rule.pattern.count("]+") == 1:
-        head = re.match(r"[A-Za-z]*", rule.pattern).group()
-        return re.compile(rule.pattern[:-1] + f"{{{rule.least - len(head)},}}")
+    # A whole match of plain letters and one repeated class is a maximal run,
+    # so the least length can be part of the pattern; it then skips short
+    # runs faster. Every other pattern is run as written.
+    head = re.fullmatch(r"([A-Za-z]*)\[[^\[\]\\]+\]\+", rule.pattern)
+    if rule.group == 0 and head and rule.least > len(head[1]):
+        return re.compile(rule.pattern[:-1] + f"{{{rule.least - len(head[1])},}}")
     return re.compile(rule.pattern)
 
 

@@ -257,6 +257,17 @@ def test_secret_scan_and_ledger(spark, hard, docs, tmp_dir):
     assert any(r["findings"] for r in new.collect())
 
 
+def test_every_rule_finds_its_least_length(spark):
+    """Secrets of exactly the least length, and one character less."""
+    found = {"access": "AKIA" + "Z" * 12, "hex": "0a" * 16, "github": "ghp_" + "Q" * 36, "slack": "xoxb-" + "Z" * 10}
+    texts = [*found.values(), *[t[:-1] for t in found.values()], "ghp_ghp_" + "Q" * 36, "x " + " ".join(found.values()) + " y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.scan(df.withColumn("t", F.col("text")), None, secrets.RULES).collect():
+        assert [(f["rule"].split("@")[0], f["from"], f["to"]) for f in r["findings"]] == brute_spans(r["t"], secrets.RULES)
+        assert [f["rule"].split("@")[0] for f in r["findings"]] == ([[k] for k in found] + [[]] * 4 + [["github"], list(found)])[r["doc_id"]]
+    assert {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}[9] == "x [access] [hex] [github] [slack] y"
+
+
 def test_redact(hard):
     out = secrets.redact(hard)
     assert out.columns == hard.columns and out.count() == hard.count()
