@@ -6,7 +6,9 @@ lattice: a look-alike may stand for its letters or be noise, a repeated letter
 may be one letter, a separator may be nothing (inside a run of single
 characters also a word end). A character trigram model, counted over the
 whole corpus, is the source model; a Viterbi search finds the most probable
-text. Tokens without such characters have one path and stay as they are.
+text. Look-alikes at either end of a token are in its lattice too; '(' or
+'¡' in front and '!' behind a word are common punctuation and dropped at a
+low cost. Tokens without such characters have one path and stay as they are.
 Restored words, with repeated letters squeezed, and their beginnings are
 scored by a logistic model.
 
@@ -52,10 +54,15 @@ LOOK = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "¡": "i",
 }
+#: Those that are common punctuation in front of a word or behind it; there
+#: they may be noise at the cost MARK.
+OPENING, CLOSING = "(¡", "!"
 #: Channel costs in nats.
-AS_LETTER, AS_NOISE, GAP, BREAK, SPLIT, SECOND, FURTHER = 1.0, 9.0, 0.3, 2.0, 5.0, 2.5, 0.2
+AS_LETTER, AS_NOISE, GAP, BREAK, SPLIT, SECOND, FURTHER, MARK = 1.0, 9.0, 0.3, 2.0, 5.0, 2.5, 0.2, 1.0
 _JOIN = "\x1f"  # stands for the space between single characters
-_CORE = re.compile(r"[$@]?[^\W_](?:.*[^\W_])?", re.DOTALL)
+# A token without the characters around it that can be no letters.
+_END = f"(?:[^\\W_]|[{re.escape(''.join(LOOK))}])"
+_CORE = re.compile(f"{_END}(?:.*{_END})?", re.DOTALL)
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1\1")
 _SQUEEZE = re.compile(r"(.)\1+", re.DOTALL)
@@ -96,7 +103,9 @@ def source_model(df: DataFrame, text_col: str = "text") -> np.ndarray:
 def lattice(token: str) -> list[list[tuple[int, float]]]:
     """For each character its readings (letter, 0: word end, -1: nothing) and costs."""
     out, before, again = [], "", 0
-    for c in token:
+    inner = [i for i, c in enumerate(token) if c.isalnum()]
+    first, last = (inner[0], inner[-1]) if inner else (0, len(token))
+    for i, c in enumerate(token):
         again = again + 1 if c == before else 0
         before = c
         if c in PLACE:
@@ -104,7 +113,8 @@ def lattice(token: str) -> list[list[tuple[int, float]]]:
             if again:
                 options.append((-1, SECOND if again == 1 else FURTHER))
         elif c in LOOK:
-            options = [(PLACE[x], AS_LETTER) for x in LOOK[c]] + [(-1, AS_NOISE if not again else FURTHER)]
+            mark = i < first and c in OPENING or i > last and c in CLOSING
+            options = [(PLACE[x], AS_LETTER) for x in LOOK[c]] + [(-1, FURTHER if again else MARK if mark else AS_NOISE)]
         elif c == _JOIN:
             options = [(-1, 0.0), (0, BREAK)]
         elif c.isalnum():

@@ -427,6 +427,17 @@ def test_toxicity(spark, hard):
     assert len(rows) == hard.count() and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_look_alikes_at_the_ends_of_a_word(spark):
+    """Decoded like inner ones; common punctuation around a word is dropped."""
+    model = toxicity.source_model(common.table(spark, "/root/testdata/sf0.01", "documents"))
+    reader = toxicity.Reader(model)
+    for text, word in (("a$$", "as"), ("idio+", "idiot"), ("!diot", "idiot"), ("|diot", "idiot"), ("worthle$$", "worthles"), ("a $ $", "as"), ('"idio+."', "idiot"), ("$tup!d", "stupid")):
+        assert word in reader.words(text), text
+    for text in ("idiot!", "idiot!!!", "(idiot)", "¡idiot!", "(idiot!).", "idiot,"):
+        assert reader.words(text) == {"idiot"}, text
+    assert reader.words("$100 (1995) + !! || 5+") == set()
+
+
 def test_empty_tables(spark, empty, vocabulary):
     path = vocabulary_path("word_bpe_49k.json")
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
