@@ -14,6 +14,10 @@ counts whatever its length.
 Edge cases: NULL texts and texts without letters get ``und`` and score 0, as
 does everything if no language was learned; ties go to the alphabetically
 first language; labels that are NULL are not learned from.
+
+``keep_known`` adds up the cosines of a text's trigrams, which is cheap for
+prototypes of many dimensions (``learn_wide``): the fewer there are, the more
+texts of unknown languages reach a bound by chance.
 """
 
 from __future__ import annotations
@@ -31,8 +35,16 @@ DIMENSIONS = 512
 UNKNOWN = "und"
 #: Labelled rows that profiles are learned from, about.
 SAMPLE_ROWS = 20_000
+#: Dimensions that tell known from unknown languages: a text without a learned
+#: trigram has cosine 0 with standard deviation 1 / sqrt(WIDE) = 0.0055.
+WIDE = 32_768
+#: Distinct trigrams whose cosines a task keeps; letters' signs it keeps, bytes.
+CACHE_TRIGRAMS, CACHE_SIGNS = 400_000, 64 << 20
+#: Trigram vectors held at once, bytes.
+BLOCK = 32 << 20
 _LETTER = np.array([chr(i).isalpha() for i in range(0x110000)])
 _VECTORS: dict[int, np.ndarray] = {}
+_SIGNS: dict[tuple[int, int], np.ndarray] = {}
 
 
 def letter(code: int) -> np.ndarray:
@@ -143,14 +155,109 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "
     )
 
 
+def _signs(code: int, n: int) -> np.ndarray:
+    """``letter`` in ``n`` dimensions, as bytes."""
+    if (code, n) not in _SIGNS:
+        if len(_SIGNS) * n > CACHE_SIGNS:
+            _SIGNS.clear()
+        _SIGNS[code, n] = np.random.default_rng([17, code]).choice(np.array([-1, 1], np.int8), n)
+    return _SIGNS[code, n]
+
+
+def _vectors(codes: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, vectors) of trigrams in ``n`` dimensions, block by block."""
+    step = max(1, BLOCK // (4 * n))
+    for at in range(0, len(codes), step):
+        part = codes[at : at + step].tolist()
+        out = np.empty((len(part), n), np.float32)
+        for i, c in enumerate(part):
+            a, b = _signs(c >> 42, n), _signs(c >> 21 & 0x1FFFFF, n)
+            pair = np.concatenate((a[-2:], a[:-2])) * np.concatenate((b[-1:], b[:-1]))
+            np.multiply(pair, _signs(c & 0x1FFFFF, n), out=out[i], casting="unsafe")
+        yield at, out
+
+
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in C.slices(batches, "text"):
+        row, code, count = trigrams(b.column(0).to_pylist())
+        norm = np.sqrt(np.bincount(row, count.astype(float) ** 2, b.num_rows))
+        names, lang = np.unique(np.array(b.column(1).to_pylist(), str), return_inverse=True)
+        distinct, at = np.unique(code, return_inverse=True)
+        total = np.bincount(lang[row] * len(distinct) + at, count / norm[row], len(names) * len(distinct))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[some // max(1, len(distinct))].tolist(), pa.string()), pa.array(distinct[some % max(1, len(distinct))]), pa.array(total[some])],
+            names=["lang", "code", "weight"],
+        )
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[str, np.ndarray] = {}
+    for b in batches:
+        lang, code, weight = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy(), b.column(2).to_numpy()
+        distinct, at = np.unique(code, return_inverse=True)
+        names = sorted(set(lang))
+        share = np.zeros((len(names), len(distinct)), np.float32)
+        for i, name in enumerate(names):
+            share[i] = np.bincount(at[lang == name], weight[lang == name], len(distinct))
+        for place, vectors in _vectors(distinct, WIDE):
+            for name, x in zip(names, share[:, place : place + len(vectors)] @ vectors, strict=True):
+                total[name] = total.get(name, 0) + x.astype(np.float64)
+    if total:
+        values = [pa.array([v.astype(np.float32) for v in total.values()], pa.list_(pa.float32()))]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total)), *values], names=["lang", "value"])
+
+
+def learn_wide(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
+    """``learn`` in WIDE dimensions, for ``keep_known``: the trigrams of the
+    sample are summed first, then each distinct one is made a vector once."""
+    labelled = C.some_rows(df.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()), id_col, rows).select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+    )
+    weights = labelled.mapInArrow(_weights, "lang string, code long, weight double").groupBy("lang", "code").agg(F.sum("weight").alias("weight"))
+    sums = C.staged(weights, "weights").coalesce(8).mapInArrow(_sums, "lang string, value array<float>")
+    out: dict[str, np.ndarray] = {}
+    for r in sums.collect():  # at most 8 vectors for each language
+        out[r["lang"]] = out.get(r["lang"], 0) + np.array(r["value"])
+    return {k: (v / np.linalg.norm(v)).astype(np.float32) for k, v in sorted(out.items()) if np.linalg.norm(v) > 0}
+
+
+class Cosines:
+    """The best cosine of texts with prototypes of any number of dimensions.
+    A trigram's cosines are computed once; its text adds them up."""
+
+    def __init__(self, prototypes: dict[str, np.ndarray]):
+        self.p = np.array(list(prototypes.values()), np.float32)
+        self.code, self.cosine = np.zeros(0, np.int64), np.zeros((0, len(self.p)), np.float32)
+
+    def best(self, texts: list[str]) -> np.ndarray:
+        """One value for each text; NaN without letters or prototypes."""
+        row, code, count = trigrams(texts)
+        if not len(self.p) or not len(row):
+            return np.full(len(texts), np.nan)
+        n = self.p.shape[1]
+        distinct, at = np.unique(code, return_inverse=True)
+        new = np.setdiff1d(distinct, self.code, True)
+        made = [vectors @ self.p.T / n**0.5 for _, vectors in _vectors(new, n)]
+        codes = np.concatenate((self.code, new))
+        order = np.argsort(codes)
+        self.code, self.cosine = codes[order], np.concatenate((self.cosine, *made))[order]
+        own = self.cosine[np.searchsorted(self.code, distinct)][at]
+        norm = np.sqrt(np.bincount(row, count.astype(float) ** 2, len(texts)))
+        sums = [np.bincount(row, count * own[:, i], len(texts)) for i in range(len(self.p))]
+        if len(self.code) > CACHE_TRIGRAMS:
+            self.code, self.cosine = self.code[:0], self.cosine[:0]
+        return np.where(norm > 0, np.maximum(np.max(sums, 0), 0) / np.maximum(norm, 1e-9), np.nan)
+
+
 def _known(held, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = _predict(held)
+        cosines = Cosines(held.value)
         for batch in batches:
             for b in C.slices(iter([batch.append_column("__row", pa.array(range(batch.num_rows)))]), "text"):
-                out = next(predict(iter([b.select(["__row", "text"])])))
-                keep = [r for r, p, s in zip(*(c.to_pylist() for c in out.columns), strict=True) if p != UNKNOWN and s >= least]
-                if keep:
+                best = cosines.best(b.column(b.schema.get_field_index("text")).to_pylist())
+                keep = b.column(b.num_columns - 1).to_numpy()[best >= least]
+                if len(keep):
                     yield batch.take(pa.array(keep))
 
     return run
@@ -158,7 +265,7 @@ def _known(held, least: float):
 
 def keep_known(df: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, as they are, whose text has a known language with
-    a score of ``least`` or more."""
+    a score of ``least`` or more; prototypes may have any dimension."""
     named = df.withColumnRenamed(text_col, "text")
     out = named.mapInArrow(_known(C.broadcast(df.sparkSession, prototypes), least), named.schema)
     return out.withColumnRenamed("text", text_col)

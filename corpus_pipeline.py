@@ -18,8 +18,9 @@ from babelframe.llm import languages, minhash, packing, secrets, suffixes
 from babelframe.llm.common import fold, staged, table
 from babelframe.llm.queries import vocabulary_path
 
-#: Lowest cosine with a language's profile that counts as known.
-LEAST_COSINE = 0.05
+#: Lowest cosine with a language's profile that counts as known: 4.5 standard
+#: deviations of a text of unlearned letters in languages.WIDE dimensions.
+LEAST_COSINE = 0.025
 #: Near-duplicates: five-word shingles, similarity 0.8.
 SHINGLE, SIMILARITY = 5, 80
 
@@ -29,7 +30,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prototypes = languages.learn(docs.filter(fold("doc_id", 5) != 0))
+    prototypes = languages.learn_wide(docs.filter(fold("doc_id", 5) != 0))
     return languages.keep_known(docs, prototypes, LEAST_COSINE)
 
 

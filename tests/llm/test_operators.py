@@ -374,6 +374,45 @@ def test_language_profiles(docs, hard, empty):
     assert None not in texts and "" not in texts and TEXTS[6] in texts
 
 
+def test_language_stage_at_its_production_threshold(spark):
+    """Texts in letters never learned go, short clean texts stay."""
+    import corpus_pipeline
+
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    rnd, rows = random.Random(3), []
+    for r in docs.filter(common.fold("doc_id", 5) == 0).collect():
+        w = r["text"].split()
+        for n in (1, 2, 3):
+            i = rnd.randrange(max(1, len(w) - n))
+            piece = " ".join(w[i : i + n])
+            rows += [(n, piece)] if any(c.isalpha() for c in piece) else []
+    for base in (0x370, 0x400, 0x530, 0x5D0, 0x620, 0x905, 0x985, 0xE01, 0x10A0, 0x1200, 0x3041, 0x4E00, 0xAC00):
+        for _ in range(20):
+            letters = [chr(c) for c in range(base, base + 200) if chr(c).isalpha()][:30]
+            rows.append((0, " ".join("".join(rnd.choices(letters, k=rnd.randint(2, 8))) for _ in range(rnd.randint(1, 60)))))
+    texts = spark.createDataFrame([(10**9 + 5 * i, t, None, str(n)) for i, (n, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    both = docs.select("doc_id", "text", "lang", F.lit(None).cast("string").alias("source")).union(texts)
+    kept = collections.Counter(r["source"] for r in corpus_pipeline.language_id(spark, both, "").select("source").collect())
+    given = collections.Counter(str(n) for n, _ in rows)
+    assert kept["0"] == 0 and kept[None] == docs.count()
+    assert kept["1"] >= 0.97 * given["1"] and kept["2"] >= 0.99 * given["2"] and kept["3"] >= 0.995 * given["3"]
+
+
+def test_wide_prototypes_against_the_definition(spark, monkeypatch):
+    """Cosines of summed trigrams are those of the bundled vectors."""
+    df = spark.createDataFrame([(1, "the cat and the hat", "en"), (2, "le chat et la lune", "fr"), (3, None, "fr"), (4, "1 2", "en")], "doc_id long, text string, lang string")
+    wide = languages.learn_wide(df)
+    assert list(wide) == ["en", "fr"] and all(v.shape == (languages.WIDE,) and abs(np.linalg.norm(v) - 1) < 1e-4 for v in wide.values())
+    assert languages.learn_wide(df.limit(0)) == {}
+    texts = ["the cat sat", "la lune", "", "12"]
+    got = languages.Cosines(wide).best(texts)
+    monkeypatch.setattr(languages, "DIMENSIONS", languages.WIDE)
+    monkeypatch.setattr(languages, "_VECTORS", {})
+    vectors, lettered = languages.bundles(texts)
+    cosine = (vectors @ np.array(list(wide.values())).T).max(1) / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)
+    assert np.isnan(got[2:]).all() and np.allclose(got[:2], cosine[:2], atol=0.03) and lettered.tolist() == [True, True, False, False]
+
+
 def test_bundles_against_the_definition():
     text = "ab é"
     padded, total = " ab é ", 0
