@@ -256,7 +256,8 @@ def near_duplicates(
 
 def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that ``found = near_duplicates(df)`` keeps; of
-    repeated rows (one id, or no id and one text) one stays."""
+    repeated rows (one id, or none, and one text) one stays."""
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("#"), F.sha2(F.coalesce(text_col, F.lit("")), 256)))
     gone = found.filter("NOT kept").select(F.col("doc_id").cast("string").alias("__key")).distinct()
-    return df.withColumn("__key", key).join(gone, "__key", "left_anti").dropDuplicates(["__key"]).select(*df.columns)
+    keyed = df.withColumn("__key", key).withColumn("__digest", F.sha2(text_col, 256))
+    return keyed.join(gone, "__key", "left_anti").dropDuplicates(["__key", "__digest"]).select(*df.columns)

@@ -34,15 +34,34 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return languages.keep_known(docs, prototypes, LEAST_COSINE)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: its doc_id, or, for rows without one and for
+    the further texts of a doc_id, a hash above 2**62 of the id and the text,
+    so that each (id, text) is a document and those with an id come first."""
+    digest = F.sha2("text", 256)
+    own = (F.xxhash64(F.col("doc_id"), F.coalesce(digest, F.lit(""))).bitwiseAND((1 << 61) - 1) + F.lit(1 << 62)).cast("long")
+    texts = F.coalesce(digest, F.lit(""))
+    several = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.min(texts).alias("__first"), F.max(texts).alias("__last"))
+    several = staged(several.filter("__first < __last").select("__id", "__first"), "several")
+    if several.isEmpty():
+        return docs.withColumn("__row", F.coalesce(F.col("doc_id").cast("long"), own))
+    further = F.col("doc_id").isNull() | (texts > F.col("__first"))
+    keyed = docs.join(several, F.col("doc_id") == F.col("__id"), "left")
+    return keyed.withColumn("__row", F.when(further, own).otherwise(F.col("doc_id").cast("long"))).drop("__id", "__first")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs, minhash.near_duplicates(docs, similarity=SIMILARITY, shingle=SHINGLE))
+    keyed = _keyed(docs)
+    found = minhash.near_duplicates(keyed, id_col="__row", similarity=SIMILARITY, shingle=SHINGLE)
+    return minhash.keep_one(keyed, found, id_col="__row").drop("__row")
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages but for their first document; a document of
-    which nothing is left goes."""
-    cut = _counted(suffixes.cut_passages(docs, suffixes.repeated_passages(docs, later_only=True)))
-    return cut.filter("text IS NULL OR text <> ''")
+    which a cut leaves nothing goes."""
+    keyed = _keyed(docs).withColumn("__empty", F.col("text") == "")
+    cut = suffixes.cut_passages(keyed, suffixes.repeated_passages(keyed, id_col="__row", later_only=True), id_col="__row")
+    return _counted(cut.filter("text IS NULL OR text <> '' OR __empty").drop("__row", "__empty"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

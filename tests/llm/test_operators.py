@@ -123,6 +123,27 @@ def test_rows_without_id_stay(hard):
     assert sorted(i for i in ids if i) == sorted({r["doc_id"] for r in found.collect() if r["doc_id"] and r["kept"]}) and ids.count(None) == 2
 
 
+def test_no_clean_row_is_lost_in_the_filtering_stages(spark):
+    """Texts that share an id are documents of their own, rows without id take
+    part, and an empty text goes only if a cut made it empty."""
+    import corpus_pipeline
+
+    a, b, c, d = (words(300, n) for n in (41, 42, 43, 44))
+    rows = [(1, a), (2, b), (2, b), (2, c), (3, d), (3, a), (4, ""), (5, None), (None, b), (None, words(80, 45)), (None, words(80, 45)), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    expected = [(1, a), (2, b), (2, c), (3, d), (4, ""), (5, None), (None, ""), (None, words(80, 45))]
+    assert sorted(map(tuple, kept.collect()), key=key) == sorted(expected, key=key)
+    rows = [(1, PASSAGE + " " + words(20, 46)), (2, PASSAGE), (3, ""), (4, words(90, 47)), (4, "x " + PASSAGE), (None, "y " + PASSAGE), (None, ""), (None, None)]
+    cut = corpus_pipeline.passage_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    expected = [rows[0], (3, ""), (4, words(90, 47)), (4, "x "), (None, "y "), (None, ""), (None, None)]
+    assert cut.columns == docs.columns and sorted(map(tuple, cut.collect()), key=key) == sorted(expected, key=key)
+    one = minhash.keep_one(docs, minhash.near_duplicates(docs))
+    assert {r["text"] for r in one.filter("doc_id = 2").collect()} == {b, c}
+
+
 def brute_passages(texts: dict, later: bool):
     at, spans = collections.defaultdict(set), []
     found = {i: [(m.start(), m.end(), m.group()) for m in WORD.finditer(t or "")] for i, t in texts.items()}
