@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from babelframe.llm import common, languages, minhash, neighbours, packing, pieces, quality, secrets, suffixes, topk, toxicity
+from babelframe.llm import common, languages, minhash, neighbours, packing, pieces, quality, queries, secrets, suffixes, topk, toxicity
 from babelframe.llm.queries import vocabulary_path
 
 DATA = "/root/testdata/sf0.001"
@@ -379,6 +379,11 @@ def test_pieces_round_trip(hard, vocabulary):
             assert r["decoded"] == texts[r["doc_id"]]
 
 
+def test_every_rank_of_the_query_is_decoded(spark):
+    rows = queries.op1_sentencepiece_nbest(spark, DATA).collect()
+    assert {r["rank"] for r in rows} == {1, 2, 3} and all(r["round_trip"] is True for r in rows)
+
+
 def test_language_profiles(docs, hard, empty):
     prototypes = languages.learn(docs.filter(common.fold("doc_id", 5) != 0))
     out = {r["doc_id"]: r for r in languages.identify(docs, prototypes).collect()}
