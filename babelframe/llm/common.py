@@ -23,6 +23,9 @@ from babelframe.session import work_path
 SLICE_BYTES = 2 << 20
 #: Largest object that may be broadcast.
 BROADCAST_BYTES = 64 << 20
+#: Keys of more rows than CROWDED_ROWS, and so many that there are at most
+#: CROWDED_KEYS of them, are joined in SALTS shares.
+CROWDED_ROWS, CROWDED_KEYS, SALTS = 1000, 100_000, 64
 
 U64 = np.uint64
 _BASE, _BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -69,6 +72,23 @@ def some_rows(df: DataFrame, id_col: str, rows: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int((1 << 30) * rows / n))
 
 
+def attach(left: DataFrame, right: DataFrame, keys: list[str], count: str, by: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key and in
+    ``count`` the key's rows in ``left``. A key may hold any share of
+    ``left``: the rows of crowded keys are dealt over SALTS sub-keys by a hash
+    of ``by``, and ``right``'s rows of just those keys are repeated for each.
+    ``right`` should be stored, as it is read three times."""
+    total = right.agg(F.sum(count).alias("n")).first()["n"] or 0
+    # so at most CROWDED_KEYS keys are crowded: the bound of the broadcast
+    crowded = right.filter(F.col(count) > max(CROWDED_ROWS, total // CROWDED_KEYS))
+    flag = F.broadcast(crowded.select(*keys, F.lit(True).alias("__crowded")))
+    salt = F.when(F.col("__crowded"), F.pmod(F.xxhash64(*by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    dealt = left.join(flag, keys, "left").withColumn("__salt", salt).drop("__crowded")
+    salts = F.sequence(F.lit(0), F.when(F.col(count) > max(CROWDED_ROWS, total // CROWDED_KEYS), SALTS - 1).otherwise(0))
+    spread = right.withColumn("__salt", F.explode(salts)).drop(count)
+    return dealt.join(spread, [*keys, "__salt"], how).drop("__salt")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of about ``limit`` bytes of ``column`` (one
     row at least), with NULL texts as empty ones."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from babelframe.llm import languages, minhash, neighbours, packing, pieces, quality, secrets, suffixes, topk, toxicity
+from babelframe.llm import languages, minhash, negatives, neighbours, packing, pieces, quality, resample, secrets, subspaces, suffixes, topk, toxicity
 from babelframe.llm.common import fold, table
 
 
@@ -108,6 +108,21 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_subspace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", noisy), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -121,5 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pivot_topk,
         op9_language_profiles,
         op10_minhash,
+        op11_subspace_dedup,
+        op12_importance_resampling,
+        op13_hard_negatives,
     )
 }

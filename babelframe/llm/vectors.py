@@ -33,6 +33,13 @@ def clean(df: DataFrame, id_col: str, vector_col: str, value: Callable[[Column],
     return out.select("id", F.transform("vec", lambda x: value(x) + F.lit(0.0)).alias("vec"))
 
 
+def common_length(rows: DataFrame, column: str = "vec") -> int:
+    """The most frequent length of the vectors (the smaller one at a tie; 0
+    if there are none). Vectors of other lengths have no products with them."""
+    top = rows.groupBy(F.size(column).alias("size")).count().orderBy(F.desc("count"), "size").first()
+    return top["size"] if top else 0
+
+
 def candidates(rows: DataFrame, k: int) -> DataFrame:
     """(gid, vec, ids): distinct vectors with their k + 1 smallest ids."""
     first = Window.partitionBy("vec").orderBy("id")
@@ -44,9 +51,18 @@ def distinct_queries(rows: DataFrame) -> DataFrame:
     return rows.groupBy("vec").agg(F.min("id").alias("qid")).select("qid", "vec")
 
 
-def grid(cands: DataFrame, queries: DataFrame, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], score: str, parts: int) -> DataFrame:
+def grid(
+    cands: DataFrame,
+    queries: DataFrame,
+    work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    score: str,
+    parts: int,
+    schema: str = "",
+) -> DataFrame:
     """``work(queries, candidates)`` on every cell. ``cands`` (part, gid, vec,
-    ids, ...), ``queries`` (part, qid, vec, ...); result (qid, id, score)."""
+    ids, ...), ``queries`` (part, qid, vec, ...); result (qid, id, score), or
+    what ``schema`` names."""
+    schema = schema or f"qid long, id long, score {score}"
     spark = cands.sparkSession
     n = cands.groupBy("part").count().collect()  # a row for each part
     m = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
@@ -70,10 +86,10 @@ def grid(cands: DataFrame, queries: DataFrame, work: Callable[[pd.DataFrame, pd.
 
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
-            return pd.DataFrame({"qid": [], "id": [], "score": []})
+            return pd.DataFrame({n.split()[0]: [] for n in schema.split(", ")})
         return work(q, c)
 
-    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(cell, f"qid long, id long, score {score}")
+    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(cell, schema)
 
 
 def matrix(column: pd.Series) -> np.ndarray:
