@@ -262,10 +262,11 @@ def curation_pipeline(
     one pass into a narrow staged table; complexity is min-max normalised
     over all rows (A6) before degenerate texts are dropped (F4); the exact
     stratified sample is drawn from the narrow table, its text fetched by a
-    broadcast of the sampled ids, sorted by complexity (L1) and written as
+    join of the stored sample, sorted by complexity (L1) and written as
     a one-file CSV (S11)."""
     _, _, degenerate = DG.repeat_stats(text_col)
     scored = ME.add_readability(data.select(id_col, text_col), text_col).withColumn("__degenerate", degenerate)
+    scored = scored.withColumn(SA.TEXT_MARK, F.xxhash64(text_col))
     cx = ME.add_complexity(scored.drop(text_col), keep=None, staged=True)
     kept = cx.filter(~F.col("__degenerate"))
     sample = SA.sample_rows(kept, id_col, n_samples=n_samples, n_bins=n_bins)
