@@ -1,178 +1,219 @@
 """N-gram sufficient statistics for BLEU (M6) and chrF (M7, A1).
 
 Counting clipped n-gram matches needs a per-row multiset intersection,
-which Catalyst has no built-in for; the counts therefore come from one
-Arrow-batched pandas UDF per metric (``Counter`` work inside the task). The
-score formulas are native column expressions over the returned counts, so
+which Catalyst has no built-in for; the counts come from Arrow-batched pandas
+UDFs. They work on whole batches: the characters (or tokens) of all
+hypotheses and references are numbered in one array, an n-gram's number is
+made from that of the n-gram one shorter and its last character, and the
+n-grams of all rows are sorted at once, packed with their row. Runs of equal
+numbers give the counts on either side, and the smaller of both is the match.
+The score formulas are native column expressions over the counts, so
 corpus-level scores are plain ``sum`` aggregates over the same arrays.
 
 Specs (public papers): BLEU - Papineni et al. 2002, one reference,
-whitespace tokens, n = 1..4. chrF - Popovic 2015/2017: character n-grams
-1..6 with whitespace removed, word n-grams 1..2 with one leading or
-trailing ASCII punctuation mark split off each token, beta = 2.
+whitespace tokens (or characters), n = 1..4. chrF - Popovic 2015/2017:
+character n-grams 1..6 with whitespace removed, word n-grams 1..2 with one
+leading or trailing ASCII punctuation mark split off each token, beta = 2.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from babelframe import constants as C
 
-_PUNCT = frozenset(C.ASCII_PUNCTUATION)
-
-
-# ------------------------------------------------------------ plain python
-def split_punctuation(tokens: list[str]) -> list[str]:
-    out: list[str] = []
-    for w in tokens:
-        if len(w) == 1:
-            out.append(w)
-        elif w[-1] in _PUNCT:
-            out += [w[:-1], w[-1]]
-        elif w[0] in _PUNCT:
-            out += [w[0], w[1:]]
-        else:
-            out.append(w)
+CHRF_COUNTS = 3 * (C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER)
+#: Characters worked on at a time; only memory depends on it.
+BATCH_CHARS = 1 << 20
+#: N-gram numbers and rows are packed below this.
+_PACKED = 1 << 62
+
+_SPACE = np.zeros(0x110000, bool)
+_SPACE[[c for c in range(0x3001) if chr(c).isspace()]] = True
+_PUNCT = np.zeros(0x110000, bool)
+_PUNCT[[ord(c) for c in C.ASCII_PUNCTUATION]] = True
+
+
+class Batch:
+    """The characters without whitespace of several texts: ``codes``, their
+    ``row``, and where words begin."""
+
+    def __init__(self, texts: list[str]):
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        row = np.repeat(np.arange(len(texts)), size)
+        solid = ~_SPACE[codes]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1] | (row[1:] != row[:-1])
+        self.codes, self.row, self.word = codes[solid], row[solid], begins[solid]
+        self.rows = len(texts)
+
+    def characters(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """(row, number, how many numbers) of every character."""
+        there = np.zeros(0x110000, bool)
+        there[self.codes] = True
+        return self.row, (np.cumsum(there) - 1)[self.codes], int(there.sum())
+
+    def words(self, split_punctuation: bool) -> tuple[np.ndarray, np.ndarray, int]:
+        """The same of every word; ``split_punctuation`` makes a final
+        punctuation mark, or else a leading one, a word of its own."""
+        begins = self.word
+        if split_punctuation and len(begins):
+            begins = begins.copy()
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:], len(begins)) - 1
+            longer, mark = last > first, _PUNCT[self.codes]
+            begins[last[longer & mark[last]]] = True
+            begins[first[longer & ~mark[last] & mark[first]] + 1] = True
+        first = np.flatnonzero(begins)
+        offsets = np.append(first, len(self.codes)).astype(np.int64) * 4
+        spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(self.codes.tobytes())])
+        coded = spans.dictionary_encode()
+        return self.row[first], coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def match_counts(units: tuple[np.ndarray, np.ndarray, int], pairs: int, order: int) -> np.ndarray:
+    """(pairs, order, 3): n-grams of the hypothesis, of the reference, and
+    clipped matches. Rows below ``pairs`` are hypotheses, the others their
+    references."""
+    row, unit, base = units
+    base = max(base, 1)
+    out = np.zeros((pairs, order, 3), np.int64)
+    start, gram, kinds = np.arange(len(unit)), unit, base
+    for n in range(order):
+        if n:
+            if kinds * base * pairs >= _PACKED:  # number anew those that occur
+                distinct, gram = np.unique(gram, return_inverse=True)
+                kinds = len(distinct)
+            ends = start + n
+            keep = ends < len(unit)
+            keep[keep] = row[ends[keep]] == row[start[keep]]
+            start, gram = start[keep], gram[keep]
+            gram, kinds = gram * base + unit[start + n], kinds * base
+        total = np.bincount(row[start], minlength=2 * pairs)
+        out[:, n, 0], out[:, n, 1] = total[:pairs], total[pairs:]
+        mine = row[start] < pairs
+        h, hn = _runs(row[start[mine]] * kinds + gram[mine])
+        r, rn = _runs((row[start[~mine]] - pairs) * kinds + gram[~mine])
+        if len(h) and len(r):
+            at = np.minimum(np.searchsorted(r, h), len(r) - 1)
+            same = r[at] == h
+            out[:, n, 2] = np.bincount(h[same] // kinds, weights=np.minimum(hn[same], rn[at[same]]), minlength=pairs)
     return out
 
 
-def _match_stats(h: Counter, r: Counter) -> list[int]:
-    match = 0
-    for g, c in h.items():
-        rc = r.get(g)
-        if rc:
-            match += c if c < rc else rc
-    return [sum(h.values()) if r else 0, sum(r.values()), match]
-
-
-# Long texts count character n-grams with numpy: characters are re-coded
-# to dense ids over the pair's alphabet and each n-gram packed into one
-# uint64 (n fixed-width fields), so sorting integers replaces hashing
-# strings. Exact while n * bits <= 63; otherwise (huge alphabets) and for
-# short texts, Counter is used. Both give equal counts.
-NUMPY_MIN_CHARS = 64
-
-
-def _codes(s: str) -> np.ndarray:
-    return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
-
-
-def _packed_char_stats(hc: str, rc: str, char_order: int) -> list[int] | None:
-    h, r = _codes(hc), _codes(rc)
-    _, inv = np.unique(np.concatenate([h, r]), return_inverse=True)
-    ids = inv.astype(np.uint64) + np.uint64(1)
-    bits = int(ids.max()).bit_length() if len(ids) else 1
-    if bits * char_order > 63:
-        return None
-    shift = np.uint64(bits)
-    hk, rk = ids[: len(h)], ids[len(h) :]
-    out: list[int] = []
-    for n in range(1, char_order + 1):
-        if n > 1:
-            hk = (hk[:-1] << shift) | ids[n - 1 : len(h)] if len(hk) > 1 else hk[:0]
-            rk = (rk[:-1] << shift) | ids[len(h) + n - 1 :] if len(rk) > 1 else rk[:0]
-        nh, nr = len(hk), len(rk)
-        if nr == 0:
-            out += [0, 0, 0]
-            continue
-        if nh == 0:
-            out += [0, nr, 0]
-            continue
-        hu, hcnt = np.unique(hk, return_counts=True)
-        ru, rcnt = np.unique(rk, return_counts=True)
-        _, hi, ri = np.intersect1d(hu, ru, assume_unique=True, return_indices=True)
-        out += [nh, nr, int(np.minimum(hcnt[hi], rcnt[ri]).sum())]
-    return out
+def _slices(hyp: list[str], ref: list[str]) -> Iterator[slice]:
+    """Rows cut so that their characters stay within BATCH_CHARS (a row at least)."""
+    size = np.fromiter(map(len, hyp), np.int64, len(hyp)) + np.fromiter(map(len, ref), np.int64, len(ref))
+    ends, at, done = np.cumsum(size), 0, 0
+    while at < len(hyp):
+        to = max(at + 1, int(np.searchsorted(ends, done + BATCH_CHARS, "right")))
+        yield slice(at, to)
+        at, done = to, int(ends[to - 1])
+
+
+def _texts(values) -> list[str]:
+    return pd.Series(values, dtype=object).fillna("").tolist()
 
 
-def chrf_stats(
-    hyp: str | None,
-    ref: str | None,
+def chrf_batch(
+    hyp,
+    ref,
     lowercase: bool = False,
     char_order: int = C.CHRF_CHAR_ORDER,
     word_order: int = C.CHRF_WORD_ORDER,
-) -> list[int]:
-    """3 counts (hyp, ref, match) per order: chars 1..6 then words 1..2."""
-    hyp = hyp or ""
-    ref = ref or ""
-    if lowercase:
-        hyp, ref = hyp.lower(), ref.lower()
-    out: list[int] = []
-    hc, rc = "".join(hyp.split()), "".join(ref.split())
-    packed = _packed_char_stats(hc, rc, char_order) if max(len(hc), len(rc)) >= NUMPY_MIN_CHARS else None
-    if packed is not None:
-        out += packed
-    else:
-        for n in range(1, char_order + 1):
-            h = Counter(hc[i : i + n] for i in range(len(hc) - n + 1))
-            r = Counter(rc[i : i + n] for i in range(len(rc) - n + 1))
-            out += _match_stats(h, r)
-    hw, rw = split_punctuation(hyp.split()), split_punctuation(ref.split())
-    for n in range(1, word_order + 1):
-        h = Counter(" ".join(hw[i : i + n]) for i in range(len(hw) - n + 1))
-        r = Counter(" ".join(rw[i : i + n]) for i in range(len(rw) - n + 1))
-        out += _match_stats(h, r)
+) -> np.ndarray:
+    """3 counts (hyp, ref, match) per row and order: chars 1..6, then words
+    1..2. An order that the reference has no n-gram of counts none of the
+    hypothesis. NULLs are empty texts."""
+    hyp, ref = _texts(hyp), _texts(ref)
+    out = np.zeros((len(hyp), char_order + word_order, 3), np.int64)
+    for part in _slices(hyp, ref):
+        texts = hyp[part] + ref[part]
+        pairs = len(texts) // 2
+        b = Batch(list(map(str.lower, texts)) if lowercase else texts)
+        out[part, :char_order] = match_counts(b.characters(), pairs, char_order)
+        out[part, char_order:] = match_counts(b.words(True), pairs, word_order)
+    out[:, :, 0][out[:, :, 1] == 0] = 0
+    return out.reshape(len(hyp), -1)
+
+
+def bleu_batch(hyp, ref, tokenize: str = "words", max_order: int = C.BLEU_MAX_ORDER) -> np.ndarray:
+    """[hyp_len, ref_len, m_1..m_N] of each row with clipped matches m_n.
+    ``tokenize``: ``words`` (parted by whitespace) or ``char`` (each character
+    but whitespace), for scripts written without spaces."""
+    if tokenize not in ("words", "char"):
+        raise ValueError(f"tokenize is 'words' or 'char', not {tokenize!r}")
+    hyp, ref = _texts(hyp), _texts(ref)
+    out = np.zeros((len(hyp), 2 + max_order), np.int64)
+    for part in _slices(hyp, ref):
+        b = Batch(hyp[part] + ref[part])
+        counts = match_counts(b.words(False) if tokenize == "words" else b.characters(), b.rows // 2, max_order)
+        out[part, :2] = counts[:, 0, :2]
+        out[part, 2:] = counts[:, :, 2]
     return out
 
 
-def bleu_stats(hyp: str | None, ref: str | None, max_order: int = C.BLEU_MAX_ORDER) -> list[int]:
-    """[hyp_len, ref_len, m_1..m_N] with clipped matches m_n."""
-    h = (hyp or "").split()
-    r = (ref or "").split()
-    out = [len(h), len(r)]
-    for n in range(1, max_order + 1):
-        hc = Counter(tuple(h[i : i + n]) for i in range(len(h) - n + 1))
-        rc = Counter(tuple(r[i : i + n]) for i in range(len(r) - n + 1))
-        out.append(sum(min(c, rc[g]) for g, c in hc.items() if g in rc))
-    return out
+def chrf_stats(hyp: str | None, ref: str | None, lowercase: bool = False) -> list[int]:
+    """``chrf_batch`` of one pair."""
+    return chrf_batch([hyp], [ref], lowercase)[0].tolist()
 
 
-# ------------------------------------------------------ Arrow-batched UDFs
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def chrf_counts_udf(hyp: pd.Series, ref: pd.Series, lowercase: pd.Series) -> pd.Series:
-    return pd.Series([chrf_stats(h, r, bool(lc)) for h, r, lc in zip(hyp, ref, lowercase)])
+def bleu_stats(hyp: str | None, ref: str | None, tokenize: str = "words") -> list[int]:
+    """``bleu_batch`` of one pair."""
+    return bleu_batch([hyp], [ref], tokenize)[0].tolist()
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def bleu_counts_udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([bleu_stats(h, r) for h, r in zip(hyp, ref)])
+# ------------------------------------------------------ Arrow-batched UDFs
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def chrf_counts_many(specs: list[tuple[Column | str, Column | str, bool]]) -> Column:
     """Counts for several (hyp, ref, lowercase) pairs of one row in a single
-    Arrow pass: ``array<array<bigint>>``, one count array per pair."""
+    Arrow pass: one array with CHRF_COUNTS numbers a pair (see ``chrf_of``)."""
     flags = [bool(lc) for _, _, lc in specs]
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+    @F.pandas_udf(T.ArrayType(T.LongType()))
     def counts(pairs: pd.DataFrame) -> pd.Series:
-        k = len(flags)
-        return pd.Series(
-            [[chrf_stats(row[2 * j], row[2 * j + 1], flags[j]) for j in range(k)] for row in pairs.itertuples(index=False)]
-        )
+        found = [chrf_batch(pairs[f"h{j}"], pairs[f"r{j}"], lc) for j, lc in enumerate(flags)]
+        return pd.Series(list(np.concatenate(found, 1)))
 
     cols = []
     for j, (h, r, _) in enumerate(specs):
-        cols.append((F.col(h) if isinstance(h, str) else h).alias(f"h{j}"))
-        cols.append((F.col(r) if isinstance(r, str) else r).alias(f"r{j}"))
+        cols += [_column(h).alias(f"h{j}"), _column(r).alias(f"r{j}")]
     return counts(F.struct(*cols))
 
 
+def chrf_of(many: Column, j: int) -> Column:
+    """The counts of pair ``j`` of ``chrf_counts_many``."""
+    return F.slice(many, j * CHRF_COUNTS + 1, CHRF_COUNTS)
+
+
 def chrf_counts(hyp: Column | str, ref: Column | str, lowercase: bool = False) -> Column:
-    h = F.col(hyp) if isinstance(hyp, str) else hyp
-    r = F.col(ref) if isinstance(ref, str) else ref
-    return chrf_counts_udf(h, r, F.lit(lowercase))
+    return chrf_counts_many([(hyp, ref, lowercase)])
 
 
-def bleu_counts(hyp: Column | str, ref: Column | str) -> Column:
-    h = F.col(hyp) if isinstance(hyp, str) else hyp
-    r = F.col(ref) if isinstance(ref, str) else ref
-    return bleu_counts_udf(h, r)
+def bleu_counts(hyp: Column | str, ref: Column | str, tokenize: str = "words") -> Column:
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def counts(h: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series(list(bleu_batch(h, r, tokenize)))
+
+    return counts(_column(hyp), _column(ref))
 
 
 # ----------------------------------------------------- native score formulas
@@ -224,8 +265,3 @@ def bleu_from_counts(stats: Column, max_order: int = C.BLEU_MAX_ORDER) -> Column
         logsum = logsum + F.lit(w) * F.log(p)
     bp = F.when(c > r, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(F.exp(F.lit(1.0) - r / c))
     return F.when((c == 0) | (stats[2] == 0), F.lit(0.0)).otherwise(bp * F.exp(logsum))
-
-
-def sum_counts(stats: Column, length: int) -> list[Column]:
-    """Aggregate expressions summing each position of the count arrays."""
-    return [F.sum(stats[i]).alias(f"__s{i}") for i in range(length)]

@@ -97,10 +97,11 @@ def repeated_tokens(prediction: Column | str, reference: Column | str, pattern:
 
 
 # ------------------------------------------------------------- M6 / M7 / A1
-def sentence_bleu(df: DataFrame, hyp: str, ref: str, out_col: str = "bleu") -> DataFrame:
-    """M6 per row."""
+def sentence_bleu(df: DataFrame, hyp: str, ref: str, out_col: str = "bleu", tokenize: str = "words") -> DataFrame:
+    """M6 per row. ``tokenize="char"`` scores characters instead of words, so
+    that texts written without spaces score above 0."""
     return (
-        df.withColumn("__bleu_st", NG.bleu_counts(hyp, ref))
+        df.withColumn("__bleu_st", NG.bleu_counts(hyp, ref, tokenize))
         .withColumn(out_col, NG.bleu_from_counts(F.col("__bleu_st")))
         .drop("__bleu_st")
     )
@@ -120,9 +121,12 @@ def sentence_chrf_many(df: DataFrame, specs: list[tuple[str, str, str, bool]]) -
     """M7 for several (hyp, ref, out_col, lowercase) pairs per row, counted in
     one Arrow pass."""
     out = df.withColumn("__chrf_many", NG.chrf_counts_many([(h, r, lc) for h, r, _, lc in specs]))
+    # each pair's counts are a column first: the score formula folds over them
+    parts = [f"__chrf_{j}" for j in range(len(specs))]
+    out = out.withColumns({p: NG.chrf_of(F.col("__chrf_many"), j) for j, p in enumerate(parts)})
     for j, (_, _, name, _) in enumerate(specs):
-        out = out.withColumn(name, NG.chrf_from_counts(F.col("__chrf_many")[j]))
-    return out.drop("__chrf_many")
+        out = out.withColumn(name, NG.chrf_from_counts(F.col(f"__chrf_{j}")))
+    return out.drop("__chrf_many", *parts)
 
 
 def corpus_chrf(df: DataFrame, hyp: str, ref: str, lowercase: bool = False, out_col: str = "chrf") -> DataFrame:
@@ -134,12 +138,11 @@ def corpus_chrf(df: DataFrame, hyp: str, ref: str, lowercase: bool = False, out_
 def corpus_chrf_many(df: DataFrame, specs: list[tuple[str, str, str, bool]]) -> DataFrame:
     """A1 for several (hyp, ref, out_col, lowercase) pairs in one pass: one
     aggregate sums every count array, then each score is a formula."""
-    n = 3 * (C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER)
-    many = df.select(NG.chrf_counts_many([(h, r, lc) for h, r, _, lc in specs]).alias("__many"))
-    stats = many.select(*[F.col("__many")[j].alias(f"__st{j}") for j in range(len(specs))])
+    n = NG.CHRF_COUNTS
+    stats = df.select(NG.chrf_counts_many([(h, r, lc) for h, r, _, lc in specs]).alias("__many"))
     sums = [F.count(F.lit(1)).alias("n_rows")]
     for j in range(len(specs)):
-        sums += [F.sum(F.col(f"__st{j}")[i]).alias(f"__s{j}_{i}") for i in range(n)]
+        sums += [F.sum(F.col("__many")[j * n + i]).alias(f"__s{j}_{i}") for i in range(n)]
     agg = stats.agg(*sums)
     scores = [
         NG.chrf_from_counts(F.array(*[F.col(f"__s{j}_{i}") for i in range(n)])).alias(out)

@@ -159,6 +159,52 @@ def test_chrf_stats_identical_is_perfect(words):
         assert m == r and (h == r or r == 0)
 
 
+TEXT = st.text(st.sampled_from("ab .,é中文\u3000\x1c\n'😀"), max_size=25)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), TEXT), st.one_of(st.none(), TEXT)), min_size=1, max_size=8), st.booleans())
+def test_batches_count_as_rows_do(pairs, small):
+    """Whole batches against counters of single rows, also where the numbers
+    of n-grams are packed anew."""
+    held = NG._PACKED, NG.BATCH_CHARS
+    if small:
+        NG._PACKED, NG.BATCH_CHARS = 400, 30
+    try:
+        chrf = NG.chrf_batch(*zip(*pairs)).tolist()
+        words = NG.bleu_batch(*zip(*pairs)).tolist()
+        chars = NG.bleu_batch(*zip(*pairs), tokenize="char").tolist()
+    finally:
+        NG._PACKED, NG.BATCH_CHARS = held
+
+    def match(h, r):
+        h, r = Counter(h), Counter(r)
+        return [sum(h.values()), sum(r.values()), sum((h & r).values())]
+
+    def grams(x, n):
+        return [tuple(x[i : i + n]) for i in range(len(x) - n + 1)]
+
+    for (h, r), got, w, c in zip(pairs, chrf, words, chars):
+        h, r = h or "", r or ""
+        want = []
+        for n, (a, b) in [(n, ("".join(h.split()), "".join(r.split()))) for n in range(1, 7)] + [(n, (_toks(h), _toks(r))) for n in (1, 2)]:
+            x = match(grams(a, n), grams(b, n))
+            want += [x[0] if x[1] else 0, *x[1:]]
+        assert got == want
+        for found, (a, b) in ((w, (h.split(), r.split())), (c, ("".join(h.split()), "".join(r.split())))):
+            assert found == [len(a), len(b), *[match(grams(a, n), grams(b, n))[2] for n in range(1, 5)]]
+
+
+def test_bleu_of_characters(spark):
+    """Scripts without spaces: 0 by words, perfect by characters."""
+    df = spark.createDataFrame([("一只红色的风筝", "一只红色的风筝"), ("赤い凧が空に", "赤い凧が海に")], "hyp string, ref string")
+    words = [r["bleu"] for r in ME.sentence_bleu(df, "hyp", "ref").collect()]
+    chars = [r["bleu"] for r in ME.sentence_bleu(df, "hyp", "ref", tokenize="char").collect()]
+    assert words[0] < 1e-6 and chars[0] == pytest.approx(1.0) and 0 < chars[1] < 1
+    with pytest.raises(ValueError):
+        NG.bleu_batch(["a"], ["a"], tokenize="bytes")
+
+
 def test_chrf_flag_threshold_units(spark):
     df = spark.createDataFrame([(0.4,), (0.5,), (49.0,), (50.0,)], "s double")
     got = [tuple(r) for r in df.select(ME.chrf_flag("s"), ME.chrf_flag("s", 50.0)).collect()]
