@@ -32,8 +32,8 @@ _BASE, _BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _RUN, _RUN_INV = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -161,7 +161,7 @@ def words(text: pa.Array, lower: bool = False, chars: bool = False) -> Words:
     s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     row = np.searchsorted(offs, s, "right") - 1
     total = np.zeros(n + 1, U64)
-    np.cumsum((_LOWER[raw] if lower else raw).astype(U64) * powers(_BASE, n) + powers(_BASE, n), out=total[1:])
+    np.cumsum((LOWER[raw] if lower else raw).astype(U64) * powers(_BASE, n) + powers(_BASE, n), out=total[1:])
     h = mix((total[e] - total[s]) * powers(_BASE_INV, n + 1)[s], 1) if len(s) else np.zeros(0, U64)
     char = None
     if chars:
@@ -185,6 +185,64 @@ def runs(w: Words, k: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np
     return at, mix((total[at + k] - total[at]) * powers(_RUN_INV, len(w.hash) + 1)[at], k + 1)
 
 
+def distinct_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct byte strings among the spans of ``raw`` (in order, not
+    overlapping), and which of them each span is."""
+    size = end - start
+    inside = np.zeros(len(raw) + 1, np.int8)
+    inside[start] += 1
+    inside[end] -= 1
+    held = raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+    offsets = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=offsets[1:])
+    spans = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(held.tobytes())])
+    coded = spans.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
+
+
+def joined(values: list[bytes], which: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The bytes ``values[which[0]] + values[which[1]] + ...``, and where each
+    of them begins (and the last ends)."""
+    picked = pa.array(values, pa.binary()).take(pa.array(which))
+    _, offsets, data = picked.buffers()
+    return memoryview(data if data is not None else b""), np.frombuffer(offsets, np.int32)[: len(which) + 1].astype(np.int64)
+
+
+class Cache:
+    """What a worker process has computed, by key, in two generations bounded
+    by bytes: when the young one is full it becomes the old one, and the old
+    one goes. An entry that is used again moves to the young one. Only speed
+    depends on it."""
+
+    def __init__(self, limit: int, size):
+        self.limit, self.size = limit // 2, size
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = 0
+
+    def split(self, keys: list) -> list:
+        """The keys that are not held; held ones are made young."""
+        young, old, missing = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                found = old.get(k)
+                if found is None:
+                    missing.append(k)
+                else:
+                    young[k] = found
+                    self.held += self.size(k, found)
+        return missing
+
+    def put(self, keys: list, values: list) -> None:
+        self.young.update(zip(keys, values, strict=True))
+        self.held += sum(map(self.size, keys, values))
+
+    def turn(self) -> None:
+        """Between two batches: lets the generations move on."""
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+
+
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and the number of them in each row."""
     offsets = np.zeros(len(counts) + 1, np.int32)

@@ -12,7 +12,7 @@ sequences with the same room takes as many pieces of a length as fit before
 the next run is asked for, which is what piece-by-piece best fit does. The
 plan, whose size depends on ``capacity`` alone, maps ranks within a length to
 (sequence, offset). Ranks come from counts per (length, bucket), so no length
-is ranked in one task.
+is ranked in one task; the number of buckets grows with the rows of a length.
 
 Edge cases: a NULL or empty text is the end id alone; repeated rows are
 packed each; a row without doc_id is packed as well; an empty table gives no
@@ -25,6 +25,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -37,28 +38,61 @@ from babelframe.llm import common as C
 
 CAPACITY = 4096
 END_ID = 1
-#: Ranks within a length are dealt over so many buckets.
-BUCKETS = 256
-#: Words held by a task's cache; only speed depends on it.
-CACHE_WORDS = 200_000
+#: Ranks within a length are dealt over buckets of about so many pieces.
+BUCKET_ROWS = 1000
+#: Bytes of a worker's cache of parts, and of a batch of texts; only speed and
+#: memory depend on them.
+CACHE_BYTES, BATCH_BYTES = 160 << 20, 4 << 20
 CACHED_LENGTH = 64
 
-# Cuts only where the vocabulary's own normaliser makes a single space, which
-# its word pattern never crosses.
-_WORD = re.compile(r"[^ \t\n\r]+")
-# The word pattern also always parts a letter from a sign that is no
-# apostrophe; here for the letters and signs of Latin-1.
-_PART = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+# Texts are cut only where the vocabulary's own normaliser makes a single
+# space, which its word pattern never crosses, and between a letter and a sign
+# that is no apostrophe, which that pattern always parts; here for the letters
+# and signs of Latin-1, as UTF-8 bytes.
+_BLANK, _LETTER, _SIGN = (np.zeros(256, bool) for _ in range(3))
+_BLANK[[0x20, 9, 10, 13]] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[[x for x in range(33, 127) if not _LETTER[x] and x != 39 and not 48 <= x <= 57]] = True
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN_LEAD, _NOT_LETTERS = 0xC3, (0x97, 0xB7)  # U+00D7 and U+00F7 are signs
+
+
+def part_spans(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the parts of several texts in one buffer; ``rows``:
+    where each text begins, and the end of the last."""
+    n = len(raw)
+    blank = _BLANK[raw]
+    letter, sign = _LETTER[raw], _SIGN[raw]
+    tail = np.zeros(n, bool)  # the last byte of a letter of Latin-1
+    tail[1:] = (raw[:-1] == _LATIN_LEAD) & (raw[1:] != _NOT_LETTERS[0]) & (raw[1:] != _NOT_LETTERS[1])
+    lead = np.zeros(n, bool)
+    lead[:-1] = tail[1:]
+    cut = np.zeros(n + 1, bool)
+    cut[1:-1] = (letter | tail)[:-1] & sign[1:] | sign[:-1] & (letter | lead)[1:]
+    whole = raw.tobytes()
+    at = whole.find(b"<|")
+    if at >= 0:  # special tokens would be cut apart: words with their mark stay whole
+        word = np.cumsum(blank)
+        marked = []
+        while at >= 0:
+            marked.append(word[at])
+            at = whole.find(b"<|", at + 1)
+        cut[1:-1] &= ~np.isin(word[1:], marked)
+    cut[rows] = True
+    cut[1:-1] |= blank[1:] != blank[:-1]
+    edges = np.flatnonzero(cut)
+    start, end = edges[:-1], edges[1:]
+    solid = ~blank[start] if n else np.zeros(0, bool)
+    return start[solid], end[solid]
 
 
 class Encoder:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The vocabulary works word by word, so the ids of a text are those of its
-    space-separated words in order, and those of a word are those of its
-    parts. Words and parts seen before are looked up; new parts of letters
-    are encoded in one go, as each of them is one word of the vocabulary.
+    The ids of a text are those of its parts in order. The parts of a whole
+    batch are found and counted apart in one go; those seen before are looked
+    up, and new parts of letters are encoded together, as each of them is one
+    word of the vocabulary.
     """
 
     def __init__(self, vocabulary: bytes):
@@ -66,47 +100,74 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def learn(self, words: list[str]) -> None:
-        # special tokens would be cut apart by the finer pattern
-        split = [[w] if "<|" in w else _PART.split(w) for w in words]
-        new = {p for ps in split for p in ps if p not in self.parts}
-        letters = [p for p in new if _LETTERS.fullmatch(p)]
-        for i in range(0, len(letters), 5000):
-            some = letters[i : i + 5000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+        # a bytes object, a dict entry and the ids
+        self.cache = C.Cache(CACHE_BYTES, lambda k, v: 170 + len(k) + len(v))
+
+    def learn(self, parts: list[bytes]) -> list[bytes]:
+        texts = [p.decode() for p in parts]
+        letters = [i for i, t in enumerate(texts) if _LETTERS.fullmatch(t)]
+        out: list = [None] * len(parts)
+        for at in range(0, len(letters), 5000):
+            some = letters[at : at + 5000]
+            found = self.tokenizer.encode(" ".join([texts[i] for i in some]), add_special_tokens=False)
             ids = np.array(found.ids, "<u4").tobytes()
             ends = (4 * np.searchsorted(found.word_ids, np.arange(len(some) + 1))).tolist()
-            self.parts.update((p, ids[a:b]) for p, a, b in zip(some, ends, ends[1:], strict=False))
-        others = [p for p in new if p not in self.parts]
-        for i in range(0, len(others), 1000):
-            found = self.tokenizer.encode_batch(others[i : i + 1000], add_special_tokens=False)
-            self.parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(others[i : i + 1000], found, strict=True))
-        self.words.update((w, b"".join([self.parts[p] for p in ps])) for w, ps in zip(words, split, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        for cache in (self.words, self.parts):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-        words = self.words
-        split = [_WORD.findall(t) for t in texts]
-        self.learn(list({w for ws in split for w in ws if w not in words}))
-        out = [b"".join([words[w] for w in ws]) for ws in split]
-        for cache in (self.words, self.parts):
-            for w in [w for w in cache if len(w) > CACHED_LENGTH]:
-                del cache[w]
+            for i, a, b in zip(some, ends, ends[1:], strict=False):
+                out[i] = ids[a:b]
+        others = [i for i, x in enumerate(out) if x is None]
+        for at in range(0, len(others), 1000):
+            some = others[at : at + 1000]
+            found = self.tokenizer.encode_batch([texts[i] for i in some], add_special_tokens=False)
+            for i, e in zip(some, found, strict=True):
+                out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 
+    def ids(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of distinct parts."""
+        cache = self.cache
+        cache.turn()
+        new = cache.split(parts)
+        found = self.learn(new)
+        short = [i for i, p in enumerate(new) if len(p) <= CACHED_LENGTH]
+        cache.put([new[i] for i in short], [found[i] for i in short])
+        if len(short) == len(new):
+            return list(map(cache.young.__getitem__, parts))
+        own = dict(zip(new, found, strict=True))
+        return [own[p] if p in own else cache.young[p] for p in parts]
+
+    def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """The ids of all texts in a row, and where those of each begin (and
+        the last end), in bytes."""
+        raw, rows = C.text_bytes(texts)
+        # a lower-case letter has the ids of its capital, but where a mark
+        # follows that joins one of them only, and in special tokens
+        if not ((raw == 0xCC) | (raw == 0xCD)).any() and b"<|" not in raw.tobytes():
+            raw = C.LOWER[raw]
+        start, end = part_spans(raw, rows)
+        parts, which = C.distinct_spans(raw, start, end)
+        flat, ends = C.joined(self.ids(parts), which)
+        return flat, ends[np.searchsorted(start, rows)]
+
+
+#: The encoder of each vocabulary that this worker process has used.
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(vocabulary: bytes) -> Encoder:
+    key = hash(vocabulary)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(vocabulary)
+    return _ENCODERS[key]
+
 
 def _pieces(vocabulary, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
-        for b in C.slices(batches, "text"):
-            ids = [x + end for x in encoder.encode(b.column(1).to_pylist())]
+        encoder = encoder_of(vocabulary.value)
+        for b in C.slices(batches, "text", BATCH_BYTES):
+            raw, ends = encoder.encode(b.column(1))
+            ids = [bytes(raw[i:j]) + end for i, j in pairwise(ends.tolist())]
             rows = [(i, p, x[at : at + 4 * capacity]) for i, x in enumerate(ids) for p, at in enumerate(range(0, len(x), 4 * capacity))]
             row, piece, part = zip(*rows, strict=True)
             piece = np.array(piece, np.int32)
@@ -229,9 +290,11 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ids_crc32, ...), stored already so
     that they read alike each time, with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
+    histogram = pieces.groupBy("length").agg(F.count("*").alias("n"))
+    lengths = {r["length"]: r["n"] for r in histogram.collect()}  # at most ``capacity`` rows
+    shares = spark.createDataFrame([(k, -(-n // BUCKET_ROWS)) for k, n in lengths.items()], "length long, buckets long")
+    dealt = pieces.join(F.broadcast(shares), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "buckets"))
     counts = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     rows = plan(lengths, capacity)
     held = C.broadcast(spark, rows[np.lexsort((rows[:, 1], rows[:, 0]))])
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
