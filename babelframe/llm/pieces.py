@@ -32,9 +32,10 @@ each; a lone surrogate cannot occur in a Spark string.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
-import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import pairwise
@@ -42,14 +43,16 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from babelframe.llm import common as C
 
 NBEST = 3
-#: Lattices held by a task's caches; only speed depends on it.
-CACHED = 250_000
+#: Bytes of each of a worker's caches, and of a batch of texts; only speed and
+#: memory depend on them.
+CACHE_BYTES, BATCH_BYTES = 144 << 20, 3 << 20
 LONG_WORD = 32
 SPACE = "▁"
 _UNIT = 1_000_000
@@ -62,18 +65,21 @@ NO_CHANGE = 1 << 60
 @dataclass
 class Vocabulary:
     """Pieces (with spaces) by their spelling, with whole-number scores;
-    ``byte``: id and score of each byte piece."""
+    ``byte``: id and score of each byte piece; ``key`` tells vocabularies
+    apart in a worker."""
 
     pieces: dict[str, tuple[int, int]]
     byte: list[tuple[int, int]]
     spelled: dict[int, bytes]
+    key: str = ""
 
 
 def read_vocabulary(path: str, scores: str = "zipf") -> Vocabulary:
     """The pieces of a model file; read on the driver."""
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_proto=Path(path).read_bytes())
+    raw = Path(path).read_bytes()
+    model = sentencepiece.SentencePieceProcessor(model_proto=raw)
     pieces, byte, spelled, rank = {}, [(-1, 0)] * 256, {}, 0
     for i in range(model.get_piece_size()):
         text = model.id_to_piece(i)
@@ -92,7 +98,7 @@ def read_vocabulary(path: str, scores: str = "zipf") -> Vocabulary:
     if min(byte)[0] < 0:
         raise ValueError("the model has no byte pieces")
     least = min((s for _, s in pieces.values()), default=0)
-    return Vocabulary(pieces, [(i, least - _UNIT) for i, _ in byte], spelled)
+    return Vocabulary(pieces, [(i, least - _UNIT) for i, _ in byte], spelled, f"{hashlib.sha256(raw).hexdigest()}:{scores}")
 
 
 class Tail:
@@ -299,15 +305,31 @@ class Batch:
         return out
 
 
+class Spelling:
+    """The bytes of every id."""
+
+    def __init__(self, spelled: dict[int, bytes]):
+        self.of = [spelled.get(i, b"") for i in range(max(spelled, default=0) + 1)]
+
+    def texts(self, ids: list[bytes]) -> tuple[bytes, list[int]]:
+        """The bytes that several segmentations spell, and where each of them ends."""
+        flat, at = C.joined(self.of, np.frombuffer(b"".join(ids), "<u4"))
+        return bytes(flat), at[np.cumsum([len(x) // 4 for x in ids]).astype(np.int64)].tolist()
+
+
 class Segmenter:
-    """N-best segmentations of whole texts."""
+    """N-best segmentations of whole texts, a batch at a time: the words of
+    all its texts are found and told apart in one go, and each distinct one is
+    looked up or searched once."""
 
     def __init__(self, v: Vocabulary, n: int):
         self.lattices, self.n = Lattices(v), n
         self.batch = Batch(self.lattices)
-        self.words: dict[str, tuple[bytes, int, int]] = {}
-        self.known: dict[str, tuple[bytes, int, int]] = {}
-        self.searched: dict[str, list] = {}
+        self.spelling = Spelling(v.spelled)
+        # a key, a tuple, two numbers and the ids, with their places in a dict
+        self.words = C.Cache(CACHE_BYTES, lambda k, x: 330 + len(k) + len(x[0]))
+        self.known = C.Cache(CACHE_BYTES // 2, lambda k, x: 330 + 4 * len(k) + len(x[0]))
+        self.searched = C.Cache(CACHE_BYTES // 8, lambda k, x: 400 + 4 * len(k) + sum(200 + len(b) + 8 * len(i) for _, b, i in x))
         inside = sorted({c for p in v.pieces if len(p) > 1 for c in p})
         self.place = np.zeros(0x110000, np.int16)
         for i, c in enumerate(inside):
@@ -317,7 +339,7 @@ class Segmenter:
         for a, b in self.pairs:
             self.side[self.place[ord(a)], self.place[ord(b)]] = True
         #: spaces begin words if no piece has another character before one
-        self.word = re.compile(r" *[^ ]+| +" if not any(x[1] == " " != x[0] for x in self.pairs) else r"(?s).+")
+        self.spaced = not any(x[1] == " " != x[0] for x in self.pairs)
 
     def parts(self, texts: list[str]) -> list[list[str]]:
         """Each text cut where no piece has the two characters side by side."""
@@ -333,63 +355,105 @@ class Segmenter:
         pieces = [joined[i:j] for i, j in pairwise(at)]
         return [pieces[i:j] for i, j in zip([0, *last], last, strict=False)]
 
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """The words of each text, all looked up."""
-        for cache in (self.words, self.known, self.searched):
-            if len(cache) > CACHED:
-                cache.clear()
-        chains = [self.word.findall(" " + t) if t else [] for t in texts]
-        words, known = self.words, self.known
-        new = list({w for chain in chains for w in chain if w not in words})
-        if not new:
-            return chains
-        split = self.parts(new)
-        parts = list({p for ps in split for p in ps if p not in known})
-        short = sorted((p for p in parts if len(p) <= LONG_WORD), key=len)
+    def of_parts(self, parts: list[str]) -> dict[str, tuple[bytes, int, int]]:
+        """``Lattices.best`` of distinct parts."""
+        self.known.turn()
+        new = self.known.split(parts)
+        short = sorted((p for p in new if len(p) <= LONG_WORD), key=len)
         for i in range(0, len(short), 2048):
-            known.update(zip(short[i : i + 2048], self.batch.best(short[i : i + 2048]), strict=True))
-        for p in parts:
-            if len(p) > LONG_WORD:
-                known[p] = self.lattices.best(p)
-        for w, ps in zip(new, split, strict=True):
+            self.known.put(short[i : i + 2048], self.batch.best(short[i : i + 2048]))
+        own = {p: self.lattices.best(p) for p in new if len(p) > LONG_WORD}
+        young = self.known.young
+        return {p: own[p] if p in own else young[p] for p in parts}
+
+    def of_words(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
+        """Ids and score of the best path of distinct words, and its cheapest change."""
+        self.words.turn()
+        new = self.words.split(words)
+        if not new:
+            return list(map(self.words.young.__getitem__, words))
+        split = self.parts([w.decode() for w in new])
+        known = self.of_parts(list({p for ps in split for p in ps}))
+        found = []
+        for ps in split:
             if len(ps) == 1:
-                words[w] = known[ps[0]]
+                found.append(known[ps[0]])
             else:
                 ids, scores, changes = zip(*[known[p] for p in ps], strict=True)
-                words[w] = (b"".join(ids), sum(scores), min(changes))
-        return chains
+                found.append((b"".join(ids), sum(scores), min(changes)))
+        short = [i for i, w in enumerate(new) if len(w) <= 4 * LONG_WORD]
+        self.words.put([new[i] for i in short], [found[i] for i in short])
+        young = self.words.young
+        if len(short) == len(new):
+            return list(map(young.__getitem__, words))
+        own = dict(zip(new, found, strict=True))
+        return [own[w] if w in own else young[w] for w in words]
 
     def n_best(self, part: str) -> list[tuple[int, bytes, tuple[int, ...]]]:
-        found = self.searched.get(part)
-        if found is None:
+        if self.searched.split([part]):
             best = self.lattices.search(part, self.n)
-            found = self.searched[part] = [(s, np.array(ids, "<u4").tobytes(), ids[::-1]) for s, ids in best]
-        return found
-
-    def encode(self, chain: list[str]) -> list[tuple[int, bytes]]:
-        """The n best (score, ids) of a whole text, best first."""
-        if not chain:
-            return [(0, b"")]
-        words = self.words
-        ids, scores, cheap = zip(*[words[w] for w in chain], strict=True)
-        total = sum(scores)
-        result = [(total, b"".join(ids))]
-        few = heapq.nsmallest(self.n - 1, cheap)
-        most = few[-1] if len(few) == self.n - 1 and few else NO_CHANGE * (self.n > 1)
+            self.searched.put([part], [[(s, np.array(ids, "<u4").tobytes(), ids[::-1]) for s, ids in best]])
+        return self.searched.young[part]
+
+    def best(self, texts: pa.Array) -> list[list[tuple[int, bytes]]]:
+        """The n best (score, ids) of each whole text, best first."""
+        self.searched.turn()
+        some = pc.greater(pc.binary_length(texts), 0)
+        raw, rows = C.text_bytes(pc.if_else(some, pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")), texts))
+        cut = np.zeros(len(raw) + 1, bool)
+        if self.spaced:
+            blank = raw == 0x20
+            cut[1:-1] = blank[1:] & ~blank[:-1]
+        cut[rows] = True
+        edges = np.flatnonzero(cut)
+        start = edges[:-1]
+        words, which = C.distinct_spans(raw, start, edges[1:])
+        found = self.of_words(words)
+        held, ends = C.joined([x[0] for x in found], which)  # bytes of ids up to each word
+        flat = bytes(held)
+        scores = np.zeros(len(which) + 1, np.int64)
+        np.cumsum(np.array([x[1] for x in found], np.int64)[which], out=scores[1:])
+        first = np.searchsorted(start, rows)  # the first word of each text
+        out: list[list[tuple[int, bytes]]] = [
+            [(s, flat[i:j])] for s, i, j in zip(np.diff(scores[first]).tolist(), ends[first[:-1]].tolist(), ends[first[1:]].tolist(), strict=True)
+        ]
+        if self.n == 1 or not len(which):
+            return out
+        # the words that may change: those whose change is among the n - 1 cheapest of their text
+        change = np.array([x[2] for x in found], np.int64)[which]
+        text = np.repeat(np.arange(len(texts)), np.diff(first))
+        cheap = change[np.lexsort((change, text))]
+        last = first[:-1] + self.n - 2
+        most = np.where(last < first[1:], cheap[np.minimum(last, len(cheap) - 1)], NO_CHANGE)
+        at = np.flatnonzero((change <= most[text]) & (change < NO_CHANGE))
+        bounds = np.searchsorted(text[at], np.arange(len(texts) + 1)).tolist()
+        at_list, most = at.tolist(), most.tolist()
+        for row, (i, j) in enumerate(pairwise(bounds)):
+            if i < j:
+                places = at_list[i:j]
+                spelled = {p: words[which[p]].decode() for p in places}
+                self._changed(out[row], places, spelled, most[row], flat, ends, int(first[row]), int(first[row + 1]))
+        return out
+
+    def _changed(self, result: list, places: list[int], spelled: dict[int, str], most: int, flat: bytes, ends: np.ndarray, begin: int, stop: int) -> None:
+        """Adds the other paths of a text, whose words are ``begin`` to
+        ``stop``, to its best one; ``places``: the words that may change."""
+        total = result[0][0]
         # changes of one part each, in the order of the whole paths they give
         changes, split = [], {}
-        for at in [i for i, c in enumerate(cheap) if c <= most and c < NO_CHANGE]:
-            w = chain[at]
+        for at in places:
+            w = spelled[at]
             if w not in split:
-                split[w] = [(p, self.n_best(p) if self.known[p][2] <= most else None) for p in self.parts_of(w)]
-            for nth, (_, best) in enumerate(split[w]):
+                known = self.of_some(self.parts_of(w))
+                split[w] = [(p, self.n_best(p) if found[2] <= most else None, found[0]) for p, found in known]
+            for nth, (_, best, _) in enumerate(split[w]):
                 for k, (s, _, back) in enumerate((best or ())[1:], 1):
                     lower = back < best[0][2]
                     place = (at, nth)
                     changes.append((best[0][0] - s, not lower, (-at, -nth) if lower else place, back, place, k))
         changes = heapq.nsmallest(self.n - 1, changes)
         touched = sorted({c[4] for c in changes}, reverse=True)
-        options = {x: [(0, split[chain[x[0]]][x[1]][1][0][2], 0), *((c[0], c[3], c[5]) for c in changes if c[4] == x)] for x in touched}
+        options = {x: [(0, split[spelled[x[0]]][x[1]][1][0][2], 0), *((c[0], c[3], c[5]) for c in changes if c[4] == x)] for x in touched}
         # the backward search over the touched parts; order: cost, then ids from the end
         agenda: list[tuple[int, tuple, tuple[int, ...]]] = [(0, (), ())]
         paths = []
@@ -400,59 +464,107 @@ class Segmenter:
                 continue
             for more, back, k in options[touched[len(picked)]]:
                 heapq.heappush(agenda, (cost + more, (*order, back), (*picked, k)))
+        changed = sorted({x[0] for x in touched})
         for cost, picked in paths[1:]:
-            new, chosen = list(ids), dict(zip(touched, picked, strict=True))
-            for at in {x[0] for x in touched}:
-                new[at] = b"".join(
-                    best[chosen[at, nth]][1] if (at, nth) in chosen else self.known[p][0] for nth, (p, best) in enumerate(split[chain[at]])
-                )
-            result.append((total - cost, b"".join(new)))
-        return result
+            chosen = dict(zip(touched, picked, strict=True))
+            out, done = [], int(ends[begin])
+            for at in changed:
+                out.append(flat[done : int(ends[at])])
+                out += [best[chosen[at, nth]][1] if (at, nth) in chosen else own for nth, (_, best, own) in enumerate(split[spelled[at]])]
+                done = int(ends[at + 1])
+            out.append(flat[done : int(ends[stop])])
+            result.append((total - cost, b"".join(out)))
+
+    def of_some(self, parts: list[str]) -> list[tuple[str, tuple[bytes, int, int]]]:
+        """``Lattices.best`` of a few parts, one by one."""
+        held = [self.known.young.get(p) or self.known.old.get(p) or self.lattices.best(p) for p in parts]
+        return list(zip(parts, held, strict=True))
 
     def parts_of(self, word: str) -> list[str]:
-        """``parts`` of one word, with every part looked up (caches may have been cleared)."""
+        """``parts`` of one word."""
         out, last, pairs = [], 0, self.pairs
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in pairs:
                 out.append(word[last:i])
                 last = i
         out.append(word[last:])
-        for p in out:
-            if p not in self.known:
-                self.known[p] = self.lattices.best(p)
         return out
 
 
+#: The segmenters that this worker process has used.
+_SEGMENTERS: dict[tuple[str, int], Segmenter] = {}
+
+
+def segmenter_of(v: Vocabulary, n: int) -> Segmenter:
+    if (v.key, n) not in _SEGMENTERS:
+        _SEGMENTERS[v.key, n] = Segmenter(v, n)
+    return _SEGMENTERS[v.key, n]
+
+
+def _repeated(b: pa.RecordBatch, best: list[list], columns: list[int]) -> list[pa.Array]:
+    """The given columns once for each segmentation, with its rank and score."""
+    row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in best]))
+    ranks = pa.array([k for x in best for k in range(1, len(x) + 1)], pa.int32())
+    return [*(b.column(c).take(row) for c in columns), ranks, pa.array([s / _UNIT for x in best for s, _ in x], pa.float64())]
+
+
 def _encoded(held, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(held.value, n)
-        for b in C.slices(batches, "text", 1 << 20):
-            at = b.schema.get_field_index("text")
-            best = [segmenter.encode(chain) for chain in segmenter.prepare(b.column(at).to_pylist())]
-            row = np.repeat(np.arange(b.num_rows), [len(x) for x in best])
-            rest = [c for c in range(b.num_columns) if c != at]
+        segmenter = segmenter_of(held.value, n)
+        for b in C.slices(batches, "__text", BATCH_BYTES):
+            at = b.schema.get_field_index("__text")
+            best = segmenter.best(b.column(at))
+            columns = _repeated(b, best, [c for c in range(b.num_columns) if c != at])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([i for x in best for _, i in x], pa.binary())], names=[f"c{i}" for i in range(len(columns) + 1)])
+
+    return run
+
+
+def encode(
+    df: DataFrame, vocabulary: Vocabulary, n: int = NBEST, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id, *keep, rank, score, ids): the n best segmentations of every whole
+    text. Kept columns called like one of the results get a final ``_``."""
+    held = C.broadcast(df.sparkSession, vocabulary)
+    own = ["rank", "score", "ids"]
+    names = [f"{c}_" if c in own else c for c in (id_col, *keep)]
+    docs = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate((id_col, *keep))], F.col(text_col).alias("__text"))
+    kinds = [t for n, t in docs.dtypes if n != "__text"]
+    schema = ", ".join(f"c{i} {t}" for i, t in enumerate([*kinds, "int", "double", "binary"]))
+    return docs.mapInArrow(_encoded(held, n), schema).toDF(*names, *own)
+
+
+def _digested(held, n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segmenter = segmenter_of(held.value, n)
+        for b in C.slices(batches, "text", BATCH_BYTES):
+            best = segmenter.best(b.column(1))
+            ids = [i for x in best for _, i in x]
+            # decoded, each of them, and compared with the text
+            decoded, ends = segmenter.spelling.texts(ids)
+            texts = [t for x, t in zip(best, b.column(1).cast(pa.binary()).to_pylist(), strict=True) for _ in x]
+            same = [decoded[i + 1 : j] == t for i, j, t in zip([0, *ends], ends, texts, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(b.column(c).take(pa.array(row)) for c in rest),
-                    pa.array([k for x in best for k in range(1, len(x) + 1)], pa.int32()),
-                    pa.array([s / _UNIT for x in best for s, _ in x], pa.float64()),
-                    pa.array([i for x in best for _, i in x], pa.binary()),
+                    *_repeated(b, best, [0]),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                    pa.array(same, pa.bool_()),
                 ],
-                names=[*(b.schema.names[c] for c in rest), "rank", "score", "ids"],
+                names=["id", "rank", "score", "n_ids", "ids_crc32", "round_trip"],
             )
 
     return run
 
 
-def encode(
-    df: DataFrame, vocabulary: Vocabulary, n: int = NBEST, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """(id, *keep, rank, score, ids): the n best segmentations of every whole text."""
+def digests(df: DataFrame, vocabulary: Vocabulary, n: int = NBEST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, rank, score, n_ids, ids_crc32, round_trip) of the n best
+    segmentations of every whole text, encoded and decoded in one pass;
+    ``round_trip`` tells whether decoding gives the text back."""
     held = C.broadcast(df.sparkSession, vocabulary)
-    docs = df.select(F.col(id_col), *keep, F.col(text_col).alias("text"))
-    types = dict(df.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in (id_col, *keep)) + ", rank int, score double, ids binary"
-    return docs.mapInArrow(_encoded(held, n), schema)
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = f"id {dict(docs.dtypes)['id']}, rank int, score double, n_ids long, ids_crc32 long, round_trip boolean"
+    return docs.mapInArrow(_digested(held, n), schema).withColumnRenamed("id", id_col)
 
 
 def decode_ids(ids: bytes, spelled: dict[int, bytes]) -> str:
@@ -460,18 +572,26 @@ def decode_ids(ids: bytes, spelled: dict[int, bytes]) -> str:
     return text[1:]
 
 
-def _decoded(held):
+def _decoded(held, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = held.value
-        for b in batches:
-            texts = [None if x is None else decode_ids(x, spelled) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, "decoded"])
+        spelling = Spelling(held.value)
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                b = whole.slice(i, 512)
+                ids = [x or b"" for x in b.column(at).to_pylist()]
+                raw, ends = spelling.texts(ids)
+                null = b.column(at).is_null().to_pylist()
+                texts = [None if no else raw[i + 1 : j].decode() for no, i, j in zip(null, [0, *ends], ends, strict=False)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[f"c{i}" for i in range(b.num_columns + 1)])
 
     return run
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``df`` (with ``ids``) plus ``decoded``, the exact text."""
+    """``df`` (with ``ids``) plus ``decoded``, the exact text; a column of
+    that name gets a final ``_``."""
     held = C.broadcast(df.sparkSession, vocabulary.spelled)
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", decoded string"
-    return df.mapInArrow(_decoded(held), schema)
+    schema = ", ".join(f"c{i} {t}" for i, t in enumerate([*[t for _, t in df.dtypes], "string"]))
+    names = [f"{c}_" if c == "decoded" else c for c in df.columns]
+    numbered = df.toDF(*[f"c{i}" for i in range(len(names))])
+    return numbered.mapInArrow(_decoded(held, df.columns.index("ids")), schema).toDF(*names, "decoded")

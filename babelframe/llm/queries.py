@@ -22,20 +22,7 @@ def vocabulary_path(name: str) -> str:
 def op1_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's best segmentations, digested; each one is decoded and
     compared with the text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    v = pieces.read_vocabulary(vocabulary_path("piece_bpe_32k.model"))
-    best = pieces.encode(docs.withColumn("text_crc32", F.crc32("text")), v, keep=("text_crc32",))
-    digest = best.select(
-        "doc_id",
-        "rank",
-        "score",
-        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
-        F.crc32("ids").alias("ids_crc32"),
-        "text_crc32",
-        "ids",
-    )
-    decoded = pieces.decode(digest, v)
-    return decoded.select("doc_id", "rank", "score", "n_ids", "ids_crc32", (F.crc32("decoded") == F.col("text_crc32")).alias("round_trip"))
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.read_vocabulary(vocabulary_path("piece_bpe_32k.model")))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
