@@ -7,18 +7,22 @@ returns a Series of responses, ``None`` for a failed item. No network client
 is bundled; tests and queries use deterministic translators.
 
 Calls run inside ``mapInPandas`` over Arrow batches: each task owns a slice
-of the rows, calls in chunks of ``batch_size`` and paces itself to its share
-of the global budget (U4). A retried task calls again, so callers persist
+of the rows, calls in chunks of at most ``batch_size``, several at once if
+asked to, and paces itself to its share of the global budget (U4). A retried task calls again, so callers persist
 the result once (``persist_translations``) before using it twice.
 """
 
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +57,45 @@ class FailingTranslator:
 
 
 # ----------------------------------------------------------------- pacing
+@dataclass(frozen=True)
+class CallPlan:
+    """How one of ``tasks`` calling tasks calls: ``chunk`` messages at a time,
+    the starts of two chunks ``spacing`` seconds apart at least, no more than
+    ``in_flight`` chunks under way (U4)."""
+
+    tasks: int
+    chunk: int
+    spacing: float
+    in_flight: int
+
+
+def call_plan(
+    tasks: int, batch_size: int, calls_per_minute: float | None, in_flight: int = 1, period: float = C.CALL_PERIOD_SECONDS
+) -> CallPlan:
+    """The share of a global budget of messages that each task may spend.
+
+    A task may send a whole number of messages a period, in chunks of a size
+    that divides it, so that no window of a period holds more than its share,
+    and all tasks together no more than the budget. Budgets below one message
+    a task take fewer tasks; below one a period, longer spacing.
+    """
+    if not calls_per_minute:
+        return CallPlan(tasks, batch_size, 0.0, in_flight)
+    tasks = max(1, min(tasks, int(calls_per_minute)))
+    share = int(calls_per_minute // tasks)
+    if share < 1:
+        return CallPlan(1, 1, period / calls_per_minute, in_flight)
+    chunk = max(d for d in range(1, min(batch_size, share) + 1) if share % d == 0)
+    return CallPlan(tasks, chunk, period * chunk / share, in_flight)
+
+
 class Pacer:
-    """Token-bucket pacing of one task to ``rate`` calls per ``period`` s."""
+    """Pacing of one task to ``calls`` messages per ``period`` seconds.
+    ``late``: an earlier attempt of this task may just have called."""
 
-    def __init__(self, calls: float | None, period: float = C.CALL_PERIOD_SECONDS):
+    def __init__(self, calls: float | None, period: float = C.CALL_PERIOD_SECONDS, late: float = 0.0):
         self.interval = (period / calls) if calls else 0.0
-        self.next_at = 0.0
+        self.next_at = time.monotonic() + late if late else 0.0
 
     def wait(self, n_calls: int) -> None:
         if not self.interval:
@@ -66,46 +103,56 @@ class Pacer:
         now = time.monotonic()
         if self.next_at > now:
             time.sleep(self.next_at - now)
-            now = self.next_at
-        self.next_at = max(now, self.next_at) + self.interval * n_calls
+        self.next_at = max(time.monotonic(), self.next_at) + self.interval * n_calls
 
 
 def _call_partition(
-    factory: TranslatorFactory,
-    text_col: str,
-    preamble_col: str | None,
-    target_col: str | None,
-    batch_size: int,
-    calls_per_task: float | None,
+    factory: TranslatorFactory, text_col: str, preamble_col: str | None, target_col: str | None, plan: CallPlan
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        retried = context is not None and context.attemptNumber() > 0
+        rate = plan.chunk / plan.spacing if plan.spacing else None
+        pacer = Pacer(rate, 1.0, late=plan.spacing if retried else 0.0)
         client = factory()
-        pacer = Pacer(calls_per_task)
-        for pdf in batches:
-            responses: list = [None] * len(pdf)
-            failures: list = [None] * len(pdf)
-            todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m]
-            for start in range(0, len(todo), batch_size):
-                rows = todo[start : start + batch_size]
-                chunk = pdf.iloc[rows]
-                pacer.wait(len(chunk))
-                try:
-                    out = client(
-                        chunk[text_col].reset_index(drop=True),
-                        chunk[preamble_col].reset_index(drop=True) if preamble_col else None,
-                        chunk[target_col].reset_index(drop=True) if target_col else None,
-                    )
-                    for i, r in zip(rows, list(out)):
-                        responses[i] = r
-                        if r is None:
-                            failures[i] = "No response"
-                except Exception as e:  # noqa: BLE001 - a failed call fails its items
-                    for i in rows:
-                        failures[i] = f"call failed: {type(e).__name__}: {e}"
-            yield pdf.drop(columns=["__call", "__message"]).assign(
-                __response=pd.Series(responses, dtype=object, index=pdf.index),
-                __call_error=pd.Series(failures, dtype=object, index=pdf.index),
-            )
+
+        def call(chunk: pd.DataFrame) -> tuple[list, list]:
+            """Responses and failures of a chunk."""
+            try:
+                out = client(
+                    chunk[text_col].reset_index(drop=True),
+                    chunk[preamble_col].reset_index(drop=True) if preamble_col else None,
+                    chunk[target_col].reset_index(drop=True) if target_col else None,
+                )
+                out = list(out)
+                return out, [None if r is not None else "No response" for r in out]
+            except Exception as e:  # noqa: BLE001 - a failed call fails its items
+                return [None] * len(chunk), [f"call failed: {type(e).__name__}: {e}"] * len(chunk)
+
+        with ThreadPoolExecutor(plan.in_flight) as pool:
+            for pdf in batches:
+                responses: list = [None] * len(pdf)
+                failures: list = [None] * len(pdf)
+                under_way: deque = deque()
+
+                def take() -> None:
+                    rows, result = under_way.popleft()
+                    for i, r, f in zip(rows, *result.result(), strict=False):
+                        responses[i], failures[i] = r, f
+
+                todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m]
+                for start in range(0, len(todo), plan.chunk):
+                    rows = todo[start : start + plan.chunk]
+                    while len(under_way) >= plan.in_flight:
+                        take()  # the oldest first: results keep the order of the rows
+                    pacer.wait(plan.chunk)
+                    under_way.append((rows, pool.submit(call, pdf.iloc[rows])))
+                while under_way:
+                    take()
+                yield pdf.drop(columns=["__call", "__message"]).assign(
+                    __response=pd.Series(responses, dtype=object, index=pdf.index),
+                    __call_error=pd.Series(failures, dtype=object, index=pdf.index),
+                )
 
     return run
 
@@ -127,14 +174,21 @@ def translate_column(
     order_col: str | None = None,
     clean: bool = True,
     only_when: F.Column | None = None,
+    max_in_flight: int = 1,
 ) -> DataFrame:
     """Translate ``text_col`` -> ``out_col`` plus ``error_col``.
 
     * ``keep``: columns carried through the call (pruned by hand: column
       pruning does not pass through ``mapInPandas``).
-    * ``num_partitions``/``partition_key``: fix the call parallelism before
-      the call (hash repartition), so the per-task budget
-      ``calls_per_minute / num_partitions`` holds globally (U4).
+    * ``num_partitions``: calling tasks (default: the cluster's parallelism),
+      always fixed by a repartition before the call (by ``partition_key``, or
+      dealt round-robin), so that neither an aggregate before it nor the
+      planner decides how many tasks call.
+    * ``calls_per_minute``: one budget of messages for all tasks together; no
+      minute holds more, and a retried task waits before its first call (U4).
+      Speculative execution would call twice; leave it off here.
+    * ``max_in_flight``: chunks a task has under way at once; results keep
+      the order of the rows. The client must bear calls from several threads.
     * ``order_col``: calls inside a task go in ascending order of it (W1).
     * ``clean``: apply P15 (strip Unicode whitespace; empty -> error) and
       route failures to ``error_col`` (F8). Failed rows get NULL ``out_col``.
@@ -148,20 +202,16 @@ def translate_column(
     has_text = F.col(text_col).isNotNull()
     df = df.withColumn("__call", wanted & has_text).withColumn("__none", wanted & ~has_text)
     src = df.select(*cols, "__call", "__none").withColumn("__message", as_message(text_col))
-    if calls_per_minute and not num_partitions:
-        # a global budget needs a known number of calling tasks
-        num_partitions = df.sparkSession.sparkContext.defaultParallelism
-    if num_partitions:
-        src = src.repartition(num_partitions, partition_key) if partition_key else src.repartition(num_partitions)
+    plan = call_plan(num_partitions or df.sparkSession.sparkContext.defaultParallelism, batch_size, calls_per_minute, max_in_flight)
+    src = src.repartition(plan.tasks, partition_key) if partition_key else src.repartition(plan.tasks)
     if order_col:
         src = src.sortWithinPartitions(order_col)
-    per_task = (calls_per_minute / (num_partitions or 1)) if calls_per_minute else None
     schema = T.StructType(
         [f for f in src.schema.fields if f.name not in ("__call", "__message")]
         + [T.StructField("__response", T.StringType()), T.StructField("__call_error", T.StringType())]
     )
     called = src.mapInPandas(
-        _call_partition(factory, "__message", preamble_col, target_col, batch_size, per_task), schema
+        _call_partition(factory, "__message", preamble_col, target_col, plan), schema
     )
     called = called.withColumn("__call_error", F.when(F.col("__none"), F.lit("No text")).otherwise(F.col("__call_error"))).drop("__none")
     if not clean:
@@ -175,10 +225,14 @@ def translate_column(
     )
 
 
-def persist_translations(df: DataFrame, path: str) -> DataFrame:
-    """Write the paid-for result once and read it back (S8 checkpoint)."""
+def persist_translations(df: DataFrame, path: str, observed: Observation | None = None, error_col: str = "error") -> DataFrame:
+    """Write the paid-for result once and read it back (S8 checkpoint).
+    ``observed`` takes ``n_rows`` and ``n_failed`` (A2, A10) from the pass
+    that writes."""
     from babelframe.sources.tables import spread_rows
 
+    if observed is not None:
+        df = df.observe(observed, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(error_col).isNotNull()).alias("n_failed"))
     df.write.mode("overwrite").parquet(path)
     return spread_rows(df.sparkSession.read.parquet(path))
 
@@ -194,11 +248,6 @@ def failure_counts(translated: DataFrame, error_col: str = "error") -> DataFrame
     return translated.groupBy(error_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def skip_done(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
-    """K1 resume: rows whose key is not in the audit log (left anti join)."""
-    return todo.join(done.select(key).distinct(), on=key, how="left_anti")
-
-
 def has_column(df: DataFrame, name: str) -> bool:
     """plan-time guard (metadata only)."""
     return name in df.columns
@@ -245,6 +294,7 @@ def back_translate(
     batch_size: int = C.BACK_TRANSLATE_CHUNK,
     calls_per_minute: float | None = None,
     num_partitions: int | None = None,
+    max_in_flight: int = 1,
 ) -> DataFrame:
     """U2 + J5 + J3: back-translate every row whose language is listed, all
     languages in one job, each row with its language's ``lang_to_en``
@@ -266,6 +316,7 @@ def back_translate(
         batch_size=batch_size,
         calls_per_minute=calls_per_minute,
         num_partitions=num_partitions,
+        max_in_flight=max_in_flight,
         clean=False,
         only_when=wanted,
         out_col="__bt",

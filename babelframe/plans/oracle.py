@@ -767,6 +767,20 @@ FROM tr WHERE translation <> ''
 """
 sql("translate_pipeline", AUDIT)
 sql("resume_translation", AUDIT)
+sql("incremental_first_captions", AUDIT)
+
+sql(
+    "paced_translation",
+    f"""
+WITH {TURNS}, first AS (
+  SELECT id, arg_min(value, turn) FILTER (WHERE "from" = 'gpt') AS caption FROM turns GROUP BY id
+)
+SELECT id, CASE WHEN {strip_ws(reverse_words('caption'))} <> '' THEN {strip_ws(reverse_words('caption'))} END AS translation,
+       CASE WHEN caption IS NULL THEN 'No text'
+            WHEN {strip_ws(reverse_words('caption'))} = '' THEN 'empty_response: ' || {reverse_words('caption')} END AS error
+FROM first
+""",
+)
 
 sql(
     "stream_translate",

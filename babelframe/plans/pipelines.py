@@ -10,8 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from babelframe import constants as C
@@ -27,32 +26,20 @@ from babelframe.operators import translate as TR
 from babelframe.operators import turns as TU
 from babelframe.session import work_path
 from babelframe.sources import io
+from babelframe.sources.runs import Runs, present
 
 
 def _staged_successes(spark: SparkSession, root: str) -> DataFrame | None:
-    """Successful translations staged by earlier runs under ``root``."""
-    try:
-        staged = spark.read.parquet(f"{root}/*")
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None  # nothing staged yet
-        raise
-    return staged.filter(F.col("error").isNull()).select("id", "caption", "translation")
+    """Successful translations staged by earlier runs under ``root``, also by
+    runs that were stopped: each row is a paid result of its own."""
+    staged = present(lambda: spark.read.parquet(f"{root}/*"))
+    return None if staged is None else staged.filter(F.col("error").isNull()).select("id", "caption", "translation")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.options(**io.CSV_OPTIONS).schema(io.AUDIT_SCHEMA).csv(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def _logged(spark: SparkSession, path: str) -> DataFrame:
-    """The audit log as (id, caption, translation)."""
-    return io.read_audit_log(spark, path).toDF("id", "caption", "translation")
+def audit_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The log rows of all committed runs of X1 under ``out_dir``."""
+    runs = Runs(spark, out_dir)
+    return runs.read("audit_log", runs.committed(), io.AUDIT_SCHEMA, lambda paths: io.read_audit_log(spark, paths))
 
 
 @dataclass
@@ -61,6 +48,8 @@ class TranslateResult:
     output: DataFrame  # conversations with caption turns replaced
     audit_log: DataFrame  # read back from the CSV log
     errors: DataFrame  # (id, error) - F8
+    run: str  # name of the run
+    counts: dict[str, int]  # n_rows called, n_failed (A2, A10)
 
 
 # ------------------------------------------------------------------ X1 / K1
@@ -76,6 +65,7 @@ def translate_pipeline(
     batch_size: int = C.TRANSLATE_BATCH_SIZE,
     calls_per_minute: float | None = None,
     num_partitions: int | None = None,
+    max_in_flight: int = 1,
 ) -> TranslateResult:
     """P2 -> P13 -> U1 -> P15 -> P4, written as S6 (all rows), S7 (audit
     log of successes, appended) and an error table (F8).
@@ -84,19 +74,24 @@ def translate_pipeline(
     may repeat; else flat turns ``(id, turn, from, value)``, one conversation
     per id. A translation belongs to (id, caption), so rows that share an id
     keep their own. Conversations without a caption go to the error table.
-    ``resume``: captions already in the audit log, or staged as successes by
-    an earlier run under ``out_dir/translations``, are not called again (K1,
-    left anti joins); staged successes missing from the log are appended.
+    Every run writes folders of its own and is committed last (``Runs``): a
+    run stopped in between leaves no log row, and what it paid for is used by
+    the next one.
+    ``resume``: captions in the log of a committed run, or staged as
+    successes by any earlier run, are not called again (K1, left anti joins);
+    staged successes missing from the log are logged.
     ``num_partitions``: calling tasks (default: the cluster's parallelism).
     """
-    log_path = f"{out_dir}/audit_log"
+    runs = Runs(spark, out_dir)
+    run = f"run-{uuid.uuid4().hex[:12]}"
     staged_root = f"{out_dir}/translations"
     key = ["id", "caption"]
     if nested:
         captions = data.select("id", FT.first_value_of_role("conversations", C.GPT).alias("caption"))
     else:
         captions = TU.first_role_value(data, C.GPT).select("id", "caption")
-    done = _logged(spark, log_path) if (resume and _exists(spark, log_path)) else None
+    logged = audit_log(spark, out_dir).toDF("id", "caption", "translation")
+    done = logged if resume else None
     # successes staged by earlier runs (logged or not: a run may have stopped
     # between staging and appending to the log)
     earlier = _staged_successes(spark, staged_root) if resume else None
@@ -115,10 +110,11 @@ def translate_pipeline(
         keep=["id", "caption"],
         batch_size=batch_size,
         calls_per_minute=calls_per_minute,
-        num_partitions=num_partitions or spark.sparkContext.defaultParallelism,
-        order_col=None,
+        num_partitions=num_partitions,
+        max_in_flight=max_in_flight,
     ).drop("message")
-    translations = TR.persist_translations(called, f"{staged_root}/run-{uuid.uuid4().hex[:12]}")
+    observed = Observation("translations")
+    translations = TR.persist_translations(called, f"{staged_root}/{run}", observed)
     made = translations.filter(F.col("error").isNull()).select("id", "caption", "translation")
     if earlier is not None:
         made = made.unionByName(earlier)
@@ -130,12 +126,11 @@ def translate_pipeline(
             F.col("caption").alias("GPT Value Original"),
             F.col("translation").alias("GPT Value Modified"),
         ),
-        log_path,
-        mode="append",
+        runs.path("audit_log", run),
+        mode="overwrite",
     )
-    audit = io.read_audit_log(spark, log_path)
     # every translation known now: logged earlier or made in this run
-    known = made.unionByName(_logged(spark, log_path)).dropDuplicates(key)
+    known = made.unionByName(logged).dropDuplicates(key)
     if nested:
         mine = known.select("id", F.col("caption").alias("__caption"), F.col("translation").alias("__new"))
         out = (
@@ -151,14 +146,17 @@ def translate_pipeline(
         )
     else:
         out = TU.replace_role_turns(data, captions.join(known, key), C.GPT)
-    io.write_conversations(out, f"{out_dir}/conversations")
+    io.write_conversations(out, runs.path("conversations", run))
     uncalled = captions.filter(F.col("caption").isNull()).select("id", F.lit("no caption").alias("error"))
-    TR.failures(translations, "id", "error").unionByName(uncalled).write.mode("overwrite").parquet(f"{out_dir}/errors")
+    TR.failures(translations, "id", "error").unionByName(uncalled).write.mode("overwrite").parquet(runs.path("errors", run))
+    runs.commit(run)
     return TranslateResult(
         translations,
-        spark.read.schema(out.schema).json(f"{out_dir}/conversations"),
-        audit,
-        spark.read.parquet(f"{out_dir}/errors"),
+        spark.read.schema(out.schema).json(runs.path("conversations", run)),
+        audit_log(spark, out_dir),
+        spark.read.parquet(runs.path("errors", run)),
+        run,
+        observed.get,
     )
 
 

@@ -449,6 +449,10 @@ def q_translation_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------ resume / streaming
+#: Budget of ``paced_translation``.
+PACED_CALLS_PER_MINUTE = 120_000
+
+
 def _flat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_turns(spark, sf_dir).select("id", "turn", "from", "value")
 
@@ -484,6 +488,34 @@ def q_stream_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_translate(spark, src, TR.ReverseWords(), f"{base}/sink", f"{base}/checkpoint")
 
 
+@register("incremental_first_captions")
+def q_incremental_first_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S7: the first caption of every conversation translated by the
+    stream that keeps the smallest caption turn as state; its log."""
+    from babelframe.streaming.incremental import first_caption_log, translate_first_captions
+
+    base = work_path(spark, "first-captions")
+    src = f"{sf_dir.rstrip('/')}/conversations*.parquet"
+    return first_caption_log(translate_first_captions(spark, src, TR.ReverseWords(), f"{base}/sink", f"{base}/checkpoint"))
+
+
+@register("paced_translation")
+def q_paced_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: captions translated under a budget of calls, several chunks of a
+    task under way at once."""
+    first = TU.first_role_value(_flat_turns(spark, sf_dir), C.GPT)
+    called = TR.translate_column(
+        first.select("id", "caption"),
+        "caption",
+        TR.ReverseWords(),
+        keep=["id"],
+        calls_per_minute=PACED_CALLS_PER_MINUTE,
+        max_in_flight=4,
+        num_partitions=8,
+    )
+    return called.select("id", "translation", "error")
+
+
 # ---------------------------------------------------------------- pipelines
 @register("validation_pipeline")
 def q_validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def write_audit_log(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select(*[F.col(c) for c in C.AUDIT_HEADER]).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
+def read_audit_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.options(**CSV_READ_OPTIONS).schema(AUDIT_SCHEMA).csv(path)
 
 
