@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from babelframe import constants as C
+from babelframe.sources.json_records import read_records
 
 TURN = T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])
 CONVERSATION_SCHEMA = T.StructType(
@@ -47,14 +48,19 @@ CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\0"}
 
 
 def read_conversations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Conversation records. ``multi_line`` reads whole-file JSON arrays
-    (one task per file); JSON-lines (``multi_line=False``) splits."""
-    return spark.read.schema(CONVERSATION_SCHEMA).option("multiLine", multi_line).json(path)
+    """Conversation records of JSON arrays (or objects) in any layout,
+    each file read by many tasks; ``multi_line=False`` is Spark's own reader
+    for a record a line."""
+    if multi_line:
+        return read_records(spark, path, CONVERSATION_SCHEMA)
+    return spark.read.schema(CONVERSATION_SCHEMA).json(path)
 
 
 def read_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Caption metadata ``(id, blip_caption)``."""
-    return spark.read.schema(METADATA_SCHEMA).option("multiLine", multi_line).json(path)
+    """Caption metadata ``(id, blip_caption)``, read like S1."""
+    if multi_line:
+        return read_records(spark, path, METADATA_SCHEMA)
+    return spark.read.schema(METADATA_SCHEMA).json(path)
 
 
 def read_parallel_csv(spark: SparkSession, path: str, languages: list[str] | None = None) -> DataFrame:
