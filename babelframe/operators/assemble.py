@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from babelframe import constants as C
 from babelframe.functions.text import language_code
-from babelframe.session import work_path
+from babelframe.session import stage
 from babelframe.sources.tables import padded_id
 
 
@@ -29,49 +29,54 @@ def _with_count(df: DataFrame, name: str = "__n", by: list[str] | None = None) -
     """Attach the row count as a column. The count is a 1-row aggregate
     brought to the driver and attached as a literal; with ``by`` (e.g. the
     split column) it is one number per group - a handful of splits - looked
-    up in a literal map."""
+    up in a literal map. Rows whose split is NULL are a group of their own."""
     if not by:
         n = df.agg(F.count(F.lit(1))).first()[0]
         return df.withColumn(name, F.lit(n).cast("bigint"))
     if len(by) != 1:
         raise ValueError("counts per group take one grouping column")
     counts = df.groupBy(*by).agg(F.count(F.lit(1))).collect()
-    lookup = F.create_map(*[F.lit(x) for r in counts for x in (r[0], r[1])]) if counts else None
-    value = F.element_at(lookup, F.col(by[0])) if lookup is not None else F.lit(None)
+    named = [F.lit(x) for r in counts if r[0] is not None for x in (r[0], r[1])]
+    value = F.element_at(F.create_map(*named), F.col(by[0])) if named else F.lit(None)
+    for r in counts:
+        if r[0] is None:
+            value = F.when(F.col(by[0]).isNull(), F.lit(r[1])).otherwise(value)
     return df.withColumn(name, value.cast("bigint"))
 
 
 # ------------------------------------------------------------- row index
-def add_row_index(df: DataFrame, order_by: list[str], name: str = "row_idx") -> DataFrame:
-    """Dense 0-based index in ``order_by`` order, computed distributed.
-
-    Two passes, as ``zipWithIndex``: a global sort (range partitioned) is
-    written once to the shared work folder so both passes see the same
-    partitions; per-partition counts (one row per partition) give each
-    partition's offset; the index is offset + position inside the partition.
-    No global window, nothing per row through the driver.
+def add_row_index(df: DataFrame, order_by: list[str] | None = None, name: str = "row_idx") -> DataFrame:
+    """Dense 0-based index: in ``order_by`` order, or, without it, in input
+    order, i.e. by file name and place in the file (``df`` must come straight
+    from a file source then).
+
+    The rows are written once to the shared work folder with the number of
+    their range (a partition of the sort, or a byte range of a file, which
+    one task reads from its start to its end) and their place among the rows
+    of a task. Counts per range - a row each - give every range's offset, and
+    rows get theirs by a join on the range. Nothing per row goes through the
+    driver or through one task.
     """
-    spark = df.sparkSession
-    path = work_path(spark, "row-index")
-    (
-        df.orderBy(*order_by)
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .write.mode("overwrite")
-        .parquet(path)
-    )
-    staged = spark.read.parquet(path).withColumn("__pid", F.shiftrightunsigned("__mid", 33))
-    counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    # one row per partition: cumulative offsets over this tiny table
-    from pyspark.sql import Window
-
-    offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("__pid", "__off")
-    local = F.col("__mid") - F.shiftleft(F.col("__pid"), 33)
+    place = F.monotonically_increasing_id()
+    if order_by:
+        numbered = df.orderBy(*order_by).withColumn("__mid", place)
+        ranged = numbered.withColumn("__file", F.lit("")).withColumn("__begin", F.shiftrightunsigned("__mid", 33))
+    else:
+        ranged = df.select(
+            "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__begin"), place.alias("__mid")
+        )
+    staged = stage(ranged, "row-index", spread=False)
+    key = ["__file", "__begin"]
+    counts = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("__mid").alias("first")).collect()  # a row a range
+    offsets, before = [], 0
+    for r in sorted(counts, key=lambda r: (r["__file"], r["__begin"])):
+        offsets.append((r["__file"], r["__begin"], before - r["first"]))
+        before += r["n"]
+    starts = df.sparkSession.createDataFrame(offsets, "__file string, __begin long, __shift long")
     return (
-        staged.join(F.broadcast(offsets), "__pid")
-        .withColumn(name, (F.col("__off") + local).cast("bigint"))
-        .drop("__pid", "__mid", "__off")
+        staged.join(F.broadcast(starts), key)
+        .withColumn(name, (F.col("__mid") + F.col("__shift")).cast("bigint"))
+        .drop(*key, "__mid", "__shift")
     )
 
 
@@ -185,11 +190,15 @@ def attach_reference_text(
     broadcasts the English side only when its measured size is small.
     """
     ref = english_reference(df, id_col, lang_col, text_col, order_col, within)
-    joined = df.join(ref, on=[*within, id_col], how="left")
+    keys = [*within, id_col]
+    ref = ref.select(*[F.col(c).alias(f"__ref_{i}") for i, c in enumerate(keys)], "__en_text")
+    # a NULL split is a split like any other; a row without id finds nothing
+    same = [F.col(c).eqNullSafe(F.col(f"__ref_{i}")) for i, c in enumerate(within)]
+    joined = df.join(ref, reduce(lambda a, b: a & b, [*same, F.col(id_col) == F.col(f"__ref_{len(within)}")]), "left")
     return joined.withColumn(
         out_col,
         F.when(F.col(lang_col) == "en", F.lit("")).otherwise(F.coalesce(F.col("__en_text"), F.lit("id_not_found"))),
-    ).drop("__en_text")
+    ).drop("__en_text", *[f"__ref_{i}" for i in range(len(keys))])
 
 
 def keep_language(df: DataFrame, lang: str, lang_col: str = "language") -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from babelframe import constants as C
 from babelframe.functions.text import strip_image_affix
-from babelframe.operators.assemble import caption_mismatches
 
 
 def caption_metadata(turns: DataFrame, key: str = "id") -> DataFrame:
@@ -20,40 +19,63 @@ def caption_metadata(turns: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
+def _digest(text: F.Column) -> F.Column:
+    """128 bits that stand for a text in distinct counts."""
+    return F.unhex(F.md5(text))
+
+
 def profile(turns: DataFrame, metadata: DataFrame | None = None, key: str = "id") -> DataFrame:
     """A3 counters in one row: conversations, turns, multi-turn
     conversations (F6), caption turns differing from the metadata (J2, F7),
     distinct instructions with and without the image affix (A4).
 
-    Every counter is an aggregate with map-side combine; the distinct counts
-    shuffle only the distinct strings.
+    A lazy plan with one scan of the turns. Every turn gives a few facts
+    (what is counted, of which conversation or text), texts as digests; the
+    facts are counted by key, and the keys by kind. Both levels combine
+    within tasks, so a conversation or a text of any frequency costs a row a
+    task. ``metadata`` has one row an id; captions of other ids are not
+    compared. Without it a caption is compared with the conversation's
+    last caption, its newlines folded: captions are counted by digest, and
+    each digest also names the text that the last caption would ask for.
     """
-    per_conv = turns.groupBy(key).agg(F.count(F.lit(1)).alias("n_turns"))
-    conv_stats = per_conv.agg(
-        F.count(F.lit(1)).alias("n_conversations"),
-        F.sum("n_turns").cast("bigint").alias("n_turns"),
-        F.count(F.when(F.col("n_turns") > 2, F.lit(1))).alias("n_multi_turn"),
-    )
-    human = turns.filter(F.col("from") == C.HUMAN)
-    # both distinct counts in one pass over the human turns
-    instructions = human.select("value", strip_image_affix("value").alias("v")).agg(
-        F.count_distinct("value").alias("n_instructions_tagged"),
-        F.count_distinct("v").alias("n_instructions_untagged"),
-    )
-    meta = metadata if metadata is not None else caption_metadata(turns, key)
-    captions = turns.filter(F.col("from") == C.GPT).select(key, "value")
-    mism = caption_mismatches(captions, meta, key, "value", "blip_caption").agg(
-        F.count(F.lit(1)).alias("n_caption_mismatch")
-    )
-    # three 1-row aggregates, fetched and returned as one row
-    row = {**conv_stats.first().asDict(), **instructions.first().asDict(), **mism.first().asDict()}
-    spark = turns.sparkSession
-    schema = (
-        "n_conversations bigint, n_turns bigint, n_multi_turn bigint, n_instructions_tagged bigint, "
-        "n_instructions_untagged bigint, n_caption_mismatch bigint"
+    human, caption = F.col("from") == C.HUMAN, F.col("from") == C.GPT
+    text, given = F.coalesce("value", F.lit("")), F.col("value").isNotNull()
+    nothing = F.lit(None)
+
+    def fact(kind: str, of=nothing, digest=nothing, turn=nothing, n=F.lit(1)):
+        kinds = (F.lit(kind), "string", "kind"), (of, "string", "of"), (digest, "binary", "digest"), (turn, "long", "asked"), (n, "long", "n")
+        return F.struct(*[c.cast(t).alias(name) for c, t, name in kinds])
+
+    raw, whose = _digest(text), F.col(key)
+    captioned = caption & whose.isNotNull()
+    facts = [
+        fact("turns", whose),
+        F.when(human & given, fact("tagged", digest=raw)),
+        F.when(human & given, fact("untagged", digest=_digest(strip_image_affix(text)))),
+        F.when(captioned, fact("captions", whose, F.when(given, raw))),
+    ]
+    if metadata is None:
+        folded = _digest(F.replace(text, F.lit("\n"), F.lit(" ")))
+        facts.append(F.when(captioned, fact("captions", whose, F.when(given, folded), F.col("turn"), F.lit(0))))
+    each = turns.select(F.explode(F.filter(F.array(*facts), lambda f: f.isNotNull())).alias("f")).select("f.*")
+    if metadata is not None:
+        told = F.when(F.col("blip_caption").isNotNull(), _digest(F.coalesce("blip_caption", F.lit(""))))
+        each = each.unionByName(metadata.filter(whose.isNotNull()).select(fact("captions", whose, told, F.lit(1), F.lit(0)).alias("f")).select("f.*"))
+    # captions, and the text that they are asked to equal, meet under one digest
+    keys = each.groupBy("kind", "of", "digest").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    per = keys.groupBy("kind", "of").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.max_by("n", "asked").alias("equal"))
+
+    def total(kind: str, value) -> F.Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0)).cast("bigint")
+
+    return per.agg(
+        F.count_if(F.col("kind") == "turns").alias("n_conversations"),
+        total("turns", F.col("n")).alias("n_turns"),
+        F.count_if((F.col("kind") == "turns") & (F.col("n") > 2)).alias("n_multi_turn"),
+        total("tagged", F.col("keys")).alias("n_instructions_tagged"),
+        total("untagged", F.col("keys")).alias("n_instructions_untagged"),
+        total("captions", F.col("n") - F.col("equal")).alias("n_caption_mismatch"),  # NULL: no metadata
     )
-    order = [f.split()[0] for f in schema.split(", ")]
-    return spark.createDataFrame([tuple(row[k] for k in order)], schema)
 
 
 def distinct_instructions(turns: DataFrame) -> DataFrame:

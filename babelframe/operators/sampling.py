@@ -283,3 +283,10 @@ def sample_texts(
     sample = sample_rows(df.withColumn(TEXT_MARK, F.xxhash64(text_col)), id_col, n_samples, n_bins, use_qcut, seed)
     out = attach_text(sample, df, id_col, text_col)
     return out.select(id_col, text_col, *C.SAMPLE_COLUMNS).orderBy("complexity", id_col)
+
+
+def ranked_by_complexity(sample: DataFrame, id_col: str) -> DataFrame:
+    """L1: ``place`` (from 1) by ascending complexity, then id. The sample is
+    small by contract (``n_samples`` rows); for whole tables see
+    ``assemble.add_row_index``."""
+    return sample.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("complexity", id_col)).cast("bigint"))

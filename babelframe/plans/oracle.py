@@ -701,7 +701,11 @@ long AS (
   SELECT * FROM (VALUES
     (0, 'hindi', 'You translate English captions into Hindi. Answer with the translation only.', '{{message}}'),
     (1, 'FRENCH', 'You translate English captions into French. Answer with the translation only.', 'Translate: {{message}}'),
-    (2, 'spanish', '', '{{message}}')
+    (2, 'spanish', '', '{{message}}'),
+    (3, 'aRABIC', 'You translate English captions into Arabic.', '{{message}}'),
+    (4, 'Chinese', 'You translate English captions into Chinese.', 'Into Chinese: {{message}}'),
+    (5, 'japanese', 'You translate English captions into Japanese.', ' '),
+    (6, 'RUSSIAN', 'You translate English captions into Russian.', '{{message}} ({{message}})')
   ) t(prompt_idx, translate_to, preamble, message)
 ), pl AS (
   SELECT CAST(prompt_idx AS BIGINT) AS prompt_idx, translate_to, preamble, message,
@@ -739,6 +743,8 @@ FROM ev JOIN bleu_out b ON b.k = CAST(ev.prompt_idx AS VARCHAR) || ':' || ev.id
 """,
 )
 
+ORACLE["prompt_file_evaluation"] = ORACLE["prompt_evaluation"]
+
 sql(
     "translation_memory",
     f"""
@@ -841,3 +847,120 @@ FROM lab e JOIN lab o ON e.id = o.id
 WHERE e.language = 'en' AND o.language <> 'en'
 """,
 )
+
+
+# ---------------------------------------- from file to result, and checks
+sql(
+    "nested_turn_values",
+    f"""
+WITH {TURNS}
+SELECT id,
+       coalesce(arg_max(value, turn) FILTER (WHERE "from" = 'human'), '') AS human_value,
+       coalesce(arg_max(value, turn) FILTER (WHERE "from" = 'gpt'), '') AS gpt_value,
+       arg_min(value, turn) FILTER (WHERE "from" = 'gpt') AS caption,
+       count(*) > 2 AS multi_turn,
+       arg_max(value, turn) AS last_value
+FROM turns GROUP BY id
+""",
+)
+
+sql(
+    "file_translate_pipeline",
+    f"""
+WITH {TURNS}, {CAPTION_TR}
+SELECT t.id, row_number() OVER (PARTITION BY t.id ORDER BY t.turn) - 1 AS turn, t."from",
+       CASE WHEN t."from" = 'gpt' AND tr.translation <> '' THEN tr.translation ELSE t.value END AS value
+FROM turns t LEFT JOIN tr ON t.id = tr.id
+""",
+)
+
+ORACLE["profile_with_metadata"] = ORACLE["profile_conversations"].replace(
+    """replace(arg_max(value, turn) FILTER (WHERE "from" = 'gpt'), chr(10), ' ') AS blip_caption
+  FROM turns GROUP BY id""",
+    """arg_min(value, turn) AS blip_caption FROM turns WHERE "from" = 'gpt' GROUP BY id""",
+)
+
+SPLITS = """
+sp AS (
+  SELECT doc_id, text AS conversations, CASE doc_id % 4 WHEN 0 THEN 'test' WHEN 1 THEN NULL ELSE 'train' END AS split,
+         CASE WHEN doc_id % 4 < 2 THEN doc_id // 4 ELSE doc_id // 4 * 2 + doc_id % 4 - 2 END AS row_idx
+  FROM documents
+)"""
+sql("published_splits", f"WITH {SPLITS} SELECT doc_id, split, row_idx, CAST(length(conversations) AS BIGINT) AS n FROM sp")
+
+LAB_BY_SPLIT = SPLITS + """,
+lab AS (
+  SELECT s.doc_id, s.split, s.row_idx, s.conversations,
+         lpad(CAST(s.row_idx - least(s.row_idx // (c.n // 8), 7) * (c.n // 8) AS VARCHAR), greatest(9, length(CAST(s.row_idx AS VARCHAR)))::INTEGER, '0') AS id,
+         ['ar','zh','en','fr','hi','jp','ru','es'][CAST(least(s.row_idx // (c.n // 8), 7) AS INTEGER) + 1] AS language
+  FROM sp s JOIN (SELECT split, count(*) AS n FROM sp GROUP BY split) c ON s.split IS NOT DISTINCT FROM c.split
+)"""
+_by_split = ORACLE["validation_pipeline"].replace(LAB, LAB_BY_SPLIT)
+_by_split = _by_split.replace("SELECT id, arg_max(conversations, row_idx) AS en_text", "SELECT split, id, arg_max(conversations, row_idx) AS en_text")
+_by_split = _by_split.replace("conversations <> '' GROUP BY id", "conversations <> '' GROUP BY split, id")
+_by_split = _by_split.replace("ON l.id = r.id", "ON l.id = r.id AND l.split IS NOT DISTINCT FROM r.split")
+_by_split = _by_split.replace("SELECT l.doc_id, l.id,", "SELECT l.doc_id, l.split, l.id,").replace("SELECT v.doc_id, v.id,", "SELECT v.doc_id, v.split, v.id,")
+ORACLE["validation_by_split"] = _by_split
+
+ORACLE["validation_column_guard"] = ORACLE["validation_pipeline"].replace(
+    "SELECT v.doc_id, v.id, v.language, rt.repeated_tokens,", "SELECT v.doc_id, v.language,"
+)
+
+sql("keep_language", f"WITH {LAB} SELECT doc_id, id, language FROM lab WHERE language = 'fr'")
+
+sql(
+    "strata_report",
+    """
+WITH d AS (
+  SELECT CAST(len(string_split(text, chr(10))) AS DOUBLE) AS x, CAST(n_chars AS DOUBLE) AS y FROM documents
+), b AS (
+  SELECT *, min(x) OVER () AS x0, (max(x) OVER () - min(x) OVER ()) / 4 AS xw, min(y) OVER () AS y0, (max(y) OVER () - min(y) OVER ()) / 4 AS yw FROM d
+), l AS (
+  SELECT CAST(least(3, greatest(0, ceil(round((x - x0) / xw, 9)) - 1)) AS INTEGER) AS i, CAST(least(3, greatest(0, ceil(round((y - y0) / yw, 9)) - 1)) AS INTEGER) AS j FROM b
+), g AS (
+  SELECT a.i || '_' || c.j AS strata, (SELECT count(*) FROM l WHERE l.i = a.i AND l.j = c.j) AS n
+  FROM (SELECT unnest(range(4)) AS i) a, (SELECT unnest(range(4)) AS j) c
+)
+SELECT strata, n, CASE WHEN n = 0 THEN 'empty' WHEN n < 2000 / 16.0 THEN 'few' END AS warning FROM g
+""",
+)
+
+ORACLE["ranked_sample"] = (
+    "SELECT row_number() OVER (ORDER BY c, doc_id) AS place, doc_id FROM ("
+    + ORACLE["stratified_sample"].replace("round(r.complexity, 6) AS complexity, r.length, round(r.fk_grade, 6) AS fk_grade,\n       round(r.f_ease, 6) AS f_ease", "r.complexity AS c")
+    + ")"
+)
+
+sql(
+    "row_index_batches",
+    """
+WITH r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, (SELECT count(*) FROM labels) AS n FROM labels
+)
+SELECT doc_id, row_idx, row_idx // 100 AS batch_id, CASE WHEN row_idx // (n // 3) < 3 THEN row_idx // (n // 3) END AS split_no FROM r
+""",
+)
+sql(
+    "trial_rows",
+    """
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM labels)
+SELECT doc_id, row_idx, row_idx < 5 AS head FROM r WHERE row_idx < 50
+""",
+)
+
+
+def _catalogue_values() -> str:
+    from babelframe.operators.prompts import catalogue_rows
+
+    return ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in r[:3]) + ")" for r in catalogue_rows())
+
+
+sql(
+    "catalogue_prompts",
+    f"""
+WITH {LAB}, c(lang, direction, preamble) AS (VALUES {_catalogue_values()})
+SELECT l.language, c.direction, count(*) AS n_rows, c.preamble, 3 AS n_examples
+FROM lab l JOIN c ON c.lang = CASE l.language WHEN 'jp' THEN 'ja' ELSE l.language END
+WHERE l.language <> 'en' GROUP BY l.language, c.direction, c.preamble
+""",
+)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from babelframe import constants as C
 from babelframe.functions import text as X
@@ -113,7 +114,7 @@ def translate_pipeline(
         num_partitions=num_partitions,
         max_in_flight=max_in_flight,
     ).drop("message")
-    observed = Observation("translations")
+    observed = Observation()
     translations = TR.persist_translations(called, f"{staged_root}/{run}", observed)
     made = translations.filter(F.col("error").isNull()).select("id", "caption", "translation")
     if earlier is not None:
@@ -173,37 +174,90 @@ def validation_pipeline(
     batch_size: int = C.BACK_TRANSLATE_CHUNK,
     calls_per_minute: float | None = None,
     num_partitions: int | None = None,
+    max_in_flight: int = 1,
+    reference_col: str = "reference_text",
+    prediction_col: str = "conversations",
+    back_translation_col: str = "back_translations",
 ) -> DataFrame:
     """X2 (J-B): ``ds`` has ``id``, ``language``, ``row_idx`` and
-    ``conversations`` (flattened text, P3). Back-translation (U2) runs when
-    the column is absent (F9) and is staged as a table (S8); then the English
+    ``prediction_col`` (flattened text, P3). Back-translation (U2) runs when
+    its column is absent (F9) and is staged as a table (S8); then the English
     reference (J1), English rows dropped (F2), metrics as columns on each row
     (M5, M7, F5) - per split when a ``split`` column is present (D13).
     ``keys``: columns to carry besides those named here (default: all)."""
     spark = ds.sparkSession
     splits = [c for c in ("split",) if TR.has_column(ds, c)]
-    if not TR.has_column(ds, "back_translations"):
-        keep = ds.columns if keys is None else [*keys, "id", "row_idx", "conversations", *splits]
+    if not TR.has_column(ds, back_translation_col):
+        keep = ds.columns if keys is None else [*keys, "id", "row_idx", prediction_col, *splits]
         bt = TR.back_translate(
             ds,
             factory,
             keep=list(dict.fromkeys(keep)),
+            text_col=prediction_col,
             languages=languages,
             batch_size=batch_size,
             calls_per_minute=calls_per_minute,
             num_partitions=num_partitions,
+            max_in_flight=max_in_flight,
+            out_col=back_translation_col,
         )
         ds = TR.persist_translations(bt, work_path(spark, "back-translations"))
-    ref = AS.attach_reference_text(ds, "id", "language", "conversations", "row_idx", within=splits)
+    ref = AS.attach_reference_text(ds, "id", "language", prediction_col, "row_idx", reference_col, within=splits)
     out = AS.drop_language(ref, "en")
     if do_repeated_tokens:
-        out = out.withColumn("repeated_tokens", ME.repeated_tokens("conversations", "reference_text"))
+        out = out.withColumn("repeated_tokens", ME.repeated_tokens(prediction_col, reference_col))
     if do_back_translate_chrf:
-        out = ME.sentence_chrf(out, "back_translations", "reference_text", "back_translate_chrf")
+        out = ME.sentence_chrf(out, back_translation_col, reference_col, "back_translate_chrf")
         out = out.withColumn("back_translate_chrf_int", ME.chrf_flag("back_translate_chrf", chrf_threshold))
     return out
 
 
+def validate_dataset(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    factory: TR.TranslatorFactory,
+    *,
+    splits: list[str | None] | None = None,
+    again: bool = False,
+    conversation_col: str = "conversations",
+    row_idx: str = "row_idx",
+    **options,
+) -> DataFrame:
+    """X2 from a stored dataset to a stored result, split by split.
+
+    The dataset (S4) has ``split`` partitions (rows without a split are one
+    as well), rows numbered within their split by ``row_idx``, and
+    conversations as turns or as flat text. Per split: language by block (P8,
+    sized by the split's own rows), flattening (P3), then the validation job.
+    The result is written to ``target/data`` (S8) by overwriting only the
+    split's partition, and the split is committed last: a job that stops goes
+    on with the splits it has not committed, and running one split again
+    (``splits``, ``again``) leaves the files of the others as they are.
+    ``options``: those of ``validation_pipeline``, whose result it returns
+    for all committed splits.
+    """
+    runs = Runs(spark, target)
+    ds = io.read_dataset(spark, source)
+    there = [r["split"] for r in ds.select("split").distinct().collect()]  # a handful
+    done = set() if again else set(runs.committed())
+    prediction = options.get("prediction_col", "conversations")
+    for split in sorted(there if splits is None else [s for s in splits if s in there], key=lambda s: (s is None, s)):
+        name = "split-none" if split is None else f"split={split}"
+        if name in done:
+            continue
+        part = ds.filter(F.col("split").eqNullSafe(F.lit(split)))
+        labelled = AS.label_language_blocks(part, row_idx, by=["split"]).withColumn("row_idx", F.col(row_idx))
+        flat = F.col(conversation_col)
+        if isinstance(part.schema[conversation_col].dataType, ArrayType):
+            flat = FT.last_turn_value(conversation_col)
+        scored = validation_pipeline(labelled.withColumn(prediction, flat), factory, **options)
+        write = scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split")
+        write.parquet(f"{target}/data")
+        runs.commit(name)
+    return io.read_dataset(spark, f"{target}/data")
+
+
 # ---------------------------------------------------------------------- X3
 def prompt_eval_pipeline(
     prompts: DataFrame,
@@ -215,6 +269,7 @@ def prompt_eval_pipeline(
     batch_size: int = C.TRANSLATE_BATCH_SIZE,
     calls_per_minute: float | None = None,
     num_partitions: int | None = None,
+    max_in_flight: int = 1,
 ) -> DataFrame:
     """X3 (J-C): prompts x pairs of their language (J4), each English
     sentence sent as ``Input: <text>`` with the prompt's preamble (U3; the
@@ -236,6 +291,7 @@ def prompt_eval_pipeline(
         batch_size=batch_size,
         calls_per_minute=calls_per_minute,
         num_partitions=num_partitions,
+        max_in_flight=max_in_flight,
     )
     if error_path:
         called = TR.persist_translations(called, work_path(spark, "prompt-outputs"))

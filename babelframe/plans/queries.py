@@ -7,6 +7,7 @@ the ones in ``babelframe.plans.oracle``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -390,14 +391,21 @@ def q_failure_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ prompts
 from babelframe.operators import prompts as PM  # noqa: E402
+from babelframe.functions import turns as FT  # noqa: E402
 from babelframe.plans import pipelines as PL  # noqa: E402
 from babelframe.session import work_path  # noqa: E402
+from babelframe.sources import io  # noqa: E402
+from babelframe.sources.json_records import write_arrays  # noqa: E402
 
 # --- fixed values: the prompt list used by the prompt queries (S5 rows) ---
 PROMPT_LIST = [
     ["hindi", "You translate English captions into Hindi. Answer with the translation only.", "{message}"],
     ["FRENCH", "You translate English captions into French. Answer with the translation only.", "Translate: {message}"],
     ["spanish", "", "{message}"],
+    ["aRABIC", "You translate English captions into Arabic.", "{message}"],
+    ["Chinese", "You translate English captions into Chinese.", "Into Chinese: {message}"],
+    ["japanese", "You translate English captions into Japanese.", " "],
+    ["RUSSIAN", "You translate English captions into Russian.", "{message} ({message})"],
 ]
 
 
@@ -536,8 +544,6 @@ def q_curation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated sample's text written as one CSV file, read back."""
     path = work_path(spark, "sample-csv")
     PL.curation_pipeline(documents(spark, sf_dir, spread=True), "text", "doc_id", path)
-    from babelframe.sources import io
-
     return io.read_sample_csv(spark, "text", path)
 
 
@@ -546,9 +552,156 @@ def q_parallel_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 (+ D2): the wide parallel table built from the blocks is written as
     RFC-4180 CSV (texts carry newlines, quotes and commas), read back with
     the parallel-CSV reader, and unpivoted (P11, F3)."""
-    from babelframe.sources import io
-
     wide = AS.parallel_wide(labelled_documents(spark, sf_dir), "id", "language", "text").drop("id")
     path = work_path(spark, "parallel-csv")
     wide.write.mode("overwrite").options(**io.CSV_OPTIONS).csv(path)
     return AS.unpivot_parallel(io.read_parallel_csv(spark, path))
+
+
+# ---------------------------------------- from file to result, and checks
+@register("nested_turn_values")
+def q_nested_turn_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + nested P1, P2, P3, F6: conversations written as JSON arrays, read
+    in byte ranges, and looked at as nested records."""
+    nested = io.read_conversations(spark, conversation_files(spark, sf_dir))
+    return TU.flatten_conversations(
+        TU.extract_values(nested)
+        .withColumn("caption", FT.first_value_of_role("conversations", C.GPT))
+        .withColumn("multi_turn", F.size("conversations") > 2)
+    ).select("id", "human_value", "gpt_value", "caption", "multi_turn", F.col("conversations").alias("last_value"))
+
+
+def conversation_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of JSON arrays of conversation records (S1's format)."""
+    turn = F.struct("turn", F.struct("from", "value").alias("t"))
+    turns = conversation_turns(spark, sf_dir)
+    nested = turns.groupBy("id", "image").agg(F.transform(F.sort_array(F.collect_list(turn)), lambda x: x["t"]).alias("conversations"))
+    path = work_path(spark, "conversation-arrays")
+    write_arrays(nested, path)
+    return path
+
+
+@register("file_translate_pipeline")
+def q_file_translate_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 from files: S1 -> nested P2, P13, U1, P15, P4 -> S6, read back and
+    exploded to turns (P5)."""
+    nested = io.read_conversations(spark, conversation_files(spark, sf_dir))
+    res = PL.translate_pipeline(spark, nested, TR.ReverseWords(), work_path(spark, "x1-files"))
+    return TU.explode_turns(res.output)
+
+
+@register("profile_with_metadata")
+def q_profile_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 with S2: counters against a metadata file whose captions are the
+    conversations' first captions."""
+    turns = conversation_turns(spark, sf_dir)
+    first = TU.first_role_value(turns, C.GPT).filter("caption IS NOT NULL").select("id", F.col("caption").alias("blip_caption"))
+    path = work_path(spark, "metadata-arrays")
+    write_arrays(first, path)
+    return PL.profile_pipeline(turns, io.read_metadata(spark, path))["counters"]
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents dealt to three splits - one of them without a name - and
+    numbered within their split (doc_id is 0..n-1)."""
+    docs = documents(spark, sf_dir).select("doc_id", F.col("text").alias("conversations"))
+    of = F.pmod(F.col("doc_id"), F.lit(4))
+    split = F.when(of == 0, "test").when(of == 1, F.lit(None)).otherwise("train")
+    place = F.floor(F.col("doc_id") / 4)
+    return docs.withColumn("split", split).withColumn("row_idx", F.when(of < 2, place).otherwise(place * 2 + of - 2).cast("bigint"))
+
+
+@register("validation_by_split")
+def q_validation_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 from stored splits (S8, S4) to saved splits: P8 and J1 within each
+    split, resumed for the splits that a first job left."""
+    base = work_path(spark, "validation")
+    io.save_dataset(split_documents(spark, sf_dir), f"{base}/dataset")
+    args = (spark, f"{base}/dataset", f"{base}/result", TR.ReverseWords())
+    options = {"reference_col": "english", "prediction_col": "answer", "back_translation_col": "returned"}
+    PL.validate_dataset(*args, splits=["test"], **options)
+    return PL.validate_dataset(*args, **options).select(
+        "doc_id", "split", "id", "language", "repeated_tokens", _r6("back_translate_chrf").alias("back_translate_chrf"), "back_translate_chrf_int"
+    )
+
+
+@register("validation_column_guard")
+def q_validation_column_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a dataset that has its back-translations is not translated again
+    (the translator here fails every call)."""
+    lab = labelled_documents(spark, sf_dir, spread=True).select("doc_id", "id", "language", "row_idx", "conversations")
+    made = lab.withColumn("back_translations", F.array_join(F.reverse(F.split("conversations", " ")), " "))
+    out = PL.validation_pipeline(made, TR.FailingTranslator(), do_repeated_tokens=False)
+    return out.select("doc_id", "language", _r6("back_translate_chrf").alias("back_translate_chrf"), "back_translate_chrf_int")
+
+
+@register("keep_language")
+def q_keep_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the rows of one language."""
+    return AS.keep_language(labelled_documents(spark, sf_dir), "fr").select("doc_id", "id", "language")
+
+
+@register("published_splits")
+def q_published_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset saved by split, published under an owner and a
+    name, and read back with its splits."""
+    base = work_path(spark, "published")
+    io.save_dataset(split_documents(spark, sf_dir), f"{base}/local")
+    where = io.publish_dataset(io.read_dataset(spark, f"{base}/local"), base, "owner", "captions", private=True)
+    return io.read_dataset(spark, where).select("doc_id", "split", "row_idx", F.length("conversations").cast("bigint").alias("n"))
+
+
+@register("strata_report")
+def q_strata_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + A8: rows and warnings of all strata of documents by length and by
+    the number of lines."""
+    docs = documents(spark, sf_dir, spread=True)
+    lines = F.size(F.split("text", "\n")).cast("double")
+    binned = SA.strata_of(docs.select(lines.alias("complexity"), F.col("n_chars").alias("length")), 4, use_qcut=False)
+    return SA.strata_report(binned, 2_000, 4)
+
+
+@register("ranked_sample")
+def q_ranked_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on the exact sample: places by ascending complexity."""
+    s = curated_sample(spark, sf_dir)
+    return SA.ranked_by_complexity(s, "doc_id").select("place", "doc_id")
+
+
+@register("row_index_batches")
+def q_row_index_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2, L3 on labels, whose ids have gaps: rows numbered in input order,
+    batches of 100, three equal splits (remainder dropped: NULL)."""
+    indexed = AS.add_row_index(load_table(spark, sf_dir, "labels").select("doc_id"))
+    split = AS.equal_splits(indexed, "row_idx", 3).select("row_idx", "split_no")
+    return indexed.join(split, "row_idx", "left").select("doc_id", "row_idx", TR.batch_ids("row_idx", 100).alias("batch_id"), "split_no")
+
+
+@register("trial_rows")
+def q_trial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 50 rows by index; ``head``: the five of L4 among them."""
+    indexed = AS.add_row_index(load_table(spark, sf_dir, "labels").select("doc_id"))
+    first = AS.head(indexed, "row_idx").select("row_idx", F.lit(True).alias("head"))
+    return AS.first_rows(indexed, "row_idx", 50).join(first, "row_idx", "left").select("doc_id", "row_idx", F.coalesce("head", F.lit(False)).alias("head"))
+
+
+@register("prompt_file_evaluation")
+def q_prompt_file_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 from files: prompts from a JSON-lines file (S5, C1), pairs from the
+    wide CSV (S3, P11), calls, BLEU and reports (S10)."""
+    base = work_path(spark, "prompt-files")
+    lines = "\n\n".join(json.dumps(p) for p in PROMPT_LIST)
+    spark.createDataFrame([(lines,)], "value string").coalesce(1).write.text(f"{base}/prompts")
+    AS.parallel_wide(labelled_documents(spark, sf_dir), "id", "language", "text").drop("id").write.options(**io.CSV_OPTIONS).csv(f"{base}/pairs")
+    pairs = AS.unpivot_parallel(io.read_parallel_csv(spark, f"{base}/pairs"))
+    rep = PL.prompt_eval_pipeline(PM.read_prompt_list(spark, f"{base}/prompts"), pairs, TR.ReverseWords(), f"{base}/reports")
+    return rep.select("prompt_idx", "lang", "English", "Ground_truth", "Model_output", _r6("Bleu_score").alias("Bleu_score"))
+
+
+@register("catalogue_prompts")
+def q_catalogue_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 + J5: the catalogue's prompt, with its worked examples, for each
+    language of the stacked documents, and the rows that it would be sent for."""
+    rows = labelled_documents(spark, sf_dir).filter(F.col("language") != "en").groupBy("language").agg(F.count(F.lit(1)).alias("n_rows"))
+    chosen = [PM.choose_prompt(rows, PM.prompt_catalogue(spark), "language", d).withColumn("direction", F.lit(d)) for d in (PM.TO_LANGUAGE, PM.TO_ENGLISH)]
+    return AS.concat_datasets(chosen).select("language", "direction", "n_rows", "preamble", F.regexp_count("preamble", F.lit("## Example")).alias("n_examples"))

@@ -118,3 +118,55 @@ def test_csv_tells_empty_from_missing(spark, tmp_dir):
     log = spark.createDataFrame([("1", "", None), ("2", None, ""), ("3", " x ", 'a "b", c')], io.AUDIT_SCHEMA)
     io.write_audit_log(log, path)
     assert sorted(tuple(r) for r in io.read_audit_log(spark, path).collect()) == sorted(tuple(r) for r in log.collect())
+
+
+def test_one_split_again_leaves_the_others(spark, tmp_dir):
+    """validate_dataset: resumed by split, and a split run again rewrites its
+    own files only; turns and flat text alike."""
+    turns = [("human", "q")]
+    rows = [(s, i, [*turns, ("gpt", f"{s} word {i}")]) for s in ("test", "train", None) for i in range(16)]
+    ds = spark.createDataFrame(rows, "split string, row_idx long, conversations array<struct<`from`: string, value: string>>")
+    io.save_dataset(ds, os.path.join(tmp_dir, "in"))
+    out = os.path.join(tmp_dir, "out")
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(os.path.join(out, "data")) for f in fs if f.endswith(".parquet")}
+
+    PL.validate_dataset(spark, os.path.join(tmp_dir, "in"), out, TR.ReverseWords(), splits=["test"])
+    first = files()
+    res = PL.validate_dataset(spark, os.path.join(tmp_dir, "in"), out, TR.FailingTranslator(), splits=["test"])
+    assert files() == first  # committed: not run again
+    res = PL.validate_dataset(spark, os.path.join(tmp_dir, "in"), out, TR.ReverseWords())
+    assert first.items() <= files().items()
+    assert sorted((r["split"] or "", r["n"]) for r in res.groupBy("split").agg({"*": "count"}).toDF("split", "n").collect()) == [("", 14), ("test", 14), ("train", 14)]
+    before = files()
+    PL.validate_dataset(spark, os.path.join(tmp_dir, "in"), out, TR.ReverseWords(), splits=["train"], again=True)
+    after = files()
+    assert {f for f in before if "split=train" not in f} == {f for f in after if "split=train" not in f and after[f] == before.get(f)}
+    assert not {f for f in before if "split=train" in f} & set(after)
+
+
+def test_prompt_lists_of_any_length(spark, tmp_dir):
+    from babelframe.operators import prompts as PM
+
+    path = os.path.join(tmp_dir, "prompts.json")
+    with open(path, "w") as f:
+        f.write("\n".join(json.dumps(["French", "p", f"m{i}"]) + ("\n  " if i % 7 == 0 else "") for i in range(10_500)))
+    got = PM.read_prompt_list(spark, path).orderBy("prompt_idx").collect()
+    assert [(r["prompt_idx"], r["message"]) for r in got] == [(i, f"m{i}") for i in range(10_500)]
+
+
+def test_profile_is_one_lazy_scan(spark, tmp_dir):
+    from babelframe.operators import profile as PR
+
+    turns = [("1", 0, "human", "<image>\na"), ("1", 1, "gpt", "x\ny"), ("1", 2, "human", "a\n<image>"), ("1", 3, "gpt", "x y"), ("2", 0, "gpt", None), ("3", 0, "human", "b")]
+    path = os.path.join(tmp_dir, "turns")
+    spark.createDataFrame(turns, "id string, turn long, `from` string, value string").write.parquet(path)
+    out = PR.profile(spark.read.parquet(path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert out.first().asDict() == {
+        "n_conversations": 3, "n_turns": 6, "n_multi_turn": 1, "n_instructions_tagged": 3, "n_instructions_untagged": 2, "n_caption_mismatch": 1,
+    }
+    meta = spark.createDataFrame([("1", "x y"), ("9", "z")], "id string, blip_caption string")
+    assert PR.profile(spark.read.parquet(path), meta).first()["n_caption_mismatch"] == 1

@@ -175,7 +175,7 @@ def test_stream_equals_batch(spark, tmp_dir):
 def test_calls_go_in_length_order_within_a_task(spark, tmp_dir):
     texts = ["a b c d e f", "a", "a b c", "a b"]
     df = spark.createDataFrame([(str(i), t, len(t)) for i, t in enumerate(texts)], "id string, t string, n int").coalesce(1)
-    TR.translate_column(df, "t", CountingTranslator(tmp_dir), keep=["id"], order_col="n", batch_size=1).collect()
+    TR.translate_column(df, "t", CountingTranslator(tmp_dir), keep=["id"], order_col="n", batch_size=1, num_partitions=1).collect()
     files = sorted(os.listdir(tmp_dir), key=lambda f: int(f.rsplit("-", 1)[1].split(".")[0]))
     order = []
     for name in files:
