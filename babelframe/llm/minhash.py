@@ -223,8 +223,9 @@ def near_duplicates(
         "nodes",
     )
     members = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    bucket = C.staged(members.join(shared, "key", "left_semi"), "buckets")
+    shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
+    shared = C.staged(shared.select("key", "rows"), "shared")
+    bucket = C.staged(C.attach(members, shared, ["key"], "rows", by=["node"]).select("node", "n", "key"), "buckets")
     wanted = bucket.select(F.col("node").alias("id")).distinct()
     sets = C.staged(
         docs.join(wanted, "id", "left_semi").mapInArrow(partial(_sets, k=shingle), "id long, shingles array<long>"), "sets"
