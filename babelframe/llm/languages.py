@@ -266,6 +266,6 @@ def _known(held, least: float):
 def keep_known(df: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, as they are, whose text has a known language with
     a score of ``least`` or more; prototypes may have any dimension."""
-    named = df.withColumnRenamed(text_col, "text")
+    named = df.toDF(*["text" if c == text_col else f"c{i}" for i, c in enumerate(df.columns)])
     out = named.mapInArrow(_known(C.broadcast(df.sparkSession, prototypes), least), named.schema)
-    return out.withColumnRenamed("text", text_col)
+    return out.toDF(*df.columns)

@@ -120,8 +120,9 @@ def scan(
     text_col: str = "text",
 ) -> DataFrame:
     """``df`` without its text, with ``blob`` and ``findings`` (rule, from,
-    to; by place, then as ``rules`` lists them). Appends to ``ledger``, a
-    folder all executors share (a fresh one in the work folder if None)."""
+    to; by place, then as ``rules`` lists them); columns of ``df`` of these
+    names get a final ``_``. Appends to ``ledger``, a folder all executors
+    share (a fresh one in the work folder if None)."""
     spark = df.sparkSession
     ledger = ledger or work_path(spark, "llm-ledger")
     keys = F.array(*[F.lit(r.key) for r in rules])
@@ -145,16 +146,16 @@ def scan(
         .filter(F.col("x.rule").isin([r.key for r in rules]))
         .groupBy("blob")
         .agg(F.collect_set("x").alias("findings"))  # bounded by one text
-        .withColumnRenamed("blob", "__blob")
+        .select(F.col("blob").alias("found_blob"), "findings")
     )
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.key, i)])
     ranked = F.sort_array(F.transform("findings", lambda x: F.struct(x["from"], order[x["rule"]].alias("rank"), x["to"], x["rule"].alias("rule"))))
     findings = F.transform(ranked, lambda x: F.struct(x["rule"].alias("rule"), x["from"].alias("from"), x["to"].alias("to")))
     rest = [c for c in df.columns if c != text_col]
-    hashed = df.select(*rest, F.sha2(text, 256).alias("blob"))
-    return hashed.join(found, hashed["blob"] == found["__blob"], "left").select(
-        *rest, "blob", F.coalesce(findings, F.array().cast(_FOUND)).alias("findings")
-    )
+    hashed = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)], F.sha2(text, 256).alias("own_blob"))
+    joined = hashed.join(found, F.col("own_blob") == F.col("found_blob"), "left")
+    joined = joined.select(*[f"c{i}" for i in range(len(rest))], "own_blob", F.coalesce(findings, F.array().cast(_FOUND)).alias("findings"))
+    return joined.toDF(*[f"{c}_" if c in ("blob", "findings") else c for c in rest], "blob", "findings")
 
 
 def kind(rule):
@@ -173,6 +174,8 @@ def redact(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
     stay as they are."""
     spark = df.sparkSession
     ledger = ledger or work_path(spark, "llm-ledger")
+    names, df = df.columns, df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    text_col = f"c{names.index(text_col)}"
     text = F.col(text_col)
     found = (
         scan(df.select(text_col), ledger, rules, text_col)
@@ -201,4 +204,5 @@ def redact(df: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
         df.join(found, blob == F.col("__blob"), "left")
         .withColumn(text_col, F.when(F.col("__findings").isNull(), text).otherwise(clean))
         .select(*df.columns)
+        .toDF(*names)
     )

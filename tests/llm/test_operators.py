@@ -5,6 +5,7 @@ extra columns with clashing names."""
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 import zlib
@@ -522,3 +523,84 @@ def test_empty_tables(spark, empty, vocabulary):
         toxicity.score(empty, model, fitted),
     ):
         assert df.count() == 0
+
+
+def test_clashing_columns(spark, vocabulary, docs):
+    """Columns called like results or helpers of the operators."""
+    text = "x password = hunter2hunter2 end"
+    odd = spark.createDataFrame(
+        [(1, text, "b", "f", "o", "t", 2.0, 7, "i"), (2, None, "b", "f", "o", "t", 2.0, 7, "i")],
+        "doc_id long, body string, blob string, findings string, __blob string, text string, score double, rank int, ids string",
+    )
+    found = {r["doc_id"]: r for r in secrets.scan(odd, text_col="body").collect()}
+    assert (found[1]["blob_"], found[1]["findings_"], found[1]["__blob"], found[1]["text"]) == ("b", "f", "o", "t")
+    assert len(found[1]["findings"]) == 1 and found[2]["findings"] == []
+    clean = secrets.redact(odd, text_col="body")
+    assert clean.columns == odd.columns and {r["body"] for r in clean.collect()} == {"x [assign] end", None}
+    prototypes = languages.learn(docs)
+    kept = languages.keep_known(odd, prototypes, -1.0, text_col="body")
+    assert kept.columns == odd.columns and [r["text"] for r in kept.collect()] == ["t"]
+    best = pieces.decode(pieces.encode(odd, vocabulary, n=1, text_col="body", keep=("score", "rank", "ids", "blob")), vocabulary)
+    assert best.columns == ["doc_id", "score_", "rank_", "ids_", "blob", "rank", "score", "ids", "decoded"]
+    got = {r["doc_id"]: r for r in best.collect()}
+    assert (got[1]["score_"], got[1]["rank_"], got[1]["ids_"], got[1]["decoded"], got[2]["decoded"]) == (2.0, 7, "i", text, "")
+    again = pieces.decode(best.drop("rank"), vocabulary)
+    assert again.columns[-2:] == ["decoded_", "decoded"]
+
+
+def test_restored_words_against_every_reading():
+    """Viterbi decoding against the enumeration of all readings."""
+    import itertools
+
+    rnd = np.random.default_rng(1)
+    model = rnd.normal(-3, 1, toxicity.K**3).astype(np.float32)
+    held = toxicity.array.array("f", model.tobytes())
+    k = toxicity.K
+    for token in ["1d1ot", "a$$", "b-a-d", "s+u", "!d!0t", "ab\x1fcd\x1fe", "(o0l", "aaab", "x_y", "¡1|", "5e3n!"]:
+        readings = toxicity.lattice(token)
+        best = None
+        for pick in itertools.product(*readings):
+            a, b, score, letters = 0, 0, 0.0, []
+            for c, cost in pick:
+                score -= cost
+                if c < 0 or (c == 0 and b == 0):
+                    continue
+                score += model[(a * k + b) * k + c]
+                a, b = b, c
+                letters.append(toxicity.ALPHABET[c - 1] if c else " ")
+            score += model[(a * k + b) * k] if b else 0.0
+            if best is None or score > best[0]:
+                best = (score, "".join(letters).split())
+        assert toxicity.restore(token, held) == best[1], token
+
+
+def test_network_against_plain_loops():
+    """The forward pass against loops over bytes, chunks and filters."""
+    rng = np.random.default_rng(4)
+    net = {
+        "bytes": rng.normal(0, 0.5, (257, quality.DEPTH)).astype(np.float32),
+        "filters": rng.normal(0, 0.3, (quality.WIDTH * quality.DEPTH, quality.FILTERS)).astype(np.float32),
+        "bias": rng.normal(0, 0.1, quality.FILTERS).astype(np.float32),
+        "weights": rng.normal(0, 0.3, 2 * quality.FILTERS).astype(np.float32),
+        "offset": np.array([0.2], np.float32),
+    }
+    texts = ["", "abc é", "word " * 300]
+    x, row = quality.chunks(pa.array(texts))
+    pooled, where = quality.responses(net, x)
+    p, *_ = quality.combine(net, pooled, row)
+    for i in range(len(texts)):
+        tops = []
+        for chunk in x[row == i]:
+            values = []
+            for f in range(quality.FILTERS):
+                sums = []
+                for at in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                    taps = net["bytes"][chunk[at : at + quality.WIDTH]].ravel().astype(float)
+                    sums.append(float(taps @ net["filters"][:, f].astype(float)))
+                values.append(max(0.0, max(sums) + float(net["bias"][f])))
+            tops.append(values)
+        tops = np.array(tops)
+        z = float(np.concatenate([tops.mean(0), tops.max(0)]) @ net["weights"].astype(float)) + 0.2
+        assert p[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
+    # every byte of a text lies in a chunk
+    assert sum(len(t.encode()) for t in texts) <= (x > 0).sum()
