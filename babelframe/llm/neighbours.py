@@ -6,17 +6,23 @@
 2. A small classifier (one hidden layer, numpy) learns the partitions; its
    targets are the shares of partitions among a node's neighbours.
 3. Every distinct vector is stored in its most probable partition. A query is
-   sent to its PROBES most probable partitions and ranked there by exact
-   cosine in double precision.
+   sent to its most probable partitions and ranked there by exact cosine in
+   double precision.
+
+The number of partitions grows with the rows. How many are probed is
+measured: a share of the sample is held back from the training, and the
+fewest partitions are taken that hold AIM of its true neighbours. Vectors in
+clusters need few; vectors without structure need most, whatever the index.
+A query whose partitions hold fewer than k other rows is sent to the
+remaining ones as well.
 
 The sample (SAMPLE distinct vectors by a hash of their id) only shapes the
 index; every row is indexed and can be found.
 
 Edge cases: vectors that are NULL, zero, or hold NULL or non-finite
-components take no part; copies and repeated rows of an id are one candidate
-per id; ties go to the smaller id; fewer than k candidates give fewer rows;
-if the partitions probed hold fewer than k + 1 rows, so do results. All
-vectors must have one length.
+components take no part, nor do vectors whose length is not the most frequent
+one; copies and repeated rows of an id are one candidate per id; ties go to
+the smaller id; fewer than k candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -31,7 +37,12 @@ from pyspark.sql import functions as F
 from babelframe.llm import common as C
 from babelframe.llm import vectors as V
 
-K, PARTS, PROBES, SAMPLE, DEGREE, HIDDEN = 5, 16, 12, 4000, 24, 128
+K, SAMPLE, DEGREE, HIDDEN = 5, 4000, 24, 128
+#: Partitions, at least and at most (a partition needs some nodes of the
+#: sample); distinct vectors of a partition, about.
+LEAST_PARTS, MOST_PARTS, PART_ROWS = 16, 128, 8192
+#: Share of the true neighbours of held-back vectors that the probes hold.
+AIM, HELD_BACK = 0.96, 0.25
 
 
 def neighbour_graph(x: np.ndarray, degree: int = DEGREE) -> np.ndarray:
@@ -119,7 +130,28 @@ def likely(net: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     return np.argsort(-(np.maximum(x @ net[0] + net[1], 0) @ net[2] + net[3]), axis=1, kind="stable")
 
 
-def learn(sample: np.ndarray, parts: int = PARTS) -> list[np.ndarray]:
+def parts_for(rows: int) -> int:
+    """A power of two that grows with the rows."""
+    return int(min(MOST_PARTS, max(LEAST_PARTS, 2 ** np.ceil(np.log2(max(rows, 1) / PART_ROWS)))))
+
+
+def probes_for(net: list[np.ndarray], sample: np.ndarray, held: int, k: int = K, aim: float = AIM) -> int:
+    """The fewest partitions that hold ``aim`` of the k nearest of the last
+    ``held`` vectors of the sample."""
+    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    order = likely(net, x)
+    near = x[len(x) - held :] @ x.T
+    near[np.arange(held), np.arange(len(x) - held, len(x))] = -np.inf
+    k = min(k, len(x) - 1)
+    if not held or not k:
+        return order.shape[1]
+    best = np.argpartition(-near, k - 1, 1)[:, :k]
+    place = np.argsort(order[len(x) - held :], axis=1)  # of each partition in the vector's order
+    found = np.sort(place[np.arange(held)[:, None], order[best, 0]].ravel())
+    return int(found[min(len(found) - 1, int(np.ceil(aim * len(found))) - 1)]) + 1
+
+
+def learn(sample: np.ndarray, parts: int = LEAST_PARTS) -> list[np.ndarray]:
     x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     graph = neighbour_graph(x)
     label = partition(graph, parts)
@@ -142,11 +174,13 @@ def _stored(held):
     return run
 
 
-def _sent(held, probes: int):
+def _sent(held, low: int, high: int):
+    """Queries to their ``low``-th to ``high``-th most probable partitions."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                parts = likely(held.value, _unit(f))[:, :probes]
+                parts = likely(held.value, _unit(f))[:, low:high]
                 row = np.repeat(np.arange(len(f)), parts.shape[1])
                 yield f.iloc[row].assign(part=parts.ravel().astype(np.int32))
 
@@ -180,22 +214,37 @@ def nearest(
     k: int = K,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    parts: int = PARTS,
-    probes: int = PROBES,
+    parts: int | None = None,
+    probes: int | None = None,
     sample: int = SAMPLE,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` (a subset
-    of ``df``'s rows) the k nearest other rows found."""
+    of ``df``'s rows) the k nearest other rows found. ``parts``, ``probes``:
+    instead of the numbers that follow from the rows and the sample."""
     spark = df.sparkSession
     some = F.exists("vec", lambda x: x != 0.0)
-    cands = C.staged(V.candidates(V.clean(df, id_col, vector_col).filter(some), k), "candidates")
-    rows = C.staged(V.clean(queries, id_col, vector_col).filter(some), "queries")
+    usable = C.staged(V.clean(df, id_col, vector_col).filter(some), "usable")
+    length = F.size("vec") == V.common_length(usable)
+    cands = C.staged(V.candidates(usable.filter(length), k), "candidates")
+    rows = C.staged(V.clean(queries, id_col, vector_col).filter(some).filter(length), "queries")
     asked = C.staged(V.distinct_queries(rows), "asked")
     picked = cands.orderBy(F.xxhash64("gid"), "gid").limit(sample).select("vec").collect()
     if not picked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    held = C.broadcast(spark, learn(np.array([r["vec"] for r in picked]), parts))
+    parts = parts or parts_for(cands.count())
+    vectors = np.array([r["vec"] for r in picked])
+    held_back = int(HELD_BACK * len(vectors))
+    net = learn(vectors[: len(vectors) - held_back], parts)
+    probes = probes or probes_for(net, vectors, held_back, k)
+    held = C.broadcast(spark, net)
     index = C.staged(cands.mapInPandas(_stored(held), "gid long, vec array<double>, ids array<long>, part int"), "index")
-    sent = C.staged(asked.mapInPandas(_sent(held, probes), "qid long, vec array<double>, part int"), "sent")
-    found = V.grid(index, sent, _search(k), "double", parts)
+    sent_type = "qid long, vec array<double>, part int"
+    sent = C.staged(asked.mapInPandas(_sent(held, 0, probes), sent_type), "sent")
+    found = C.staged(V.grid(index, sent, _search(k), "double", parts), "found")
+    if probes < parts:
+        enough = found.groupBy("qid").count().filter(F.col("count") > k).select("qid")
+        short = C.staged(asked.join(enough, "qid", "left_anti"), "short")
+        if not short.isEmpty():
+            rest = C.staged(short.mapInPandas(_sent(held, probes, parts), sent_type), "rest")
+            found = found.unionByName(V.grid(index, rest, _search(k), "double", parts))
     return V.best(found, rows, asked, k)

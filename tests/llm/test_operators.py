@@ -340,7 +340,7 @@ def test_neighbours_and_recall(spark):
 def test_neighbours_with_all_partitions_are_exact(spark):
     df, x = vectors(spark, 200, 3)
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
-    rows = neighbours.nearest(df, df.filter("vec_id % 50 = 0"), probes=neighbours.PARTS).orderBy("query_id", "rank").collect()
+    rows = neighbours.nearest(df, df.filter("vec_id % 50 = 0"), probes=neighbours.LEAST_PARTS).orderBy("query_id", "rank").collect()
     got = collections.defaultdict(list)
     for r in rows:
         got[r["query_id"]].append(r["vec_id"])
@@ -604,3 +604,26 @@ def test_network_against_plain_loops():
         assert p[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
     # every byte of a text lies in a chunk
     assert sum(len(t.encode()) for t in texts) <= (x > 0).sum()
+
+
+def test_short_queries_reach_all_rows(spark):
+    """One probe only, fewer rows than asked for, vectors of other lengths."""
+    df, _ = vectors(spark, 60, 5)
+    odd = spark.createDataFrame([(500, [1.0] * 3, 1), (550, [2.0] * 3, 1), (551, [], 1)], df.schema)
+    for k, n in ((5, 5), (58, 58), (59, 59), (80, 59)):
+        rows = neighbours.nearest(df.union(odd), df.union(odd).filter("vec_id % 50 = 0"), k=k, probes=1, parts=16).collect()
+        assert collections.Counter(r["query_id"] for r in rows) == {0: n, 50: n}
+    rows = topk.top_k(df.union(odd), df.union(odd).filter("vec_id % 50 = 0"), k=80).collect()
+    assert collections.Counter(r["query_id"] for r in rows) == {0: 59, 50: 59}
+
+
+def test_probes_follow_the_vectors():
+    """Clusters need few partitions, random directions most of them."""
+    rng = np.random.default_rng(8)
+    clusters = np.repeat(rng.normal(size=(64, 24)), 20, 0) + 0.05 * rng.normal(size=(1280, 24))
+    shuffled = rng.permutation(clusters)
+    few = neighbours.probes_for(neighbours.learn(shuffled[:960], 16), shuffled, 320)
+    flat = rng.normal(size=(1280, 64))
+    most = neighbours.probes_for(neighbours.learn(flat[:960], 16), flat, 320)
+    assert few <= 3 < 8 <= most <= 16
+    assert [neighbours.parts_for(n) for n in (0, 1000, 200_000, 10**9)] == [16, 16, 32, 128]
