@@ -14,10 +14,14 @@ evaluates candidates in the order of their bounds and stops when the next
 bound is below its k-th best score. Elimination uses proven bounds only, so
 the result is exact.
 
+Vectors without structure (random directions) are all about equally far from
+every pivot, and the bounds eliminate next to nothing: the search is then a
+scan of all candidates for each query, in blocks.
+
 Edge cases: NULL vectors and those with NULL or non-finite components take
-no part; copies and repeated rows of an id are one candidate per id; ties go
-to the smaller id; fewer than k candidates give fewer rows. All vectors must
-have one length.
+no part, nor do vectors whose length is not the most frequent one; copies and
+repeated rows of an id are one candidate per id; ties go to the smaller id;
+fewer than k candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -131,8 +135,10 @@ def top_k(
     def whole(x):
         return F.floor(x * F.lit(float(scale))).cast("double")
 
-    cands = C.staged(V.candidates(V.clean(df, id_col, vector_col, whole), k), "candidates")
-    rows = C.staged(V.clean(queries, id_col, vector_col, whole), "queries")
+    usable = C.staged(V.clean(df, id_col, vector_col, whole), "usable")
+    length = F.size("vec") == V.common_length(usable)
+    cands = C.staged(V.candidates(usable.filter(length), k), "candidates")
+    rows = C.staged(V.clean(queries, id_col, vector_col, whole).filter(length), "queries")
     asked = C.staged(V.distinct_queries(rows), "asked")
     picked = cands.orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE).select("vec").collect()  # a bounded sample for pivots and floors
     if not picked:
