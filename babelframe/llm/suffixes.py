@@ -12,18 +12,18 @@
    by the hash of their first PREFIX words, then by document. Suffixes of one
    prefix are neighbours then; a run of neighbours stays if it holds two
    documents.
-3. Extend left and right: a suffix that stays is given the words around it,
-   as one row with the hashes of the MIN_WORDS words that begin at it, one
-   word to its left, two words, and so on to WINDOW - 1 words. In the sorted
-   order of the first hash each run is sorted and its neighbours compared
-   once more for every extension; equal neighbours of two documents are a
-   repeated window. Windows that overlap join to a maximal passage. This
-   leaves no partner out: it is exact for the definition above.
+3. Extend left and right: a suffix that stays is extended to the left word by
+   word, as far as it is the one that a passage beginning there would have
+   retained, and to the right to MIN_WORDS words. The extended suffixes are
+   sorted and their neighbours compared in the same way: equal ones of two
+   documents are a repeated window. Windows that overlap join to a maximal
+   passage. This leaves no partner out: equal windows have retained the same
+   suffix, so it is exact for the definition above.
 
 The sort deals the suffixes of a crowded prefix to as many tasks as they need.
-Runs at the borders of a partition may go on in the next one; their rows (two
-runs a partition, and those of crowded prefixes) are compared across
-partitions by counts of their hashes, joined back in shares.
+Only the first and the last run of a partition may go on in another one: what
+each partition knows of those two (its smallest and largest document) goes
+to the driver, two rows a partition, and back to all tasks.
 
 Documents with equal texts are worked on once; each of them is a repeated
 passage as a whole (if it has MIN_WORDS words).
@@ -52,15 +52,21 @@ GRAM, WINDOW = 8, 25
 PREFIX = MIN_WORDS - WINDOW + 1
 
 
-def minimisers(w: C.Words, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
-    """Word positions of the leftmost smallest gram in each window of grams."""
+def anchors(w: C.Words, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, word): for each word that begins ``window`` grams of its row,
+    the word of the leftmost smallest of them."""
     at, h = C.runs(w, gram)
     if len(at) < window:
-        return at[:0]
+        return at[:0], at[:0]
     views = np.lib.stride_tricks.sliding_window_view(h, window)
     pick = np.concatenate([np.argmin(views[i : i + 65536], 1) + np.arange(i, min(i + 65536, len(views))) for i in range(0, len(views), 65536)])
     one_row = w.row[at[: len(pick)]] == w.row[at[window - 1 :]]
-    return np.unique(at[pick[one_row]])
+    return at[: len(pick)][one_row], at[pick[one_row]]
+
+
+def minimisers(w: C.Words, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
+    """Word positions of the leftmost smallest gram in each window of grams."""
+    return np.unique(anchors(w, gram, window)[1])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,168 +124,107 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Ta
 
 
 def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The suffixes whose run holds two documents, and all those of runs at a
-    border."""
+    """Rows of runs that hold two documents, with ``first``, the smallest of
+    them; and all rows of runs at a border, whose ``first`` is not known."""
     for border, rows in _neighbours(batches):
         id_, key = rows.column("id").to_numpy(), rows.column("key").to_numpy()
-        keep = np.ones(len(key), bool)
-        if not border:  # sorted by document within a run
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            last = np.append(first[1:], len(key)) - 1
-            keep = np.repeat(id_[first] != id_[last], last - first + 1)
-        some = rows.filter(pa.array(keep))
-        some = some.append_column("border", pa.array(np.full(some.num_rows, border)))
-        yield from some.combine_chunks().to_batches()
-
-
-def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, [key], [place], text) -> a row a suffix with the windows around it:
-    ``left`` (words from the first window to the suffix), the hash of each
-    window, from the leftmost on, and where it begins and ends."""
-    for b in C.slices(batches, "text"):
-        w = C.words(b.column(3), chars=True)
-        count = np.diff(b.column(2).offsets.to_numpy())
-        row = np.repeat(np.arange(b.num_rows), count)
-        key, place = b.column(1).flatten(), b.column(2).flatten().to_numpy()
-        size = np.diff(w.first)[row]
-        left = np.minimum(place, WINDOW - 1)
-        right = np.maximum(place + MIN_WORDS - size, 0)  # windows that begin less far left reach beyond the text
-        n = np.maximum(left - right + 1, 0)
-        some = np.flatnonzero((n > 0) & (place < size))
-        row, place, left, n = row[some], place[some], left[some], n[some]
-        ends = np.cumsum(n)
-        begin = np.repeat(w.first[row] + place - left - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        at, h = C.runs(w, MIN_WORDS, begin)
-        char, base = w.char
-        r = w.row[at]
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column(0).take(pa.array(row)),
-                key.take(pa.array(some)),
-                pa.array(place.astype(np.int32)),
-                pa.array(left.astype(np.int32)),
-                C.lists(h.view(np.int64), n, pa.int64()),
-                C.lists(char[w.start[at]] - base[r], n, pa.int32()),
-                C.lists(char[w.end[at + MIN_WORDS - 1]] - base[r], n, pa.int32()),
-            ],
-            names=[x.split()[0] for x in _AROUND.split(", ")],
-        )
-
-
-_AROUND = "id long, key long, place int, left int, hashes array<long>, starts array<int>, ends array<int>"
-_FOUND = "id long, low int, high int, from int, to int, first long"
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(head, len(key)))
+        low, high = id_[head], id_[head + size - 1]  # sorted by document within a run
+        first = pa.array(np.repeat(low, size), mask=np.full(len(key), border))
+        some = rows.append_column("first", first).filter(pa.array(np.repeat(border | (low != high), size)))
+        if len(some):
+            yield from some.combine_chunks().to_batches()
 
 
-def _extended(later_only: bool):
-    """Repeated windows of sorted suffixes: a row a suffix (the words at which
-    its first and last repeated windows begin, characters from and to, the
-    smallest document that has one). Suffixes at a border pass as they are."""
+def _told(held):
+    """The rows of runs that hold two documents; those at a border are looked up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for border, rows in _neighbours(batches):
-            if border:
-                yield from _passed(rows)
-                continue
-            lists = [rows.column(c).chunk(0) for c in ("hashes", "starts", "ends")]
-            count = np.diff(lists[0].offsets.to_numpy())
-            suffix = np.repeat(np.arange(len(rows)), count)
-            h, start, end = (x.flatten().to_numpy() for x in lists)
-            id_ = rows.column("id").to_numpy()[suffix]
-            key = rows.column("key").to_numpy()[suffix]
-            begin = _begins(rows.column("place").to_numpy(), rows.column("left").to_numpy(), count, suffix)
-            extension = rows.column("place").to_numpy()[suffix] - begin
-            # for every extension to the left: sorted by what follows, then neighbours compared
-            order = np.lexsort((id_, h, extension, key))
-            new = np.append(True, (np.diff(key[order]) != 0) | (np.diff(extension[order]) != 0) | (np.diff(h[order]) != 0))[: len(order)]
-            head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(order)) - 1
-            first = np.repeat(id_[order][head], tail - head + 1)
-            several = np.repeat(id_[order][head] != id_[order][tail], tail - head + 1)
-            if later_only:
-                several &= first < id_[order]
-            hit = order[several]
-            low = np.full(len(h), np.iinfo(np.int64).max)
-            low[hit] = first[several]
-            hit = np.sort(hit)
-            if not len(hit):
-                continue
-            at = np.flatnonzero(np.append(True, np.diff(suffix[hit]) != 0))
-            last = np.append(at[1:], len(hit)) - 1
-            one, two = hit[at], hit[last]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(id_[one]),
-                    pa.array(begin[one].astype(np.int32)),
-                    pa.array(begin[two].astype(np.int32)),
-                    pa.array(start[one]),
-                    pa.array(end[two]),
-                    pa.array(np.minimum.reduceat(low[hit], at)),
-                    *[pa.nulls(len(one), t) for t in (pa.int64(), pa.int32(), pa.int32(), *[pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int32())])],
-                ],
-                names=_BOTH_NAMES,
-            )
+        key, low, high = held.value
+        for b in batches:
+            first = b.column(b.num_columns - 1)
+            unknown = first.is_null().to_numpy(zero_copy_only=False)
+            if unknown.any():
+                at = np.searchsorted(key, b.column("key").to_numpy()[unknown])
+                known = first.fill_null(0).to_numpy().copy()
+                known[unknown] = low[at]
+                keep = ~unknown
+                keep[unknown] = low[at] != high[at]
+                b = pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(known)], names=b.schema.names).filter(pa.array(keep))
+            yield b
 
     return run
 
 
-def _begins(place: np.ndarray, left: np.ndarray, count: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    """The word at which each window of each suffix begins."""
-    ends = np.cumsum(count)
-    return (place - left - (ends - count))[suffix] + np.arange(len(suffix))
+def _compared(df: DataFrame, name: str) -> DataFrame:
+    """The sparse suffix array of ``df`` (key, id, word, ...), range-partitioned
+    and sorted, and its neighbours compared: the rows of keys that two
+    documents hold, with ``first``, the smallest of them."""
+    order = ["key", "id", "word"]
+    kinds = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", first long"
+    array = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    array = C.staged(array.mapInArrow(_several, kinds), name)
+    border = array.filter("first IS NULL").groupBy("key").agg(F.min("id"), F.max("id")).collect()  # two keys a partition
+    edges = np.array(sorted(map(tuple, border)), np.int64).reshape(-1, 3)
+    held = C.broadcast(df.sparkSession, tuple(np.ascontiguousarray(x) for x in edges.T))
+    return array.mapInArrow(_told(held), kinds)
 
 
-def _passed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    none = [pa.nulls(len(rows), t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64())]
-    columns = [rows.column("id"), *none, *[rows.column(c) for c in ("key", "place", "left", "hashes", "starts", "ends")]]
-    yield from pa.table(columns, names=_BOTH_NAMES).combine_chunks().to_batches()
-
-
-_BOTH = f"{_FOUND}, {_AROUND.split(', ', 1)[1]}"
-_BOTH_NAMES = [x.split()[0] for x in _BOTH.split(", ")]
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, [words of suffixes], text) -> the windows that have retained one
+    of the suffixes: hash, first word, characters from and to."""
+    for b in C.slices(batches, "text"):
+        w = C.words(b.column(2), chars=True)
+        words = b.column(1)
+        row = np.repeat(np.arange(b.num_rows), np.diff(words.offsets.to_numpy()))
+        kept = np.zeros(len(w.row) + 1, bool)
+        place = words.flatten().to_numpy()
+        inside = place < np.diff(w.first)[row]
+        kept[(w.first[row] + place)[inside]] = True
+        begin, pick = anchors(w)
+        at, h = C.runs(w, MIN_WORDS, begin[kept[pick]])
+        char, base = w.char
+        r = w.row[at]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(h.view(np.int64)),
+                b.column(0).take(pa.array(r)),
+                pa.array((at - w.first[r]).astype(np.int32)),
+                pa.array((char[w.start[at]] - base[r]).astype(np.int32)),
+                pa.array((char[w.end[at + MIN_WORDS - 1]] - base[r]).astype(np.int32)),
+            ],
+            names=["key", "id", "word", "from", "to"],
+        )
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, [suffixes]) -> maximal runs of each document."""
+    """(id, [windows]) -> maximal runs of each document."""
     for b in batches:
         col = b.column(1)
         count = np.diff(col.offsets.to_numpy())
         id_ = np.repeat(b.column(0).to_numpy(), count)
-        low, high, start, end, first = (x.to_numpy() for x in col.flatten().flatten())
+        word, start, end, first = (x.to_numpy() for x in col.flatten().flatten())
         if not len(id_):
             continue
-        order = np.lexsort((low, id_))
-        id_, low, high, start, end, first = (x[order] for x in (id_, low, high, start, end, first))
-        # the farthest window so far, within each document
-        shift = np.cumsum(np.append(False, id_[1:] != id_[:-1])) * (int(high.max()) + 2 * MIN_WORDS)
-        far = np.maximum.accumulate(high + shift)
-        new = np.append(True, low[1:] + shift[1:] > far[:-1] + MIN_WORDS)
+        order = np.lexsort((word, id_))
+        id_, word, start, end, first = id_[order], word[order], start[order], end[order], first[order]
+        new = np.ones(len(id_), bool)
+        new[1:] = (id_[1:] != id_[:-1]) | (word[1:] > word[:-1] + MIN_WORDS)
         at = np.flatnonzero(new)
-        last = np.maximum.reduceat(high, at)
+        last = np.append(at[1:], len(id_)) - 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(id_[at]),
                 pa.array(start[at].astype(np.int64)),
-                pa.array(np.maximum.reduceat(end, at).astype(np.int64)),
-                pa.array((last - low[at] + MIN_WORDS).astype(np.int64)),
+                pa.array(end[last].astype(np.int64)),
+                pa.array((word[last] - word[at] + MIN_WORDS).astype(np.int64)),
                 pa.array(np.minimum.reduceat(first, at)),
             ],
             names=["id", "span_start", "span_end", "n_words", "first_doc_id"],
         )
 
 
-def _sorted(df: DataFrame) -> DataFrame:
-    """The suffix array: range-partitioned and sorted; equal keys by document."""
-    order = ["key", "id", "place"]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
-
-
-def _across(rows: DataFrame, key: list[str], by: list[str]) -> DataFrame:
-    """``rows`` of a key that two documents hold, with ``first``, the smaller
-    one; compared over all partitions."""
-    shared = rows.groupBy(*key).agg(F.min("id").alias("first"), F.max("id").alias("top"), F.count("*").alias("rows")).filter("first < top").drop("top")
-    return C.attach(rows, C.staged(shared, "shared"), key, "rows", by)
-
-
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", later_only: bool = False) -> DataFrame:
     """Maximal repeated passages: (doc_id, span_start, span_end, n_words,
     first_doc_id); spans in code points, end exclusive; ``first_doc_id`` is
@@ -301,31 +246,18 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("digest", F.col("x.id").alias("id"), "hi", F.arrays_zip("x.keys", "x.places").alias("suffixes")),
         "texts",
     )
-    suffix = groups.select("id", F.explode("suffixes").alias("s")).select("id", F.col("s.keys").alias("key"), F.col("s.places").alias("place"))
-    near = C.staged(_sorted(suffix).mapInArrow(_several, "id long, key long, place int, border boolean"), "neighbours")
-    own = ["id", "key", "place"]
-    kept = near.filter("NOT border").select(*own).unionByName(_across(near.filter("border").select(*own), ["key"], own).select(*own))
-    kept = kept.groupBy("id").agg(F.collect_list(F.struct("key", "place")).alias("s")).select("id", F.col("s.key").alias("keys"), F.col("s.place").alias("places"))
+    suffix = groups.select("id", F.explode("suffixes").alias("s")).select(F.col("s.keys").alias("key"), "id", F.col("s.places").alias("word"))
+    kept = _compared(suffix, "suffix-array").groupBy("id").agg(F.collect_list("word").alias("words"))
     kept = kept.join(groups.select("id", "digest"), "id")
-    around = docs.join(kept, ["id", "digest"]).select("id", "keys", "places", "text").mapInArrow(_around, _AROUND)
-    around = C.staged(around, "around")
-    compared = C.staged(_sorted(around).mapInArrow(_extended(later_only), _BOTH), "extended")
-    repeated = compared.filter("first IS NOT NULL").select("id", "low", "high", "from", "to", "first")
-    # runs at borders: the same comparison over all partitions
-    window = F.explode(F.arrays_zip(F.sequence(F.col("place") - F.col("left"), F.col("place") - F.col("left") + F.size("hashes") - 1).alias("word"), "hashes", "starts", "ends")).alias("w")
-    border = compared.filter("first IS NULL").select("id", "key", "place", window)
-    border = border.select("id", "key", "place", F.col("w.word").alias("word"), F.col("w.hashes").alias("h"), F.col("w.starts").alias("from"), F.col("w.ends").alias("to"))
-    border = C.staged(border.withColumn("extension", F.col("place") - F.col("word")), "border")
-    met = _across(border, ["key", "extension", "h"], ["id", "place"])
+    around = docs.dropDuplicates(["id", "digest"]).join(kept, ["id", "digest"]).select("id", "words", "text")
+    windows = C.staged(around.mapInArrow(_windows, "key long, id long, word int, from int, to int"), "windows")
+    repeated = _compared(windows, "window-array")
     if later_only:
-        met = met.filter("first < id")
-    met = met.groupBy("id", "place").agg(
-        F.min("word").alias("low"), F.max("word").alias("high"), F.min("from").alias("from"), F.max("to").alias("to"), F.min("first").alias("first")
-    )
-    repeated = C.staged(repeated.unionByName(met.drop("place")), "repeated")
+        repeated = repeated.filter("first < id")
+    repeated = C.staged(repeated.select("id", "word", "from", "to", "first"), "repeated")
     spans = (
         repeated.groupBy("id")
-        .agg(F.collect_list(F.struct("low", "high", "from", "to", "first")).alias("w"))
+        .agg(F.collect_list(F.struct("word", "from", "to", "first")).alias("w"))
         .mapInArrow(_merge, "id long, span_start long, span_end long, n_words long, first_doc_id long")
     )
     # equal texts: the whole text is one passage, of all documents of the group (or all but the first)
