@@ -36,6 +36,29 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="babelframe-t-")
 
 
+@pytest.fixture()
+def plans(monkeypatch):
+    """The physical plans of everything that is written or collected."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen: list[str] = []
+
+    def of(df) -> None:
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+
+    for name in ("parquet", "csv", "json", "text", "save"):
+        real = getattr(DataFrameWriter, name)
+        monkeypatch.setattr(DataFrameWriter, name, lambda self, *a, _real=real, **k: of(self._df) or _real(self, *a, **k))
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: of(self) or collect(self))
+    return seen
+
+
+def no_cross_joins(seen: list[str]) -> bool:
+    return bool(seen) and not any("NestedLoopJoin" in p or "CartesianProduct" in p for p in seen)
+
+
 def rows(df, *cols):
     """Collected rows as plain tuples, sorted."""
     sel = df.select(*cols) if cols else df

@@ -35,12 +35,6 @@ def test_block_labels_prune_text_and_need_no_join(spark):
     assert "Join" not in p and "Window" not in p and not hash_exchanges(p)
 
 
-def test_no_cross_joins_anywhere(spark):
-    for name in E.queries():
-        p = plan(E.queries()[name](spark, SMOKE))
-        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
-
-
 def test_reference_join_pushes_filter_and_has_no_window(spark):
     p = plan(E.queries()["attach_reference_text"](spark, SMOKE))
     assert "Not(EqualTo(text,))" in p
