@@ -45,7 +45,6 @@ PARALLEL_SUFFIX = " Translation"
 
 # --- fixed values: audit log / report / sample headers -----------------------
 AUDIT_HEADER = ["ID", "GPT Value Original", "GPT Value Modified"]
-REPORT_HEADER = ["English", "Ground_truth", "Model_output", "Bleu_score"]
 SAMPLE_COLUMNS = ["complexity", "length", "fk_grade", "f_ease"]
 
 # --- fixed values: conversation roles ----------------------------------------

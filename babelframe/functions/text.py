@@ -58,11 +58,6 @@ def strip_ws(col: Column | str) -> Column:
     return F.btrim(_c(col), F.lit(WS_LIST))
 
 
-def remove_ws(col: Column | str) -> Column:
-    """``''.join(s.split())``: drop every whitespace character."""
-    return F.regexp_replace(_c(col), F.lit(WS), "")
-
-
 def strip_image_tag(col: Column | str) -> Column:
     """Remove every ``<image>``; newlines stay."""
     return F.replace(_c(col), F.lit(C.IMAGE_TAG), F.lit(""))
