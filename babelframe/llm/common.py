@@ -21,6 +21,8 @@ from babelframe.session import work_path
 
 #: Text bytes handled by one numpy pass; only memory depends on it.
 SLICE_BYTES = 2 << 20
+#: The same where numpy holds many numbers for each byte at once.
+SMALL_SLICE_BYTES = 512 << 10
 #: Largest object that may be broadcast.
 BROADCAST_BYTES = 64 << 20
 #: Keys of more rows than CROWDED_ROWS, and so many that there are at most

@@ -178,7 +178,7 @@ def _vectors(codes: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in C.slices(batches, "text"):
+    for b in C.slices(batches, "text", C.SMALL_SLICE_BYTES):
         row, code, count = trigrams(b.column(0).to_pylist())
         norm = np.sqrt(np.bincount(row, count.astype(float) ** 2, b.num_rows))
         names, lang = np.unique(np.array(b.column(1).to_pylist(), str), return_inverse=True)
@@ -254,7 +254,7 @@ def _known(held, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cosines = Cosines(held.value)
         for batch in batches:
-            for b in C.slices(iter([batch.append_column("__row", pa.array(range(batch.num_rows)))]), "text"):
+            for b in C.slices(iter([batch.append_column("__row", pa.array(range(batch.num_rows)))]), "text", C.SMALL_SLICE_BYTES):
                 best = cosines.best(b.column(b.schema.get_field_index("text")).to_pylist())
                 keep = b.column(b.num_columns - 1).to_numpy()[best >= least]
                 if len(keep):

@@ -95,7 +95,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for b in C.slices(batches, "text"):
+    for b in C.slices(batches, "text", C.SMALL_SLICE_BYTES):
         row, h = shingle_sets(b.column(1), k)
         n = np.bincount(row, minlength=b.num_rows)
         some = np.flatnonzero(n)
@@ -118,7 +118,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for b in C.slices(batches, "text"):
+    for b in C.slices(batches, "text", C.SMALL_SLICE_BYTES):
         row, h = shingle_sets(b.column(1), k)
         n = np.bincount(row, minlength=b.num_rows)
         yield pa.RecordBatch.from_arrays([b.column(0), C.lists(h.view(np.int64), n, pa.int64())], names=["id", "shingles"])

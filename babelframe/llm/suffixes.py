@@ -70,7 +70,7 @@ def minimisers(w: C.Words, gram: int = GRAM, window: int = WINDOW) -> np.ndarray
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in C.slices(batches, "text"):
+    for b in C.slices(batches, "text", C.SMALL_SLICE_BYTES):
         w = C.words(b.column(2), chars=True)
         at, key = C.runs(w, PREFIX, minimisers(w))
         n = np.diff(w.first)
@@ -174,7 +174,7 @@ def _compared(df: DataFrame, name: str) -> DataFrame:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, [words of suffixes], text) -> the windows that have retained one
     of the suffixes: hash, first word, characters from and to."""
-    for b in C.slices(batches, "text"):
+    for b in C.slices(batches, "text", C.SMALL_SLICE_BYTES):
         w = C.words(b.column(2), chars=True)
         words = b.column(1)
         row = np.repeat(np.arange(b.num_rows), np.diff(words.offsets.to_numpy()))
