@@ -6,7 +6,7 @@ of messages (and optional Series of preambles / target languages) and
 returns a Series of responses, ``None`` for a failed item. No network client
 is bundled; tests and queries use deterministic translators.
 
-Calls run inside ``mapInPandas`` over Arrow batches: each task owns a slice
+Calls run inside ``mapInArrow`` over Arrow batches: each task owns a slice
 of the rows, calls in chunks of at most ``batch_size``, several at once if
 asked to, and paces itself to its share of the global budget (U4). A retried task calls again, so callers persist
 the result once (``persist_translations``) before using it twice.
@@ -20,7 +20,10 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -29,6 +32,9 @@ from pyspark.sql import types as T
 from babelframe import constants as C
 from babelframe.functions.text import as_message, clean_response, json_turn_length, language_code
 
+#: Text bytes made Python strings at a time; only memory depends on it.
+SLICE_BYTES = 1 << 20
+
 TranslatorFactory = Callable[[], Callable[..., pd.Series]]
 
 
@@ -106,10 +112,25 @@ class Pacer:
         self.next_at = max(time.monotonic(), self.next_at) + self.interval * n_calls
 
 
+def _parts(text: pa.Array, called: np.ndarray, plan: CallPlan) -> Iterator[slice]:
+    """Rows cut so that a part has about SLICE_BYTES of ``text``, but whole
+    chunks of calls, and as many as may be under way."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    calls = np.cumsum(called)
+    at, done, made = 0, 0, 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        whole = max(plan.in_flight, (int(calls[to - 1]) - made) // plan.chunk) * plan.chunk
+        if to < len(ends):
+            to = min(len(ends), int(np.searchsorted(calls, made + whole)) + 1)
+        yield slice(at, to)
+        at, done, made = to, int(ends[to - 1]), int(calls[to - 1])
+
+
 def _call_partition(
     factory: TranslatorFactory, text_col: str, preamble_col: str | None, target_col: str | None, plan: CallPlan
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         retried = context is not None and context.attemptNumber() > 0
         rate = plan.chunk / plan.spacing if plan.spacing else None
@@ -130,29 +151,33 @@ def _call_partition(
                 return [None] * len(chunk), [f"call failed: {type(e).__name__}: {e}"] * len(chunk)
 
         with ThreadPoolExecutor(plan.in_flight) as pool:
-            for pdf in batches:
-                responses: list = [None] * len(pdf)
-                failures: list = [None] * len(pdf)
-                under_way: deque = deque()
-
-                def take() -> None:
-                    rows, result = under_way.popleft()
-                    for i, r, f in zip(rows, *result.result(), strict=False):
-                        responses[i], failures[i] = r, f
-
-                todo = [i for i, m in enumerate(pdf["__call"].tolist()) if m]
-                for start in range(0, len(todo), plan.chunk):
-                    rows = todo[start : start + plan.chunk]
-                    while len(under_way) >= plan.in_flight:
-                        take()  # the oldest first: results keep the order of the rows
-                    pacer.wait(plan.chunk)
-                    under_way.append((rows, pool.submit(call, pdf.iloc[rows])))
-                while under_way:
-                    take()
-                yield pdf.drop(columns=["__call", "__message"]).assign(
-                    __response=pd.Series(responses, dtype=object, index=pdf.index),
-                    __call_error=pd.Series(failures, dtype=object, index=pdf.index),
-                )
+            for whole in batches:
+                called = whole.column("__call").to_numpy(zero_copy_only=False).astype(bool)
+                for part in _parts(whole.column(text_col), called, plan):
+                    b = whole.slice(part.start, part.stop - part.start)
+                    sent = list(dict.fromkeys(c for c in (text_col, preamble_col, target_col) if c))
+                    pdf = pd.DataFrame({c: pd.Series(b.column(c).to_pylist(), dtype=object) for c in sent})
+                    responses: list = [None] * len(pdf)
+                    failures: list = [None] * len(pdf)
+                    under_way: deque = deque()
+
+                    def take() -> None:
+                        rows, result = under_way.popleft()
+                        for i, r, f in zip(rows, *result.result(), strict=False):
+                            responses[i], failures[i] = r, f
+
+                    todo = np.flatnonzero(called[part]).tolist()
+                    for start in range(0, len(todo), plan.chunk):
+                        rows = todo[start : start + plan.chunk]
+                        while len(under_way) >= plan.in_flight:
+                            take()  # the oldest first: results keep the order of the rows
+                        pacer.wait(plan.chunk)
+                        under_way.append((rows, pool.submit(call, pdf.iloc[rows])))
+                    while under_way:
+                        take()
+                    kept = [c for c in b.schema.names if c not in ("__call", "__message")]
+                    made = [pa.array(x, pa.string(), from_pandas=True) for x in (responses, failures)]
+                    yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *made], names=[*kept, "__response", "__call_error"])
 
     return run
 
@@ -179,7 +204,7 @@ def translate_column(
     """Translate ``text_col`` -> ``out_col`` plus ``error_col``.
 
     * ``keep``: columns carried through the call (pruned by hand: column
-      pruning does not pass through ``mapInPandas``).
+      pruning does not pass through ``mapInArrow``).
     * ``num_partitions``: calling tasks (default: the cluster's parallelism),
       always fixed by a repartition before the call (by ``partition_key``, or
       dealt round-robin), so that neither an aggregate before it nor the
@@ -210,7 +235,7 @@ def translate_column(
         [f for f in src.schema.fields if f.name not in ("__call", "__message")]
         + [T.StructField("__response", T.StringType()), T.StructField("__call_error", T.StringType())]
     )
-    called = src.mapInPandas(
+    called = src.mapInArrow(
         _call_partition(factory, "__message", preamble_col, target_col, plan), schema
     )
     called = called.withColumn("__call_error", F.when(F.col("__none"), F.lit("No text")).otherwise(F.col("__call_error"))).drop("__none")

@@ -27,13 +27,14 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of a range worked on at a time; only memory depends on it.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def _scan(raw: np.ndarray, quoted: bool) -> tuple[np.ndarray, bool]:
@@ -43,37 +44,56 @@ def _scan(raw: np.ndarray, quoted: bool) -> tuple[np.ndarray, bool]:
     slash = raw == 0x5C
     if slash.any():
         # a quote counts unless an odd run of backslashes stands before it
-        at = np.arange(len(raw))
-        run = np.zeros(len(raw), np.int64)
-        run[1:] = (at - np.maximum.accumulate(np.where(slash, -1, at)))[:-1]
+        at = np.arange(len(raw), dtype=np.int32)
+        run = np.zeros(len(raw), np.int32)
+        run[1:] = (at - np.maximum.accumulate(np.where(slash, np.int32(-1), at)))[:-1]
         quote &= run % 2 == 0
-    inside = (np.cumsum(quote) + quoted) % 2 == 1
+    inside = np.logical_xor.accumulate(quote) ^ quoted
     opens = ((raw == 0x7B) | (raw == 0x5B)) & ~inside
     closes = ((raw == 0x7D) | (raw == 0x5D)) & ~inside
-    return opens.astype(np.int64) - closes, bool((int(quote.sum()) + quoted) % 2)
+    return opens.astype(np.int8) - closes, bool((int(quote.sum()) + quoted) % 2)
 
 
-def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, bytes]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes]]:
     """(file, begin, bytes): the ranges of a task in order, each in chunks of
-    about CHUNK bytes that end with a bracket."""
+    about CHUNK bytes (a line at least) that end with a bracket."""
     key, parts, size = None, [], 0
-    for f in frames:
-        for now, rows in f.groupby(["file", "begin"], sort=False):
-            if now != key or size >= CHUNK:
-                if parts:
-                    yield (*key, b"}".join([*parts, b""]))
-                key, parts, size = now, [], 0
-            parts += rows["value"].tolist()
-            size += int(rows["value"].map(len).sum())
+    for b in batches:
+        file, begin, value = b.column(0), b.column(1).to_numpy(), b.column(2)
+        ends = np.cumsum(pc.binary_length(value).to_numpy().astype(np.int64))
+        code = file.dictionary_encode().indices.to_numpy()
+        cuts = np.flatnonzero((begin[1:] != begin[:-1]) | (code[1:] != code[:-1])) + 1
+        at, done = 0, 0
+        for last in [*cuts.tolist(), len(ends)][: len(ends)]:
+            now = (file[at].as_py(), int(begin[at]))
+            while at < last:
+                if now != key or size >= CHUNK:
+                    if parts:
+                        yield (*key, b"}".join([*parts, b""]))
+                    key, parts, size = now, [], 0
+                to = min(last, max(at + 1, int(np.searchsorted(ends, done + CHUNK - size, "right"))))
+                parts += value.slice(at, to - at).to_pylist()
+                size += int(ends[to - 1]) - done
+                at, done = to, int(ends[to - 1])
     if parts:
         yield (*key, b"}".join([*parts, b""]))
 
 
-def _summary(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batch(rows: list, schema: str) -> pa.RecordBatch:
+    """Rows of a schema written as ``name type, ...``."""
+    names, kinds = zip(*(f.split() for f in schema.split(", ")), strict=True)
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+_ARROW = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a range does, begun outside (0) and inside (1) of a text: ends
     inside of one, change of depth, least depth on the way."""
     out = []
-    for (file, begin), chunks in groupby(_chunks(frames), key=lambda c: c[:2]):
+    for (file, begin), chunks in groupby(_chunks(batches), key=lambda c: c[:2]):
         row = None
         for _, _, text in chunks:
             if row is None:
@@ -81,10 +101,10 @@ def _summary(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 row = [file, begin, head == b"[", False, 0, 0, True, 0, 0]
             for at in (3, 6):
                 step, ends = _scan(np.frombuffer(text, np.uint8), row[at])
-                depth = row[at + 1] + np.cumsum(step)
+                depth = row[at + 1] + np.cumsum(step, dtype=np.int32)
                 row[at : at + 3] = ends, int(depth[-1]), min(row[at + 2], int(depth.min()))
         out.append(row)
-    yield pd.DataFrame(out, columns=[f.split()[0] for f in _TOLD.split(", ")])
+    yield _batch(out, _TOLD)
 
 
 _TOLD = "file string, begin long, array boolean, ends0 boolean, step0 long, low0 long, ends1 boolean, step1 long, low1 long"
@@ -111,9 +131,9 @@ def _records(held):
     is false): ``begin`` and ``place`` tell where the record begins (a piece
     without its head has place -1), ``piece`` the range of a piece."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = held.value
-        for (file, begin), chunks in groupby(_chunks(frames), key=lambda c: c[:2]):
+        for (file, begin), chunks in groupby(_chunks(batches), key=lambda c: c[:2]):
             quoted, depth, level, since = states[file, begin]
             parts: list[bytes] = []
             place = -1 if depth > level else None  # of the record that is open
@@ -125,7 +145,7 @@ def _records(held):
 
             for _, _, text in chunks:
                 step, quoted = _scan(np.frombuffer(text, np.uint8), quoted)
-                after = depth + np.cumsum(step)
+                after = depth + np.cumsum(step, dtype=np.int32)
                 starts = np.flatnonzero((step > 0) & (after == level + 1)).tolist()
                 ends = (np.flatnonzero((step < 0) & (after == level)) + 1).tolist()
                 rows = []
@@ -142,15 +162,14 @@ def _records(held):
                     else:
                         parts = [text[a:]]
                 depth, done = int(after[-1]), done + len(text)
-                yield pd.DataFrame(rows, columns=_FOUND_NAMES)
+                yield _batch(rows, _FOUND)
             if place is not None:
-                yield pd.DataFrame([row(b"".join(parts), False)], columns=_FOUND_NAMES)
+                yield _batch([row(b"".join(parts), False)], _FOUND)
 
     return run
 
 
 _FOUND = "file string, begin long, place long, piece long, whole boolean, text binary"
-_FOUND_NAMES = [f.split()[0] for f in _FOUND.split(", ")]
 
 
 def read_record_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -161,8 +180,8 @@ def read_record_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("begin"),
         F.col("value").cast("binary").alias("value"),
     )
-    told = ranges.mapInPandas(_summary, _TOLD).collect()  # one row a byte range
-    found = ranges.mapInPandas(_records(spark.sparkContext.broadcast(_states(told))), _FOUND)
+    told = ranges.mapInArrow(_summary, _TOLD).collect()  # one row a byte range
+    found = ranges.mapInArrow(_records(spark.sparkContext.broadcast(_states(told))), _FOUND)
     whole = found.filter("whole").select("file", "begin", "place", "text")
     crossing = (
         found.filter("NOT whole")
@@ -178,17 +197,17 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return read_record_texts(spark, path).select(F.from_json("text", schema).alias("r")).select("r.*")
 
 
-def _array_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mark = "["
-    for f in frames:
-        if len(f):
-            lines = [mark + f["value"].iat[0], *("," + f["value"].iloc[1:])]
+    for b in batches:
+        if b.num_rows:
+            marks = pa.array([mark, *[","] * (b.num_rows - 1)])
             mark = ","
-            yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["]" if mark == "," else "[]"]})
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, b.column(0).cast(pa.string()), "")], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if mark == "," else "[]"])], names=["value"])
 
 
 def write_arrays(df: DataFrame, path: str) -> None:
     """Every part file is one JSON array of its records, a record a line."""
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    lines.mapInPandas(_array_lines, "value string").write.mode("overwrite").text(path)
+    lines.mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)

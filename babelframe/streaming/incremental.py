@@ -1,7 +1,7 @@
 """K1: incremental translation as Structured Streaming jobs.
 
 ``stream_translate`` translates every caption turn: a file source picks up
-new input files, the translation is a stateless ``mapInPandas`` projection
+new input files, the translation is a stateless ``mapInArrow`` projection
 and the parquet sink's checkpoint records which files are done.
 
 ``translate_first_captions`` does what the batch job X1 does, file by file:

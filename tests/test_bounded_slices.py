@@ -20,3 +20,25 @@ def test_passages_are_looked_for_in_small_slices(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array([b"d"] * 200, pa.binary()), pa.array(texts)], names=["id", "digest", "text"])
     assert sum(b.num_rows for b in suffixes._suffixes(iter([batch]))) == 200
     assert max(sizes) < 600_000
+
+
+def test_json_chunks_are_cut_within_a_batch(monkeypatch):
+    monkeypatch.setattr(JR, "CHUNK", 500)
+    lines = [b"x" * (i % 90) for i in range(1000)]
+    begin = [0] * 700 + [4096] * 300
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["f"] * 1000), pa.array(begin, pa.int64()), pa.array(lines, pa.binary())], names=["file", "begin", "value"]
+    )
+    found = list(JR._chunks(iter([batch])))
+    assert max(len(text.replace(b"}", b"")) for _, _, text in found) <= 500 + 90
+    for of, rows in ((0, lines[:700]), (4096, lines[700:])):
+        assert b"".join(text for _, at, text in found if at == of) == b"".join(x + b"}" for x in rows)
+
+
+def test_calls_get_whole_chunks_of_bounded_parts(monkeypatch):
+    monkeypatch.setattr(TR, "SLICE_BYTES", 1000)
+    text, called = pa.array(["y" * 30] * 500), np.arange(500) % 3 > 0
+    parts = list(TR._parts(text, called, TR.CallPlan(4, 10, 0.0, 2)))
+    assert [p.start for p in parts] == [0, *(p.stop for p in parts[:-1])] and parts[-1].stop == 500
+    assert max(p.stop - p.start for p in parts) <= 1000 // 30
+    assert all(called[p].sum() % 10 == 0 for p in parts[:-1])
