@@ -4,8 +4,8 @@ Counting clipped n-gram matches needs a per-row multiset intersection,
 which Catalyst has no built-in for; the counts come from Arrow-batched pandas
 UDFs. They work on whole batches: the characters (or tokens) of all
 hypotheses and references are numbered in one array, an n-gram's number is
-made from that of the n-gram one shorter and its last character, and the
-n-grams of all rows are sorted at once, packed with their row. Runs of equal
+made from its characters, and the longest n-grams of all rows are sorted at
+once, packed with their row, which sorts the shorter ones too. Runs of equal
 numbers give the counts on either side, and the smaller of both is the match.
 The score formulas are native column expressions over the counts, so
 corpus-level scores are plain ``sum`` aggregates over the same arrays.
@@ -31,7 +31,7 @@ from babelframe import constants as C
 
 CHRF_COUNTS = 3 * (C.CHRF_CHAR_ORDER + C.CHRF_WORD_ORDER)
 #: Characters worked on at a time; only memory depends on it.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 #: N-gram numbers and rows are packed below this.
 _PACKED = 1 << 62
 
@@ -57,7 +57,7 @@ class Batch:
 
     def characters(self) -> tuple[np.ndarray, np.ndarray, int]:
         """(row, number, how many numbers) of every character."""
-        there = np.zeros(0x110000, bool)
+        there = np.zeros(int(self.codes.max(initial=0)) + 1, bool)
         there[self.codes] = True
         return self.row, (np.cumsum(there) - 1)[self.codes], int(there.sum())
 
@@ -91,8 +91,49 @@ def match_counts(units: tuple[np.ndarray, np.ndarray, int], pairs: int, order: i
     clipped matches. Rows below ``pairs`` are hypotheses, the others their
     references."""
     row, unit, base = units
-    base = max(base, 1)
     out = np.zeros((pairs, order, 3), np.int64)
+    length = np.bincount(row, minlength=2 * pairs)
+    for n in range(order):
+        total = np.maximum(length - n, 0)
+        out[:, n, 0], out[:, n, 1] = total[:pairs], total[pairs:]
+    fits = 2 * pairs * (base + 1) ** order < _PACKED
+    out[:, :, 2] = (_matches if fits else _matches_by_order)(row, unit, base, pairs, order)
+    return out
+
+
+def _matches(row: np.ndarray, unit: np.ndarray, base: int, pairs: int, order: int) -> np.ndarray:
+    """(pairs, order): clipped matches. The longest n-grams are numbers to
+    the base ``base + 1`` (0: the row has ended), so one sort of them, packed
+    with their pair, also sorts the shorter ones, their first digits."""
+    out = np.zeros((pairs, order), np.int64)
+    if not len(unit):
+        return out
+    place = np.arange(len(unit)) + row * (order - 1)
+    digits = np.zeros(int(place[-1]) + order, np.int64)
+    digits[place] = unit + 1
+    ends = len(digits) - order + 1
+    key = digits[:ends]
+    for n in range(1, order):
+        key = key * (base + 1) + digits[n : n + ends]
+    key = (key[place] + (row % pairs) * (base + 1) ** order) * 2 + (row < pairs)
+    key.sort()
+    gram, mine, size = key >> 1, key & 1, np.ones(len(key), np.int64)
+    for n in range(order, 0, -1):
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        gram, mine, size = gram[first], np.add.reduceat(mine, first), np.add.reduceat(size, first)
+        shorter = gram // (base + 1)
+        whole = gram > shorter * (base + 1)
+        match = np.minimum(mine, size - mine)
+        some = np.flatnonzero(whole & (match > 0))
+        out[:, n - 1] = np.bincount(gram[some] // (base + 1) ** n, weights=match[some], minlength=pairs)
+        gram = shorter
+    return out
+
+
+def _matches_by_order(row: np.ndarray, unit: np.ndarray, base: int, pairs: int, order: int) -> np.ndarray:
+    """``_matches`` for so many kinds of characters that the longest n-grams
+    do not fit one number: each order is sorted on its own."""
+    out = np.zeros((pairs, order), np.int64)
     start, gram, kinds = np.arange(len(unit)), unit, base
     for n in range(order):
         if n:
@@ -104,15 +145,13 @@ def match_counts(units: tuple[np.ndarray, np.ndarray, int], pairs: int, order: i
             keep[keep] = row[ends[keep]] == row[start[keep]]
             start, gram = start[keep], gram[keep]
             gram, kinds = gram * base + unit[start + n], kinds * base
-        total = np.bincount(row[start], minlength=2 * pairs)
-        out[:, n, 0], out[:, n, 1] = total[:pairs], total[pairs:]
         mine = row[start] < pairs
         h, hn = _runs(row[start[mine]] * kinds + gram[mine])
         r, rn = _runs((row[start[~mine]] - pairs) * kinds + gram[~mine])
         if len(h) and len(r):
             at = np.minimum(np.searchsorted(r, h), len(r) - 1)
             same = r[at] == h
-            out[:, n, 2] = np.bincount(h[same] // kinds, weights=np.minimum(hn[same], rn[at[same]]), minlength=pairs)
+            out[:, n] = np.bincount(h[same] // kinds, weights=np.minimum(hn[same], rn[at[same]]), minlength=pairs)
     return out
 
 

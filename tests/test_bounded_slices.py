@@ -42,3 +42,12 @@ def test_calls_get_whole_chunks_of_bounded_parts(monkeypatch):
     assert [p.start for p in parts] == [0, *(p.stop for p in parts[:-1])] and parts[-1].stop == 500
     assert max(p.stop - p.start for p in parts) <= 1000 // 30
     assert all(called[p].sum() % 10 == 0 for p in parts[:-1])
+
+
+def test_one_sort_gives_the_matches_of_all_orders():
+    rng = np.random.default_rng(5)
+    for base, pairs, order in ((3, 20, 6), (40, 7, 4), (2, 1, 2)):
+        row = np.repeat(np.arange(2 * pairs), rng.integers(0, 30, 2 * pairs))
+        unit = rng.integers(0, base, len(row))
+        args = (row, unit, base, pairs, order)
+        assert (NG._matches(*args) == NG._matches_by_order(*args)).all()
