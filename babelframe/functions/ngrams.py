@@ -1,8 +1,7 @@
 """N-gram sufficient statistics for BLEU (M6) and chrF (M7, A1).
 
 Counting clipped n-gram matches needs a per-row multiset intersection,
-which Catalyst has no built-in for; the counts come from Arrow-batched pandas
-UDFs. They work on whole batches: the characters (or tokens) of all
+which Catalyst has no built-in for; the counts come from Arrow UDFs. They work on whole batches: the characters (or tokens) of all
 hypotheses and references are numbered in one array, an n-gram's number is
 made from its characters, and the longest n-grams of all rows are sorted at
 once, packed with their row, which sorts the shorter ones too. Runs of equal
@@ -18,11 +17,12 @@ leading or trailing ASCII punctuation mark split off each token, beta = 2.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -222,20 +222,34 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _lists(texts: tuple[pa.Array, ...], counts: Callable[..., np.ndarray]) -> pa.Array:
+    """The lines of ``counts`` as a list column. Texts become Python strings
+    a slice of about BATCH_CHARS bytes at a time."""
+    size = sum(pc.fill_null(pc.binary_length(t), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts)
+    ends, at, done, found = np.cumsum(size), 0, 0, []
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, done + BATCH_CHARS, "right")))
+        found.append(counts(*(t.slice(at, to - at).to_pylist() for t in texts)))
+        at, done = to, int(ends[to - 1])
+    if not found:
+        return pa.array([], pa.list_(pa.int64()))
+    lines = np.concatenate(found)
+    return pa.ListArray.from_arrays(np.arange(len(lines) + 1, dtype=np.int32) * lines.shape[1], lines.ravel())
+
+
 def chrf_counts_many(specs: list[tuple[Column | str, Column | str, bool]]) -> Column:
     """Counts for several (hyp, ref, lowercase) pairs of one row in a single
     Arrow pass: one array with CHRF_COUNTS numbers a pair (see ``chrf_of``)."""
     flags = [bool(lc) for _, _, lc in specs]
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def counts(pairs: pd.DataFrame) -> pd.Series:
-        found = [chrf_batch(pairs[f"h{j}"], pairs[f"r{j}"], lc) for j, lc in enumerate(flags)]
-        return pd.Series(list(np.concatenate(found, 1)))
+    def found(*texts: list[str]) -> np.ndarray:
+        return np.concatenate([chrf_batch(texts[2 * j], texts[2 * j + 1], lc) for j, lc in enumerate(flags)], 1)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def counts(*texts: pa.Array) -> pa.Array:
+        return _lists(texts, found)
 
-    cols = []
-    for j, (h, r, _) in enumerate(specs):
-        cols += [_column(h).alias(f"h{j}"), _column(r).alias(f"r{j}")]
-    return counts(F.struct(*cols))
+    return counts(*[_column(c) for h, r, _ in specs for c in (h, r)])
 
 
 def chrf_of(many: Column, j: int) -> Column:
@@ -248,9 +262,9 @@ def chrf_counts(hyp: Column | str, ref: Column | str, lowercase: bool = False) -
 
 
 def bleu_counts(hyp: Column | str, ref: Column | str, tokenize: str = "words") -> Column:
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def counts(h: pd.Series, r: pd.Series) -> pd.Series:
-        return pd.Series(list(bleu_batch(h, r, tokenize)))
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def counts(h: pa.Array, r: pa.Array) -> pa.Array:
+        return _lists((h, r), lambda h, r: bleu_batch(h, r, tokenize))
 
     return counts(_column(hyp), _column(ref))
 

@@ -51,3 +51,14 @@ def test_one_sort_gives_the_matches_of_all_orders():
         unit = rng.integers(0, base, len(row))
         args = (row, unit, base, pairs, order)
         assert (NG._matches(*args) == NG._matches_by_order(*args)).all()
+
+
+def test_counting_udfs_take_slices(monkeypatch):
+    monkeypatch.setattr(NG, "BATCH_CHARS", 300)
+    texts = pa.array(["abc def " * 5, None] * 40)
+    seen = []
+    found = NG._lists((texts, texts), lambda h, r: seen.append(len(h)) or NG.chrf_batch(h, r))
+    assert max(seen) < 10
+    whole = texts.to_pylist()
+    assert found.to_pylist() == NG.chrf_batch(whole, whole).tolist()
+    assert len(NG._lists((texts[:0], texts[:0]), NG.chrf_batch)) == 0
