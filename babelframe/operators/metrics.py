@@ -84,15 +84,18 @@ def tokens(col: Column | str, pattern: str = TOKEN) -> Column:
 def repeated_tokens(prediction: Column | str, reference: Column | str, pattern: str = TOKEN) -> Column:
     """M5: some neighbouring equal tokens in the prediction whose token is
     absent from the reference. NULL inputs -> false."""
-    t = tokens(prediction, pattern)
-    r = tokens(reference, pattern)
-    m = F.greatest(F.size(t) - 1, F.lit(0))
     # tokens that equal their right neighbour (usually few), then one
     # hash-based set difference against the reference tokens: O(n + m)
-    doubled = F.filter(
-        F.zip_with(F.slice(t, 1, m), F.slice(t, 2, m), lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull()
-    )
-    flag = F.size(F.array_except(doubled, r)) > 0
+    def doubled(t: Column) -> Column:
+        m = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.filter(F.zip_with(F.slice(t, 1, m), F.slice(t, 2, m), lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())
+
+    # a text without such tokens needs none of its reference
+    def missing(t: Column) -> Column:
+        return F.when(F.size(t) > 0, F.size(F.array_except(t, tokens(reference, pattern))) > 0).otherwise(F.lit(False))
+
+    # arrays of one: what is found once is there for all that reads it
+    flag = F.transform(F.transform(F.array(tokens(prediction, pattern)), doubled), missing)[0]
     return F.when(_c(prediction).isNull() | _c(reference).isNull(), F.lit(False)).otherwise(flag)
 
 

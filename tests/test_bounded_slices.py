@@ -62,3 +62,11 @@ def test_counting_udfs_take_slices(monkeypatch):
     whole = texts.to_pylist()
     assert found.to_pylist() == NG.chrf_batch(whole, whole).tolist()
     assert len(NG._lists((texts[:0], texts[:0]), NG.chrf_batch)) == 0
+
+
+def test_tokens_are_found_once(spark):
+    flag = ME.repeated_tokens("p", "r")
+    df = spark.createDataFrame([("a a b", "x"), ("a a b", "a"), ("a b", "x"), (None, "x"), ("a a", None), ("", "")], "p string, r string")
+    plan = df.select(flag.alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2
+    assert [r["f"] for r in df.select(flag.alias("f")).collect()] == [True, False, False, False, False, False]
