@@ -196,6 +196,7 @@ def translate_column(
     calls_per_minute: float | None = None,
     num_partitions: int | None = None,
     partition_key: str | None = None,
+    dealt: bool = False,
     order_col: str | None = None,
     clean: bool = True,
     only_when: F.Column | None = None,
@@ -209,6 +210,9 @@ def translate_column(
       always fixed by a repartition before the call (by ``partition_key``, or
       dealt round-robin), so that neither an aggregate before it nor the
       planner decides how many tasks call.
+    * ``dealt``: the rows lie in that many partitions or more (those of a scan,
+      say), which are put together to the calling tasks without a shuffle; if
+      there are fewer, fewer tasks call.
     * ``calls_per_minute``: one budget of messages for all tasks together; no
       minute holds more, and a retried task waits before its first call (U4).
       Speculative execution would call twice; leave it off here.
@@ -226,11 +230,15 @@ def translate_column(
     wanted = F.lit(True) if only_when is None else F.coalesce(only_when, F.lit(False))
     has_text = F.col(text_col).isNotNull()
     df = df.withColumn("__call", wanted & has_text).withColumn("__none", wanted & ~has_text)
-    src = df.select(*cols, "__call", "__none").withColumn("__message", as_message(text_col))
+    src = df.select(*cols, "__call", "__none")
     plan = call_plan(num_partitions or df.sparkSession.sparkContext.defaultParallelism, batch_size, calls_per_minute, max_in_flight)
-    src = src.repartition(plan.tasks, partition_key) if partition_key else src.repartition(plan.tasks)
+    if dealt:
+        src = src.coalesce(plan.tasks)
+    else:
+        src = src.repartition(plan.tasks, partition_key) if partition_key else src.repartition(plan.tasks)
     if order_col:
         src = src.sortWithinPartitions(order_col)
+    src = src.withColumn("__message", as_message(text_col))  # after the shuffle: the text moves once
     schema = T.StructType(
         [f for f in src.schema.fields if f.name not in ("__call", "__message")]
         + [T.StructField("__response", T.StringType()), T.StructField("__call_error", T.StringType())]

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def configured(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Settings of the session (``spark.sql.`` left out, ``__`` for a dot) for
+    what is planned and run inside; afterwards they are as before."""
+    names = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stage(df, name: str, spread: bool = True):
     """Write ``df`` once as parquet under the shared work folder and read it
     back: cuts the lineage (a lost executor never recomputes the upstream

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from babelframe import constants as C
+from babelframe.session import configured
 from babelframe.sources.json_records import read_records
 
 TURN = T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])
@@ -45,6 +46,11 @@ CSV_OPTIONS = {
 # a missing value is written as nothing, an empty text as ""; reading tells
 # them apart by a mark for missing values that texts do not hold
 CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\0"}
+# tables of texts that a job writes as CSV; readers tell gzip by the file's
+# name, and a multi-line file is read by one task in any case
+CSV_PACKED_OPTIONS = CSV_OPTIONS | {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: Reports that a task writes side by side.
+REPORT_WRITERS = 64
 
 
 def read_conversations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -73,6 +79,13 @@ def read_parallel_csv(spark: SparkSession, path: str, languages: list[str] | Non
     return spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
 
 
+def write_parallel_csv(df: DataFrame, path: str) -> None:
+    """S3: a wide parallel table, packed. Shuffle files that its rows came
+    through are removed once it is written."""
+    with configured(df.sparkSession, classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.mode("overwrite").options(**CSV_PACKED_OPTIONS).csv(path)
+
+
 def read_dataset(spark: SparkSession, root: str) -> DataFrame:
     """A columnar dataset with all splits (``split=`` partitions)."""
     return spark.read.parquet(root)
@@ -109,10 +122,13 @@ def publish_dataset(df: DataFrame, root: str, owner: str, name: str, private: bo
 
 
 def write_reports(df: DataFrame, path: str) -> None:
-    """One report per (prompt_idx, lang) - one partitioned write."""
-    df.select("prompt_idx", "lang", "English", "Ground_truth", "Model_output", "Bleu_score").write.mode(
-        "overwrite"
-    ).partitionBy("prompt_idx", "lang").options(**CSV_OPTIONS).csv(path)
+    """One report per (prompt_idx, lang) - one partitioned write, packed.
+
+    A task keeps up to REPORT_WRITERS reports open, so that its texts are not
+    sorted by report (and spilled) first; rows of further ones are."""
+    out = df.select("prompt_idx", "lang", "English", "Ground_truth", "Model_output", "Bleu_score")
+    with configured(df.sparkSession, maxConcurrentOutputFileWriters=str(REPORT_WRITERS)):
+        out.write.mode("overwrite").partitionBy("prompt_idx", "lang").options(**CSV_PACKED_OPTIONS).csv(path)
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
